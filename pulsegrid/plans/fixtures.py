@@ -122,9 +122,14 @@ def daughter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw clean-event listing: two of three orders, those of a third listed twice."""
-    rows = truth(spark, sf_dir).where(F.col("part_no") != 2)
-    return rows.select("RunID", "EventID").unionByName(rows.where(F.col("part_no") == 1).select("RunID", "EventID"))
+    """Raw clean-event listing: all orders but those of low priority, urgent ones twice."""
+    rows = table(spark, sf_dir, "orders").select(
+        (F.lit(2201200000) + F.col("o_custkey") % 1000).alias("RunID"),
+        F.col("o_orderkey").cast("int").alias("EventID"),
+        F.col("o_orderpriority").alias("priority"),
+    )
+    listed, urgent = rows.where(F.col("priority") != "5-LOW"), rows.where(F.col("priority") == "1-URGENT")
+    return listed.unionByName(urgent).drop("priority")
 
 
 def geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,3 +145,45 @@ def geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.floor((s - 1) / 10) * F.lit(125.0) - 500.0).alias("dom_y"),
         (F.lit(500.0) - d * F.lit(17.0) - (d % 7) * F.lit(0.25) - s).alias("dom_z"),
     )
+
+
+def doms(spark: SparkSession, sf_dir: str, event: str = "l_orderkey") -> DataFrame:
+    """Sensor rows of `hits`: position, total charge, first time."""
+    keys = ["event_no", "string", "dom_number"]
+    totals = (
+        hits(spark, sf_dir, event)
+        .groupBy(*keys)
+        .agg(F.sum("charge").cast("double").alias("Qtotal"), F.min("dom_time").alias("t1"))
+    )
+    return with_sensor_constants(totals).select(*keys, "dom_x", "dom_y", "dom_z", "Qtotal", "t1")
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Truth with the daughter's columns, defaults filled in."""
+    from pulsegrid.operators.truth import TRUTH_FEATURES, attach_side
+    from pulsegrid.schema import SIDE_TABLES
+
+    rows = attach_side(truth(spark, sf_dir), daughter(spark, sf_dir), SIDE_TABLES["daughter"])
+    return rows.select("*", *[make().alias(name) for name, make in TRUTH_FEATURES.items()])
+
+
+def placed(spark: SparkSession, sf_dir: str, events_per_shard: int = 500) -> DataFrame:
+    """Truth of events with hits: N_doms, shard and offset."""
+    from pulsegrid.operators import truth as labels
+
+    counted = truth(spark, sf_dir).join(labels.count_doms(hits(spark, sf_dir)), "event_no", "inner")
+    shards = labels.assign_shards(counted, events_per_shard)
+    return labels.shard_offsets(counted.join(shards, ["part_no", "event_no"], "inner"))
+
+
+def displaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`lineitem` as records near the sensors of `geometry`, off by some metres."""
+    s, d = F.col("l_suppkey") % 86 + 1, F.col("l_partkey") % 60 + 1
+    shift = (F.col("l_quantity") - 25) * F.lit(0.5)
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        ((s - 1) % 10 * F.lit(125.0) - 560.0 + shift).alias("dom_x"),
+        (F.floor((s - 1) / 10) * F.lit(125.0) - 500.0 - shift / 2).alias("dom_y"),
+        (F.lit(500.0) - d * F.lit(17.0) - (d % 7) * F.lit(0.25) - s + F.lit(0.0625) * (F.col("l_quantity") - 25)).alias("dom_z"),
+    )

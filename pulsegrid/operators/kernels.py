@@ -157,7 +157,10 @@ def boundary_features(columns, starts, sizes):
     border = np.where(np.repeat(proper, keep_n), rows[np.minimum(hull_at, len(rows) - 1)], all_rows)
     bx, by = x[border], y[border]
     first = np.cumsum(keep_n) - keep_n
-    extent, end_a, end_b = farthest_pairs(np.column_stack([bx, by]), first, keep_n)
+    # In row order, so that of several longest lines the smallest one is named.
+    ordered = np.sort(border)
+    extent, end_a, end_b = farthest_pairs(np.column_stack([x[ordered], y[ordered]]), first, keep_n)
+    end_a, end_b = ordered[end_a], ordered[end_b]
     major, minor, ux, uy = principal_axes(bx, by, first, keep_n)
     following = np.where(_within(keep_n) + 1 < np.repeat(keep_n, keep_n), np.arange(len(bx)) + 1, np.repeat(first, keep_n))
     area = np.abs(group_sums(bx * by[following] - bx[following] * by, first)) / 2
@@ -166,7 +169,7 @@ def boundary_features(columns, starts, sizes):
         "n_points": sizes.astype(np.int64),
         "n_border": keep_n.astype(np.int64),
         "extent": np.where(single, 0.0, extent),
-        "end1_x": bx[end_a], "end1_y": by[end_a], "end2_x": bx[end_b], "end2_y": by[end_b],
+        "end1_x": x[end_a], "end1_y": y[end_a], "end2_x": x[end_b], "end2_y": y[end_b],
         "major": np.where(single, np.nan, major),
         "minor": np.where(single, np.nan, minor),
         "axis_x": ux, "axis_y": uy,

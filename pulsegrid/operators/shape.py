@@ -226,7 +226,8 @@ def _extent_cosines() -> tuple[Column, Column]:
 
 def extent_axis_cosine(power: int) -> Column:
     major, _ = _extent_cosines()
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.pow(major, power)))
+    clipped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.pow(major, power)))
+    return F.when(major.isNotNull(), clipped)
 
 
 def composite_cosines(power: int) -> dict[str, Column]:

@@ -180,15 +180,15 @@ ends AS (
   WHERE sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) = r.extent GROUP BY r.event_no),
 turned AS (
   SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny, first_value(x) OVER w AS fx, first_value(y) OVER w AS fy FROM (
-    SELECT *, atan2(y - avg(y) OVER (PARTITION BY event_no), x - avg(x) OVER (PARTITION BY event_no)) AS at FROM border)
-  WINDOW w AS (PARTITION BY event_no ORDER BY at)),
+    SELECT *, atan2(y - avg(y) OVER (PARTITION BY event_no), x - avg(x) OVER (PARTITION BY event_no)) AS theta FROM border)
+  WINDOW w AS (PARTITION BY event_no ORDER BY theta)),
 moments AS (
   SELECT event_no, count(*) AS n_border, var_samp(x) AS vx, var_samp(y) AS vy, covar_samp(x, y) AS cxy,
          CASE WHEN count(*) >= 3 THEN abs(sum(x * coalesce(ny, fy) - coalesce(nx, fx) * y)) / 2 END AS area
   FROM turned GROUP BY event_no),
 axes AS (
   SELECT event_no, n_border, area, sqrt((vx + vy) / 2 + sqrt(((vx - vy) / 2) ** 2 + cxy ** 2)) AS major,
-         sqrt(greatest((vx + vy) / 2 - sqrt(((vx - vy) / 2) ** 2 + cxy ** 2), 0)) AS raw_minor,
+         CASE WHEN n_border > 1 THEN sqrt(greatest((vx + vy) / 2 - sqrt(((vx - vy) / 2) ** 2 + cxy ** 2), 0)) END AS raw_minor,
          atan2(2 * cxy, vx - vy) / 2 AS angle FROM moments),
 shape AS (
   SELECT a.event_no, (SELECT 1) AS one, n.n_points, a.n_border, r.extent, a.major,
@@ -302,7 +302,7 @@ ORACLES["decoded_event_no"] = f"""WITH {TRUTH},
 lookup(k, energy_range, flavour, pdg) AS (VALUES {', '.join(f"({k}, '{a}', '{b}', {c})" for k, (a, b, c) in _RANGES.items())})
 SELECT CAST(format('1{{:02d}}{{:04d}}{{:08d}}', event_no % 9 + 10, part_no, event_no) AS BIGINT) AS event_no,
        CAST(event_no % 9 + 22010 AS VARCHAR) AS subdir, part_no, event_no AS original_event_no,
-       energy_range, flavour, CAST(pdg AS INTEGER) AS pdg, CAST(event_no % 9 + 22010 AS VARCHAR) AS dataset
+       energy_range, lookup.flavour, CAST(pdg AS INTEGER) AS pdg, CAST(event_no % 9 + 22010 AS VARCHAR) AS dataset
 FROM truth JOIN lookup ON k = event_no % 9"""
 ORACLES["shifted_event_no"] = f"""WITH {TRUTH}
 SELECT event_no, CAST(part_no AS BIGINT) * 16777216 + event_no AS shifted FROM truth"""
@@ -321,13 +321,13 @@ def _labelled() -> str:
     from pulsegrid.functions.geometry import OUTLINE_XY, PRISM_XY, Z_RANGE
 
     return f"""{TRUTH}, {DAUGHTER},
-outline_edge(ax, ay, bx, by) AS (SELECT CAST(a AS DOUBLE), CAST(b AS DOUBLE), CAST(c AS DOUBLE), CAST(d AS DOUBLE)
+outline_edge(e1x, e1y, e2x, e2y) AS (SELECT CAST(a AS DOUBLE), CAST(b AS DOUBLE), CAST(c AS DOUBLE), CAST(d AS DOUBLE)
   FROM (VALUES {_sql_edges(OUTLINE_XY)}) AS v(a, b, c, d)),
-side(ax, ay, bx, by) AS (SELECT CAST(a AS DOUBLE), CAST(b AS DOUBLE), CAST(c AS DOUBLE), CAST(d AS DOUBLE)
+side(e1x, e1y, e2x, e2y) AS (SELECT CAST(a AS DOUBLE), CAST(b AS DOUBLE), CAST(c AS DOUBLE), CAST(d AS DOUBLE)
   FROM (VALUES {_sql_edges(PRISM_XY)}) AS v(a, b, c, d)),
 plane AS (
-  SELECT (ay - by) / sqrt((bx - ax) ** 2 + (by - ay) ** 2) AS nx, (bx - ax) / sqrt((bx - ax) ** 2 + (by - ay) ** 2) AS ny,
-         CAST(0 AS DOUBLE) AS nz, ((ay - by) * ax + (bx - ax) * ay) / sqrt((bx - ax) ** 2 + (by - ay) ** 2) AS c FROM side
+  SELECT (e1y - e2y) / sqrt((e2x - e1x) ** 2 + (e2y - e1y) ** 2) AS nx, (e2x - e1x) / sqrt((e2x - e1x) ** 2 + (e2y - e1y) ** 2) AS ny,
+         CAST(0 AS DOUBLE) AS nz, ((e1y - e2y) * e1x + (e2x - e1x) * e1y) / sqrt((e2x - e1x) ** 2 + (e2y - e1y) ** 2) AS c FROM side
   UNION ALL SELECT 0, 0, 1, CAST({Z_RANGE[1]} AS DOUBLE) UNION ALL SELECT 0, 0, -1, CAST({-Z_RANGE[0]} AS DOUBLE)),
 vertex AS (
   SELECT t.*, coalesce(px, -1e8) AS px, coalesce(py, -1e8) AS py, coalesce(pz, -1e8) AS pz, coalesce(dx, 0) AS dx,
@@ -336,7 +336,7 @@ vertex AS (
 cast_vertex AS (SELECT * REPLACE (CAST(CAST(px AS FLOAT) AS DOUBLE) AS px, CAST(CAST(py AS FLOAT) AS DOUBLE) AS py,
   CAST(CAST(pz AS FLOAT) AS DOUBLE) AS pz) FROM vertex),
 crossing AS (
-  SELECT event_no, sum(CASE WHEN (ay > py) <> (by > py) AND px < (bx - ax) / (by - ay) * (py - ay) + ax THEN 1 ELSE 0 END) % 2 AS odd
+  SELECT event_no, sum(CASE WHEN (e1y > py) <> (e2y > py) AND px < (e2x - e1x) / (e2y - e1y) * (py - e1y) + e1x THEN 1 ELSE 0 END) % 2 AS odd
   FROM cast_vertex, outline_edge GROUP BY event_no),
 facing AS (
   SELECT v.event_no, nx * dx + ny * dy + nz * dz AS v, c - (nx * px + ny * py + nz * pz) AS room FROM cast_vertex v, plane),
@@ -542,7 +542,7 @@ ORACLES["shape_features_geometry"] = f"""WITH {DOMS}, {_POINTS}, {_CUT}, {outlin
 f AS (SELECT event_no, extent AS extent_max, stretch_max, stretch_mean, stretch_hiqr, greatest(extent, stretch_max) AS max_extent_stretch,
   sqrt(extent * stretch_max) AS product, sqrt(extent ** 2 + stretch_max ** 2) AS hypotenuse, major AS major_PCA, minor AS minor_PCA,
   sqrt(1 - (minor / nullif(major, 0)) ** 2) AS eccentricity_PCA, (major - minor) / nullif(major + minor, 0) AS aspect_contrast_PCA,
-  CASE WHEN major > 0 THEN greatest(0, least(1, {_COS} ** 2)) END AS cos_sq_extent_PCA_major, area / {_area()} AS area_ratio
+  CASE WHEN major > 0 AND extent > 0 THEN greatest(0, least(1, {_COS} ** 2)) END AS cos_sq_extent_PCA_major, area / {_area()} AS area_ratio
   FROM shape LEFT JOIN stretch USING (event_no))
 SELECT event_no, {_rounded(['extent_max', 'stretch_max', 'stretch_mean', 'stretch_hiqr', 'max_extent_stretch', 'product', 'hypotenuse', 'major_PCA', 'minor_PCA', 'eccentricity_PCA', 'aspect_contrast_PCA', 'cos_sq_extent_PCA_major', 'area_ratio'], 5)} FROM f"""
 _A, _B = f"least(1, abs({_COS})) ** 6", f"least(1, abs({_SIN})) ** 6"

@@ -28,6 +28,9 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _normal(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame[sorted(frame.columns)].copy()
+    for name in frame.columns:
+        if isinstance(frame[name].dtype, pd.api.extensions.ExtensionDtype) and frame[name].dtype.kind in "if":
+            frame[name] = frame[name].astype(float)
     for name in frame.columns:
         if frame[name].dtype == object:
             kinds = {type(v).__name__ for v in frame[name].dropna().head(50)}
@@ -39,6 +42,8 @@ def _normal(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _kind(dtype) -> str:
+    if isinstance(dtype, pd.api.extensions.ExtensionDtype):
+        return dtype.kind + str(dtype.itemsize)
     return "text" if dtype == object else np.dtype(dtype).kind + str(np.dtype(dtype).itemsize)
 
 
@@ -50,7 +55,7 @@ def differences(ours: pd.DataFrame, theirs: pd.DataFrame) -> str | None:
     types = [
         f"{c}: {ours[c].dtype} / {theirs[c].dtype}"
         for c in ours.columns
-        if len(ours) and _kind(ours[c].dtype) != _kind(theirs[c].dtype)
+        if len(ours) and not ours[c].isna().any() and _kind(ours[c].dtype) != _kind(theirs[c].dtype)
     ]
     a, b = _normal(ours), _normal(theirs)
     for name in a.columns:

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.operators import scan
+from pulsegrid.operators.shape import second_round_features
 from pulsegrid.runtime import fits_one_task, pin
 from pulsegrid.schema import FIRST_K, NOT_ENOUGH_PULSES, SENSOR_KEYS, SummaryMode
 
@@ -31,166 +32,140 @@ _PASS_THROUGH = {
 }
 
 
-def _dbl(column: Column | str) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).cast("double")
+_LATE = "(dom_time > (t_last + t_first) / 2)"
+# Of the highest late pulse: its place among the late pulses, or its own time.
+_LATE_PICK = "min_by({chosen}, CASE WHEN " + _LATE + " THEN struct(-charge, i) END)"
 
 
-def _order_struct(order_by: Sequence[str]) -> Column:
-    return F.struct(*order_by)
+def _dbl(column: Column) -> Column:
+    return column.cast("double")
 
 
-def _second_half(order_t: str = "dom_time") -> Column:
-    return F.col(order_t) > (F.col("t_last") + F.col("t_first")) / 2
+def _late_pick(compat: bool) -> str:
+    return _LATE_PICK.format(chosen="late_i" if compat else "dom_time")
 
 
-def _annotate_in_windows(pulses: DataFrame, order_by: Sequence[str], late: bool) -> DataFrame:
+def _annotate_in_windows(pulses: DataFrame, order_by: Sequence[str], late: bool, compat: bool) -> DataFrame:
     """Rank, running charge and sensor totals; one shuffle, one sort."""
-    running = (
-        Window.partitionBy(*SENSOR_KEYS)
-        .orderBy(*order_by)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    whole = (
-        Window.partitionBy(*SENSOR_KEYS)
-        .orderBy(*order_by)
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    rows = pulses.select(
+    spec = f"PARTITION BY {', '.join(SENSOR_KEYS)} ORDER BY {', '.join(order_by)} ROWS BETWEEN UNBOUNDED PRECEDING AND"
+    running, whole = f"OVER ({spec} CURRENT ROW)", f"OVER ({spec} UNBOUNDED FOLLOWING)"
+    rows = pulses.selectExpr(
         "*",
-        F.row_number().over(running).alias("i"),
-        F.sum("charge").over(running).alias("q_running"),
-        F.count(F.lit(1)).over(whole).alias("n"),
-        F.sum("charge").over(whole).alias("q_all"),
-        F.first("dom_time").over(whole).alias("t_first"),
-        F.last("dom_time").over(whole).alias("t_last"),
+        f"row_number() {running} AS i",
+        f"sum(charge) {running} AS q_running",
+        f"count(*) {whole} AS n",
+        f"sum(charge) {whole} AS q_all",
+        f"max(charge) {whole} AS q_max",
+        f"first_value(dom_time) {whole} AS t_first",
+        f"last_value(dom_time) {whole} AS t_last",
     )
     if not late:
         return rows
-    rows = rows.withColumn("late_i", F.sum(_second_half().cast("int")).over(running))
-    pick = F.struct(-F.col("charge"), F.col("i"))
-    return rows.withColumn(
-        "late_rank",
-        F.min_by(F.col("late_i"), F.when(_second_half(), pick)).over(whole),
-    )
+    rows = rows.selectExpr("*", f"sum(int({_LATE})) {running} AS late_i")
+    return rows.selectExpr("*", f"{_late_pick(compat)} {whole} AS late_pick")
 
 
 def _annotate_in_chunks(
-    pulses: DataFrame, order_by: Sequence[str], late: bool, partitions: int | None
+    pulses: DataFrame, order_by: Sequence[str], late: bool, compat: bool, partitions: int | None
 ) -> DataFrame:
     """Same columns as `_annotate_in_windows`, for sensors too large for one task."""
     chunked = scan.sorted_chunks(pulses, SENSOR_KEYS, order_by, partitions)
-    place = _order_struct(order_by)
+    place = f"struct({', '.join(order_by)})"
     # One row per hot sensor.
     totals = chunked.groupBy(*SENSOR_KEYS).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("charge").alias("q_all"),
-        F.min_by("dom_time", place).alias("t_first"),
-        F.max_by("dom_time", place).alias("t_last"),
+        F.expr("count(*) AS n"),
+        F.expr("sum(charge) AS q_all"),
+        F.expr("max(charge) AS q_max"),
+        F.expr(f"min_by(dom_time, {place}) AS t_first"),
+        F.expr(f"max_by(dom_time, {place}) AS t_last"),
     )
     rows = _join_sensor(chunked, totals)
     sums = {"i": F.lit(1), "q_running": F.col("charge")}
     if late:
-        sums["late_i"] = _second_half().cast("int")
+        sums["late_i"] = F.expr(f"int({_LATE})")
     rows = scan.chunked_totals(rows, SENSOR_KEYS, sums)
     if late:
-        pick = F.struct(-F.col("charge"), F.col("i"))
-        ranks = rows.groupBy(*SENSOR_KEYS).agg(
-            F.min_by("late_i", F.when(_second_half(), pick)).alias("late_rank")
-        )
-        rows = _join_sensor(rows, ranks)
+        picks = rows.groupBy(*SENSOR_KEYS).agg(F.expr(f"{_late_pick(compat)} AS late_pick"))
+        rows = _join_sensor(rows, picks)
     return rows
 
 
 def _join_sensor(rows: DataFrame, per_sensor: DataFrame) -> DataFrame:
-    renamed = per_sensor.select(
-        *[F.col(k).alias(f"_s_{k}") for k in SENSOR_KEYS],
-        *[c for c in per_sensor.columns if c not in SENSOR_KEYS],
-    )
-    on = None
-    for key in SENSOR_KEYS:
-        term = F.col(key).eqNullSafe(F.col(f"_s_{key}"))
-        on = term if on is None else on & term
+    renamed = per_sensor.withColumnsRenamed({k: f"_s_{k}" for k in SENSOR_KEYS})
+    on = F.expr(" AND ".join(f"{k} <=> _s_{k}" for k in SENSOR_KEYS))
     return rows.join(renamed, on, "inner").drop(*[f"_s_{k}" for k in SENSOR_KEYS])
 
 
-def _first_k(source: str, prefix: str, kind: str, k: int) -> list[Column]:
+def _first_k(source: str, prefix: str, kind: str, k: int) -> list[str]:
     return [
-        F.coalesce(F.max(F.when(F.col("i") == j, F.col(source))).cast(kind), F.lit(-1).cast(kind)).alias(
-            f"{prefix}{j}"
-        )
+        f"coalesce({kind}(max(CASE WHEN i = {j} THEN {source} END)), {kind}(-1)) AS {prefix}{j}"
         for j in range(1, k + 1)
     ]
 
 
-def _charge_within(interval: float, name: str) -> Column:
-    inside = F.col("dom_time") - F.col("t_first") < F.lit(float(interval))
-    return F.coalesce(_dbl(F.sum(F.when(inside, F.col("charge")))), F.lit(0.0)).alias(name)
+def _charge_within(interval: int) -> str:
+    return f"coalesce(double(sum(CASE WHEN dom_time - t_first < {interval} THEN charge END)), 0D) AS Q{interval}"
 
 
-def _time_to_fraction(percent: int) -> Column:
+def _time_to_fraction(percent: int) -> str:
     """Elapsed time at the first pulse whose running charge exceeds the fraction."""
-    passed = _dbl("q_running") > F.lit(percent / 100.0) * _dbl("q_all")
-    first = F.min_by(
-        F.col("dom_time") - F.col("t_first"), F.when(passed, F.col("i"))
-    )
-    return (
-        F.when(F.max("n") < 2, F.lit(NOT_ENOUGH_PULSES))
-        .otherwise(F.coalesce(first, F.lit(NOT_ENOUGH_PULSES)))
-        .alias(f"T{percent}")
-    )
+    passed = f"double(q_running) > {percent / 100}D * double(q_all)"
+    first = f"min_by(dom_time - t_first, CASE WHEN {passed} THEN i END)"
+    return f"CASE WHEN max(n) < 2 THEN -1D ELSE coalesce({first}, -1D) END AS T{percent}"
 
 
-def _late_features(compat: bool) -> list[Column]:
+def _late_features(compat: bool) -> list[str]:
     """Times of the highest pulse overall and in the second half, first-half charge.
 
     With `compat` the place of the highest late pulse among the late pulses is
     looked up among all pulses; otherwise its own time is returned.
     """
-    best = F.struct(-F.col("charge"), F.col("i"))
-    if compat:
-        late_time = F.max(F.when(F.col("i") == F.col("late_rank"), F.col("dom_time")))
-    else:
-        late_time = F.min_by("dom_time", F.when(_second_half(), best))
-    first_half = F.col("dom_time") < (F.col("t_last") + F.col("t_first")) / 2
+    late_time = "max(CASE WHEN i = late_pick THEN dom_time END)" if compat else "max(late_pick)"
+    first_half = "CASE WHEN dom_time < (t_last + t_first) / 2 THEN charge END"
     return [
-        F.min_by("dom_time", best).alias("t_qmax"),
-        F.when(F.max("n") < 6, F.lit(NOT_ENOUGH_PULSES))
-        .otherwise(F.coalesce(late_time, F.lit(NOT_ENOUGH_PULSES)))
-        .alias("t_qmax_secondhalf"),
-        F.when(F.max("n") < 2, F.lit(NOT_ENOUGH_PULSES))
-        .otherwise(F.coalesce(_dbl(F.sum(F.when(first_half, F.col("charge")))), F.lit(0.0)))
-        .alias("Q_halftime"),
+        "min_by(dom_time, CASE WHEN charge = q_max THEN i END) AS t_qmax",
+        f"CASE WHEN max(n) < 6 THEN -1D ELSE coalesce({late_time}, -1D) END AS t_qmax_secondhalf",
+        f"CASE WHEN max(n) < 2 THEN -1D ELSE coalesce(double(sum({first_half})), 0D) END AS Q_halftime",
         _time_to_fraction(70),
         _time_to_fraction(90),
     ]
 
 
 def _fold(annotated: DataFrame, late: bool, compat: bool, k: int) -> DataFrame:
-    first = F.col("i") == 1
+    """One row per sensor; aggregates of primitives only, so all of it is generated code."""
     passed_on = [
-        F.max(F.when(first, F.col(source))).alias(name)
+        f"max(CASE WHEN i = 1 THEN {source} END) AS {name}"
         for name, source in _PASS_THROUGH.items()
         if source in annotated.columns
     ]
-    return annotated.groupBy(*SENSOR_KEYS).agg(
+    aggregates = [
         *passed_on,
         *_first_k("charge", "q", "double", k),
-        _charge_within(25, "Q25"),
-        _charge_within(75, "Q75"),
-        _dbl(F.max("q_all")).alias("Qtotal"),
+        _charge_within(25),
+        _charge_within(75),
+        "double(max(q_all)) AS Qtotal",
         *_first_k("hlc", "hlc", "int", k),
         *_first_k("dom_time", "t", "double", k),
         _time_to_fraction(10),
         _time_to_fraction(50),
-        F.when(F.max("n") <= 1, F.lit(NOT_ENOUGH_PULSES))
-        .otherwise(F.stddev_pop("dom_time"))
-        .alias("sigmaT"),
-        F.max("n").alias("n_pulses"),
+        "CASE WHEN max(n) <= 1 THEN -1D ELSE stddev_pop(dom_time) END AS sigmaT",
+        "max(n) AS n_pulses",
+        "max(q_all) AS _q",
+        *[f"sum(dom_{axis} * charge) AS _q{axis}" for axis in "xyz"],
         *(_late_features(compat) if late else []),
-    )
+    ]
+    return annotated.groupBy(*SENSOR_KEYS).agg(*map(F.expr, aggregates))
+
 
+_HIDDEN = ("_q", "_qx", "_qy", "_qz")
+
+
+def sensor_features(pulses: DataFrame, *args, **kwargs) -> DataFrame:
+    """Features of each (event, string, dom_number), without event-level columns."""
+    return _sensor_features(pulses, *args, **kwargs).drop(*_HIDDEN)
 
-def sensor_features(
+
+def _sensor_features(
     pulses: DataFrame,
     late: bool = False,
     order_by: Sequence[str] = PULSE_ORDER,
@@ -201,28 +176,36 @@ def sensor_features(
     sample_fraction: float = 0.001,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Features of each (event, string, dom_number), without event-level columns."""
+    def usual_way(rows: DataFrame) -> DataFrame:
+        return _fold(_annotate_in_windows(rows, order_by, late, compat), late, compat, k)
+
     if fits_one_task(pulses, one_task_bytes):
-        return _fold(_annotate_in_windows(pulses, order_by, late), late, compat, k)
+        return usual_way(pulses)
     hot = pin(scan.hot_groups(pulses, SENSOR_KEYS, hot_rows, sample_fraction))
     if hot.isEmpty():
-        return _fold(_annotate_in_windows(pulses, order_by, late), late, compat, k)
+        return usual_way(pulses)
     usual, large = scan.split_by_groups(pulses, hot, SENSOR_KEYS)
-    return _fold(_annotate_in_windows(usual, order_by, late), late, compat, k).unionByName(
-        _fold(_annotate_in_chunks(large, order_by, late, partitions), late, compat, k)
-    )
+    in_chunks = _annotate_in_chunks(large, order_by, late, compat, partitions)
+    return usual_way(usual).unionByName(_fold(in_chunks, late, compat, k))
+
+
+def _centroid(rows: DataFrame, charge: Column, moments: dict[str, Column]) -> DataFrame:
+    total = _dbl(F.sum(charge))
+    means = [
+        F.when(total > 0, F.try_divide(_dbl(F.sum(moment)), total)).otherwise(F.lit(0.0)).alias(f"mean_{axis}")
+        for axis, moment in moments.items()
+    ]
+    return rows.groupBy("event_no").agg(*means)
 
 
 def charge_centroid(pulses: DataFrame) -> DataFrame:
     """Charge-weighted mean position per event; the origin if there is no charge."""
-    total = F.sum("charge")
-    means = []
-    for axis in "xyz":
-        weighted = F.sum(F.col(f"dom_{axis}") * F.col("charge"))
-        means.append(
-            F.when(_dbl(total) > 0, _dbl(weighted) / _dbl(total)).otherwise(F.lit(0.0)).alias(f"mean_{axis}")
-        )
-    return pulses.groupBy("event_no").agg(*means)
+    return _centroid(pulses, F.col("charge"), {a: F.col(f"dom_{a}") * F.col("charge") for a in "xyz"})
+
+
+def _relative(rows: DataFrame) -> DataFrame:
+    kept = [c for c in rows.columns if not c.startswith("mean_")]
+    return rows.selectExpr(*kept, *[f"dom_{a} - mean_{a} AS dom_{a}_rel" for a in "xyz"])
 
 
 def dom_summary(
@@ -233,17 +216,22 @@ def dom_summary(
     q_cut: float = 0.0,
     **scale,
 ) -> DataFrame:
-    """Sensor summary with event-relative positions and, by mode, shape features."""
-    features = sensor_features(pulses, mode is SummaryMode.EQUINOX, order_by, compat, **scale)
-    rows = features.join(charge_centroid(pulses), "event_no", "inner")
-    for axis in "xyz":
-        rows = rows.withColumn(f"dom_{axis}_rel", F.col(f"dom_{axis}") - F.col(f"mean_{axis}"))
-    rows = rows.drop("mean_x", "mean_y", "mean_z")
-    if mode is not SummaryMode.CLASSIC:
-        from pulsegrid.operators.shape import second_round_features
+    """Sensor summary with event-relative positions and, by mode, shape features.
 
-        shape = second_round_features(features, q_cut)
-        rows = rows.join(shape, "event_no", "inner")
+    CLASSIC reads the pulses twice: for the features, and two columns wide for
+    the event means, which shuffle as partial sums only.  The other modes use the
+    sensor rows several times, so these are written once and pulses are read once.
+    """
+    features = _sensor_features(pulses, mode is SummaryMode.EQUINOX, order_by, compat, **scale)
+    if mode is SummaryMode.CLASSIC:
+        centroid = charge_centroid(pulses)
+    else:
+        features = pin(features)
+        centroid = _centroid(features, F.col("_q"), {a: F.col(f"_q{a}") for a in "xyz"})
+    rows = features.drop(*_HIDDEN).join(centroid, "event_no", "inner")
+    rows = _relative(rows)
+    if mode is not SummaryMode.CLASSIC:
+        rows = rows.join(second_round_features(features, q_cut), "event_no", "inner")
     return rows
 
 
@@ -275,14 +263,11 @@ def legacy_summary(pulses: DataFrame, order_by: Sequence[str] = PULSE_ORDER, **s
         (_dbl(F.sum(f"q{axis}")) / _dbl(F.sum("n")) / _dbl(F.max("q"))).alias(f"mean_{axis}") for axis in "xyz"
     ]
     centres = per_sensor.groupBy("event_no", "string").agg(*scaled)
-    joined = rows.select(*out).join(centres, ["event_no", "string"], "inner")
-    for axis in "xyz":
-        joined = joined.withColumn(f"dom_{axis}_rel", F.col(f"dom_{axis}") - F.col(f"mean_{axis}"))
-    return joined.drop("mean_x", "mean_y", "mean_z")
+    return _relative(rows.select(*out).join(centres, ["event_no", "string"], "inner"))
 
 
 def first_hlc_times(pulses: DataFrame, order_by: Sequence[str] = PULSE_ORDER, k: int = 3) -> DataFrame:
     """Times of the first k locally coincident pulses; Spark prunes to k per task before the shuffle."""
-    spec = Window.partitionBy(*SENSOR_KEYS).orderBy(*order_by)
-    ranked = pulses.where(F.col("hlc") == 1).withColumn("i", F.row_number().over(spec)).where(F.col("i") <= k)
-    return ranked.groupBy(*SENSOR_KEYS).agg(*_first_k("dom_time", "t", "double", k))
+    spec = f"PARTITION BY {', '.join(SENSOR_KEYS)} ORDER BY {', '.join(order_by)}"
+    ranked = pulses.where("hlc = 1").selectExpr("*", f"row_number() OVER ({spec}) AS i").where(f"i <= {k}")
+    return ranked.groupBy(*SENSOR_KEYS).agg(*map(F.expr, _first_k("dom_time", "t", "double", k)))

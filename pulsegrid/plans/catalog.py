@@ -25,7 +25,7 @@ def query(fn: Query) -> Query:
 
 
 def _round(names: Iterable[str], digits: int = 6) -> list[Column]:
-    return [F.round(F.col(n).cast("double"), digits).alias(n) for n in names]
+    return [F.expr(f"round(double({n}), {digits}) AS {n}") for n in names]
 
 
 _KEYS = ["event_no", "string", "dom_number"]

@@ -7,7 +7,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STRING_X = (0, 100, 250, -150, -50, 180, -220)
@@ -20,64 +20,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values: tuple[int, ...], index: str) -> Column:
-    return F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col(index))
+def _pick(values: tuple[int, ...]) -> str:
+    return f"element_at(array({', '.join(f'{v}D' for v in values)}), string)"
 
 
 def with_sensor_constants(df: DataFrame) -> DataFrame:
-    string, dom = F.col("string"), F.col("dom_number")
-    return (
-        df.withColumn("dom_x", _pick(STRING_X, "string"))
-        .withColumn("dom_y", _pick(STRING_Y, "string"))
-        .withColumn("dom_z", (F.lit(500) - F.lit(17) * dom - string).cast("double"))
-        .withColumn("pmt_area", F.lit(0.0444))
-        .withColumn("rde", F.when(string % 2 == 1, F.lit(1.35)).otherwise(F.lit(1.0)))
-        .withColumn("is_saturated_dom", ((dom == 3) & (string == 4)).cast("int"))
-        .withColumn("is_bad_dom", ((dom == 1) & (string == 2)).cast("int"))
-        .withColumn("is_bright_dom", ((dom == 2) & (string == 5)).cast("int"))
-    )
-
-
-def _kind_as_string(column: str = "event_type") -> Column:
-    kind = F.col(column)
-    return (
-        F.when(kind == "click", 1)
-        .when(kind == "view", 2)
-        .when(kind == "purchase", 3)
-        .when(kind == "error", 4)
-        .otherwise(5)
+    return df.selectExpr(
+        "*",
+        f"{_pick(STRING_X)} AS dom_x",
+        f"{_pick(STRING_Y)} AS dom_y",
+        "double(500 - 17 * dom_number - string) AS dom_z",
+        "0.0444D AS pmt_area",
+        "IF(string % 2 = 1, 1.35D, 1.0D) AS rde",
+        "int(dom_number = 3 AND string = 4) AS is_saturated_dom",
+        "int(dom_number = 1 AND string = 2) AS is_bad_dom",
+        "int(dom_number = 2 AND string = 5) AS is_bright_dom",
     )
 
 
 def pulses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
     return with_sensor_constants(
-        table(spark, sf_dir, "events").select(
-            F.col("event_id").alias("pulse_id"),
-            F.col("user_id").cast("int").alias("event_no"),
-            _kind_as_string().cast("int").alias("string"),
-            (F.col("event_id") % 3 + 1).cast("int").alias("dom_number"),
-            ((micros - EPOCH_2024_MICROS) / F.lit(3600000000.0)).alias("dom_time"),
-            F.col("value").cast("decimal(12,2)").alias("charge"),
-            (F.col("event_id") % 2).cast("int").alias("hlc"),
+        table(spark, sf_dir, "events").selectExpr(
+            "event_id AS pulse_id",
+            "int(user_id) AS event_no",
+            """CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3
+               WHEN 'error' THEN 4 ELSE 5 END AS string""",
+            "int(event_id % 3 + 1) AS dom_number",
+            f"(unix_micros(timestamp(ts)) - {EPOCH_2024_MICROS}) / 3600000000.0D AS dom_time",
+            "CAST(value AS DECIMAL(12, 2)) AS charge",
+            "int(event_id % 2) AS hlc",
         )
     )
 
 
 def hits(spark: SparkSession, sf_dir: str, event: str = "l_orderkey") -> DataFrame:
     return with_sensor_constants(
-        table(spark, sf_dir, "lineitem").select(
-            F.col(event).cast("int").alias("event_no"),
-            F.col("l_linenumber").alias("string"),
-            (F.col("l_partkey") % 5 + 1).cast("int").alias("dom_number"),
-            F.datediff(F.col("l_shipdate"), F.lit("1995-01-01").cast("date")).cast("double").alias("dom_time"),
-            F.col("l_quantity").cast("decimal(12,2)").alias("charge"),
-            (F.col("l_quantity").cast("int") % 2).alias("hlc"),
-            F.col("l_partkey").alias("part_key"),
-            F.col("l_orderkey").alias("order_key"),
-            F.col("l_extendedprice").alias("price"),
-            F.col("l_discount").alias("discount"),
-            F.col("l_tax").alias("tax"),
+        table(spark, sf_dir, "lineitem").selectExpr(
+            f"int({event}) AS event_no",
+            "l_linenumber AS string",
+            "int(l_partkey % 5 + 1) AS dom_number",
+            "double(datediff(l_shipdate, DATE '1995-01-01')) AS dom_time",
+            "CAST(l_quantity AS DECIMAL(12, 2)) AS charge",
+            "int(l_quantity) % 2 AS hlc",
+            "l_partkey AS part_key",
+            "l_orderkey AS order_key",
+            "l_extendedprice AS price",
+            "l_discount AS discount",
+            "l_tax AS tax",
         )
     )
 

@@ -45,7 +45,9 @@ def inside_outline(x: Column, y: Column) -> Column:
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value) with `value` computed once per row, however often `use` names it.
 
-    Keeps generated code small where Catalyst would copy a long expression.
+    Catalyst copies the definition of a column into every place that names it
+    when it moves a filter below a projection.  The lambda keeps such copies
+    small; written out, they exceed the size limit of generated methods.
     """
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -99,22 +101,19 @@ def line_span(pos: tuple[Column, Column, Column], direction: tuple[Column, Colum
     return F.aggregate(F.array(*planes), start, clip, checked)
 
 
-def _length(direction: tuple[Column, Column, Column]) -> Column:
-    return F.sqrt(direction[0] ** 2 + direction[1] ** 2 + direction[2] ** 2)
-
-
 def segment_after_vertex(span: Column, direction: tuple[Column, Column, Column]) -> Column:
     """Path length inside the prism from the vertex on; 0 without one."""
 
     def steps(s: Column) -> Column:
         return F.when(s["t_in"] >= 0, s["t_out"] - s["t_in"]).when(s["t_out"] > 0, s["t_out"]).otherwise(F.lit(0.0))
 
-    return F.coalesce(bound(span, steps) * _length(direction), F.lit(0.0))
+    length = F.sqrt(direction[0] * direction[0] + direction[1] * direction[1] + direction[2] * direction[2])
+    return F.coalesce(bound(span, steps) * length, F.lit(0.0))
 
 
 def vertex_place(span: Column) -> Column:
     """0: vertex before the prism, 1: inside it, 2: behind it; null if the line misses."""
-    return bound(span, lambda s: F.when(s["t_in"] > 0, 0).when(s["t_out"] >= 0, 1).when(s.isNotNull(), 2))
+    return bound(span, lambda s: F.when(s["t_in"] > 0, 0).when(s["t_out"] >= 0, 1).when(s["t_out"] < 0, 2))
 
 
 def opening_angle(first: tuple[Column, Column, Column], second: tuple[Column, Column, Column]) -> Column:

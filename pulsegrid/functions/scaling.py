@@ -22,8 +22,12 @@ ARRIVALS = ("t1", "t2", "t3")
 SPREADS = ("T10", "T50", "sigmaT")
 
 
-def adjusted_charge(charge: Column) -> Column:
+def adjusted_charge_sql(charge: str) -> str:
     """log10 of the charge, floored, minus two."""
+    return f"(log10(greatest({charge}, {CHARGE_FLOOR}D)) - {CHARGE_SHIFT}D)"
+
+
+def adjusted_charge(charge: Column) -> Column:
     return F.log10(F.greatest(charge, F.lit(CHARGE_FLOOR))) - CHARGE_SHIFT
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.operators.scan import number_rows
+from pulsegrid.operators.scan import number_by_key, number_rows
 from pulsegrid.operators.truth import shard_offsets
 
 ENERGY_CUTOFF = 1e5
@@ -18,21 +18,15 @@ ORDER = ("part_no", "event_no")
 
 def interleave(low: DataFrame, high: DataFrame, order_by: Sequence[str] = ORDER, **scale) -> DataFrame:
     """low[0], high[0], low[1], high[1], ... as far as both reach; adds 0-based `position`."""
-    keys = list(order_by)
-    sides = []
-    for rank, side in enumerate((low, high)):
-        # Only the keys are sorted and numbered; the wide rows join afterwards.
-        place = number_rows(side.select(*keys), keys, name="_n", **scale)
-        sides.append(place.withColumn("_side", F.lit(rank)))
-    shorter = F.least(*[s.agg(F.count(F.lit(1))).scalar() for s in sides])
-    places = sides[0].unionByName(sides[1]).where(F.col("_n") <= shorter)
-    rows = low.withColumn("_side", F.lit(0)).unionByName(high.withColumn("_side", F.lit(1)))
-    position = (F.col("_n") - 1) * 2 + F.col("_side")
-    return (
-        rows.join(places, [*keys, "_side"], "inner")
-        .withColumn("position", position.cast("long"))
-        .select(*low.columns, "position")
-    )
+    shorter = F.least(*[side.agg(F.count(F.lit(1))).scalar() for side in (low, high)])
+    sides = [
+        number_by_key(side, order_by, name="_n", **scale)
+        .where(F.col("_n") <= shorter)
+        .withColumn("position", ((F.col("_n") - 1) * 2 + rank).cast("long"))
+        .drop("_n")
+        for rank, side in enumerate((low, high))
+    ]
+    return sides[0].unionByName(sides[1])
 
 
 def blend_truth(

@@ -302,17 +302,115 @@ def shifted_means(x, y, w, starts, sizes, bandwidth=150.0, rounds=300):
     return out
 
 
-def cluster_scores(columns, starts, sizes):
+def cluster_scores(columns, starts, sizes, mean_shift=False):
     """Separation scores of the charge-weighted string positions of each event."""
     x, y = columns["x"].astype(float), columns["y"].astype(float)
     w = repeat_counts(columns["w"].astype(float), starts, sizes)
     scale = _spread(x, y, starts, sizes) + 1e-7
     kx, ky = two_means(x, y, w, starts, sizes)
     gx, gy = two_gaussians(x, y, w, starts, sizes, kx, ky)
-    enough = sizes >= 2
-    none = np.full(len(sizes), np.nan)
+    gaps = {
+        "gmm_score": np.hypot(gx[:, 0] - gx[:, 1], gy[:, 0] - gy[:, 1]),
+        "kmeans_score": np.hypot(kx[:, 0] - kx[:, 1], ky[:, 0] - ky[:, 1]),
+    }
+    if mean_shift:
+        gaps["meanshift_score"] = shifted_means(x, y, w, starts, sizes)
+    return {name: np.where(sizes >= 2, gap / scale, np.nan) for name, gap in gaps.items()}
+
+
+def _scatter(values: np.ndarray, groups: np.ndarray, count: int) -> np.ndarray:
+    out = np.full(count, np.nan)
+    out[groups] = values
+    return out
+
+
+def stretch_features(stretch, starts, sizes):
+    """Mean, maximum and half the central range of the values of each group."""
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    ordered = stretch[np.lexsort((stretch, group))]
+
+    def quantile(share):
+        at = share * (sizes - 1)
+        low = np.floor(at).astype(np.int64)
+        a, b = ordered[starts + low], ordered[starts + np.minimum(low + 1, sizes - 1)]
+        return a + (b - a) * (at - low)
+
     return {
-        "gmm_score": np.where(enough, np.hypot(gx[:, 0] - gx[:, 1], gy[:, 0] - gy[:, 1]) / scale, none),
-        "kmeans_score": np.where(enough, np.hypot(kx[:, 0] - kx[:, 1], ky[:, 0] - ky[:, 1]) / scale, none),
-        "meanshift_score": np.where(enough, shifted_means(x, y, w, starts, sizes) / scale, none),
+        "stretch_mean": group_sums(stretch, starts) / sizes,
+        "stretch_max": ordered[starts + sizes - 1],
+        "stretch_hiqr": (quantile(0.843) - quantile(0.157)) / 2,
     }
+
+
+def spread_features(x, y, w, starts, sizes, bins=10):
+    """Outer charge share and charge-weighted mean distance of each group; NaN below three strings."""
+    total = group_sums(w, starts)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cx, cy = group_sums(x * w, starts) / total, group_sums(y * w, starts) / total
+        d = np.hypot(x - np.repeat(cx, sizes), y - np.repeat(cy, sizes))
+        top = np.maximum.reduceat(d, starts)
+        place = np.minimum(np.floor(d * bins / np.repeat(top, sizes)), bins - 1)
+        outer = group_sums(np.where(place >= bins // 2, w, 0.0), starts) / (total + 1e-8)
+        mean = group_sums(d * w, starts) / total
+    enough = (sizes >= 3) & (total != 0)
+    return {
+        "outer_mass_fraction": np.where(enough & (top > 0), outer, np.nan),
+        "normalised_weighted_distance": np.where(enough, mean, np.nan),
+    }
+
+
+def event_shape(columns, starts, sizes, outline_of_cut=False, clusters=True):
+    """All shape features of each event from rows per (string, x, y).
+
+    Columns: string (-1 = none), x, y; of the sensors above the charge cut n
+    (count), w (charge) and z_low, z_high.  The outline uses all rows, or only
+    those with sensors above the cut.
+    """
+    count = len(sizes)
+    group = np.repeat(np.arange(count), sizes)
+    above = columns["n"] > 0
+
+    points = np.flatnonzero(above) if outline_of_cut else np.arange(len(group))
+    order = points[np.lexsort((columns["y"][points], columns["x"][points], group[points]))]
+    px, py, pg = columns["x"][order], columns["y"][order], group[order]
+    fresh = np.concatenate([[True], (pg[1:] != pg[:-1]) | (px[1:] != px[:-1]) | (py[1:] != py[:-1])])[: len(pg)]
+    px, py, pg = px[fresh], py[fresh], pg[fresh]
+    out = {}
+    if len(pg):
+        at, held = _runs(pg)
+        for name, values in boundary_features({"x": px, "y": py}, at, held).items():
+            out[name] = _scatter(values.astype(float), pg[at], count)
+    else:
+        out |= {name: np.full(count, np.nan) for name in BOUNDARY}
+
+    rows = np.flatnonzero(above & (columns["string"] >= 0))
+    names = [*STRETCH, *SPREAD, *(CLUSTERS if clusters else [])]
+    if not len(rows):
+        return out | {name: np.full(count, np.nan) for name in names}
+    # Rows of one string are joined first: it may have more than one position.
+    rows = rows[np.lexsort((columns["string"][rows], group[rows]))]
+    key = group[rows] * np.int64(1 << 32) + columns["string"][rows].astype(np.int64)
+    at, _ = _runs(key)
+    n, w = (np.add.reduceat(columns[c][rows].astype(float), at) for c in ("n", "w"))
+    sx, sy = (np.add.reduceat(columns[c][rows] * columns["n"][rows], at) / n for c in ("x", "y"))
+    tall = np.maximum.reduceat(columns["z_high"][rows], at) - np.minimum.reduceat(columns["z_low"][rows], at)
+    sg = group[rows][at]
+    first, held = _runs(sg)
+    found = stretch_features(tall, first, held) | spread_features(sx, sy, w, first, held)
+    if clusters:
+        place = np.lexsort((sy, sx, sg))
+        found |= cluster_scores({"x": sx[place], "y": sy[place], "w": w[place]}, first, held)
+    return out | {name: _scatter(values, sg[first], count) for name, values in found.items()}
+
+
+def _runs(keys):
+    at = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1]).astype(np.int64)
+    return at, np.diff(np.append(at, len(keys)))
+
+
+BOUNDARY = (
+    "n_points", "n_border", "extent", "end1_x", "end1_y", "end2_x", "end2_y", "major", "minor", "axis_x", "axis_y", "area",
+)
+STRETCH = ("stretch_mean", "stretch_max", "stretch_hiqr")
+SPREAD = ("outer_mass_fraction", "normalised_weighted_distance")
+CLUSTERS = ("gmm_score", "kmeans_score")

@@ -97,6 +97,17 @@ def number_rows(
     )
 
 
+def number_by_key(
+    df: DataFrame, order_by: Sequence[str], within: Sequence[str] = (), name: str = "row_no", one_task_bytes: int | None = None, **scale
+) -> DataFrame:
+    """`number_rows` for wide tables whose (within, order_by) is a key: only the key is sorted."""
+    if fits_one_task(df, one_task_bytes):
+        return number_rows(df, order_by, within, name, one_task_bytes)
+    keys = [*within, *order_by]
+    numbered = number_rows(df.select(*keys), order_by, within, name, one_task_bytes, **scale)
+    return df.join(numbered, keys, "inner").select(*df.columns, name)
+
+
 def running_totals(
     df: DataFrame,
     order_by: Sequence[str | Column],

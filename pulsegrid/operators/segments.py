@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from pulsegrid.runtime import shuffle_width
+
 Arrays = dict[str, np.ndarray]
 # kernel(columns, first row of each group, rows per group) -> columns per group
 Kernel = Callable[[Arrays, np.ndarray, np.ndarray], Arrays]
@@ -86,8 +88,9 @@ def map_groups(
             )
 
     kind = df.schema[key].dataType.simpleString()
+    # A fixed number of tasks: merging small ones by size would leave array work to few cores.
     return (
-        df.repartition(key)
+        df.repartition(shuffle_width(df.sparkSession), key)
         .sortWithinPartitions(key, *sort)
         .mapInArrow(run, f"{key} {kind}, {schema}")
     )

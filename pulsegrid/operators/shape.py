@@ -7,13 +7,15 @@ of the detector), and outlines are computed on the reduced rows.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.geometry import OUTLINE_AREA
-from pulsegrid.functions.scaling import adjusted_charge, repeat_weight
+from pulsegrid.functions.scaling import adjusted_charge, adjusted_charge_sql, repeat_weight
 from pulsegrid.operators import kernels
 from pulsegrid.operators.segments import borders, map_groups, to_arrays
 from pulsegrid.runtime import fits_one_task
@@ -184,14 +186,13 @@ def charge_spread(strings: DataFrame, bins: int = 10) -> DataFrame:
     )
 
 
-def cluster_scores(strings: DataFrame) -> DataFrame:
+def cluster_scores(strings: DataFrame, mean_shift: bool = True) -> DataFrame:
     """Separation scores of two-component mixtures and mean shift; null with one string."""
-    schema = "gmm_score double, kmeans_score double, meanshift_score double"
+    names = ["gmm_score", "kmeans_score", *(["meanshift_score"] if mean_shift else [])]
     rows = strings.select("event_no", "string", "x", "y", "w")
-    return _nan_to_null(
-        map_groups(rows, kernels.cluster_scores, schema, sort=("x", "y", "string")),
-        ["gmm_score", "kmeans_score", "meanshift_score"],
-    )
+    kernel = partial(kernels.cluster_scores, mean_shift=mean_shift)
+    scored = map_groups(rows, kernel, ", ".join(f"{n} double" for n in names), sort=("x", "y", "string"))
+    return _nan_to_null(scored, names)
 
 
 def repeated_points(strings: DataFrame) -> DataFrame:
@@ -248,8 +249,24 @@ def adjusted(doms: DataFrame, q_cut: float | None = -1.0) -> DataFrame:
     return rows if q_cut is None else rows.where(F.col("Qtotal") > q_cut)
 
 
-def _points(doms: DataFrame) -> DataFrame:
-    return doms.select("event_no", F.col("dom_x").alias("x"), F.col("dom_y").alias("y"))
+def event_shapes(doms: DataFrame, q_cut: float | None, outline_of_cut: bool = False, clusters: bool = True) -> DataFrame:
+    """Raw shape columns per event in one pass over the sensor rows.
+
+    Sensors are folded into rows per (event, string, x, y) before the shuffle;
+    one array kernel then sees all strings of an event.
+    """
+    cut = "true" if q_cut is None else f"{adjusted_charge_sql('Qtotal')} > {float(q_cut)}D"
+    strings = doms.groupBy(
+        "event_no", F.expr("coalesce(string, -1) AS string"), F.expr("double(dom_x) AS x"), F.expr("double(dom_y) AS y")
+    ).agg(
+        F.expr(f"count_if({cut}) AS n"),
+        F.expr(f"coalesce(sum(CASE WHEN {cut} THEN {adjusted_charge_sql('Qtotal')} END), 0D) AS w"),
+        F.expr(f"double(min(CASE WHEN {cut} THEN dom_z END)) AS z_low"),
+        F.expr(f"double(max(CASE WHEN {cut} THEN dom_z END)) AS z_high"),
+    )
+    names = [*kernels.BOUNDARY, *kernels.STRETCH, *kernels.SPREAD, *(kernels.CLUSTERS if clusters else ())]
+    kernel = partial(kernels.event_shape, outline_of_cut=outline_of_cut, clusters=clusters)
+    return _nan_to_null(map_groups(strings, kernel, ", ".join(f"{n} double" for n in names)), names)
 
 
 def shape_features(doms: DataFrame, q_cut: float | None = -1.0) -> DataFrame:
@@ -257,16 +274,8 @@ def shape_features(doms: DataFrame, q_cut: float | None = -1.0) -> DataFrame:
 
     Undefined values are null.
     """
-    cut = adjusted(doms, q_cut)
-    strings = string_table(cut)
-    rows = (
-        boundary(_points(doms))
-        .join(z_stretch(cut), "event_no", "left")
-        .join(cluster_scores(strings), "event_no", "left")
-        .join(charge_spread(strings), "event_no", "left")
-    )
     extent, stretch = F.col("extent"), F.col("stretch_max")
-    return rows.select(
+    return event_shapes(doms, q_cut).select(
         "event_no",
         extent.alias("extent_max"),
         "stretch_max",
@@ -290,8 +299,7 @@ def shape_features(doms: DataFrame, q_cut: float | None = -1.0) -> DataFrame:
 
 def compact_shape_features(doms: DataFrame, q_cut: float | None = -1.0, power: int = 6) -> DataFrame:
     """Nine features per event from sensors above the cut; null without three outline points."""
-    cut = adjusted(doms, q_cut)
-    rows = boundary(_points(cut)).join(z_stretch(cut), "event_no", "left")
+    rows = event_shapes(doms, q_cut, outline_of_cut=True, clusters=False)
     extent, stretch = F.col("extent"), F.col("stretch_max")
     values = {
         "hypotenuse": F.sqrt(extent * extent + stretch * stretch),
@@ -303,9 +311,7 @@ def compact_shape_features(doms: DataFrame, q_cut: float | None = -1.0, power: i
         **composite_cosines(power),
     }
     enough = F.col("n_border") >= 3
-    chosen = rows.select("event_no", *[F.when(enough, v).alias(k) for k, v in values.items()])
-    every = doms.select("event_no").distinct()
-    return every.join(chosen, "event_no", "left")
+    return rows.select("event_no", *[F.when(enough, v).alias(k) for k, v in values.items()])
 
 
 def second_round_features(features: DataFrame, q_cut: float = 0.0) -> DataFrame:

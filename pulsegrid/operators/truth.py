@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import geometry, ids
-from pulsegrid.operators.scan import number_rows, running_totals
+from pulsegrid.operators.scan import number_by_key, number_rows, running_totals
 from pulsegrid.operators.shape import max_pair_distance
 from pulsegrid.schema import DERIVED_TRUTH, SIDE_TABLES, TRUTH_COLUMNS, cast_to, filled
 
-# Label of an event from columns of its own row.
-TruthFeature = Callable[[], Column]
+# Adds a label computed from other columns of the same row.
+TruthFeature = Callable[[DataFrame], DataFrame]
 # Label of an event from its sensor rows: DataFrame -> DataFrame keyed by event_no.
 SummaryFeature = Callable[[DataFrame], DataFrame]
 _DAUGHTER = "_GNHighestEDaughter"
@@ -24,12 +24,21 @@ def count_doms(pulses: DataFrame) -> DataFrame:
     return pulses.groupBy("event_no").agg(F.count_distinct("string", "dom_number").cast("int").alias("N_doms"))
 
 
+def _shard(events_per_shard: int) -> Column:
+    return (F.floor((F.col("_n") - 1) / events_per_shard) + 1).cast("int").alias("shard_no")
+
+
 def assign_shards(events: DataFrame, events_per_shard: int, within: Sequence[str] = ("part_no",), **scale) -> DataFrame:
     """Distinct events of each part, numbered in order and cut into shards from 1 on."""
     distinct = events.select(*within, "event_no").distinct()
     numbered = number_rows(distinct, ["event_no"], within, "_n", **scale)
-    shard = (F.floor((F.col("_n") - 1) / events_per_shard) + 1).cast("int")
-    return numbered.select(*within, "event_no", shard.alias("shard_no"))
+    return numbered.select(*within, "event_no", _shard(events_per_shard))
+
+
+def with_shards(truth: DataFrame, events_per_shard: int, within: Sequence[str] = ("part_no",), **scale) -> DataFrame:
+    """Add shard_no to a table with one row per event."""
+    numbered = number_by_key(truth, ["event_no"], within, "_n", **scale)
+    return numbered.select(*truth.columns, _shard(events_per_shard))
 
 
 def shard_offsets(
@@ -57,31 +66,26 @@ def attach_side(truth: DataFrame, side: DataFrame | None, columns: Mapping[str,
     else:
         present = set(side.columns) & set(columns)
         joined = truth.join(side.select("event_no", *sorted(present)), "event_no", "left")
-    out = []
-    for name, (kind, default) in columns.items():
-        source = F.col(name) if name in present else F.lit(None)
-        out.append(filled(source, kind, default).alias(name))
-    return joined.select(*truth.columns, *out)
+    values = [filled(n if n in present else "NULL", kind, default, n) for n, (kind, default) in columns.items()]
+    return joined.selectExpr(*[f"`{c}`" for c in truth.columns], *values)
 
 
-def _particle(prefix: str) -> tuple[Column, Column, Column]:
-    return tuple(F.col(f"{prefix}_{axis}{_DAUGHTER}").cast("double") for axis in "xyz")
+def _daughter(kind: str) -> tuple[Column, Column, Column]:
+    return tuple(F.expr(f"double({kind}_{axis}{_DAUGHTER})") for axis in "xyz")
 
 
-def is_within_detector() -> Column:
-    return geometry.within_detector(*_particle("pos"))
+def is_within_detector(truth: DataFrame) -> DataFrame:
+    return truth.withColumn("isWithinIceCube", geometry.within_detector(*_daughter("pos")))
 
 
-def segment_in_detector() -> Column:
-    direction = _particle("dir")
-    return geometry.segment_after_vertex(geometry.line_span(_particle("pos"), direction), direction)
+def segment_in_detector(truth: DataFrame) -> DataFrame:
+    direction = _daughter("dir")
+    span = geometry.line_span(_daughter("pos"), direction)
+    return truth.withColumn("post_vertex_intraIceCube_segment", geometry.segment_after_vertex(span, direction))
 
 
-TRUTH_FEATURES: dict[str, TruthFeature] = {
-    "isWithinIceCube": is_within_detector,
-    "post_vertex_intraIceCube_segment": segment_in_detector,
-}
-SUMMARY_FEATURES: dict[str, SummaryFeature] = {"max_interPMT_distance": max_pair_distance}
+TRUTH_FEATURES: tuple[TruthFeature, ...] = (is_within_detector, segment_in_detector)
+SUMMARY_FEATURES: tuple[SummaryFeature, ...] = (max_pair_distance,)
 
 
 def only_listed(table: DataFrame, receipt: DataFrame) -> DataFrame:
@@ -98,8 +102,8 @@ def build_truth(
     source: str,
     events_per_shard: int,
     part_no: str = "part_no",
-    truth_features: Mapping[str, TruthFeature] = TRUTH_FEATURES,
-    summary_features: Mapping[str, SummaryFeature] = SUMMARY_FEATURES,
+    truth_features: Sequence[TruthFeature] = TRUTH_FEATURES,
+    summary_features: Sequence[SummaryFeature] = SUMMARY_FEATURES,
 ) -> DataFrame:
     """The complete truth table, declared types and order.
 
@@ -109,17 +113,17 @@ def build_truth(
     base = truth.withColumnRenamed(part_no, "part_no") if part_no != "part_no" else truth
     base = base.drop("shard_no", "N_doms", "offset", "subdirectory_no")
     counted = base.join(count_doms(pulses), "event_no", "inner")
-    placed = counted.join(assign_shards(counted, events_per_shard), ["part_no", "event_no"], "inner")
-    rows = shard_offsets(placed).withColumn("subdirectory_no", F.lit(subdirectory_no))
-    for name, kind in TRUTH_COLUMNS.items():
-        if name not in rows.columns:
-            rows = rows.withColumn(name, F.lit(None).cast(kind))
-    rows = rows.select(*TRUTH_COLUMNS)
+    rows = shard_offsets(with_shards(counted, events_per_shard)).withColumn("subdirectory_no", F.lit(subdirectory_no))
+    present = set(rows.columns)
+    rows = rows.selectExpr(
+        *[f"`{name}`" if name in present else f"CAST(NULL AS {kind}) AS `{name}`" for name, kind in TRUTH_COLUMNS.items()]
+    )
     for name, columns in SIDE_TABLES.items():
         rows = attach_side(rows, sides.get(name), columns)
-    for feature in summary_features.values():
+    for feature in summary_features:
         rows = rows.join(feature(doms), "event_no", "inner")
-    rows = rows.select("*", *[make().alias(name) for name, make in truth_features.items()])
+    for feature in truth_features:
+        rows = feature(rows)
     return with_enhanced_id(_typed(rows), subdirectory_no, source)
 
 
@@ -135,7 +139,7 @@ def with_enhanced_id(rows: DataFrame, subdirectory_no: int | str, source: str, p
     """Replace event_no by (enhanced event_no, original_event_no) at the front."""
     tag = ids.dataset_tag(F.lit(str(subdirectory_no)), source)
     enhanced = ids.enhanced_event_no(ids.source_tag(source), tag, F.col(part_no), F.col("event_no"))
-    rest = [F.col(c) for c in rows.columns if c != "event_no"]
+    rest = [c for c in rows.columns if c != "event_no"]
     return rows.select(enhanced.alias("event_no"), F.col("event_no").alias("original_event_no"), *rest)
 
 

@@ -178,7 +178,10 @@ def truth_prism_segment(spark, sf_dir):
     pos, direction = _daughter_vectors()
     span = geo.line_span(pos, direction)
     rows = fx.daughter(spark, sf_dir).select(
-        "event_no", span["t_in"].alias("t_in"), span["t_out"].alias("t_out"), geo.vertex_place(span).alias("vertex_place"),
+        "event_no",
+        geo.bound(span, lambda s: s["t_in"]).alias("t_in"),
+        geo.bound(span, lambda s: s["t_out"]).alias("t_out"),
+        geo.vertex_place(span).alias("vertex_place"),
         geo.segment_after_vertex(span, direction).alias("segment"),
     )
     return rows.select("event_no", "vertex_place", *_round(["t_in", "t_out", "segment"], 5))

@@ -153,7 +153,9 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pulsegrid.schema import SIDE_TABLES
 
     rows = attach_side(truth(spark, sf_dir), daughter(spark, sf_dir), SIDE_TABLES["daughter"])
-    return rows.select("*", *[make().alias(name) for name, make in TRUTH_FEATURES.items()])
+    for feature in TRUTH_FEATURES:
+        rows = feature(rows)
+    return rows
 
 
 def placed(spark: SparkSession, sf_dir: str, events_per_shard: int = 500) -> DataFrame:
@@ -161,8 +163,7 @@ def placed(spark: SparkSession, sf_dir: str, events_per_shard: int = 500) -> Dat
     from pulsegrid.operators import truth as labels
 
     counted = truth(spark, sf_dir).join(labels.count_doms(hits(spark, sf_dir)), "event_no", "inner")
-    shards = labels.assign_shards(counted, events_per_shard)
-    return labels.shard_offsets(counted.join(shards, ["part_no", "event_no"], "inner"))
+    return labels.shard_offsets(labels.with_shards(counted, events_per_shard))
 
 
 def displaced(spark: SparkSession, sf_dir: str) -> DataFrame:

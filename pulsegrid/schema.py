@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from enum import Enum
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 FIRST_K = 5
@@ -237,15 +236,14 @@ def summary_columns(mode: SummaryMode) -> list[tuple[str, str]]:
 
 def cast_to(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
     """Project to declared names and types; done once, at the sink."""
-    return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in columns])
+    return df.selectExpr(*[f"CAST(`{name}` AS {kind}) AS `{name}`" for name, kind in columns])
 
 
-def filled(column: Column, kind: str, default: float) -> Column:
-    """Replace null and NaN by `default`, in the declared type."""
+def filled(source: str, kind: str, default: float, name: str) -> str:
+    """SQL replacing null and NaN by `default`, in the declared type."""
     if kind in ("float", "double"):
-        value = column.cast("double")
-        return F.nanvl(F.coalesce(value, F.lit(default)), F.lit(default)).cast(kind)
-    return F.coalesce(column.cast(kind), F.lit(int(default)).cast(kind))
+        return f"CAST(nanvl(coalesce(double({source}), {default}D), {default}D) AS {kind}) AS `{name}`"
+    return f"coalesce(CAST({source} AS {kind}), {int(default)}) AS `{name}`"
 
 
 GEOMETRY = T.StructType(

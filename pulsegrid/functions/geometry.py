@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,34 +29,30 @@ def _edges(corners):
     return list(zip(corners, corners[1:] + corners[:1]))
 
 
-def inside_outline(x: Column, y: Column) -> Column:
+def _inside_outline(x: str, y: str) -> str:
     """Even-odd rule: an odd number of outline edges lies to the right of the point."""
     crossings = []
     for (ax, ay), (bx, by) in _edges(OUTLINE_XY):
-        spans = (F.lit(ay) > y) != (F.lit(by) > y)
-        at_x = F.lit((bx - ax) / (by - ay)) * (y - F.lit(ay)) + F.lit(ax)
-        crossings.append((spans & (x < at_x)).cast("int"))
-    return reduce(lambda a, b: a + b, crossings) % 2 == 1
+        slope = (bx - ax) / (by - ay)
+        spans = f"({ay}D > {y}) <> ({by}D > {y})"
+        crossings.append(f"int({spans} AND {x} < {slope!r}D * ({y} - {ay}D) + {ax}D)")
+    return f"({' + '.join(crossings)}) % 2 = 1"
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value) with `value` computed once per row, however often `use` names it.
+def bound(name: str, value: str, use: str) -> str:
+    """SQL of `use`, in which `name` stands for `value`, computed once per row.
 
     Catalyst copies the definition of a column into every place that names it
     when it moves a filter below a projection.  The lambda keeps such copies
     small; written out, they exceed the size limit of generated methods.
     """
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    return f"get(transform(array({value}), {name} -> {use}), 0)"
 
 
-def within_detector(x: Column, y: Column, z: Column) -> Column:
+def within_detector(x: str, y: str, z: str) -> Column:
     """1 if the point is inside outline and vertical range, else 0; 0 for nulls."""
-
-    def held(p: Column) -> Column:
-        return inside_outline(p["x"], p["y"]) & p["z"].between(*Z_RANGE)
-
-    point = F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
-    return F.coalesce(bound(point, held).cast("int"), F.lit(0))
+    held = f"int({_inside_outline('p.x', 'p.y')} AND p.z BETWEEN {Z_RANGE[0]}D AND {Z_RANGE[1]}D)"
+    return F.expr(f"coalesce({bound('p', f'named_struct(\'x\', {x}, \'y\', {y}, \'z\', {z})', held)}, 0)")
 
 
 def prism_planes() -> list[tuple[float, float, float, float]]:
@@ -72,48 +65,41 @@ def prism_planes() -> list[tuple[float, float, float, float]]:
     return planes
 
 
-def line_span(pos: tuple[Column, Column, Column], direction: tuple[Column, Column, Column]) -> Column:
-    """struct(t_in, t_out): where the line pos + t * direction runs through the prism.
+def _dot(factors: tuple[float, ...], names: tuple[str, str, str]) -> str:
+    return "(" + " + ".join(f"{f!r}D * {n}" for f, n in zip(factors, names) if f) + ")"
+
+
+def line_span(pos: tuple[str, str, str], direction: tuple[str, str, str]) -> str:
+    """SQL of struct(t_in, t_out): where the line pos + t * direction runs through the prism.
 
     Clipping against the eight bounding planes of a convex body; null if the
     line misses it or has no direction.
     """
-    planes = []
-    for nx, ny, nz, offset in prism_planes():
-        speed = direction[0] * nx + direction[1] * ny + direction[2] * nz
-        room = F.lit(offset) - (pos[0] * nx + pos[1] * ny + pos[2] * nz)
-        planes.append(F.struct(speed.alias("speed"), room.alias("room")))
-
-    def clip(span: Column, plane: Column) -> Column:
-        t = F.try_divide(plane["room"], plane["speed"])
-        return F.struct(
-            F.when(plane["speed"] < -PARALLEL, F.greatest(span["t_in"], t)).otherwise(span["t_in"]).alias("t_in"),
-            F.when(plane["speed"] > PARALLEL, F.least(span["t_out"], t)).otherwise(span["t_out"]).alias("t_out"),
-            (span["missed"] | (F.abs(plane["speed"]) <= PARALLEL) & (plane["room"] < 0)).alias("missed"),
-        )
-
-    def checked(span: Column) -> Column:
-        crossed = ~span["missed"] & (span["t_in"] < span["t_out"])
-        return F.when(crossed, F.struct(span["t_in"].alias("t_in"), span["t_out"].alias("t_out")))
-
-    none = F.lit(None).cast("double")
-    start = F.struct(none.alias("t_in"), none.alias("t_out"), F.lit(False).alias("missed"))
-    return F.aggregate(F.array(*planes), start, clip, checked)
-
-
-def segment_after_vertex(span: Column, direction: tuple[Column, Column, Column]) -> Column:
+    planes = [
+        f"named_struct('speed', {_dot(normal, direction)}, 'room', {offset!r}D - {_dot(normal, pos)})"
+        for *normal, offset in prism_planes()
+    ]
+    start = "named_struct('t_in', double(NULL), 't_out', double(NULL), 'missed', false)"
+    t = "try_divide(plane.room, plane.speed)"
+    clip = f"""named_struct(
+        't_in', CASE WHEN plane.speed < -{PARALLEL}D THEN greatest(span.t_in, {t}) ELSE span.t_in END,
+        't_out', CASE WHEN plane.speed > {PARALLEL}D THEN least(span.t_out, {t}) ELSE span.t_out END,
+        'missed', span.missed OR (abs(plane.speed) <= {PARALLEL}D AND plane.room < 0))"""
+    checked = """CASE WHEN NOT span.missed AND span.t_in < span.t_out
+        THEN named_struct('t_in', span.t_in, 't_out', span.t_out) END"""
+    return f"aggregate(array({', '.join(planes)}), {start}, (span, plane) -> {clip}, span -> {checked})"
+
+
+def segment_after_vertex(span: str, direction: tuple[str, str, str]) -> Column:
     """Path length inside the prism from the vertex on; 0 without one."""
-
-    def steps(s: Column) -> Column:
-        return F.when(s["t_in"] >= 0, s["t_out"] - s["t_in"]).when(s["t_out"] > 0, s["t_out"]).otherwise(F.lit(0.0))
-
-    length = F.sqrt(direction[0] * direction[0] + direction[1] * direction[1] + direction[2] * direction[2])
-    return F.coalesce(bound(span, steps) * length, F.lit(0.0))
+    steps = "CASE WHEN s.t_in >= 0 THEN s.t_out - s.t_in WHEN s.t_out > 0 THEN s.t_out ELSE 0D END"
+    length = "sqrt(" + " + ".join(f"{d} * {d}" for d in direction) + ")"
+    return F.expr(f"coalesce({bound('s', span, steps)} * {length}, 0D)")
 
 
-def vertex_place(span: Column) -> Column:
+def vertex_place(span: str) -> Column:
     """0: vertex before the prism, 1: inside it, 2: behind it; null if the line misses."""
-    return bound(span, lambda s: F.when(s["t_in"] > 0, 0).when(s["t_out"] >= 0, 1).when(s["t_out"] < 0, 2))
+    return F.expr(bound("s", span, "CASE WHEN s.t_in > 0 THEN 0 WHEN s.t_out >= 0 THEN 1 WHEN s.t_out < 0 THEN 2 END"))
 
 
 def opening_angle(first: tuple[Column, Column, Column], second: tuple[Column, Column, Column]) -> Column:

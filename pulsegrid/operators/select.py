@@ -21,6 +21,11 @@ class EventFilter:
     def apply(self, truth: DataFrame) -> DataFrame:
         raise NotImplementedError
 
+    def mark(self, truth: DataFrame, name: str) -> DataFrame:
+        """All rows, with a flag that says which ones `apply` keeps."""
+        kept = self.apply(truth).select("event_no", F.lit(True).alias(name))
+        return truth.join(kept, "event_no", "left").withColumn(name, F.coalesce(name, F.lit(False)))
+
     def settings(self) -> list:
         return []
 
@@ -32,6 +37,9 @@ class ConditionFilter(EventFilter):
     def apply(self, truth: DataFrame) -> DataFrame:
         return truth.where(self.condition())
 
+    def mark(self, truth: DataFrame, name: str) -> DataFrame:
+        return truth.withColumn(name, F.coalesce(self.condition(), F.lit(False)))
+
 
 class ChargedCurrent(ConditionFilter):
     def condition(self) -> Column:
@@ -70,6 +78,10 @@ class Clean(EventFilter):
             *truth.columns
         )
 
+    def mark(self, truth: DataFrame, name: str) -> DataFrame:
+        listed = self.listing.select("RunID", "EventID").distinct().withColumn(name, F.lit(True))
+        return truth.join(listed, ["RunID", "EventID"], "left").withColumn(name, F.coalesce(name, F.lit(False)))
+
 
 @dataclass
 class Selection:
@@ -99,17 +111,18 @@ class Selection:
 
     def receipt(self, truth: DataFrame, doms: DataFrame, by: Sequence[str] = ("subdirectory_no", "part_no")) -> DataFrame:
         """Counts before and after, and their ratios, per part."""
-        keys = list(by)
-        kept = self.keep(truth).select(*keys, "event_no", F.lit(1).alias("kept"))
-        flagged = truth.select(*keys, "event_no").join(kept, [*keys, "event_no"], "left")
-        per_event = doms.groupBy("event_no").agg(F.count(F.lit(1)).alias("n"))
-        rows = flagged.join(per_event, "event_no", "left")
-        n, chosen = F.coalesce("n", F.lit(0)), F.col("kept") == 1
-        counted = rows.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("initial_events"),
-            F.count(F.when(chosen, 1)).alias("selected_events"),
-            F.sum(n).alias("initial_rows"),
-            F.coalesce(F.sum(F.when(chosen, n)), F.lit(0)).alias("reduced_rows"),
+        keys, chosen = list(by), F.lit(bool(self.filters))
+        rows = truth
+        for alias in sorted(self.filters):
+            rows = self.filters[alias].mark(rows, f"_{alias}")
+            chosen = chosen & F.col(f"_{alias}")
+        rows = rows.select(*keys, "event_no", chosen.alias("chosen"))
+        per_event = doms.groupBy("event_no").agg(F.expr("count(*) AS n"))
+        counted = rows.join(per_event, "event_no", "left").groupBy(*keys).agg(
+            F.expr("count(*) AS initial_events"),
+            F.expr("count_if(chosen) AS selected_events"),
+            F.expr("sum(coalesce(n, 0)) AS initial_rows"),
+            F.expr("sum(IF(chosen, coalesce(n, 0), 0)) AS reduced_rows"),
         )
         survival = F.coalesce(F.try_divide(F.col("reduced_rows"), F.col("initial_rows")), F.lit(0.0))
         return counted.select(

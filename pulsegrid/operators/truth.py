@@ -70,8 +70,8 @@ def attach_side(truth: DataFrame, side: DataFrame | None, columns: Mapping[str,
     return joined.selectExpr(*[f"`{c}`" for c in truth.columns], *values)
 
 
-def _daughter(kind: str) -> tuple[Column, Column, Column]:
-    return tuple(F.expr(f"double({kind}_{axis}{_DAUGHTER})") for axis in "xyz")
+def _daughter(kind: str) -> tuple[str, str, str]:
+    return tuple(f"double({kind}_{axis}{_DAUGHTER})" for axis in "xyz")
 
 
 def is_within_detector(truth: DataFrame) -> DataFrame:

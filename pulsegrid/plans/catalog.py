@@ -24,8 +24,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def _round(names: Iterable[str], digits: int = 6) -> list[Column]:
-    return [F.expr(f"round(double({n}), {digits}) AS {n}") for n in names]
+def _round(names: Iterable[str], digits: int = 6) -> list[str]:
+    return [f"round(double({n}), {digits}) AS {n}" for n in names]
+
+
+def _rounded(names: Iterable[str], digits: int = 6) -> list[Column]:
+    return [F.expr(text) for text in _round(names, digits)]
 
 
 _KEYS = ["event_no", "string", "dom_number"]
@@ -38,7 +42,7 @@ _HLC = [f"hlc{j}" for j in range(1, 6)]
 
 
 def _summary_view(rows: DataFrame) -> DataFrame:
-    return rows.select(*_KEYS, *_round(_PLACE), *_STATUS, *_HLC, *_round(_Q + _T))
+    return rows.selectExpr(*_KEYS, *_round(_PLACE), *_STATUS, *_HLC, *_round(_Q + _T))
 
 
 # ---------------------------------------------------------------- sensor summary
@@ -57,37 +61,37 @@ def dom_summary_hits(spark, sf_dir):
 def dom_summary_equinox(spark, sf_dir):
     rows = summary.dom_summary(fx.pulses(spark, sf_dir), SummaryMode.EQUINOX)
     late = ["t_qmax", "t_qmax_secondhalf", "Q_halftime", "T70", "T90"]
-    return rows.select(*_KEYS, *_round(_Q + _T + late + _SHAPE3))
+    return rows.selectExpr(*_KEYS, *_round(_Q + _T + late + _SHAPE3))
 
 
 @query
 def dom_summary_second(spark, sf_dir):
     rows = summary.dom_summary(fx.pulses(spark, sf_dir), SummaryMode.SECOND, q_cut=0.4)
-    return rows.select(*_KEYS, *_round(["Qtotal", *_SHAPE3]))
+    return rows.selectExpr(*_KEYS, *_round(["Qtotal", *_SHAPE3]))
 
 
 @query
 def late_peak_corrected(spark, sf_dir):
     rows = summary.sensor_features(fx.pulses(spark, sf_dir), late=True, compat=False)
-    return rows.select(*_KEYS, *_round(["t_qmax", "t_qmax_secondhalf"]))
+    return rows.selectExpr(*_KEYS, *_round(["t_qmax", "t_qmax_secondhalf"]))
 
 
 @query
 def dom_summary_legacy(spark, sf_dir):
     rows = summary.legacy_summary(fx.pulses(spark, sf_dir))
     plain = ["q1", "q2", "q3", "Q25", "Q75", "Qtotal", "t1", "t2", "t3", "T10", "T50", "sigmaT"]
-    return rows.select(*_KEYS, "hlc1", "hlc2", "hlc3", *_round([*plain, "dom_x_rel", "dom_y_rel", "dom_z_rel"]))
+    return rows.selectExpr(*_KEYS, "hlc1", "hlc2", "hlc3", *_round([*plain, "dom_x_rel", "dom_y_rel", "dom_z_rel"]))
 
 
 @query
 def first_hlc_times(spark, sf_dir):
-    return summary.first_hlc_times(fx.pulses(spark, sf_dir)).select(*_KEYS, *_round(["t1", "t2", "t3"]))
+    return summary.first_hlc_times(fx.pulses(spark, sf_dir)).selectExpr(*_KEYS, *_round(["t1", "t2", "t3"]))
 
 
 @query
 def event_charge_centroid(spark, sf_dir):
     rows = summary.charge_centroid(fx.pulses(spark, sf_dir))
-    return rows.select("event_no", *_round(["mean_x", "mean_y", "mean_z"]))
+    return rows.selectExpr("event_no", *_round(["mean_x", "mean_y", "mean_z"]))
 
 
 # ------------------------------------------------------------- shards, identities
@@ -140,7 +144,7 @@ def truth_assembled(spark, sf_dir):
     rows = labels.attach_side(fx.truth(spark, sf_dir), fx.daughter(spark, sf_dir), SIDE_TABLES["daughter"])
     rows = labels.attach_side(rows, None, {"GNLabelEnergyPrimary": SIDE_TABLES["labels"]["GNLabelEnergyPrimary"]})
     names = [f"{n}_GNHighestEDaughter" for n in ("pos_x", "pos_y", "pos_z", "dir_x", "dir_y", "dir_z", "energy", "zenith")]
-    return rows.select("event_no", "part_no", "RunID", *_round([*names, "GNLabelEnergyPrimary"], 2))
+    return rows.selectExpr("event_no", "part_no", "RunID", *_round([*names, "GNLabelEnergyPrimary"], 2))
 
 
 @query
@@ -154,14 +158,14 @@ def truth_complete(spark, sf_dir):
     )
     return full.select(
         "event_no", "original_event_no", "subdirectory_no", "part_no", "shard_no", "N_doms", "offset",
-        "InteractionType", "isWithinIceCube", *_round(["max_interPMT_distance", "post_vertex_intraIceCube_segment"], 2),
+        "InteractionType", "isWithinIceCube", *_rounded(["max_interPMT_distance", "post_vertex_intraIceCube_segment"], 2),
         F.lit(len(full.columns)).alias("n_columns"),
     )
 
 
 @query
 def truth_max_interpmt_distance(spark, sf_dir):
-    return shape.max_pair_distance(fx.doms(spark, sf_dir)).select("event_no", *_round(["max_interPMT_distance"]))
+    return shape.max_pair_distance(fx.doms(spark, sf_dir)).selectExpr("event_no", *_round(["max_interPMT_distance"]))
 
 
 @query
@@ -175,16 +179,16 @@ def _daughter_vectors():
 
 @query
 def truth_prism_segment(spark, sf_dir):
-    pos, direction = _daughter_vectors()
+    pos, direction = (tuple(f"{k}_{axis}_GNHighestEDaughter" for axis in "xyz") for k in ("pos", "dir"))
     span = geo.line_span(pos, direction)
     rows = fx.daughter(spark, sf_dir).select(
         "event_no",
-        geo.bound(span, lambda s: s["t_in"]).alias("t_in"),
-        geo.bound(span, lambda s: s["t_out"]).alias("t_out"),
+        F.expr(geo.bound("s", span, "s.t_in")).alias("t_in"),
+        F.expr(geo.bound("s", span, "s.t_out")).alias("t_out"),
         geo.vertex_place(span).alias("vertex_place"),
         geo.segment_after_vertex(span, direction).alias("segment"),
     )
-    return rows.select("event_no", "vertex_place", *_round(["t_in", "t_out", "segment"], 5))
+    return rows.selectExpr("event_no", "vertex_place", *_round(["t_in", "t_out", "segment"], 5))
 
 
 @query
@@ -365,7 +369,7 @@ def geometry_diff(spark, sf_dir):
 @query
 def geometry_filled(spark, sf_dir):
     rows = detector.completed_geometry(fx.geometry(spark, sf_dir))
-    return rows.select("string", "dom_number", "dom_x", "dom_y", *_round(["dom_z"], 2))
+    return rows.selectExpr("string", "dom_number", "dom_x", "dom_y", *_round(["dom_z"], 2))
 
 
 def _grid_pulses(spark, sf_dir):
@@ -384,14 +388,14 @@ def dom_activation_grid(spark, sf_dir):
 @query
 def sensor_counts(spark, sf_dir):
     rows = detector.sensor_counts(fx.pulses(spark, sf_dir))
-    return rows.select("string", "dom_number", "n_pulses", "dom_x", "dom_y", "dom_z", *_round(["share"]))
+    return rows.selectExpr("string", "dom_number", "n_pulses", "dom_x", "dom_y", "dom_z", *_round(["share"]))
 
 
 # ----------------------------------------------------------------------- shapes
 @query
 def z_stretch(spark, sf_dir):
     rows = shape.z_stretch(fx.doms(spark, sf_dir))
-    return rows.select("event_no", "stretch_string", *_round(["stretch_mean", "stretch_max", "stretch_hiqr", "stretch_z_low", "stretch_z_high"]))
+    return rows.selectExpr("event_no", "stretch_string", *_round(["stretch_mean", "stretch_max", "stretch_hiqr", "stretch_z_low", "stretch_z_high"]))
 
 
 @query
@@ -406,24 +410,24 @@ _OUTLINE = ["extent", "major", "minor", "area"]
 def xy_extent(spark, sf_dir):
     points = fx.doms(spark, sf_dir).select("event_no", F.col("dom_x").alias("x"), F.col("dom_y").alias("y"))
     rows = shape.boundary(points)
-    return rows.select("event_no", "n_points", *_round(["extent", "end1_x", "end1_y", "end2_x", "end2_y"]))
+    return rows.selectExpr("event_no", "n_points", *_round(["extent", "end1_x", "end1_y", "end2_x", "end2_y"]))
 
 
 @query
 def pca_axes(spark, sf_dir):
     points = fx.doms(spark, sf_dir).select("event_no", F.col("dom_x").alias("x"), F.col("dom_y").alias("y"))
-    return shape.boundary(points).select("event_no", "n_points", "n_border", *_round(_OUTLINE))
+    return shape.boundary(points).selectExpr("event_no", "n_points", "n_border", *_round(_OUTLINE))
 
 
 @query
 def string_table(spark, sf_dir):
-    return shape.string_table(shape.adjusted(fx.doms(spark, sf_dir), None)).select("event_no", "string", *_round(["x", "y", "w"]))
+    return shape.string_table(shape.adjusted(fx.doms(spark, sf_dir), None)).selectExpr("event_no", "string", *_round(["x", "y", "w"]))
 
 
 @query
 def charge_spread(spark, sf_dir):
     rows = shape.charge_spread(_string_charges(spark, sf_dir))
-    return rows.select("event_no", *_round(["outer_mass_fraction", "normalised_weighted_distance"]))
+    return rows.selectExpr("event_no", *_round(["outer_mass_fraction", "normalised_weighted_distance"]))
 
 
 def _string_charges(spark, sf_dir):
@@ -446,7 +450,7 @@ _SHAPE17 = [
 @query
 def shape_features(spark, sf_dir):
     rows = shape.shape_features(fx.doms(spark, sf_dir), q_cut=-1.0)
-    return rows.select("event_no", *_round([*_SHAPE17, "gmm_score", "kmeans_score"], 5))
+    return rows.selectExpr("event_no", *_round([*_SHAPE17, "gmm_score", "kmeans_score"], 5))
 
 
 @query
@@ -454,13 +458,13 @@ def shape_features_geometry(spark, sf_dir):
     """The features above that have one right answer, for the oracle."""
     rows = shape.shape_features(fx.doms(spark, sf_dir), q_cut=-1.0)
     steady = [c for c in _SHAPE17 if c not in ("outer_mass_fraction", "normalised_weighted_distance")]
-    return rows.select("event_no", *_round(steady, 5))
+    return rows.selectExpr("event_no", *_round(steady, 5))
 
 
 @query
 def shape_features_compact(spark, sf_dir):
     rows = shape.compact_shape_features(fx.doms(spark, sf_dir), q_cut=-1.0)
-    return rows.select("event_no", *_round([c for c in rows.columns if c != "event_no"], 5))
+    return rows.selectExpr("event_no", *_round([c for c in rows.columns if c != "event_no"], 5))
 
 
 @query
@@ -475,7 +479,7 @@ def _plain_summary(spark, sf_dir):
 
 
 def _all_but_keys(rows: DataFrame) -> DataFrame:
-    return rows.select(*_KEYS, *_round([c for c in rows.columns if c not in _KEYS]))
+    return rows.selectExpr(*_KEYS, *_round([c for c in rows.columns if c not in _KEYS]))
 
 
 @query
@@ -496,7 +500,7 @@ def former_normalised(spark, sf_dir):
 @query
 def adjusted_charge_cut(spark, sf_dir):
     rows = shape.adjusted(fx.doms(spark, sf_dir), -0.5)
-    return rows.select(*_KEYS, "dom_x", "dom_y", "dom_z", *_round(["Qtotal"]))
+    return rows.selectExpr(*_KEYS, "dom_x", "dom_y", "dom_z", *_round(["Qtotal"]))
 
 
 # ------------------------------------------------------------------- statistics
@@ -574,38 +578,38 @@ def hist_cos_zenith(spark, sf_dir):
 def feature_stats_by_class(spark, sf_dir):
     rows = fx.truth(spark, sf_dir).join(shape.z_stretch(fx.doms(spark, sf_dir)), "event_no", "left")
     out = stats.describe_columns(rows, ["stretch_mean", "stretch_max", "energy"], ["flavour"])
-    return out.select("flavour", "feature", "n", "n_missing", *_round(["max", "min", "mean", "median", "std"], 3))
+    return out.selectExpr("flavour", "feature", "n", "n_missing", *_round(["max", "min", "mean", "median", "std"], 3))
 
 
 @query
 def summary_feature_stats(spark, sf_dir):
     rows = summary.sensor_features(fx.pulses(spark, sf_dir))
     out = stats.describe_columns(rows, ["q1", "Qtotal", "t1", "T50", "sigmaT"], sample_std=True)
-    return out.select("feature", "n", "n_missing", *_round(["max", "min", "mean", "median", "std"], 4))
+    return out.selectExpr("feature", "n", "n_missing", *_round(["max", "min", "mean", "median", "std"], 4))
 
 
 @query
 def energy_five_numbers(spark, sf_dir):
     out = stats.five_numbers(fx.truth(spark, sf_dir), "energy")
-    return out.select("count", *_round(["mean", "std", "min", "p25", "p50", "p75", "max"], 3))
+    return out.selectExpr("count", *_round(["mean", "std", "min", "p25", "p50", "p75", "max"], 3))
 
 
 @query
 def energy_stats_by_part(spark, sf_dir):
     out = stats.describe_columns(fx.placed(spark, sf_dir), ["energy", "N_doms"], ["part_no"])
-    return out.select("part_no", "feature", "n", *_round(["max", "min", "mean", "median"], 3))
+    return out.selectExpr("part_no", "feature", "n", *_round(["max", "min", "mean", "median"], 3))
 
 
 @query
 def energy_powerlaw_fit(spark, sf_dir):
     out = stats.power_law_fit(fx.truth(spark, sf_dir), "energy")
-    return out.select(*_round(["slope", "intercept", "chi2"], 5), F.col("dof").cast("long").alias("dof"))
+    return out.select(*_rounded(["slope", "intercept", "chi2"], 5), F.col("dof").cast("long").alias("dof"))
 
 
 @query
 def doms_below_limits(spark, sf_dir):
     out = stats.class_fractions(labels.count_doms(fx.hits(spark, sf_dir)), "N_doms", [3, 5])
-    return out.select(*_round(out.columns))
+    return out.selectExpr(*_round(out.columns))
 
 
 @query
@@ -645,13 +649,13 @@ def first_events(spark, sf_dir):
 @query
 def busy_sensor_series(spark, sf_dir):
     rows = stats.busy_sensor_series(fx.pulses(spark, sf_dir), 7)
-    return rows.select(*_KEYS, "n_pulses", "pulse_id", *_round(["dom_time", "charge"]))
+    return rows.selectExpr(*_KEYS, "n_pulses", "pulse_id", *_round(["dom_time", "charge"]))
 
 
 @query
 def marker_scale(spark, sf_dir):
     rows = stats.marker_scale(fx.doms(spark, sf_dir), "Qtotal")
-    return rows.select(*_KEYS, *_round(["marker"]), F.col("bright").cast("int").alias("bright"))
+    return rows.select(*_KEYS, *_rounded(["marker"]), F.col("bright").cast("int").alias("bright"))
 
 
 # ---------------------------------------------------------------------- quality
@@ -757,6 +761,6 @@ def job_log_table(spark, sf_dir):
     )
     out = files.parse_log_lines(rows)
     return out.select(
-        "log", *_round(["source_file_size_GB", "truth_file_size_MB", "memory_total_GB", "memory_available_GB"], 4),
+        "log", *_rounded(["source_file_size_GB", "truth_file_size_MB", "memory_total_GB", "memory_available_GB"], 4),
         "elapsed_time_sec", scaling.duration_text(F.col("elapsed_time_sec")).alias("elapsed_time"),
     )

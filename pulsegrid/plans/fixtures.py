@@ -7,6 +7,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ HIT_ORDER = ("dom_time", "part_key", "price", "discount", "tax")
 EPOCH_2024_MICROS = 1704067200000000
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -72,40 +75,38 @@ def hits(spark: SparkSession, sf_dir: str, event: str = "l_orderkey") -> DataFra
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = F.col("o_orderstatus")
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("int").alias("event_no"),
-        F.lit(22012).alias("subdirectory_no"),
-        (F.col("o_orderkey") % 3 + 1).cast("int").alias("part_no"),
-        F.col("o_totalprice").alias("energy"),
-        F.when(status == "O", 1).when(status == "F", 2).otherwise(0).alias("InteractionType"),
-        (F.col("o_orderkey") % 2).cast("int").alias("MuonFilter_13"),
-        (F.lit(2201200000) + F.col("o_custkey") % 1000).alias("RunID"),
-        F.col("o_orderkey").cast("int").alias("EventID"),
-        (F.col("o_custkey") % 32 / F.lit(10.0)).alias("zenith"),
-        (F.col("o_custkey") % 63 / F.lit(10.0)).alias("azimuth"),
-        F.when(status == "O", "nu_e").when(status == "F", "nu_mu").otherwise("nu_tau").alias("flavour"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "int(o_orderkey) AS event_no",
+        "22012 AS subdirectory_no",
+        "int(o_orderkey % 3 + 1) AS part_no",
+        "o_totalprice AS energy",
+        "CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 ELSE 0 END AS InteractionType",
+        "int(o_orderkey % 2) AS MuonFilter_13",
+        "2201200000 + o_custkey % 1000 AS RunID",
+        "int(o_orderkey) AS EventID",
+        "o_custkey % 32 / 10.0D AS zenith",
+        "o_custkey % 63 / 10.0D AS azimuth",
+        "CASE o_orderstatus WHEN 'O' THEN 'nu_e' WHEN 'F' THEN 'nu_mu' ELSE 'nu_tau' END AS flavour",
     )
 
 
 def daughter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vertex and direction per event; events of customers in debt have none."""
-    key = F.col("c_custkey")
-    customers = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+    customers = table(spark, sf_dir, "customer").where("c_acctbal >= 0")
     suffix = "_GNHighestEDaughter"
     return (
         table(spark, sf_dir, "orders")
-        .select(F.col("o_orderkey").cast("int").alias("event_no"), F.col("o_custkey").alias("c_custkey"))
+        .selectExpr("int(o_orderkey) AS event_no", "o_custkey AS c_custkey")
         .join(customers, "c_custkey")
-        .select(
+        .selectExpr(
             "event_no",
-            (F.col("c_acctbal") / 10.0 - 450).alias(f"pos_x{suffix}"),
-            (key * 37 % 1100 - 550).cast("double").alias(f"pos_y{suffix}"),
-            (key * 53 % 1200 - 600).cast("double").alias(f"pos_z{suffix}"),
-            (key % 7 - 3).cast("double").alias(f"dir_x{suffix}"),
-            (key % 5 - 2).cast("double").alias(f"dir_y{suffix}"),
-            (key % 3 - 1).cast("double").alias(f"dir_z{suffix}"),
-            F.when(key % 4 == 0, F.lit(float("nan"))).otherwise(F.col("c_acctbal")).alias(f"energy{suffix}"),
+            f"c_acctbal / 10.0D - 450 AS pos_x{suffix}",
+            f"double(c_custkey * 37 % 1100 - 550) AS pos_y{suffix}",
+            f"double(c_custkey * 53 % 1200 - 600) AS pos_z{suffix}",
+            f"double(c_custkey % 7 - 3) AS dir_x{suffix}",
+            f"double(c_custkey % 5 - 2) AS dir_y{suffix}",
+            f"double(c_custkey % 3 - 1) AS dir_z{suffix}",
+            f"CASE WHEN c_custkey % 4 = 0 THEN double('NaN') ELSE c_acctbal END AS energy{suffix}",
         )
     )
 

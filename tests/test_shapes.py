@@ -196,7 +196,7 @@ def test_clipping_equals_face_intersection(spark):
     rows = [(*map(float, p), *map(float, d)) for p, d in zip(rng.uniform(-900, 900, (400, 3)), rng.normal(size=(400, 3)))]
     rows += [(0.0, 0.0, 0.0, 0.0, 0.0, 0.0), (0.0, 0.0, -2000.0, 0.0, 0.0, 1.0), (0.0, 0.0, 2000.0, 0.0, 0.0, 1.0)]
     df = spark.createDataFrame(rows, "px double, py double, pz double, dx double, dy double, dz double")
-    pos, direction = [tuple(F.col(f"{k}{a}") for a in "xyz") for k in "pd"]
+    pos, direction = [tuple(f"{k}{a}" for a in "xyz") for k in "pd"]
     got = df.select("*", geo.segment_after_vertex(geo.line_span(pos, direction), direction).alias("s")).collect()
     for row in got:
         assert row.s == pytest.approx(face_segment(row[:3], row[3:6]), abs=1e-6)

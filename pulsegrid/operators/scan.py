@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.runtime import fits_one_task, pin, shuffle_width
+from pulsegrid.runtime import BROADCAST_ROWS, fits_one_task, pin, shuffle_width
 
 _CHUNK = "_chunk"
 _SLOT = "_slot"
@@ -64,10 +64,11 @@ def _earlier_chunks(chunked: DataFrame, within: Sequence[str], sums: Mapping[str
 
 
 def _with_earlier(rows: DataFrame, earlier: DataFrame, within: Sequence[str]) -> DataFrame:
-    on = rows[_CHUNK] == earlier["_k_chunk"]
+    on = F.col(_CHUNK) == F.col("_k_chunk")
     for key in within:
-        on = on & rows[key].eqNullSafe(earlier[f"_k_{key}"])
-    return rows.join(earlier, on, "inner")
+        on = on & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
+    # Without groups there is one row per partition of the sort.
+    return rows.join(earlier if within else F.broadcast(earlier), on, "inner")
 
 
 def number_rows(
@@ -159,9 +160,16 @@ def hot_groups(
     )
 
 
-def split_by_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def broadcast_checked(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a key table whose counted rows are few; otherwise Spark chooses."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def split_by_groups(
+    df: DataFrame, groups: DataFrame, keys: Sequence[str], n_groups: int
+) -> tuple[DataFrame, DataFrame]:
     """(rows outside `groups`, rows in `groups`); null keys match null keys."""
-    marked = groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys])
+    marked = broadcast_checked(groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys]), n_groups)
     on = None
     for key in keys:
         term = F.col(key).eqNullSafe(F.col(f"_g_{key}"))

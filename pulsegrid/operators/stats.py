@@ -17,19 +17,10 @@ def valid(name: str) -> Column:
     return F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double"))
 
 
-def histogram(
-    df: DataFrame,
-    column: str,
-    width: float | None = None,
-    bins: int | None = None,
-    log: bool = False,
-    by: Sequence[str] = (),
+def _binned(
+    df: DataFrame, column: str, width: float | None, bins: int | None, log: bool, by: Sequence[str]
 ) -> DataFrame:
-    """Counts per bin: `by` columns, bin number, its left edge, count.
-
-    Edges begin at the minimum; a value at the maximum falls into the last bin.
-    With `log`, edges are even in log10 and values <= 0 are left out.
-    """
+    """Per bin: count n, number, and start and size of the bin grid (in log10 with `log`)."""
     value = F.col(column).cast("double")
     rows = df.where(valid(column))
     if log:
@@ -45,16 +36,26 @@ def histogram(
         size = F.lit(float(width))
         count = F.greatest(F.lit(1), F.ceil((hi - lo) / size))
     place = F.least(count - 1, F.floor((F.col("v") - lo) / size)).cast("int")
-    edge = F.col("v_lo") + F.col("bin") * F.col("v_size")
-    counted = (
-        rows.select(*by, place.alias("bin"))
-        .groupBy(*by, "bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("v_lo", lo)
-        .withColumn("v_size", size)
-    )
+    counted = rows.select(*by, place.alias("bin")).groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
+    return counted.withColumns({"lo": lo, "size": size})
+
+
+def histogram(
+    df: DataFrame,
+    column: str,
+    width: float | None = None,
+    bins: int | None = None,
+    log: bool = False,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Counts per bin: `by` columns, bin number, its left edge, count.
+
+    Edges begin at the minimum; a value at the maximum falls into the last bin.
+    With `log`, edges are even in log10 and values <= 0 are left out.
+    """
+    edge = F.col("lo") + F.col("bin") * F.col("size")
     left = F.pow(F.lit(10.0), edge) if log else edge
-    return counted.select(*by, "bin", left.alias("left_edge"), "n")
+    return _binned(df, column, width, bins, log, by).select(*by, "bin", left.alias("left_edge"), "n")
 
 
 def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float], by: Sequence[str] = (), **scale) -> DataFrame:
@@ -69,12 +70,13 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float], by: Seq
         return rows.groupBy(*by).agg(*[F.percentile("v", s).alias(f"q{i}") for i, s in enumerate(shares)])
     counts = rows.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("c"))
     ranked = running_totals(counts, ["v"], {"upto": F.col("c")}, by, **scale)
-    totals = counts.groupBy(*by).agg(F.sum("c").alias("n"))
+    totals = ranked.groupBy(*by).agg(F.max("upto").alias("n"))
     if by:
-        on = [ranked[k].eqNullSafe(totals[k]) for k in by]
-        both = ranked.join(totals, on, "inner").select(*[ranked[k] for k in by], "v", "c", "upto", "n")
+        named = totals.withColumnsRenamed({k: f"_t_{k}" for k in by})
+        same = F.expr(" AND ".join(f"{k} <=> _t_{k}" for k in by))
+        both = ranked.join(named, same, "inner").select(*by, "v", "c", "upto", "n")
     else:
-        both = ranked.withColumn("n", counts.agg(F.sum("c")).scalar())
+        both = ranked.withColumn("n", totals.scalar())
     picks = []
     for i, share in enumerate(shares):
         at = F.lit(float(share)) * (F.col("n") - 1)
@@ -92,19 +94,20 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float], by: Seq
 
 def describe_columns(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), sample_std: bool = False, **scale) -> DataFrame:
     """Per feature (and class): N, missing, max, min, mean, median and standard deviation."""
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns]))
-    long = df.select(*by, cells.alias("_c")).select(*by, "_c.*")
-    ok = F.when(valid("v"), F.col("v"))
-    spread = F.stddev_samp if sample_std else F.stddev_pop
+    spread = "stddev_samp" if sample_std else "stddev_pop"
+    names = ["n", "n_missing", "max", "min", "mean", "std"]
+    cells = []
+    for i, c in enumerate(columns):
+        ok = f"nullif(double(`{c}`), double('NaN'))"
+        whole = ("count(*)", f"count(*) - count({ok})", f"max({ok})", f"min({ok})", f"avg({ok})", f"{spread}({ok})")
+        cells += [F.expr(f"{rule} AS {name}_{i}") for name, rule in zip(names, whole)]
+    # All features in one aggregation; the few results are then turned into rows.
+    wide = df.groupBy(*by).agg(*cells)
+    rows = ", ".join(f"'{c}', " + ", ".join(f"{name}_{i}" for name in names) for i, c in enumerate(columns))
+    basic = wide.selectExpr(*by, f"stack({len(columns)}, {rows}) AS (feature, {', '.join(names)})")
+    values = ", ".join(f"struct('{c}' AS feature, double(`{c}`) AS v)" for c in columns)
+    long = df.selectExpr(*by, f"inline(array({values}))")
     keys = [*by, "feature"]
-    basic = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(F.when(~valid("v"), 1)).alias("n_missing"),
-        F.max(ok).alias("max"),
-        F.min(ok).alias("min"),
-        F.avg(ok).alias("mean"),
-        spread(ok).alias("std"),
-    )
     median = exact_quantiles(long, "v", [0.5], keys, **scale).withColumnRenamed("q0", "median")
     return basic.join(median, keys, "left")
 
@@ -133,23 +136,14 @@ def power_law_fit(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     Bins are even in log10, empty ones are dropped, and a count n weighs n
     (error 1 / sqrt(n)).  One row; only the binned counts are summed.
     """
-    counts = histogram(df, column, bins=bins, log=True)
-    total = counts.agg(F.count(F.lit(1)).alias("b")).select("b").scalar()
-    v = F.log10(F.col(column).cast("double"))
-    span = df.where(valid(column) & (F.col(column) > 0)).agg(
-        F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))
-    ).scalar()
-    step = (span["hi"] - span["lo"]) / F.lit(bins)
     # The centre of a bin is the mean of its two edges, not of their logarithms.
-    points = counts.select(
-        F.col("n").cast("double").alias("w"),
-        F.log10(F.col("n")).alias("y"),
-        F.log10(F.col("left_edge") * (1 + F.pow(F.lit(10.0), step)) / 2).alias("x"),
+    left = "pow(10D, lo + bin * size)"
+    points = _binned(df, column, None, bins, True, ()).selectExpr(
+        "double(n) AS w", "log10(n) AS y", f"log10({left} * (1 + pow(10D, size)) / 2) AS x"
     )
-    x, y, w = F.col("x"), F.col("y"), F.col("w")
-    sums = points.agg(
-        F.sum(w).alias("s"), F.sum(w * x).alias("sx"), F.sum(w * y).alias("sy"),
-        F.sum(w * x * x).alias("sxx"), F.sum(w * x * y).alias("sxy"), F.sum(w * y * y).alias("syy"),
+    sums = points.selectExpr(
+        "count(*) AS bins", "sum(w) AS s", "sum(w * x) AS sx", "sum(w * y) AS sy",
+        "sum(w * x * x) AS sxx", "sum(w * x * y) AS sxy", "sum(w * y * y) AS syy",
     )
     det = F.col("s") * F.col("sxx") - F.col("sx") * F.col("sx")
     fitted = sums.withColumn("slope", F.try_divide(F.col("s") * F.col("sxy") - F.col("sx") * F.col("sy"), det))
@@ -159,7 +153,7 @@ def power_law_fit(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
         F.col("syy") + a * a * F.col("sxx") + b * b * F.col("s")
         - a * F.col("sxy") * 2 - b * F.col("sy") * 2 + a * b * F.col("sx") * 2
     )
-    return fitted.select("slope", "intercept", chi2.alias("chi2"), (total - 2).alias("dof"))
+    return fitted.select("slope", "intercept", chi2.alias("chi2"), (F.col("bins") - 2).alias("dof"))
 
 
 def chi2_tail(chi2: float, dof: int) -> float:

@@ -66,9 +66,9 @@ def _annotate_in_windows(pulses: DataFrame, order_by: Sequence[str], late: bool,
 
 
 def _annotate_in_chunks(
-    pulses: DataFrame, order_by: Sequence[str], late: bool, compat: bool, partitions: int | None
+    pulses: DataFrame, order_by: Sequence[str], late: bool, compat: bool, partitions: int | None, n_hot: int
 ) -> DataFrame:
-    """Same columns as `_annotate_in_windows`, for sensors too large for one task."""
+    """Same columns as `_annotate_in_windows`, for `n_hot` sensors too large for one task."""
     chunked = scan.sorted_chunks(pulses, SENSOR_KEYS, order_by, partitions)
     place = f"struct({', '.join(order_by)})"
     # One row per hot sensor.
@@ -79,19 +79,19 @@ def _annotate_in_chunks(
         F.expr(f"min_by(dom_time, {place}) AS t_first"),
         F.expr(f"max_by(dom_time, {place}) AS t_last"),
     )
-    rows = _join_sensor(chunked, totals)
+    rows = _join_sensor(chunked, totals, n_hot)
     sums = {"i": F.lit(1), "q_running": F.col("charge")}
     if late:
         sums["late_i"] = F.expr(f"int({_LATE})")
     rows = scan.chunked_totals(rows, SENSOR_KEYS, sums)
     if late:
         picks = rows.groupBy(*SENSOR_KEYS).agg(F.expr(f"{_late_pick(compat)} AS late_pick"))
-        rows = _join_sensor(rows, picks)
+        rows = _join_sensor(rows, picks, n_hot)
     return rows
 
 
-def _join_sensor(rows: DataFrame, per_sensor: DataFrame) -> DataFrame:
-    renamed = per_sensor.withColumnsRenamed({k: f"_s_{k}" for k in SENSOR_KEYS})
+def _join_sensor(rows: DataFrame, per_sensor: DataFrame, n_sensors: int) -> DataFrame:
+    renamed = scan.broadcast_checked(per_sensor, n_sensors).withColumnsRenamed({k: f"_s_{k}" for k in SENSOR_KEYS})
     on = F.expr(" AND ".join(f"{k} <=> _s_{k}" for k in SENSOR_KEYS))
     return rows.join(renamed, on, "inner").drop(*[f"_s_{k}" for k in SENSOR_KEYS])
 
@@ -182,10 +182,11 @@ def _sensor_features(
     if fits_one_task(pulses, one_task_bytes):
         return usual_way(pulses)
     hot = pin(scan.hot_groups(pulses, SENSOR_KEYS, hot_rows, sample_fraction))
-    if hot.isEmpty():
+    n_hot = hot.count()
+    if n_hot == 0:
         return usual_way(pulses)
-    usual, large = scan.split_by_groups(pulses, hot, SENSOR_KEYS)
-    in_chunks = _annotate_in_chunks(large, order_by, late, compat, partitions)
+    usual, large = scan.split_by_groups(pulses, hot, SENSOR_KEYS, n_hot)
+    in_chunks = _annotate_in_chunks(large, order_by, late, compat, partitions, n_hot)
     return usual_way(usual).unionByName(_fold(in_chunks, late, compat, k))
 
 

@@ -1,13 +1,16 @@
-"""Session helpers: size checks on plans and pinned (checkpointed) frames."""
+"""Session helpers: size checks on plans and pinned (written) frames."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 # A frame whose inputs are below this many bytes is sorted by one task without harm.
 ONE_TASK_BYTES = 64 * 1024 * 1024
+# Tables of a few key columns are broadcast up to this many rows (some megabytes).
+BROADCAST_ROWS = 100_000
 
 
 def build_session(cores: str = "8", app: str = "pulsegrid", **conf: str) -> SparkSession:
@@ -22,6 +25,7 @@ def build_session(cores: str = "8", app: str = "pulsegrid", **conf: str) -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in conf.items():
@@ -46,14 +50,31 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(folder)
 
 
+_PINNED: list[str] = []
+
+
 def pin(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and read on from there.
+    """Write `df` once as Parquet below the checkpoint folder and read on from there.
 
     Values that depend on the physical partitioning stay fixed afterwards, also
-    when an executor is lost and tasks are run again.
+    when an executor is lost and tasks are run again, and every later use reads
+    only the columns it needs.
     """
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    use_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/pinned-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _PINNED.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_pins(spark: SparkSession) -> None:
+    """Delete the tables this process has pinned; frames built on them end with it."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _PINNED:
+        path = jvm.org.apache.hadoop.fs.Path(_PINNED.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def plan_bytes(df: DataFrame) -> int:

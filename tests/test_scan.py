@@ -52,7 +52,7 @@ def test_null_groups_are_numbered(spark):
 def test_hot_groups_and_split(rows):
     hot = scan.hot_groups(rows, ["g"], 500, fraction=1)
     assert [r.g for r in hot.collect()] == ["hot"]
-    usual, large = scan.split_by_groups(rows, hot, ["g"])
+    usual, large = scan.split_by_groups(rows, hot, ["g"], 1)
     assert (usual.count(), large.count()) == (2000, 1000)
 
 

@@ -30,13 +30,27 @@ def _edges(corners):
 
 
 def _inside_outline(x: str, y: str) -> str:
-    """Even-odd rule: an odd number of outline edges lies to the right of the point."""
-    crossings = []
-    for (ax, ay), (bx, by) in _edges(OUTLINE_XY):
-        slope = (bx - ax) / (by - ay)
-        spans = f"({ay}D > {y}) <> ({by}D > {y})"
-        crossings.append(f"int({spans} AND {x} < {slope!r}D * ({y} - {ay}D) + {ax}D)")
-    return f"({' + '.join(crossings)}) % 2 = 1"
+    """Even-odd rule: an odd number of outline edges lies to the right of the point.
+
+    The corners cut the y axis into bands; a point is compared only with the few
+    edges that cross its band, found by halving.
+    """
+    levels = sorted({cy for _, cy in OUTLINE_XY})
+
+    def crossings(low: float, high: float) -> str:
+        terms = []
+        for (ax, ay), (bx, by) in _edges(OUTLINE_XY):
+            if min(ay, by) <= low and high <= max(ay, by):
+                terms.append(f"int({x} < {(bx - ax) / (by - ay)!r}D * ({y} - {ay}D) + {ax}D)")
+        return f"({' + '.join(terms)}) % 2 = 1"
+
+    def search(first: int, last: int) -> str:
+        if last - first == 1:
+            return crossings(levels[first], levels[last])
+        middle = (first + last) // 2
+        return f"IF({y} < {levels[middle]}D, {search(first, middle)}, {search(middle, last)})"
+
+    return f"({y} >= {levels[0]}D AND {y} < {levels[-1]}D AND {search(0, len(levels) - 1)})"
 
 
 def bound(name: str, value: str, use: str) -> str:

@@ -93,25 +93,29 @@ def only_listed(table: DataFrame, receipt: DataFrame) -> DataFrame:
     return table.join(receipt.select("event_no"), "event_no", "left_semi")
 
 
-def build_truth(
+def build_truth(truth: DataFrame, pulses: DataFrame, doms: DataFrame, sides: Mapping[str, DataFrame | None],
+                subdirectory_no: int, source: str, events_per_shard: int, **features) -> DataFrame:
+    """The complete truth table, with enhanced event numbers."""
+    rows = assemble_truth(truth, pulses, doms, sides, subdirectory_no, events_per_shard, **features)
+    return with_enhanced_id(rows, subdirectory_no, source)
+
+
+def assemble_truth(
     truth: DataFrame,
     pulses: DataFrame,
     doms: DataFrame,
     sides: Mapping[str, DataFrame | None],
     subdirectory_no: int,
-    source: str,
     events_per_shard: int,
-    part_no: str = "part_no",
     truth_features: Sequence[TruthFeature] = TRUTH_FEATURES,
     summary_features: Sequence[SummaryFeature] = SUMMARY_FEATURES,
 ) -> DataFrame:
-    """The complete truth table, declared types and order.
+    """Truth, side tables and derived labels; declared types and order.
 
     Pulses are reduced to one row per event before they meet the labels.  Events
     without pulses have no sensor rows and are left out.
     """
-    base = truth.withColumnRenamed(part_no, "part_no") if part_no != "part_no" else truth
-    base = base.drop("shard_no", "N_doms", "offset", "subdirectory_no")
+    base = truth.drop("shard_no", "N_doms", "offset", "subdirectory_no")
     counted = base.join(count_doms(pulses), "event_no", "inner")
     rows = shard_offsets(with_shards(counted, events_per_shard)).withColumn("subdirectory_no", F.lit(subdirectory_no))
     present = set(rows.columns)
@@ -124,11 +128,11 @@ def build_truth(
         rows = rows.join(feature(doms), "event_no", "inner")
     for feature in truth_features:
         rows = feature(rows)
-    return with_enhanced_id(_typed(rows), subdirectory_no, source)
+    return _typed(rows)
 
 
 def _typed(rows: DataFrame) -> DataFrame:
-    kinds = [*TRUTH_COLUMNS.items()]
+    kinds = [(n, rows.schema[n].dataType.simpleString() if n == "event_no" else k) for n, k in TRUTH_COLUMNS.items()]
     for columns in SIDE_TABLES.values():
         kinds += [(name, kind) for name, (kind, _) in columns.items()]
     kinds += [(n, DERIVED_TRUTH.get(n, "double")) for n in rows.columns if n not in dict(kinds)]

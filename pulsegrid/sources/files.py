@@ -16,6 +16,10 @@ def read_geometry(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=GEOMETRY)
 
 
+def read_clean_ids(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.csv(path, header=True, schema="RunID bigint, EventID int")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.scan import number_rows, running_totals
-from pulsegrid.runtime import fits_one_task
+from pulsegrid.runtime import ONE_TASK_BYTES, fits_one_task
 
 
 def valid(name: str) -> Column:
@@ -108,6 +108,8 @@ def describe_columns(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
     values = ", ".join(f"struct('{c}' AS feature, double(`{c}`) AS v)" for c in columns)
     long = df.selectExpr(*by, f"inline(array({values}))")
     keys = [*by, "feature"]
+    # The size estimate does not see that every row became one per feature.
+    scale.setdefault("one_task_bytes", ONE_TASK_BYTES // len(columns))
     median = exact_quantiles(long, "v", [0.5], keys, **scale).withColumnRenamed("q0", "median")
     return basic.join(median, keys, "left")
 

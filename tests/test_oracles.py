@@ -19,7 +19,11 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, con, name):
-    ours = queries()[name](spark, SF).toPandas()
+    df = queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert slow not in plan
+    ours = df.toPandas()
     sql = oracle_sql().get(name)
     if sql is None:
         assert len(ours) > 0

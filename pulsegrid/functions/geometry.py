@@ -111,6 +111,15 @@ def segment_after_vertex(span: str, direction: tuple[str, str, str]) -> Column:
     return F.expr(f"coalesce({bound('s', span, steps)} * {length}, 0D)")
 
 
+def crossing_points(span: str, pos: tuple[str, str, str], direction: tuple[str, str, str]) -> dict[str, Column]:
+    """Where the line enters and leaves the prism, and how often it crosses its surface."""
+    out = {"n_intersections": F.expr(f"IF({span} IS NULL, 0, 2)")}
+    for end, t in (("entry", "s.t_in"), ("exit", "s.t_out")):
+        for axis, p, d in zip("xyz", pos, direction):
+            out[f"{end}_{axis}"] = F.expr(bound("s", span, f"{p} + {t} * {d}"))
+    return out
+
+
 def vertex_place(span: str) -> Column:
     """0: vertex before the prism, 1: inside it, 2: behind it; null if the line misses."""
     return F.expr(bound("s", span, "CASE WHEN s.t_in > 0 THEN 0 WHEN s.t_out >= 0 THEN 1 WHEN s.t_out < 0 THEN 2 END"))

@@ -182,6 +182,16 @@ def activation_grid(pulses: DataFrame) -> DataFrame:
     )
 
 
+def event_activation(pulses: DataFrame) -> DataFrame:
+    """Counts on the sensor grid of each event; cells without pulses are left out."""
+    on_grid = pulses.where(F.col("string").between(1, N_STRINGS) & F.col("dom_number").between(1, DOMS_PER_STRING))
+    return on_grid.groupBy(
+        "event_no",
+        (F.lit(DOMS_PER_STRING) - F.col("dom_number")).alias("grid_row"),
+        (F.col("string") - 1).alias("grid_column"),
+    ).agg(F.expr("count(*) AS n_pulses"))
+
+
 def sensor_counts(pulses: DataFrame, least_share: float = 0.7) -> DataFrame:
     """Pulses per sensor relative to the busiest one; keeps the busiest sensors."""
     counts = pulses.groupBy("string", "dom_number").agg(

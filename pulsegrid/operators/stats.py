@@ -185,6 +185,17 @@ def chi2_tail(chi2: float, dof: int) -> float:
     return front * h
 
 
+def with_p_value(fit: DataFrame) -> DataFrame:
+    """Adds the probability of a larger chi-square to the rows of `power_law_fit`."""
+
+    def add(frames):
+        for frame in frames:
+            frame["p_value"] = [chi2_tail(c, int(d)) for c, d in zip(frame["chi2"], frame["dof"])]
+            yield frame
+
+    return fit.mapInPandas(add, "slope double, intercept double, chi2 double, dof bigint, p_value double")
+
+
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
     """Counts per value, most frequent first; ties by value."""
     out = df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.col(column))
@@ -195,10 +206,10 @@ def largest_events(pulses: DataFrame, top: int = 1) -> DataFrame:
     return value_counts(pulses, "event_no", top)
 
 
-def nth_event(df: DataFrame, index: int) -> DataFrame:
+def nth_event(df: DataFrame, index: int, **scale) -> DataFrame:
     """All rows of the index-th (0-based) event in order of event number."""
-    chosen = df.select("event_no").distinct().orderBy("event_no").offset(index).limit(1)
-    return df.join(chosen, "event_no", "left_semi")
+    numbered = number_rows(df.select("event_no").distinct(), ["event_no"], name="_n", **scale)
+    return df.join(numbered.where(F.col("_n") == index + 1).select("event_no"), "event_no", "left_semi")
 
 
 def first_events(df: DataFrame, count: int) -> DataFrame:
@@ -241,3 +252,11 @@ def previous_value(df: DataFrame, column: str, within: Sequence[str], order_by:
     """Difference to the row before, within bounded groups such as shards."""
     spec = Window.partitionBy(*within).orderBy(*order_by)
     return df.withColumn("step", F.col(column) - F.lag(column).over(spec))
+
+
+def busy_sensors_per_event(pulses: DataFrame, more_than: int) -> DataFrame:
+    """Number of sensors above a pulse count, per event that has any."""
+    per_sensor = pulses.groupBy("event_no", "string", "dom_number").agg(F.expr("count(*) AS n_pulses"))
+    return per_sensor.where(F.col("n_pulses") > more_than).groupBy("event_no").agg(
+        F.expr("count(*) AS n_sensors"), F.expr("max(n_pulses) AS most_pulses")
+    )

@@ -107,14 +107,14 @@ def _charge_within(interval: int) -> str:
     return f"coalesce(double(sum(CASE WHEN dom_time - t_first < {interval} THEN charge END)), 0D) AS Q{interval}"
 
 
-def _time_to_fraction(percent: int) -> str:
+def _time_to_fraction(percent: int, unreached: float) -> str:
     """Elapsed time at the first pulse whose running charge exceeds the fraction."""
     passed = f"double(q_running) > {percent / 100}D * double(q_all)"
     first = f"min_by(dom_time - t_first, CASE WHEN {passed} THEN i END)"
-    return f"CASE WHEN max(n) < 2 THEN -1D ELSE coalesce({first}, -1D) END AS T{percent}"
+    return f"CASE WHEN max(n) < 2 THEN -1D ELSE coalesce({first}, {float(unreached)}D) END AS T{percent}"
 
 
-def _late_features(compat: bool) -> list[str]:
+def _late_features(compat: bool, unreached: float) -> list[str]:
     """Times of the highest pulse overall and in the second half, first-half charge.
 
     With `compat` the place of the highest late pulse among the late pulses is
@@ -126,12 +126,12 @@ def _late_features(compat: bool) -> list[str]:
         "min_by(dom_time, CASE WHEN charge = q_max THEN i END) AS t_qmax",
         f"CASE WHEN max(n) < 6 THEN -1D ELSE coalesce({late_time}, -1D) END AS t_qmax_secondhalf",
         f"CASE WHEN max(n) < 2 THEN -1D ELSE coalesce(double(sum({first_half})), 0D) END AS Q_halftime",
-        _time_to_fraction(70),
-        _time_to_fraction(90),
+        _time_to_fraction(70, unreached),
+        _time_to_fraction(90, unreached),
     ]
 
 
-def _fold(annotated: DataFrame, late: bool, compat: bool, k: int) -> DataFrame:
+def _fold(annotated: DataFrame, late: bool, compat: bool, k: int, unreached: float) -> DataFrame:
     """One row per sensor; aggregates of primitives only, so all of it is generated code."""
     passed_on = [
         f"max(CASE WHEN i = 1 THEN {source} END) AS {name}"
@@ -146,13 +146,13 @@ def _fold(annotated: DataFrame, late: bool, compat: bool, k: int) -> DataFrame:
         "double(max(q_all)) AS Qtotal",
         *_first_k("hlc", "hlc", "int", k),
         *_first_k("dom_time", "t", "double", k),
-        _time_to_fraction(10),
-        _time_to_fraction(50),
+        _time_to_fraction(10, unreached),
+        _time_to_fraction(50, unreached),
         "CASE WHEN max(n) <= 1 THEN -1D ELSE stddev_pop(dom_time) END AS sigmaT",
         "max(n) AS n_pulses",
         "max(q_all) AS _q",
         *[f"sum(dom_{axis} * charge) AS _q{axis}" for axis in "xyz"],
-        *(_late_features(compat) if late else []),
+        *(_late_features(compat, unreached) if late else []),
     ]
     return annotated.groupBy(*SENSOR_KEYS).agg(*map(F.expr, aggregates))
 
@@ -161,7 +161,11 @@ _HIDDEN = ("_q", "_qx", "_qy", "_qz")
 
 
 def sensor_features(pulses: DataFrame, *args, **kwargs) -> DataFrame:
-    """Features of each (event, string, dom_number), without event-level columns."""
+    """Features of each (event, string, dom_number), without event-level columns.
+
+    `unreached` is the time to a charge fraction that is never exceeded, as with
+    sensors without charge; an older list-based variant gives 0 there.
+    """
     return _sensor_features(pulses, *args, **kwargs).drop(*_HIDDEN)
 
 
@@ -171,13 +175,14 @@ def _sensor_features(
     order_by: Sequence[str] = PULSE_ORDER,
     compat: bool = True,
     k: int = FIRST_K,
+    unreached: float = NOT_ENOUGH_PULSES,
     hot_rows: int = HOT_SENSOR_ROWS,
     one_task_bytes: int | None = None,
     sample_fraction: float = 0.001,
     partitions: int | None = None,
 ) -> DataFrame:
     def usual_way(rows: DataFrame) -> DataFrame:
-        return _fold(_annotate_in_windows(rows, order_by, late, compat), late, compat, k)
+        return _fold(_annotate_in_windows(rows, order_by, late, compat), late, compat, k, unreached)
 
     if fits_one_task(pulses, one_task_bytes):
         return usual_way(pulses)
@@ -187,7 +192,7 @@ def _sensor_features(
         return usual_way(pulses)
     usual, large = scan.split_by_groups(pulses, hot, SENSOR_KEYS, n_hot)
     in_chunks = _annotate_in_chunks(large, order_by, late, compat, partitions, n_hot)
-    return usual_way(usual).unionByName(_fold(in_chunks, late, compat, k))
+    return usual_way(usual).unionByName(_fold(in_chunks, late, compat, k, unreached))
 
 
 def _centroid(rows: DataFrame, charge: Column, moments: dict[str, Column]) -> DataFrame:

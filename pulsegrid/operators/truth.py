@@ -88,9 +88,9 @@ TRUTH_FEATURES: tuple[TruthFeature, ...] = (is_within_detector, segment_in_detec
 SUMMARY_FEATURES: tuple[SummaryFeature, ...] = (max_pair_distance,)
 
 
-def only_listed(table: DataFrame, receipt: DataFrame) -> DataFrame:
-    """Rows of events on the receipt."""
-    return table.join(receipt.select("event_no"), "event_no", "left_semi")
+def only_listed(table: DataFrame, receipt: DataFrame, keys: Sequence[str] = ("event_no",)) -> DataFrame:
+    """Rows of events on the receipt; `keys` may name shard and event."""
+    return table.join(receipt.select(*keys), list(keys), "left_semi").select(*table.columns)
 
 
 def build_truth(truth: DataFrame, pulses: DataFrame, doms: DataFrame, sides: Mapping[str, DataFrame | None],

@@ -191,6 +191,14 @@ def truth_prism_segment(spark, sf_dir):
     return rows.selectExpr("event_no", "vertex_place", *_round(["t_in", "t_out", "segment"], 5))
 
 
+@query
+def prism_crossings(spark, sf_dir):
+    pos, direction = (tuple(f"{k}_{axis}_GNHighestEDaughter" for axis in "xyz") for k in ("pos", "dir"))
+    points = geo.crossing_points(geo.line_span(pos, direction), pos, direction)
+    rows = fx.daughter(spark, sf_dir).select("event_no", *[c.alias(n) for n, c in points.items()])
+    return rows.selectExpr("event_no", "n_intersections", *_round([n for n in points if n != "n_intersections"], 4))
+
+
 @query
 def opening_angle(spark, sf_dir):
     pos, direction = _daughter_vectors()
@@ -385,6 +393,11 @@ def dom_activation_grid(spark, sf_dir):
     return detector.activation_grid(_grid_pulses(spark, sf_dir))
 
 
+@query
+def event_activation(spark, sf_dir):
+    return detector.event_activation(_grid_pulses(spark, sf_dir))
+
+
 @query
 def sensor_counts(spark, sf_dir):
     rows = detector.sensor_counts(fx.pulses(spark, sf_dir))
@@ -606,6 +619,11 @@ def energy_powerlaw_fit(spark, sf_dir):
     return out.select(*_rounded(["slope", "intercept", "chi2"], 5), F.col("dof").cast("long").alias("dof"))
 
 
+@query
+def energy_powerlaw_p_value(spark, sf_dir):
+    return stats.with_p_value(stats.power_law_fit(fx.truth(spark, sf_dir), "energy"))
+
+
 @query
 def doms_below_limits(spark, sf_dir):
     out = stats.class_fractions(labels.count_doms(fx.hits(spark, sf_dir)), "N_doms", [3, 5])
@@ -652,6 +670,18 @@ def busy_sensor_series(spark, sf_dir):
     return rows.selectExpr(*_KEYS, "n_pulses", "pulse_id", *_round(["dom_time", "charge"]))
 
 
+@query
+def busy_sensors_per_event(spark, sf_dir):
+    return stats.busy_sensors_per_event(fx.pulses(spark, sf_dir), 6)
+
+
+@query
+def shard_allow_list(spark, sf_dir):
+    placed = fx.placed(spark, sf_dir).select("event_no", "shard_no", "N_doms")
+    rows = fx.doms(spark, sf_dir).join(placed.select("event_no", "shard_no"), "event_no")
+    return labels.only_listed(rows, placed.where("N_doms >= 5"), ["shard_no", "event_no"]).select(*_KEYS, "shard_no")
+
+
 @query
 def marker_scale(spark, sf_dir):
     rows = stats.marker_scale(fx.doms(spark, sf_dir), "Qtotal")

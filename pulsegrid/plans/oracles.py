@@ -695,3 +695,18 @@ ORACLES["job_log_table"] = """
 SELECT o_custkey AS log, round(max(round(o_totalprice / 1000, 2)), 4) AS source_file_size_GB, round(max(round(o_totalprice / 100, 1)), 4) AS truth_file_size_MB,
   CAST(251.0 AS DOUBLE) AS memory_total_GB, CAST(245.71 AS DOUBLE) AS memory_available_GB, max(o_orderkey % 48) * 3600 + 307 AS elapsed_time_sec,
   max(o_orderkey % 48) || 'h 5m 7s' AS elapsed_time FROM orders GROUP BY 1"""
+
+_CROSSED = "NOT missed AND t_in < t_out"
+_EXACT_VERTEX = LABELLED.replace("CAST(CAST(px AS FLOAT) AS DOUBLE)", "px").replace("CAST(CAST(py AS FLOAT) AS DOUBLE)", "py").replace(
+    "CAST(CAST(pz AS FLOAT) AS DOUBLE)", "pz"
+)
+ORACLES["prism_crossings"] = f"""WITH {_EXACT_VERTEX}
+SELECT d.event_no, CASE WHEN {_CROSSED} THEN 2 ELSE 0 END AS n_intersections,
+  {', '.join(f'round(CASE WHEN {_CROSSED} THEN d.p{a} + {t} * d.d{a} END, 4) AS {end}_{a}' for end, t in (('entry', 't_in'), ('exit', 't_out')) for a in 'xyz')}
+FROM daughter d JOIN clipped USING (event_no)"""
+ORACLES["event_activation"] = """SELECT CAST(user_id AS INTEGER) AS event_no, CAST(59 - event_id % 60 AS INTEGER) AS grid_row,
+  CAST(user_id % 90 AS INTEGER) AS grid_column, count(*) AS n_pulses FROM events WHERE user_id % 90 < 86 GROUP BY 1, 2, 3"""
+ORACLES["busy_sensors_per_event"] = f"""WITH {PULSES}, s AS (SELECT {KEYS}, count(*) AS n FROM pulses GROUP BY {KEYS})
+SELECT event_no, count(*) AS n_sensors, max(n) AS most_pulses FROM s WHERE n > 6 GROUP BY event_no"""
+ORACLES["shard_allow_list"] = f"""WITH {PLACED}, {DOMS.replace(hits() + ',', '')}
+SELECT d.event_no, d.string, d.dom_number, p.shard_no FROM doms d JOIN placed p USING (event_no) WHERE p.N_doms >= 5"""

@@ -113,3 +113,9 @@ def test_no_bright_sensor_gives_markers(spark):
 def test_first_k_prunes_before_the_shuffle(spark):
     plan = summary.first_hlc_times(frame(spark, CASES.values()))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_unreached_fraction_of_the_list_variant(spark):
+    df = frame(spark, [CASES["no charge"]])
+    assert summary.sensor_features(df).collect()[0].T50 == -1
+    assert summary.sensor_features(df, unreached=0.0).collect()[0].T50 == 0

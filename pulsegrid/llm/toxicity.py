@@ -97,7 +97,7 @@ class ToxicityModel:
     def _packer(self, content: bytes):
         settings = zstandard.ZstdCompressionParameters(
             window_log=15, hash_log=13, chain_log=14, search_log=5, min_match=4, target_length=16,
-            strategy=zstandard.STRATEGY_GREEDY, write_checksum=False, write_content_size=False, write_dict_id=False,
+            strategy=zstandard.STRATEGY_LAZY2, write_checksum=False, write_content_size=False, write_dict_id=False,
         )
         words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if content else None
         return zstandard.ZstdCompressor(dict_data=words, compression_params=settings).compress
@@ -116,12 +116,12 @@ class ToxicityModel:
         return count
 
     def features(self, tallies: np.ndarray) -> np.ndarray:
-        """One row per document from its tally: 1, signed root of the summed ratio, that per window, telling windows."""
+        """One row per document from its tally: 1, root of the summed ratio, that per window, windows, windows by least gain."""
         tallies = np.atleast_2d(tallies).astype(float)
         n = tallies.sum(axis=1)
         evidence = tallies @ np.array(self.ratio)
-        telling = tallies[:, 2 - _LOW :].sum(axis=1)
-        return np.column_stack([np.ones(len(n)), np.cbrt(evidence), evidence / np.maximum(n, 1), np.log1p(telling), np.log1p(n)])
+        at_least = [np.log1p(tallies[:, gain - _LOW :].sum(axis=1)) for gain in (2, 3, 4, 6)]
+        return np.column_stack([np.ones(len(n)), np.cbrt(evidence), evidence / np.maximum(n, 1), np.log1p(n), *at_least])
 
     def scores(self, tallies: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-np.clip(self.features(tallies) @ np.array(self.weights), -40, 40)))

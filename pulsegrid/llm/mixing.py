@@ -96,16 +96,16 @@ def plan_mix(rows: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MO
     n = per_class.count()
     sizes = per_class.groupBy("source").agg(F.sum("_words").alias("source_size"))
     targets = source_targets(sizes, weights, most).withColumnRenamed("source", "_s")
-    whole = F.floor(F.col("target") / F.col("source_size"))
+    whole = F.floor(F.try_divide(F.col("target"), F.col("source_size").cast("double")))
     shared = per_class.join(targets, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    shared = shared.withColumn("_whole", F.when(F.col("source_size") > 0, F.least(whole, F.lit(most))).otherwise(0).cast("long"))
+    shared = shared.withColumn("_whole", F.coalesce(F.least(whole, F.lit(most)), F.lit(0)).cast("long"))
     shared = shared.withColumn("_rest", F.col("target") - F.col("_whole") * F.col("source_size"))
     # Inclusion probability in proportion to the class, 1 at most: classes are filled from the longest down.
     down = Window.partitionBy("source").orderBy(F.desc("_class"))
     before = down.rowsBetween(Window.unboundedPreceding, -1)
     onward = down.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     weight = F.col("_class") * F.col("_words")
-    rate = (F.col("_rest") - F.coalesce(F.sum("_words").over(before), F.lit(0))) / F.sum(weight).over(onward)
+    rate = F.try_divide(F.col("_rest") - F.coalesce(F.sum("_words").over(before), F.lit(0)), F.sum(weight).over(onward).cast("double"))
     rated = shared.withColumn("_rate", rate)
     fits = F.min(F.when(F.col("_rate") * F.col("_class") <= 1, F.struct((-F.col("_class")).alias("o"), "_rate"))).over(Window.partitionBy("source"))
     rated = rated.withColumn("_fit", fits["_rate"])

@@ -10,6 +10,9 @@ cells one bit up, so every near pair meets in exactly one of its two directions.
 Bit counts of four wide segments bound the distance once more before the exact
 comparison.
 
+A fingerprint may have several 64-bit words.  Then two are linked if some word differs
+in few enough bits and all words together do; every word has its own grid.
+
 A cell in which many fingerprints meet is not joined pair by pair: its members are
 compared in chunks, and each pair of chunks gives only the edges of a spanning
 forest, so links between all of its texts are kept without listing all pairs.
@@ -18,6 +21,7 @@ forest, so links between all of its texts are kept without listing all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -31,6 +35,19 @@ from pulsegrid.operators.scan import broadcast_checked
 from pulsegrid.runtime import pin
 
 SHINGLE, MOST_BITS = 4, 4
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Linked are fingerprints of which some word has at most `most_bits` differing bits, and all words together at most `total_bits`."""
+
+    shingle: int = SHINGLE
+    most_bits: int = MOST_BITS
+    words: int = 1
+    total_bits: int = 64
+
+
+CONTRACT = Rule()
 # Cells in which members times probes exceed this are compared in chunks of CHUNK fingerprints.
 PAIRS_IN_CELL = 1_024
 CHUNK = 1_024
@@ -49,10 +66,24 @@ def _byte_pieces(raw: bytes) -> Iterator[bytes]:
     yield raw[start:]
 
 
-def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
-    """Unsigned SimHash of the word shingles of a UTF-8 text, A-Z in lower case; a bit is set if over half the hashes have it."""
+def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
+    """Hashes for another word of the fingerprint: the same for word 0, else stirred by multiplying and folding."""
+    if word:
+        hashes = hashes + np.uint64((0x9E3779B97F4A7C15 * word) & (1 << 64) - 1)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            hashes = (hashes ^ (hashes >> np.uint64(shift))) * np.uint64(factor)
+        hashes = hashes ^ (hashes >> np.uint64(31))
+    return hashes
+
+
+def _bits(hashes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def fingerprint(raw: bytes, shingle: int = SHINGLE, n_words: int = 1) -> list[int]:
+    """Unsigned SimHash words of the word shingles of a UTF-8 text, A-Z in lower case; a bit is set if over half the hashes have it."""
     digest = xxhash.xxh64_intdigest
-    tally, n, words = np.zeros(64, np.int64), 0, []
+    tally, n, words = np.zeros((n_words, 64), np.int64), 0, []
     for part in _byte_pieces(raw):
         words += part.lower().split()
         if len(words) < shingle:
@@ -61,22 +92,58 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
         starts = np.concatenate([[0], ends[: len(words) - shingle] + 1])
         hashes = [digest(joined[a:b], 42) for a, b in zip(starts.tolist(), ends[shingle - 1 :].tolist(), strict=True)]
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        tally += bits.sum(axis=0, dtype=np.int64)
+        found = np.array(hashes, "<u8")
+        tally += np.stack([_bits(_mixed(found, w)) for w in range(n_words)])
         n += len(hashes)
         words = words[len(words) - shingle + 1 :]
+    if not n and not words:
+        return [0] * n_words
     if not n:
-        return digest(b" ".join(words), 42) if words else 0
-    return int(np.packbits(2 * tally > n, bitorder="little").view("<u8")[0])
+        whole = np.array([digest(b" ".join(words), 42)], "<u8")
+        return [int(_mixed(whole, w)[0]) for w in range(n_words)]
+    return [int(x) for x in np.packbits(2 * tally > n, axis=1, bitorder="little").view("<u8").ravel()]
 
 
-def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, keep: list[str] | None = None) -> DataFrame:
-    """`docs` (or its columns `keep`) with `fp`, the fingerprint as a signed long; 0 for a null text or one without words."""
+def fingerprints(docs: DataFrame, text: str = "text", rule: Rule = CONTRACT, keep: list[str] | None = None) -> DataFrame:
+    """`docs` (or its columns `keep`) with `fp`: the fingerprint as a signed long, or several as an array.
+
+    0 for a null text or one without words.
+    """
 
     def make():
-        return lambda texts: [np.array([fingerprint(t or b"", shingle) for t in texts], np.uint64).view(np.int64)]
+        def work(texts: list[bytes | None]) -> list:
+            found = np.array([fingerprint(t or b"", rule.shingle, rule.words) for t in texts], np.uint64).view(np.int64)
+            return [found.ravel() if rule.words == 1 else pa.array(found.tolist(), pa.list_(pa.int64()))]
+
+        return work
 
-    return with_scanned(docs, text, [("fp", pa.int64(), "long")], make, keep, binary=True)
+    return with_scanned(docs, text, [("fp", _kind(rule), _sql(rule))], make, keep, binary=True)
+
+
+def _kind(rule: Rule) -> pa.DataType:
+    return pa.int64() if rule.words == 1 else pa.list_(pa.int64())
+
+
+def _sql(rule: Rule) -> str:
+    return "long" if rule.words == 1 else "array<long>"
+
+
+def _words(fp: Column, rule: Rule) -> list[Column]:
+    return [fp] if rule.words == 1 else [F.get(fp, F.lit(i)) for i in range(rule.words)]
+
+
+def _as_matrix(column: pa.Array | pa.ChunkedArray, rule: Rule) -> np.ndarray:
+    """Fingerprints as rows of unsigned words."""
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = whole if rule.words == 1 else whole.flatten()
+    return flat.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64).reshape(-1, rule.words)
+
+
+def _as_column(rows: np.ndarray, rule: Rule) -> pa.Array:
+    signed = np.ascontiguousarray(rows).view(np.int64)
+    if rule.words == 1:
+        return pa.array(signed.ravel())
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(signed) + 1) * rule.words, pa.int32()), pa.array(signed.ravel()))
 
 
 def block_edges(most_bits: int) -> list[tuple[int, int]]:
@@ -86,43 +153,40 @@ def block_edges(most_bits: int) -> list[tuple[int, int]]:
 
 
 def _cells(fps: np.ndarray, blocks: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(block, cell, fingerprint, stands there?) of the own cells and of those one bit up."""
-    out = []
+    """(block, cell, place of the fingerprint, stands there?) of the own cells and of those one bit up, for words of one kind."""
+    out, everyone = [], np.arange(len(fps))
+    even = np.uint64(0x5555555555555555)
     for b, (low, high) in enumerate(blocks):
-        width = high - low
-        own = (fps >> np.uint64(low)) & np.uint64((1 << width) - 1)
-        variants = [(own, np.ones(len(fps), bool), None)]
-        for i in range(width):
+        own = (fps >> np.uint64(low)) & np.uint64((1 << (high - low)) - 1)
+        variants = [(own, everyone, True)]
+        for i in range(high - low):
             bit = np.uint64(1 << i)
-            variants.append((own | bit, np.zeros(len(fps), bool), (own & bit) == 0))
-        for bits, stands, which in variants:
-            if which is not None:
-                bits, stands, members = bits[which], stands[which], fps[which]
-            else:
-                members = fps
-            # counts of the segments {i, i + 1}, two bits each, cell vector packed into one or two longs
-            even = np.uint64(0x5555555555555555)
-            pairs = (bits & even) + ((bits >> np.uint64(1)) & even)
+            which = np.flatnonzero((own & bit) == 0)
+            variants.append((own[which] | bit, which, False))
+        for bits, which, stands in variants:
+            # Bit counts of the segments {0,1}, {2,3}, ... and of {1,2}, {3,4}, ..., two bits each; blocks have at most 32 bits.
             shifted = bits << np.uint64(1)
-            odd = (shifted & even) + ((shifted >> np.uint64(1)) & even)
-            out.append((np.full(len(bits), b), pairs | (odd << np.uint64(32)) if width <= 31 else pairs * np.uint64(0x9E3779B97F4A7C15) ^ odd, members, stands))
+            counts = (bits & even) + ((bits >> np.uint64(1)) & even)
+            between = (shifted & even) + ((shifted >> np.uint64(1)) & even)
+            cell = counts | (between << np.uint64(32)) if high - low < 31 else counts * np.uint64(0x9E3779B97F4A7C15) ^ between
+            out.append((np.full(len(bits), b), cell, which, np.full(len(bits), stands)))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def grid(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+def grid(prints: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """(block, cell, fp, stands): where the distinct fingerprints of `prints` stand and where they are probed."""
-    blocks = block_edges(most_bits)
-    schema = pa.schema([("block", pa.int32()), ("cell", pa.int64()), ("fp", pa.int64()), ("stands", pa.bool_())])
+    blocks = block_edges(rule.most_bits)
+    schema = pa.schema([("block", pa.int32()), ("cell", pa.int64()), ("fp", _kind(rule)), ("stands", pa.bool_())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            block, cell, members, stands = _cells(fps, blocks)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block, pa.int32()), pa.array(cell.view(np.int64)), pa.array(members.view(np.int64)), pa.array(stands)], schema=schema
-            )
+            fps = _as_matrix(batch.column(0), rule)
+            for w in range(rule.words):
+                block, cell, which, stands = _cells(fps[:, w], blocks)
+                columns = [pa.array(block + w * len(blocks), pa.int32()), pa.array(cell.view(np.int64)), _as_column(fps[which], rule), pa.array(stands)]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return prints.select("fp").mapInArrow(run, "block int, cell long, fp long, stands boolean")
+    return prints.select("fp").mapInArrow(run, f"block int, cell long, fp {_sql(rule)}, stands boolean")
 
 
 def _bits_apart(a: Column, b: Column) -> Column:
@@ -135,12 +199,22 @@ def _least_apart(a: Column, b: Column) -> Column:
     return reduce(lambda x, y: x + y, [F.abs(count(a, i) - count(b, i)) for i in range(4)])
 
 
-def _forest(fps: np.ndarray, most_bits: int) -> list[tuple[int, int]]:
-    """Edges from each fingerprint to the first of its component, among these alone."""
+def _near(a: Column, b: Column, rule: Rule) -> Column:
+    """The rule as a condition; the bound by bit counts comes first."""
+    pairs = list(zip(_words(a, rule), _words(b, rule), strict=True))
+    bound = reduce(lambda x, y: x | y, [_least_apart(x, y) <= rule.most_bits for x, y in pairs])
+    apart = [_bits_apart(x, y) for x, y in pairs]
+    close = (apart[0] if rule.words == 1 else F.least(*apart)) <= rule.most_bits
+    return bound & close & (reduce(lambda x, y: x + y, apart) <= rule.total_bits)
+
+
+def _forest(fps: np.ndarray, rule: Rule) -> np.ndarray:
+    """Places of the edges of a spanning forest, each between two that the rule links."""
     n = len(fps)
     near = np.empty((n, n), bool)
     for i in range(0, n, 256):
-        near[i : i + 256] = np.bitwise_count(fps[i : i + 256, None] ^ fps[None, :]) <= most_bits
+        apart = np.bitwise_count(fps[i : i + 256, None, :] ^ fps[None, :, :])
+        near[i : i + 256] = (apart.min(axis=2) <= rule.most_bits) & (apart.sum(axis=2, dtype=np.int64) <= rule.total_bits)
     left, edges = np.ones(n, bool), []
     for root in range(n):
         if not left[root]:
@@ -150,17 +224,19 @@ def _forest(fps: np.ndarray, most_bits: int) -> list[tuple[int, int]]:
         while len(front):
             reached = near[front].any(axis=0) & left
             left &= ~reached
-            front = np.flatnonzero(reached)
-            edges += [(root, int(i)) for i in front]
-    return edges
+            fresh = np.flatnonzero(reached)
+            via = front[near[np.ix_(front, fresh)].argmax(axis=0)]
+            edges += zip(via.tolist(), fresh.tolist(), strict=True)
+            front = fresh
+    return np.array(edges, np.int64).reshape(-1, 2)
 
 
-def links(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
-    """(a, b): pairs of distinct fingerprints at most `most_bits` apart that connect all that are.
+def links(prints: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
+    """(a, b): pairs of distinct fingerprints that the rule links, enough to connect all that it links.
 
     Pairs that meet in a crowded cell are given by spanning forests, all others one by one.
     """
-    cells = pin(grid(prints, most_bits))
+    cells = pin(grid(prints, rule))
     key = ["block", "cell"]
     load = cells.groupBy(*key).agg(F.count(F.when(F.col("stands"), 1)).alias("_own"), F.count(F.lit(1)).alias("_all"))
     crowded = pin(load.where(F.col("_own") * F.col("_all") > PAIRS_IN_CELL))
@@ -169,10 +245,9 @@ def links(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     calm = cells.join(names, key, "left_anti")
     left = calm.where("stands").select(*key, F.col("fp").alias("a"))
     right = calm.select(*key, F.col("fp").alias("b"), "stands")
-    near = (_least_apart(F.col("l.a"), F.col("r.b")) <= most_bits) & (_bits_apart(F.col("l.a"), F.col("r.b")) <= most_bits)
     once = ~F.col("r.stands") | (F.col("l.a") < F.col("r.b"))
     on = (F.col("l.block") == F.col("r.block")) & (F.col("l.cell") == F.col("r.cell"))
-    pairs = left.alias("l").join(right.alias("r"), on & once & near).select("a", "b")
+    pairs = left.alias("l").join(right.alias("r"), on & once & _near(F.col("l.a"), F.col("r.b"), rule)).select("a", "b")
     if not n_crowded:
         return pairs
 
@@ -181,14 +256,14 @@ def links(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     members = members.withColumn("_chunk", F.pmod(F.xxhash64("fp", F.lit(5)), F.col("_chunks")).cast("int"))
     members = members.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
     members = members.select(*key, F.least("_chunk", "_other").alias("_i"), F.greatest("_chunk", "_other").alias("_j"), "fp")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("a", _kind(rule)), ("b", _kind(rule))])
 
     def forest(group: pa.Table) -> pa.Table:
-        fps = np.unique(group.column("fp").to_numpy())
-        edges = np.array(_forest(fps.view(np.uint64), most_bits), np.int64).reshape(-1, 2)
-        return pa.table([fps[edges[:, 0]], fps[edges[:, 1]]], schema=schema)
+        fps = np.unique(_as_matrix(group.column("fp"), rule), axis=0)
+        edges = _forest(fps, rule)
+        return pa.table([_as_column(fps[edges[:, 0]], rule), _as_column(fps[edges[:, 1]], rule)], schema=schema)
 
-    return pairs.unionByName(members.groupBy(*key, "_i", "_j").applyInArrow(forest, "a long, b long"))
+    return pairs.unionByName(members.groupBy(*key, "_i", "_j").applyInArrow(forest, f"a {_sql(rule)}, b {_sql(rule)}"))
 
 
 def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
@@ -214,37 +289,38 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def classes(prints: DataFrame, most_bits: int = MOST_BITS, doc_id: str = "doc_id") -> DataFrame:
-    """Rows of `prints` (with `fp`) and `component_id`, the smallest id reachable over links of at most `most_bits` bits.
+def classes(prints: DataFrame, rule: Rule = CONTRACT, doc_id: str = "doc_id") -> DataFrame:
+    """Rows of `prints` (with `fp`) and `component_id`, the smallest id reachable over links.
 
     Equal fingerprints are linked, that of empty texts too.  Null ids are members
     but never name a component, unless it has no other.  Repeated rows stay.
     """
     prints = pin(prints)
     firsts = pin(prints.groupBy("fp").agg(F.min(doc_id).alias("_first")))
-    roots = components(links(firsts, most_bits)).select(F.col("node").alias("fp"), "root")
+    roots = components(links(firsts, rule)).select(F.col("node").alias("fp"), "root")
     named = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("_first").alias("component_id"))
     return prints.join(named.select("fp", "root").join(least, "root").select("fp", "component_id"), "fp")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, most_bits: int = MOST_BITS) -> DataFrame:
-    """doc_id, fingerprint (16 hexadecimal digits) and component_id of every row of `docs`."""
-    prints = fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", shingle, keep=["doc_id"])
-    found = classes(prints, most_bits)
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Rule = CONTRACT) -> DataFrame:
+    """doc_id, fingerprint (16 hexadecimal digits a word) and component_id of every row of `docs`."""
+    prints = fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", rule, keep=["doc_id"])
+    found = classes(prints, rule)
+    digits = F.concat(*[F.lpad(F.hex(w), 16, "0") for w in _words(F.col("fp"), rule)])
+    return found.select("doc_id", F.lower(digits).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int, most_bits: int) -> DataFrame:
+def keep_one(docs: DataFrame, rule: Rule) -> DataFrame:
     """`docs` without near copies: of each component the row with the smallest (id, text hash) stays; null ids come last.
 
     Fully equal rows count as copies of each other.  Texts move once, to meet the rows that stay.
     """
     order = docs.columns
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
-    prints = pin(fingerprints(hashed, "text", shingle, keep=["doc_id", "_hash"]).withColumn("_row", F.struct(F.isnull("doc_id").alias("n"), "doc_id", "_hash")))
+    prints = pin(fingerprints(hashed, "text", rule, keep=["doc_id", "_hash"]).withColumn("_row", F.struct(F.isnull("doc_id").alias("n"), "doc_id", "_hash")))
     firsts = pin(prints.groupBy("fp").agg(F.min("_row").alias("_first")))
-    roots = components(links(firsts, most_bits)).select(F.col("node").alias("fp"), "root")
+    roots = components(links(firsts, rule)).select(F.col("node").alias("fp"), "root")
     named = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     winners = named.groupBy("root").agg(F.min("_first").alias("w")).select(F.col("w.doc_id").alias("_w_id"), F.col("w._hash").alias("_w_hash"))
     repeated = prints.groupBy("doc_id", "_hash").count().where("count > 1").select(F.col("doc_id").alias("_w_id"), F.col("_hash").alias("_w_hash"), F.lit(True).alias("_repeated"))

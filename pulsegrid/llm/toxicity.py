@@ -8,7 +8,9 @@ dictionary equally well either way, so its gain is about 0.
 
 How often each gain occurs in windows of toxic and of ordinary labelled texts
 gives a log-likelihood ratio per window; a logistic curve fitted on labelled
-documents that took no part in training turns a document's sums into a score.
+documents turns a document's sums into a score.  For both, each half of the sample
+is compressed with dictionaries trained on the other half; the final dictionaries
+are trained on all of it.
 
 The models are fitted on a bounded sample of labelled rows (`SAMPLE_DOCS` of
 each label, those with the smallest id hash); scores cover every window of every
@@ -34,12 +36,12 @@ from pulsegrid.runtime import pin
 WINDOW, STRIDE = 64, 48
 THRESHOLD = 0.7
 SAMPLE_DOCS = 2_000
-SAMPLE_WINDOWS = 12_000
+SAMPLE_WINDOWS = 10_000
 SAMPLE_WINDOW_CHARS = 1_000
 ORDINARY_BYTES, TOXIC_BYTES = 8_192, 4_096
 GRAM = 5
 LIFT = 6.0
-LEAST_CONTEXTS = 8
+LEAST_CONTEXTS = 5
 _LOW, _HIGH = -4, 12  # gains outside count as the nearest of these
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -56,16 +58,18 @@ def windows(text: str) -> list[bytes]:
 
 
 def _contexts(texts: Sequence[str]) -> tuple[Counter, int]:
-    """For each n-gram of the words: in how many different word triples it occurs, so that copies count once."""
-    seen, total = defaultdict(set), 0
+    """For each n-gram of the words: in how many different neighbourhoods it occurs, and how many there are; copies count once."""
+    around = defaultdict(set)
     for text in texts:
         words = ["", *text.split(), ""]
-        total += len(words)
         for before, word, after in zip(words, words[1:], words[2:]):
-            padded, key = f" {word} ", (before, word, after)
-            for i in range(len(padded) - GRAM + 1):
-                seen[padded[i : i + GRAM]].add(key)
-    return Counter({g: len(s) for g, s in seen.items()}), total
+            around[word].add(hash((before, after)))
+    found: Counter = Counter()
+    for word, places in around.items():
+        padded = f" {word} "
+        for gram in {padded[i : i + GRAM] for i in range(len(padded) - GRAM + 1)}:
+            found[gram] += len(places)
+    return found, sum(map(len, around.values()))
 
 
 def telling_passages(toxic: Sequence[str], ordinary: Sequence[str]) -> list[str]:
@@ -144,8 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", sample_docs: i
     """Fit on the rows of `docs` that `labels` (doc_id, toxic) marks 0 or 1; ids with both marks count as toxic.
 
     At most `sample_docs` ids of each label are used, those with the smallest
-    hash.  Half of them trains the dictionaries, half the thresholds.  Without
-    labelled rows of both kinds every score is 0.
+    hash.  Without labelled rows of both kinds in both halves every score is 0.
     """
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("_toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -155,7 +158,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", sample_docs: i
         ids = some if ids is None else ids.union(some)
     # at most two times sample_docs ids: a proven bound
     sample = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
-    sample = pin(sample.select("text", "_toxic", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0).alias("_fits")))
+    sample = pin(sample.select("text", "_toxic", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int").alias("_half")))
 
     def cut():
         def work(texts: list[str | None]) -> list:
@@ -167,30 +170,35 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", sample_docs: i
 
         return work
 
-    parts = with_scanned(sample.where("_fits"), "text", [("cut", pa.list_(pa.string()), "array<string>")], cut, keep=["_toxic"])
-    parts = parts.select("_toxic", F.explode("cut").alias("cut"))
-    known = {
-        kind: sorted(r.cut for r in parts.where(F.col("_toxic") == kind).orderBy(F.xxhash64("cut"), "cut").limit(SAMPLE_WINDOWS).collect())
-        for kind in (0, 1)
-    }
-    if not known[0] or not known[1]:
+    parts = with_scanned(sample, "text", [("cut", pa.list_(pa.string()), "array<string>")], cut, keep=["_toxic", "_half"])
+    parts = parts.select("_toxic", "_half", F.explode("cut").alias("cut"))
+    known: dict[tuple[int, int], list[str]] = {}
+    for kind in (0, 1):
+        chosen = parts.where(F.col("_toxic") == kind).orderBy(F.xxhash64("cut"), "cut").limit(SAMPLE_WINDOWS).collect()
+        for half in (0, 1):
+            known[kind, half] = sorted(r.cut for r in chosen if r._half == half)
+    if not all(known.values()):
         return ToxicityModel(b"", b"")
-    whole = [w for t in known[0] for w in windows(t)]
-    ordinary = _dictionary(whole[:: max(1, len(whole) // 60_000)], ORDINARY_BYTES)
-    telling = telling_passages(known[1], known[0])
-    model = ToxicityModel(ordinary, "".join(telling).encode("utf-8", "surrogatepass")[-TOXIC_BYTES:])
-
-    tallies = _with_tallies(sample.where("not _fits"), model, "text", ["_toxic"]).collect()
+    tallies = []
+    for half in (0, 1):
+        other = _dictionaries(known[1, half], known[0, half])
+        tallies += _with_tallies(sample.where(F.col("_half") == 1 - half), other, "text", ["_toxic"]).collect()
+    model = _dictionaries(known[1, 0] + known[1, 1], known[0, 0] + known[0, 1])
     gains = np.array([r.tally for r in tallies], np.int64).reshape(-1, _HIGH - _LOW + 1)
     marked = np.array([r._toxic for r in tallies])
-    if len(set(marked.tolist())) < 2:
-        return ToxicityModel(b"", b"")
     often = [gains[marked == kind].sum(axis=0) + 0.5 for kind in (0, 1)]
     ratio = np.log(often[1] / often[1].sum()) - np.log(often[0] / often[0].sum())
     model = ToxicityModel(model.ordinary, model.toxic, tuple(float(x) for x in ratio))
     return ToxicityModel(model.ordinary, model.toxic, model.ratio, _fit_weights(model.features(gains), marked))
 
 
+def _dictionaries(toxic: Sequence[str], ordinary: Sequence[str]) -> ToxicityModel:
+    """Both dictionaries, of at most ORDINARY_BYTES and TOXIC_BYTES; the most frequent passages stand last, nearest to what follows."""
+    whole = [w for t in ordinary for w in windows(t)]
+    telling = "".join(telling_passages(toxic, ordinary)).encode("utf-8", "surrogatepass")
+    return ToxicityModel(_dictionary(whole[:: max(1, len(whole) // 60_000)], ORDINARY_BYTES), telling[-TOXIC_BYTES:])
+
+
 def _dictionary(samples: list[bytes], size: int) -> bytes:
     """Trained dictionary; the samples themselves where they are too few to train one."""
     try:

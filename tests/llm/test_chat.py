@@ -14,7 +14,7 @@ MESSAGES = [
 
 def test_links_and_threads(spark):
     rows = {(r.conv_id, r.turn): r for r in chat.reply_ordered(spark.createDataFrame(MESSAGES, TALK)).collect()}
-    assert {k: r.reply_to for k, r in rows.items()} == {(1, 0): None, (1, 1): 0, (1, 2): None, (1, 3): 1, (1, 4): 1, (1, 5): None, (2, 0): None}
+    assert {k: r.reply_to for k, r in rows.items()} == {(1, 0): None, (1, 1): 0, (1, 2): None, (1, 3): 1, (1, 4): 3, (1, 5): None, (2, 0): None}
     assert {k: r.thread for k, r in rows.items()} == {(1, 0): 0, (1, 1): 0, (1, 2): 2, (1, 3): 0, (1, 4): 0, (1, 5): 5, (2, 0): 0}
     assert [rows[1, t].n_quotes for t in range(6)] == [0, 1, 0, 2, 2, 1]
     assert rows[1, 1].text == "Use strong tape."

@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from corpus_pipeline import NEAR
 from pulsegrid.llm import near
 from tests.llm.helpers import AWKWARD, SF, clashing, docs
 
@@ -19,9 +20,11 @@ def naive(text, k):
 @pytest.mark.parametrize("k", [1, 4, 5])
 def test_fingerprint(k, monkeypatch):
     texts = ["", "one", "A b C", "a b c d", "a b c d e", "A-Z É ß\x1cx y\x0bz q r s " * 7, " lead and trail \n"]
-    assert [near.fingerprint(t.encode(), k) for t in texts] == [naive(t, k) for t in texts]
+    assert [near.fingerprint(t.encode(), k) for t in texts] == [[naive(t, k)] for t in texts]
+    two = [near.fingerprint(t.encode(), k, 2) for t in texts]
+    assert [t[0] for t in two] == [naive(t, k) for t in texts] and two[0][1] == 0 and two[3][1] not in (0, two[3][0])
     monkeypatch.setattr(near, "_PIECE", 13)
-    assert [near.fingerprint(t.encode(), k) for t in texts] == [naive(t, k) for t in texts]
+    assert [near.fingerprint(t.encode(), k, 2) for t in texts] == two
 
 
 def brute(fps, most):
@@ -58,7 +61,7 @@ def test_links_give_all_components(spark, monkeypatch, most, crowd):
     fps = families(most)
     signed = [int(np.uint64(f).astype(np.int64)) for f in fps]
     frame = spark.createDataFrame([(s,) for s in signed], "fp long")
-    edges = near.links(frame, most).collect()
+    edges = near.links(frame, near.Rule(most_bits=most)).collect()
     back = dict(zip(signed, fps, strict=True))
     assert edges and all((back[a] ^ back[b]).bit_count() <= most for a, b in edges)
     got = {back[r.node]: r.root for r in near.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -73,6 +76,39 @@ def test_links_give_all_components(spark, monkeypatch, most, crowd):
             assert {got[m] for m in members} == {min(int(np.uint64(m).astype(np.int64)) for m in members)}
 
 
+@pytest.mark.parametrize("crowd", [10, 1_000_000])
+def test_two_words(spark, monkeypatch, crowd):
+    monkeypatch.setattr(near, "PAIRS_IN_CELL", crowd)
+    monkeypatch.setattr(near, "CHUNK", 7)
+    rule = near.Rule(most_bits=3, words=2, total_bits=8)
+    fps = families(9, n=25, each=10, flips=4)
+    rng = random.Random(4)
+    both = sorted({(f, f ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(8)))) for f in fps})
+    signed = [[int(np.uint64(w).astype(np.int64)) for w in f] for f in both]
+    edges = near.links(spark.createDataFrame([(s,) for s in signed], "fp array<long>"), rule).collect()
+    root = {tuple(s): tuple(s) for s in signed}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    def linked(f, g):
+        apart = [(a ^ b).bit_count() for a, b in zip(f, g, strict=True)]
+        return min(apart) <= 3 and sum(apart) <= 8
+
+    back = dict(zip(map(tuple, signed), both, strict=True))
+    assert edges and all(linked(back[tuple(a)], back[tuple(b)]) for a, b in edges)
+    for i, f in enumerate(both):
+        for j in range(i):
+            if linked(f, both[j]):
+                x, y = sorted((find(tuple(signed[i])), find(tuple(signed[j]))))
+                root[y] = x
+    got = {tuple(r.node): tuple(r.root) for r in near.components(spark.createDataFrame(edges, "a array<long>, b array<long>")).collect()}
+    want = {s: find(s) for s in root}
+    assert got == {s: r for s, r in want.items() if sum(x == r for x in want.values()) > 1}
+
+
 def test_segment_bound_is_a_lower_bound(spark):
     rng = np.random.default_rng(1)
     pairs = rng.integers(-(2**63), 2**63 - 1, (500, 2))
@@ -103,7 +139,7 @@ def test_awkward_rows(spark):
 
 def test_empty_table(spark):
     assert near.near_duplicates(docs(spark, [])).count() == 0
-    assert near.keep_one(docs(spark, []), 5, 5).count() == 0
+    assert near.keep_one(docs(spark, []), NEAR).count() == 0
 
 
 def test_documents_against_brute_force(spark):
@@ -119,7 +155,7 @@ def test_documents_against_brute_force(spark):
 
 
 def test_keep_one(spark):
-    kept = near.keep_one(clashing(docs(spark), "_first"), 5, 5)
+    kept = near.keep_one(clashing(docs(spark), "_first"), NEAR)
     assert kept.columns == [*docs(spark).columns, "_first"]
     ids = sorted((r.doc_id or -1) for r in kept.collect())
     assert ids == [-1, 1, 4, 5, 7, 8, 9, 10]

@@ -7,7 +7,6 @@ import corpus_pipeline
 from pulsegrid.llm import mixing, near, secrets, toxicity
 from pulsegrid.llm.queries import VOCABULARY
 from tests.llm.helpers import AWKWARD, SF, clashing, docs
-from tests.llm.test_near import brute, naive
 
 
 @pytest.fixture(scope="module")
@@ -32,11 +31,17 @@ def test_toxicity(spark, steps):
 
 def test_near_copies(steps):
     before, after = steps[1].collect(), steps[2].collect()
-    fps = {r.doc_id: naive(r.text, corpus_pipeline.SHINGLE) for r in before}
-    roots = brute(sorted(set(fps.values())), corpus_pipeline.MOST_BITS)
-    least = {}
-    for i, f in fps.items():
-        least[roots[f]] = min(i, least.get(roots[f], i))
+    rule = corpus_pipeline.NEAR
+    fps = {r.doc_id: tuple(near.fingerprint(r.text.encode(), rule.shingle, rule.words)) for r in before}
+    group = {i: i for i in fps}
+    ids = sorted(fps)
+    for i in ids:
+        for j in ids:
+            apart = [(a ^ b).bit_count() for a, b in zip(fps[i], fps[j], strict=True)]
+            if j < i and min(apart) <= rule.most_bits and sum(apart) <= rule.total_bits and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = {k: low if g == high else g for k, g in group.items()}
+    least = {g: g for g in group.values()}
     assert sorted(r.doc_id for r in after) == sorted(least.values())
     assert after[0].__fields__ == before[0].__fields__
 
@@ -77,4 +82,3 @@ def test_awkward_tables_pass_every_stage(spark, tmp_path, rows):
         if i < len(corpus_pipeline.STAGES) - 1:
             assert after.columns == frame.columns
         frame = after
-    assert near.SHINGLE == 4

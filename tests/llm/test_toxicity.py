@@ -22,17 +22,30 @@ def test_windows_cover_the_whole_text():
     assert toxicity.windows("") == [b"  "]
 
 
+def varied(n, seed, insults=()):
+    """Texts of random words, with insults in random places."""
+    import random
+
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abdeglnorstu") for _ in range(rng.randrange(2, 7))) for _ in range(60)]
+    out = []
+    for _ in range(n):
+        text = [rng.choice(words) for _ in range(60)]
+        for _ in range(6 if insults else 0):
+            text.insert(rng.randrange(len(text)), rng.choice(insults))
+        out.append(" ".join(text))
+    return out
+
+
 def test_telling_passages_ignore_copies():
-    ordinary = ["the day was long and the road was dry"] * 3
-    toxic = [f"w{chr(97 + i)} the day you fool w{chr(110 - i)} road" for i in range(12)] + ["copied nonsense words here"] * 50
-    found = toxicity.telling_passages(toxic, ordinary)
-    assert any("fool" in p for p in found) and not any("nonse" in p for p in found)
+    toxic = [*varied(100, 1, ["gronkwit", "snarfle"]), *["copied nonsense words here"] * 500]
+    found = toxicity.telling_passages(toxic, varied(150, 1))
+    assert any("gronkwit" in p for p in found) and any("snarfle" in p for p in found) and not any("nonse" in p for p in found)
 
 
 def test_awkward_rows(spark):
-    bad = "you awful gronk of a snarfle and more plain words"
-    good = "the river runs by the old mill and the town sleeps"
-    rows = [(100 + i, (bad if i % 2 else good) + f" number{i} {chr(97 + i % 26)}{chr(97 + i // 26)}", "en", "a", 0) for i in range(200)]
+    good, bad = varied(200, 5), varied(200, 5, ["gronkwit", "snarfle"])
+    rows = [(100 + i, bad[i] if i % 2 else good[i], "en", "a", 0) for i in range(200)]
     labels = spark.createDataFrame([(100 + i, i % 2) for i in range(200)] + [(None, 1), (2, None), (101, 1), (101, 0)], "doc_id long, toxic int")
     frame = clashing(docs(spark, [*AWKWARD, *rows]), "score", "predicted")
     model = toxicity.train(frame, labels)
@@ -41,7 +54,7 @@ def test_awkward_rows(spark):
     got = out.collect()
     assert len(got) == len(AWKWARD) + 200
     by = {r.doc_id: r.predicted for r in got}
-    assert all(by[100 + i] == i % 2 for i in range(200)) and by[1] == by[2] == by[7] == 0
+    assert sum(by[100 + i] == i % 2 for i in range(200)) > 190 and by[1] == by[2] == by[7] == 0
     nothing = toxicity.train(frame, labels.where("toxic = 0"))
     assert {r.score for r in toxicity.score(frame, nothing).collect()} == {0.0}
     assert toxicity.score(docs(spark, []), model).count() == 0

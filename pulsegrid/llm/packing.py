@@ -8,6 +8,7 @@ documents; pieces of equal length share a bucket and need no padding.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Sequence
 from functools import lru_cache
 
@@ -22,33 +23,49 @@ from pulsegrid.llm.common import with_scanned
 SEQUENCE = 2048
 END_ID = 1
 # Words whose ids a worker keeps; when full, the words not met lately go.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 400_000
 _LONGEST_KEPT = 64
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable character by which a byte-level vocabulary writes each byte: itself if it prints, else the next free one from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = [letter for _, letter in sorted(byte_letters().items())]
+_LATIN_END, _DOTTED_I = "\u0250", "\u0130"
+
+
 class WordIds(dict):
     """Ids (little-endian 32-bit) of each word between ASCII white space, as the tokenizer gives them.
 
     White space separates tokens in the vocabulary's pre-tokenizer, so the ids of a
-    text are those of its words one after another.
+    text are those of its words one after another.  A word of Latin letters is one
+    unit there and goes to the merges directly; all others take the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model.tokenize
         self.older: dict[bytes, bytes] = {}
 
     def _encode(self, word: bytes) -> bytes:
-        found = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False)
-        return np.array(found.ids, "<u4").tobytes()
+        text = word.decode("utf-8", "replace")
+        if word.isalpha():  # ASCII letters
+            ids = [t.id for t in self.merges(text.lower())]
+        elif text.isalpha() and max(text) < _LATIN_END and _DOTTED_I not in text:
+            ids = [t.id for t in self.merges("".join([_LETTERS[b] for b in text.lower().encode()]))]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            lower = word.lower()  # of ASCII letters
-            if lower != word and b"<|" not in word:
-                ids = self[lower]
-            elif len(word) > 1 and word[-1:] in b".," and (word[-2:-1].isalpha()):
+            if word[-1] in b".," and word[-2:-1].isalpha():
                 ids = self[word[:-1]] + self[word[-1:]]
             else:
                 ids = self._encode(word)
@@ -60,7 +77,8 @@ class WordIds(dict):
         return ids
 
     def of(self, text: bytes) -> bytes:
-        return b"".join([self[w] for w in text.split()])
+        # ASCII letters in lower case at once, unless that could make a special token of ordinary text.
+        return b"".join([self[w] for w in (text if b"<|" in text else text.lower()).split()])
 
 
 @lru_cache(maxsize=2)

@@ -19,6 +19,7 @@ text.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Sequence
@@ -40,8 +41,7 @@ SAMPLE_WINDOWS = 10_000
 SAMPLE_WINDOW_CHARS = 1_000
 ORDINARY_BYTES, TOXIC_BYTES = 8_192, 4_096
 GRAM = 5
-LIFT = 6.0
-LEAST_CONTEXTS = 5
+LIFT, CERTAIN = 4.0, 3.0
 _LOW, _HIGH = -4, 12  # gains outside count as the nearest of these
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -73,10 +73,18 @@ def _contexts(texts: Sequence[str]) -> tuple[Counter, int]:
 
 
 def telling_passages(toxic: Sequence[str], ordinary: Sequence[str]) -> list[str]:
-    """Stretches of toxic text whose n-grams occur `LIFT` times as often as in ordinary text, rarest first."""
+    """Stretches of toxic text whose n-grams occur `LIFT` times as often as in ordinary text, and surely so; rarest first."""
     mine, n_mine = _contexts(toxic)
     theirs, n_theirs = _contexts(ordinary)
-    telling = {g for g, n in mine.items() if n >= LEAST_CONTEXTS and n * n_theirs >= LIFT * n_mine * (theirs[g] + 1)}
+    share = n_mine / (n_mine + n_theirs)
+    least = math.log(len(mine) + 1) + CERTAIN
+    telling = set()
+    for gram, n in mine.items():
+        m = theirs[gram]
+        expected = (n + m) * share
+        # Bound of the chance to see so many by accident, times the number of n-grams looked at.
+        if n * n_theirs >= LIFT * n_mine * (m + 0.5) and n * math.log(n / expected) - (n - expected) >= least:
+            telling.add(gram)
     found: Counter = Counter()
     for text in toxic:
         for word in text.split():
@@ -100,7 +108,7 @@ class ToxicityModel:
 
     def _packer(self, content: bytes):
         settings = zstandard.ZstdCompressionParameters(
-            window_log=15, hash_log=13, chain_log=14, search_log=5, min_match=4, target_length=16,
+            window_log=15, hash_log=13, chain_log=14, search_log=5, min_match=6, target_length=16,
             strategy=zstandard.STRATEGY_LAZY2, write_checksum=False, write_content_size=False, write_dict_id=False,
         )
         words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if content else None

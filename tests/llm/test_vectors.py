@@ -43,7 +43,7 @@ def asked(frame, step):
 AWKWARD = [
     (0, [1.0, 2.0, 3.0]), (1, [1.0, 2.0, 3.0]), (2, [1.0, 2.0, 3.0]), (3, [2.0, 4.0, 6.0]), (4, [0.0, 0.0, 0.0]),
     (5, None), (6, []), (7, [1.0, None, 2.0]), (8, [NAN, 1.0, 1.0]), (9, [INF, 1.0, 1.0]), (None, [1.0, 1.0, 1.0]),
-    (10, [-1.0, 0.5, 0.25]), (10, [-1.0, 0.5, 0.25]), (11, [-0.0, 1e-3, -5.5]),
+    (10, [-1.0, 0.5, 0.25]), (10, [-1.0, 0.5, 0.25]), (11, [-0.0, 0.0009765625, -5.5]),
 ]
 
 

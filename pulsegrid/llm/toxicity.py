@@ -139,13 +139,18 @@ class ToxicityModel:
         return 1.0 / (1.0 + np.exp(-np.clip(self.features(tallies) @ np.array(self.weights), -40, 40)))
 
 
-def _fit_weights(rows: np.ndarray, labels: np.ndarray, ridge: float = 0.3, rounds: int = 50) -> tuple[float, ...]:
-    """Logistic regression by Newton steps, with a small penalty on all weights but the first."""
+def _fit_weights(rows: np.ndarray, labels: np.ndarray, counts: dict[int, int], ridge: float = 0.3, rounds: int = 50) -> tuple[float, ...]:
+    """Logistic regression by Newton steps, with a small penalty on all weights but the first.
+
+    Rows weigh so that the labels are as frequent as in the whole, which has `counts` of each.
+    """
+    share = {k: counts[k] / sum(counts.values()) / (labels == k).mean() for k in (0, 1)}
+    weight = np.where(labels == 1, share[1], share[0])
     w = np.zeros(rows.shape[1])
     penalty = np.diag([1e-6] + [ridge] * (rows.shape[1] - 1))
     for _ in range(rounds):
         p = 1.0 / (1.0 + np.exp(-np.clip(rows @ w, -40, 40)))
-        step = np.linalg.solve((rows * (p * (1 - p))[:, None]).T @ rows + penalty, rows.T @ (labels - p) - penalty @ w)
+        step = np.linalg.solve((rows * (weight * p * (1 - p))[:, None]).T @ rows + penalty, rows.T @ (weight * (labels - p)) - penalty @ w)
         w += step
         if np.abs(step).max() < 1e-9:
             break
@@ -159,6 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", sample_docs: i
     hash.  Without labelled rows of both kinds in both halves every score is 0.
     """
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("_toxic"))
+    counts = {r._toxic: r["count"] for r in marks.groupBy("_toxic").count().collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = None
     for kind in (0, 1):
@@ -197,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", sample_docs: i
     often = [gains[marked == kind].sum(axis=0) + 0.5 for kind in (0, 1)]
     ratio = np.log(often[1] / often[1].sum()) - np.log(often[0] / often[0].sum())
     model = ToxicityModel(model.ordinary, model.toxic, tuple(float(x) for x in ratio))
-    return ToxicityModel(model.ordinary, model.toxic, model.ratio, _fit_weights(model.features(gains), marked))
+    return ToxicityModel(model.ordinary, model.toxic, model.ratio, _fit_weights(model.features(gains), marked, counts))
 
 
 def _dictionaries(toxic: Sequence[str], ordinary: Sequence[str]) -> ToxicityModel:

@@ -137,7 +137,8 @@ def _even_out(rows: DataFrame, target: float, shards: int) -> DataFrame:
 def numbered(rows: DataFrame, shards: int, n_rows: int) -> DataFrame:
     """`slot`, gapless from 0 in each shard, in buckets of about SLOT_ROWS rows so that no task holds a shard."""
     parts = max(8, -(-n_rows // (SLOT_ROWS * shards)))
-    cut = rows.withColumn("_part", F.least(F.floor(F.col("_u") * parts), F.lit(parts - 1)).cast("int"))
+    # Not by the random number itself: dealt shards hold a stretch of it.
+    cut = rows.withColumn("_part", F.least(F.floor(unit(F.col("_u"), seed=4) * parts), F.lit(parts - 1)).cast("int"))
     counts = cut.groupBy("shard", "_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

@@ -25,12 +25,12 @@ from pulsegrid.llm.vectors import best, folded, matrix, usable
 from pulsegrid.runtime import pin
 
 SAMPLE_VECTORS = 16_384
-LEAF_SAMPLES = 16
+LEAF_SAMPLES = 192
 BRANCHES = 8
 CALIBRATION_QUERIES = 128
-RECALL = 0.97
-# Vectors of one leaf, and queries, that meet in one task at most (on average).
-LEAF_CHUNK, QUERY_CHUNK = 2_048, 2_048
+RECALL = 0.95
+# Vectors that meet queries in one task: enough groups to spread small tables, few enough rows to bound memory.
+SPREAD, LEAST_ROWS, MOST_ROWS = 32, 512, 16_384
 
 
 def _k_means(points: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
@@ -195,7 +195,7 @@ def search(
     few = asked.orderBy(F.xxhash64("query_id"), "query_id").limit(CALIBRATION_QUERIES).collect()
     measured = calibrate(tree, vectors, [(r.query_id, np.array(r.point)) for r in few], k, recall)
 
-    # Index: every vector in its leaf, leaves in chunks.
+    # Index: every vector in its leaf, leaves in chunks, chunks dealt to groups of about equal size.
     n_vectors, n_asked = vectors.count(), asked.count()
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,40 +205,61 @@ def search(
                 yield pa.RecordBatch.from_arrays([*batch.columns, leaf], names=["vec", "ids", "leaf"])
 
     index = pin(vectors.select("vec", "ids").mapInArrow(place, "vec array<double>, ids array<long>, leaf int"))
-    chunks = index.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / LEAF_CHUNK).cast("int").alias("chunks"))
-    chunks = F.broadcast(chunks)  # at most one row per leaf of the bounded tree
+    group_rows = min(MOST_ROWS, max(LEAST_ROWS, n_vectors // SPREAD))
+    groups, parts = -(-n_vectors // group_rows), max(1, -(-n_asked // MOST_ROWS))
+    sizes = {r.leaf: r["count"] for r in index.groupBy("leaf").count().collect()}  # one row per leaf of the bounded tree
+    chunks = {leaf: -(-n // max(1, group_rows // 4)) for leaf, n in sizes.items()}
+    first = dict(zip(sorted(chunks), np.cumsum([0, *(chunks[leaf] for leaf in sorted(chunks))])[:-1].tolist()))
     most = measured.visits
 
     def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each query the leaves to visit, by the groups that hold parts of them."""
         for batch in batches:
-            if batch.num_rows:
-                points = _unit_rows(matrix(batch.column(1), np.float64))
-                visits = pa.array([tree.visits(p, most) for p in points], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*batch.columns, visits], names=["query_id", "point", "visits"])
-
-    walked = asked.mapInArrow(walk, "query_id long, point array<double>, visits array<int>")
-    salt = lambda n, *c: F.least(F.floor(unit(*c, seed=13) * n), n - 1).cast("int")
-    groups = max(1, -(-n_asked // QUERY_CHUNK))
-    wanted = walked.withColumn("part", salt(F.lit(groups), F.col("query_id"))).select("query_id", "point", "part", F.explode("visits").alias("leaf"))
-    wanted = wanted.join(chunks, "leaf").select("query_id", "point", "part", "leaf", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    held = index.join(chunks, "leaf").withColumn("chunk", salt(F.col("chunks"), F.element_at("ids", 1)))
-    held = held.select("vec", "ids", "leaf", "chunk", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
+            rows: list[tuple[int, int, list[int]]] = []
+            points = _unit_rows(matrix(batch.column(1), np.float64)) if batch.num_rows else []
+            for i, point in enumerate(points):
+                wanted: dict[int, list[int]] = {}
+                for leaf in tree.visits(point, most):
+                    for c in range(min(groups, chunks.get(leaf, 0))):
+                        wanted.setdefault((first[leaf] + c) % groups, []).append(leaf)
+                rows += [(i, g, leaves) for g, leaves in wanted.items()]
+            at = pa.array([r[0] for r in rows], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.list_(pa.int32()))],
+                names=["query_id", "point", "group", "leaves"],
+            )
+
+    salt = lambda n, c: F.least(F.floor(unit(c, seed=13) * n), n - 1).cast("int")
+    wanted = asked.mapInArrow(walk, "query_id long, point array<double>, group int, leaves array<int>")
+    wanted = wanted.withColumn("part", salt(F.lit(parts), F.col("query_id")))
+    by_leaf = F.broadcast(index.sparkSession.createDataFrame([(leaf, first[leaf], chunks[leaf]) for leaf in chunks], "leaf int, _first int, _chunks int"))
+    group = F.pmod(F.col("_first") + salt(F.col("_chunks"), F.element_at("ids", 1)), F.lit(groups)).cast("int")
+    held = index.join(by_leaf, "leaf").select("vec", "ids", "leaf", group.alias("group"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
     schema = pa.schema([("query_id", pa.int64()), ("ids", pa.list_(pa.int64())), ("score", pa.float64())])
 
     def meet(mine: pa.Table, theirs: pa.Table) -> pa.Table:
+        """The best of the group's vectors in the leaves that each query visits."""
         if not mine.num_rows or not theirs.num_rows:
             return schema.empty_table()
         points, others = matrix(mine.column("point"), np.float64), matrix(theirs.column("vec"), np.float64)
-        near = _unit_rows(points) @ _unit_rows(others).T
-        names, ids = mine.column("query_id").to_pylist(), theirs.column("ids").to_pylist()
+        flat, leaf = _unit_rows(others), theirs.column("leaf").to_numpy()
+        names, ids, leaves = (t.column(c).to_pylist() for t, c in ((mine, "query_id"), (theirs, "ids"), (mine, "leaves")))
         out: list[tuple] = []
         take = min(k + 3, len(others))
-        for q, name in enumerate(names):
-            top = np.argpartition(-near[q], take - 1)[:take] if take < len(others) else np.arange(len(others))
-            exact = _cosine(points[q], others[top])
-            out += [(name, ids[i], float(s)) for i, s in sorted(zip(top, exact, strict=True), key=lambda x: (-x[1], ids[x[0]][0]))[: k + 1]]
+        for start in range(0, len(points), 256):
+            near = _unit_rows(points[start : start + 256]) @ flat.T
+            for i, row in enumerate(near):
+                q = start + i
+                row[~np.isin(leaf, leaves[q])] = -np.inf
+                top = np.argpartition(-row, take - 1)[:take]
+                top = top[np.isfinite(row[top])]
+                exact = _cosine(points[q], others[top])
+                ranked = sorted(zip(top, exact, strict=True), key=lambda x: (-x[1], ids[x[0]][0]))[: k + 1]
+                out += [(names[q], ids[j], float(s)) for j, s in ranked]
+        if not out:
+            return schema.empty_table()
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    key = ["leaf", "chunk", "part"]
+    key = ["group", "part"]
     met = wanted.groupBy(*key).cogroup(held.groupBy(*key)).applyInArrow(meet, "query_id long, ids array<long>, score double")
-    return best(met, k), Calibration(most, measured.recall, n_vectors and measured.queries)
+    return best(met, k), measured

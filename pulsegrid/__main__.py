@@ -1,4 +1,4 @@
-"""Command line: python -m pulsegrid {summarise,filter,blend} ... (or through spark-submit)."""
+"""Command line: python -m pulsegrid {summarise,filter,blend,features} ... (or through spark-submit)."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from pulsegrid.functions.ids import NOISE, SIGNAL
 from pulsegrid.operators import select
+from pulsegrid.operators.summary import PULSE_ORDER
 from pulsegrid.plans import jobs
 from pulsegrid.schema import SummaryMode
 from pulsegrid.sources import files
@@ -23,6 +24,7 @@ def arguments() -> argparse.ArgumentParser:
     one.add_argument("target")
     one.add_argument("--events-per-shard", type=int, default=20_000)
     one.add_argument("--summary-mode", type=int, default=0, choices=[m.value for m in SummaryMode])
+    one.add_argument("--stored-order", action="store_true", help="take pulses in the order of the file instead of by time")
     one.add_argument("--geometry", help="CSV of string, dom_number, dom_x, dom_y, dom_z")
     two = commands.add_parser("filter", help="keep selected events")
     two.add_argument("source", choices=[SIGNAL, NOISE])
@@ -40,6 +42,14 @@ def arguments() -> argparse.ArgumentParser:
     three.add_argument("high")
     three.add_argument("blended")
     three.add_argument("root")
+    four = commands.add_parser("features", help="shape features of datasets of several flavours, with statistics and histograms")
+    four.add_argument("source", choices=[SIGNAL, NOISE])
+    four.add_argument("root")
+    four.add_argument("target")
+    four.add_argument("geometry", help="CSV of string, dom_number, dom_x, dom_y, dom_z")
+    four.add_argument("subdirs", nargs="+")
+    four.add_argument("--compact", action="store_true", help="the nine features instead of the seventeen")
+    four.add_argument("--unbalanced", action="store_true", help="use all events of every flavour")
     return parser
 
 
@@ -64,9 +74,12 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "summarise":
         geometry = files.read_geometry(spark, args.geometry) if args.geometry else None
         jobs.summarise(spark, args.folder, args.target, args.source, args.subdir, args.events_per_shard,
-                       SummaryMode(args.summary_mode), geometry)
+                       SummaryMode(args.summary_mode), geometry, ("pulse_id",) if args.stored_order else PULSE_ORDER)
     elif args.command == "filter":
         jobs.filter_dataset(spark, args.root, args.target, args.source, args.subdir, selection(spark, args))
+    elif args.command == "features":
+        geometry = files.read_geometry(spark, args.geometry)
+        jobs.feature_datasets(spark, args.root, args.target, args.source, args.subdirs, geometry, args.compact, not args.unbalanced)
     else:
         jobs.blend_datasets(spark, args.root, args.source, args.low, args.high, args.blended)
 

@@ -41,6 +41,13 @@ def dataset_tag(name: Column, source: str) -> Column:
     return F.right(name, F.lit(2)).cast("int")
 
 
+def dataset_tag_number(name: str, source: str) -> int:
+    """`dataset_tag` of one known folder name."""
+    if source == NOISE:
+        return int("".join(end[3:5] for end in name.split("-")))
+    return int(name[-2:])
+
+
 def _append(prefix: Column, value: Column, width: int) -> Column:
     """prefix followed by value, zero-padded to at least `width` digits."""
     digits = F.greatest(F.lit(width), F.length(value.cast("string")))

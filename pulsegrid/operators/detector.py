@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pulsegrid.operators.scan import broadcast_checked
+from pulsegrid.runtime import pin
 from pulsegrid.schema import DOMS_PER_STRING, N_STRINGS
 
 BOX = (10.0, 10.0, 2.0)
@@ -32,6 +34,12 @@ def _cells_match(axes: list[str]) -> list[str]:
     return [f"_cell_{axis}" for axis in axes]
 
 
+def _counted(found: DataFrame) -> DataFrame:
+    """The table of distinct positions, written and counted: rows need not move if it is small."""
+    found = pin(found)
+    return broadcast_checked(found, found.count())
+
+
 def assign_sensor(pulses: DataFrame, geometry: DataFrame, box: tuple[float, float, float] = BOX) -> DataFrame:
     """Add string and dom_number of the first reference sensor within the box, else null.
 
@@ -50,7 +58,7 @@ def assign_sensor(pulses: DataFrame, geometry: DataFrame, box: tuple[float, floa
     for axis, width in zip(axes, box):
         met = met.where(F.abs(F.col(axis) - F.col(f"ref_{axis}")) <= width)
     found = met.groupBy(*axes).agg(F.min(F.struct("string", "dom_number")).alias("_sensor"))
-    rows = pulses.drop("string", "dom_number").join(found, axes, "left")
+    rows = pulses.drop("string", "dom_number").join(_counted(found), axes, "left")
     return rows.select(
         *[c for c in rows.columns if c != "_sensor"],
         F.col("_sensor.string").alias("string"),
@@ -59,11 +67,9 @@ def assign_sensor(pulses: DataFrame, geometry: DataFrame, box: tuple[float, floa
 
 
 def assign_string(doms: DataFrame, geometry: DataFrame, tolerance: float = STRING_TOLERANCE) -> DataFrame:
-    """Add the string nearest in x, y within the tolerance, else null."""
+    """Add the string of the nearest reference sensor in x, y within the tolerance, else null."""
     axes = ["dom_x", "dom_y"]
-    reference = geometry.groupBy("string").agg(
-        *[F.min_by(a, "dom_number").alias(f"ref_{a}") for a in axes]
-    )
+    reference = geometry.select("string", *[F.col(a).alias(f"ref_{a}") for a in axes]).distinct()
     near = _spread_to_cells(reference, axes, [tolerance] * 2)
     places = doms.select(*axes).distinct()
     for axis in axes:
@@ -76,7 +82,7 @@ def assign_string(doms: DataFrame, geometry: DataFrame, tolerance: float = STRIN
         .groupBy(*axes)
         .agg(F.min_by("string", F.struct("_gap", "string")).alias("string"))
     )
-    return doms.drop("string").join(found, axes, "left")
+    return doms.drop("string").join(_counted(found), axes, "left")
 
 
 def unique_sensors(pulses: DataFrame) -> DataFrame:

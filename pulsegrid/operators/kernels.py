@@ -191,41 +191,40 @@ def _spread(x, y, starts, sizes):
     return out / 2
 
 
-def _kmeans_once(x, y, w, starts, sizes, cx, cy, rounds=100):
-    """Lloyd iterations for two centres per group; centres are (groups, 2) arrays."""
-    near = None
+def _kmeans_once(x, y, w, starts, sizes, near, rounds=100):
+    """Lloyd iterations for two centres per group from a first split; (cost, centres x, centres y).
+
+    A group that has settled stays as it is, so a group's result does not depend on its neighbours.
+    """
+    cx, cy = (np.repeat((group_sums(w * v, starts) / group_sums(w, starts))[:, None], 2, axis=1) for v in (x, y))
     for _ in range(rounds):
-        d = [(x - np.repeat(cx[:, k], sizes)) ** 2 + (y - np.repeat(cy[:, k], sizes)) ** 2 for k in (0, 1)]
-        now = d[1] < d[0]
-        if near is not None and np.array_equal(now, near):
-            break
-        near = now
-        for k, member in enumerate((~now, now)):
+        for k, member in enumerate((~near, near)):
             mass = group_sums(w * member, starts)
             safe = np.where(mass > 0, mass, 1)
             cx[:, k] = np.where(mass > 0, group_sums(w * member * x, starts) / safe, cx[:, k])
             cy[:, k] = np.where(mass > 0, group_sums(w * member * y, starts) / safe, cy[:, k])
-    cost = group_sums(w * np.minimum(*d), starts)
-    return cost, cx, cy
+        d = [(x - np.repeat(cx[:, k], sizes)) ** 2 + (y - np.repeat(cy[:, k], sizes)) ** 2 for k in (0, 1)]
+        now = d[1] < d[0]
+        if np.array_equal(now, near):
+            break
+        near = now
+    return group_sums(w * np.minimum(*d), starts), cx, cy
 
 
-def two_means(x, y, w, starts, sizes, tries=10, seed=42):
-    """Best of seeded starts per group: a random point and one drawn far from it."""
-    draw = np.random.default_rng(seed)
+def two_means(x, y, w, starts, sizes, directions=8):
+    """Best of fixed starts per group: the points split at their mean along each of several directions.
+
+    Ties go to the first direction, so results are the same in any grouping of events.
+    """
     best = np.full(len(sizes), np.inf)
     bx, by = np.zeros((len(sizes), 2)), np.zeros((len(sizes), 2))
-    for _ in range(tries):
-        one = starts + np.minimum((draw.random(len(sizes)) * sizes).astype(np.int64), sizes - 1)
-        d2 = w * ((x - np.repeat(x[one], sizes)) ** 2 + (y - np.repeat(y[one], sizes)) ** 2)
-        total = group_sums(d2, starts)
-        running = np.cumsum(d2)
-        base = running[starts] - d2[starts]
-        goal = base + draw.random(len(sizes)) * total
-        two = np.clip(np.searchsorted(running, goal, side="right"), starts, starts + sizes - 1)
-        cost, cx, cy = _kmeans_once(
-            x, y, w, starts, sizes, np.column_stack([x[one], x[two]]), np.column_stack([y[one], y[two]])
-        )
-        better = cost < best
+    mass = group_sums(w, starts)
+    mx, my = (np.repeat(group_sums(w * v, starts) / mass, sizes) for v in (x, y))
+    for i in range(directions):
+        angle = np.pi * i / directions
+        along = (x - mx) * np.cos(angle) + (y - my) * np.sin(angle)
+        cost, cx, cy = _kmeans_once(x, y, w, starts, sizes, along > 0)
+        better = cost < best * (1 - 1e-12)
         best = np.where(better, cost, best)
         bx[better], by[better] = cx[better], cy[better]
     return bx, by
@@ -264,41 +263,42 @@ def two_gaussians(x, y, w, starts, sizes, cx, cy, rounds=100, tolerance=1e-3, fl
     return mx, my
 
 
+def _shifted(px, py, x, y, w, bandwidth):
+    """One step of every moving point of one group, in strips of bounded size: (new x, new y, mass seen)."""
+    nx, ny, crowd = np.empty_like(px), np.empty_like(py), np.empty_like(px)
+    step = max(1, PAIR_BLOCK // len(x))
+    for at in range(0, len(px), step):
+        part = slice(at, at + step)
+        mass = w * ((px[part, None] - x) ** 2 + (py[part, None] - y) ** 2 <= bandwidth**2)
+        crowd[part] = mass.sum(axis=1)
+        nx[part], ny[part] = mass @ x / np.maximum(crowd[part], 1), mass @ y / np.maximum(crowd[part], 1)
+    return nx, ny, crowd
+
+
 def shifted_means(x, y, w, starts, sizes, bandwidth=150.0, rounds=300):
     """Flat-kernel mean shift from every point; returns the largest centre distance per group.
 
-    Pairs are formed block by block in memory.  The final merging of centres
-    loops over groups.
+    Loops over groups, each of which stops by itself; pairs are formed in strips.
     """
-    px, py = x.astype(float).copy(), y.astype(float).copy()
     out = np.zeros(len(sizes))
-    for lo, hi in _blocks(sizes):
-        rows = slice(int(starts[lo]), int(starts[hi - 1] + sizes[hi - 1]))
-        left, right = _pair_index(starts[lo:hi], sizes[lo:hi])
-        cut = np.flatnonzero(np.concatenate([[True], left[1:] != left[:-1]]))
-        crowd = np.zeros(rows.stop - rows.start)
+    for g, (start, size) in enumerate(zip(starts.tolist(), sizes.tolist())):
+        own = slice(start, start + size)
+        gx, gy, gw = x[own].astype(float), y[own].astype(float), w[own].astype(float)
+        px, py = gx, gy
         for _ in range(rounds):
-            close = (px[left] - x[right]) ** 2 + (py[left] - y[right]) ** 2 <= bandwidth**2
-            mass = w[right] * close
-            crowd = np.add.reduceat(mass, cut)
-            nx = np.add.reduceat(mass * x[right], cut) / np.maximum(crowd, 1)
-            ny = np.add.reduceat(mass * y[right], cut) / np.maximum(crowd, 1)
-            at = left[cut]
-            moved = np.hypot(nx - px[at], ny - py[at]).max()
-            px[at], py[at] = nx, ny
+            nx, ny, crowd = _shifted(px, py, gx, gy, gw, bandwidth)
+            moved = np.hypot(nx - px, ny - py).max()
+            px, py = nx, ny
             if moved < 1e-3 * bandwidth:
                 break
-        for g in range(lo, hi):
-            own = slice(int(starts[g]), int(starts[g] + sizes[g]))
-            order = np.lexsort((py[own], px[own], -crowd[own.start - rows.start : own.stop - rows.start]))
-            cx, cy = px[own][order], py[own][order]
-            free, centres = np.ones(len(cx), dtype=bool), []
-            for i in range(len(cx)):
-                if free[i]:
-                    centres.append(i)
-                    free &= np.hypot(cx - cx[i], cy - cy[i]) > bandwidth
-            gap = np.hypot(cx[centres][:, None] - cx[centres], cy[centres][:, None] - cy[centres])
-            out[g] = gap.max()
+        order = np.lexsort((py, px, -crowd))
+        cx, cy = px[order], py[order]
+        free, centres = np.ones(size, dtype=bool), []
+        for i in range(size):
+            if free[i]:
+                centres.append(i)
+                free &= np.hypot(cx - cx[i], cy - cy[i]) > bandwidth
+        out[g] = np.hypot(cx[centres][:, None] - cx[centres], cy[centres][:, None] - cy[centres]).max()
     return out
 
 

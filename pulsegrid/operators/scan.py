@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.runtime import BROADCAST_ROWS, fits_one_task, pin, shuffle_width
+from pulsegrid.runtime import BROADCAST_ROWS, few_rows, pin, shuffle_width
 
 _CHUNK = "_chunk"
 _SLOT = "_slot"
@@ -76,14 +76,14 @@ def number_rows(
     order_by: Sequence[str | Column],
     within: Sequence[str] = (),
     name: str = "row_no",
-    one_task_bytes: int | None = None,
+    one_task_rows: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """1-based row number in `order_by` order, overall or per `within` group.
 
     `order_by` must order the rows of a group totally.
     """
-    if fits_one_task(df, one_task_bytes):
+    if few_rows(df, one_task_rows):
         spec = Window.partitionBy(*within).orderBy(*as_columns(order_by))
         return df.withColumn(name, F.row_number().over(spec).cast("long"))
     chunked = sorted_chunks(df, within, order_by, partitions)
@@ -99,14 +99,16 @@ def number_rows(
 
 
 def number_by_key(
-    df: DataFrame, order_by: Sequence[str], within: Sequence[str] = (), name: str = "row_no", one_task_bytes: int | None = None, **scale
+    df: DataFrame, order_by: Sequence[str], within: Sequence[str] = (), name: str = "row_no", one_task_rows: int | None = None, **scale
 ) -> DataFrame:
     """`number_rows` for wide tables whose (within, order_by) is a key: only the key is sorted."""
-    if fits_one_task(df, one_task_bytes):
-        return number_rows(df, order_by, within, name, one_task_bytes)
+    if few_rows(df, one_task_rows):
+        return number_rows(df, order_by, within, name, one_task_rows)
     keys = [*within, *order_by]
-    numbered = number_rows(df.select(*keys), order_by, within, name, one_task_bytes, **scale)
-    return df.join(numbered, keys, "inner").select(*df.columns, name)
+    numbered = number_rows(df.select(*keys), order_by, within, name, one_task_rows, **scale)
+    numbered = numbered.withColumnsRenamed({k: f"_n_{k}" for k in keys})
+    same = F.expr(" AND ".join(f"`{k}` <=> `_n_{k}`" for k in keys))
+    return df.join(numbered, same, "inner").select(*df.columns, name)
 
 
 def running_totals(
@@ -114,11 +116,11 @@ def running_totals(
     order_by: Sequence[str | Column],
     sums: Mapping[str, Column],
     within: Sequence[str] = (),
-    one_task_bytes: int | None = None,
+    one_task_rows: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Inclusive running sum of each expression in `sums`."""
-    if fits_one_task(df, one_task_bytes):
+    if few_rows(df, one_task_rows):
         spec = (
             Window.partitionBy(*within)
             .orderBy(*as_columns(order_by))
@@ -139,7 +141,8 @@ def chunked_totals(chunked: DataFrame, within: Sequence[str], sums: Mapping[str,
     joined = _with_earlier(local, _earlier_chunks(chunked, within, sums), within)
     for name in sums:
         here, prior = F.col(f"_local_{name}"), F.col(f"_before_{name}")
-        joined = joined.withColumn(name, F.when(prior.isNull(), here).otherwise(here + prior))
+        # Either may be null: nothing but null values so far in this chunk, or in those before.
+        joined = joined.withColumn(name, F.coalesce(here + prior, here, prior))
     return joined.select(*chunked.columns, *sums)
 
 

@@ -74,12 +74,13 @@ def map_groups(
     key: str = "event_no",
     sort: tuple[str, ...] = (),
     fold: Callable[[pa.Table], pa.Table] | None = None,
+    fold_rows: int = 100_000,
 ) -> DataFrame:
     """One output row per `key`; `schema` lists the kernel's columns after it."""
     names = [part.split()[0] for part in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in complete_groups(batches, key, fold):
+        for table in complete_groups(batches, key, fold, fold_rows):
             columns = to_arrays(table)
             starts, sizes = borders(columns[key])
             out = kernel(columns, starts, sizes)

@@ -109,37 +109,26 @@ class Selection:
     def doms(self, truth: DataFrame, doms: DataFrame) -> DataFrame:
         return doms.join(self.keep(truth).select("event_no"), "event_no", "left_semi")
 
-    def receipt(self, truth: DataFrame, doms: DataFrame, by: Sequence[str] = ("subdirectory_no", "part_no")) -> DataFrame:
-        """Counts before and after, and their ratios, per part."""
+    def receipt(self, truth: DataFrame, by: Sequence[str] = ("subdirectory_no", "part_no")) -> DataFrame:
+        """Events before and after, and their ratios, per part."""
         keys, chosen = list(by), F.lit(bool(self.filters))
         rows = truth
         for alias in sorted(self.filters):
             rows = self.filters[alias].mark(rows, f"_{alias}")
             chosen = chosen & F.col(f"_{alias}")
-        rows = rows.select(*keys, "event_no", chosen.alias("chosen"))
-        per_event = doms.groupBy("event_no").agg(F.expr("count(*) AS n"))
-        counted = rows.join(per_event, "event_no", "left").groupBy(*keys).agg(
-            F.expr("count(*) AS initial_events"),
-            F.expr("count_if(chosen) AS selected_events"),
-            F.expr("sum(coalesce(n, 0)) AS initial_rows"),
-            F.expr("sum(IF(chosen, coalesce(n, 0), 0)) AS reduced_rows"),
+        counted = rows.select(*keys, chosen.alias("chosen")).groupBy(*keys).agg(
+            F.expr("count(*) AS initial_events"), F.expr("count_if(chosen) AS selected_events")
         )
-        survival = F.coalesce(F.try_divide(F.col("reduced_rows"), F.col("initial_rows")), F.lit(0.0))
+        survival = F.coalesce(F.try_divide(F.col("selected_events"), F.col("initial_events")), F.lit(0.0))
         return counted.select(
             *keys,
             F.lit(self.keyword()).alias("filter_applied"),
             "initial_events",
             "selected_events",
-            "initial_rows",
-            "reduced_rows",
             F.round(survival, 4).alias("survival_ratio"),
             F.round(1 - survival, 4).alias("reduction_ratio"),
         )
 
 
-def above_energy(truth: DataFrame, cutoff: float) -> DataFrame:
-    return truth.where(F.col("energy") > cutoff)
-
-
 def busy_events(truth: DataFrame, n_doms_cut: int = 1250) -> DataFrame:
     return truth.where(F.col("N_doms") > n_doms_cut)

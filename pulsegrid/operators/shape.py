@@ -18,14 +18,14 @@ from pulsegrid.functions.geometry import OUTLINE_AREA
 from pulsegrid.functions.scaling import adjusted_charge, adjusted_charge_sql, repeat_weight
 from pulsegrid.operators import kernels
 from pulsegrid.operators.segments import borders, map_groups, to_arrays
-from pulsegrid.runtime import fits_one_task
 from pulsegrid.schema import NOT_ENOUGH_PULSES
 
 _BOUNDARY_SCHEMA = (
     "n_points long, n_border long, extent double, end1_x double, end1_y double, end2_x double, end2_y double, "
     "major double, minor double, axis_x double, axis_y double, area double"
 )
-PRUNE_FROM = 256
+# An event of more points than FOLD_ROWS is reduced to its outline while it streams by; parts below PRUNE_FROM stay whole.
+PRUNE_FROM, FOLD_ROWS = 256, 100_000
 
 
 def _nan_to_null(df: DataFrame, names: list[str]) -> DataFrame:
@@ -36,31 +36,29 @@ def _outline_only(table: pa.Table) -> pa.Table:
     """Drop points inside the hull of their event; small or collinear sets stay whole.
 
     hull(A and B) = hull(hull(A) and hull(B)), so this may run on any share of an
-    event, before or after the shuffle.
+    event.  `held` says how many points a row stands for.
     """
     table = table.sort_by([("event_no", "ascending"), ("x", "ascending"), ("y", "ascending")])
     columns = to_arrays(table)
     keys, x, y = columns["event_no"], columns["x"], columns["y"]
-    fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
-    table = table.filter(pa.array(fresh))
-    keys, x, y = keys[fresh], x[fresh], y[fresh]
     starts, sizes = borders(keys)
     large = sizes >= PRUNE_FROM
     if not large.any():
         return table
-    keep = ~np.repeat(large, sizes)
+    keep, held = ~np.repeat(large, sizes), columns["held"].copy()
     for at, size in zip(starts[large], sizes[large]):
         rows, count = kernels.hull_rows(x[at : at + size], y[at : at + size], np.array([0]), np.array([size]))
-        keep[at + rows if count[0] >= 3 else slice(at, at + size)] = True
+        if count[0] < 3:
+            keep[at : at + size] = True
+            continue
+        keep[at + rows] = True
+        # The first kept point stands for those left out.
+        inside = held[at : at + size].sum() - held[at + rows].sum()
+        held[at + rows[0]] += inside
+    table = table.set_column(table.schema.get_field_index("held"), "held", pa.array(held))
     return table.filter(pa.array(keep))
 
 
-def _prune_before_shuffle(batches):
-    for batch in batches:
-        if batch.num_rows:
-            yield from _outline_only(pa.Table.from_batches([batch])).to_batches()
-
-
 def boundary(points: DataFrame) -> DataFrame:
     """Outline features per event of its distinct (x, y) points.
 
@@ -71,19 +69,12 @@ def boundary(points: DataFrame) -> DataFrame:
     distinct = points.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(
         "event_no", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")
     ).distinct()
-    if not fits_one_task(points):
-        kind = distinct.schema["event_no"].dataType.simpleString()
-        distinct = distinct.mapInArrow(_prune_before_shuffle, f"event_no {kind}, x double, y double")
+    distinct = distinct.withColumn("held", F.lit(1).cast("long"))
 
     def kernel(columns, starts, sizes):
-        keys, x, y = columns["event_no"], columns["x"], columns["y"]
-        fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
-        if not fresh.all():
-            columns = {name: values[fresh] for name, values in columns.items()}
-            starts, sizes = borders(columns["event_no"])
-        return kernels.boundary_features(columns, starts, sizes)
-
-    out = map_groups(distinct, kernel, _BOUNDARY_SCHEMA, sort=("x", "y"), fold=_outline_only)
+        return kernels.boundary_features(columns, starts, sizes) | {"n_points": np.add.reduceat(columns["held"], starts)}
+
+    out = map_groups(distinct, kernel, _BOUNDARY_SCHEMA, sort=("x", "y"), fold=_outline_only, fold_rows=FOLD_ROWS)
     return _nan_to_null(out, ["major", "minor", "area"])
 
 
@@ -314,6 +305,22 @@ def compact_shape_features(doms: DataFrame, q_cut: float | None = -1.0, power: i
     return rows.select("event_no", *[F.when(enough, v).alias(k) for k, v in values.items()])
 
 
+def labelled_features(
+    doms: DataFrame, events: DataFrame, geometry: DataFrame, compact: bool = False, q_cut: float | None = -1.0, label: str = "flavour"
+) -> DataFrame:
+    """Shape features of the listed events with their label, from sensor rows that carry no string.
+
+    `events` has event_no and the label; strings are those of the nearest reference
+    sensors, and sensors far from all of them count as having none.
+    """
+    from pulsegrid.operators.detector import assign_string
+
+    rows = doms.join(events.select("event_no"), "event_no", "left_semi")
+    rows = assign_string(rows, geometry)
+    features = compact_shape_features(rows, q_cut) if compact else shape_features(rows, q_cut)
+    return features.join(events.select("event_no", label), "event_no")
+
+
 def second_round_features(features: DataFrame, q_cut: float = 0.0) -> DataFrame:
     """Shape of the sensors with a charge of at least 10^(cut + 2); -1 if undefined."""
     bright = features.where(F.col("Qtotal") >= F.lit(10.0 ** (q_cut + 2)))

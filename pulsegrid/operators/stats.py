@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.scan import number_rows, running_totals
-from pulsegrid.runtime import ONE_TASK_BYTES, fits_one_task
+from pulsegrid.runtime import few_rows
 
 
 def valid(name: str) -> Column:
@@ -66,7 +66,7 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float], by: Seq
     find the wanted ranks with a distributed running total.
     """
     rows = df.where(valid(column)).select(*by, F.col(column).cast("double").alias("v"))
-    if fits_one_task(rows, scale.get("one_task_bytes")):
+    if few_rows(rows, scale.get("one_task_rows")):
         return rows.groupBy(*by).agg(*[F.percentile("v", s).alias(f"q{i}") for i, s in enumerate(shares)])
     counts = rows.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("c"))
     ranked = running_totals(counts, ["v"], {"upto": F.col("c")}, by, **scale)
@@ -108,8 +108,6 @@ def describe_columns(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
     values = ", ".join(f"struct('{c}' AS feature, double(`{c}`) AS v)" for c in columns)
     long = df.selectExpr(*by, f"inline(array({values}))")
     keys = [*by, "feature"]
-    # The size estimate does not see that every row became one per feature.
-    scale.setdefault("one_task_bytes", ONE_TASK_BYTES // len(columns))
     median = exact_quantiles(long, "v", [0.5], keys, **scale).withColumnRenamed("q0", "median")
     return basic.join(median, keys, "left")
 
@@ -143,19 +141,17 @@ def power_law_fit(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     points = _binned(df, column, None, bins, True, ()).selectExpr(
         "double(n) AS w", "log10(n) AS y", f"log10({left} * (1 + pow(10D, size)) / 2) AS x"
     )
-    sums = points.selectExpr(
-        "count(*) AS bins", "sum(w) AS s", "sum(w * x) AS sx", "sum(w * y) AS sy",
-        "sum(w * x * x) AS sxx", "sum(w * x * y) AS sxy", "sum(w * y * y) AS syy",
-    )
-    det = F.col("s") * F.col("sxx") - F.col("sx") * F.col("sx")
-    fitted = sums.withColumn("slope", F.try_divide(F.col("s") * F.col("sxy") - F.col("sx") * F.col("sy"), det))
-    fitted = fitted.withColumn("intercept", (F.col("sy") - F.col("slope") * F.col("sx")) / F.col("s"))
-    a, b = F.col("slope"), F.col("intercept")
-    chi2 = (
-        F.col("syy") + a * a * F.col("sxx") + b * b * F.col("s")
-        - a * F.col("sxy") * 2 - b * F.col("sy") * 2 + a * b * F.col("sx") * 2
-    )
-    return fitted.select("slope", "intercept", chi2.alias("chi2"), (F.col("bins") - 2).alias("dof"))
+    # At most `bins` rows here: centre before squaring, and sum the squared residuals themselves.
+    whole = Window.partitionBy()
+    w, x, y = F.col("w"), F.col("x"), F.col("y")
+    centred = points.withColumns({"mx": F.sum(w * x).over(whole) / F.sum(w).over(whole), "my": F.sum(w * y).over(whole) / F.sum(w).over(whole)})
+    dx, dy = x - F.col("mx"), y - F.col("my")
+    slope = F.try_divide(F.sum(w * dx * dy).over(whole), F.sum(w * dx * dx).over(whole))
+    fitted = centred.withColumn("slope", slope).withColumn("residual", dy - F.col("slope") * dx)
+    return fitted.agg(
+        F.max("slope").alias("slope"), F.max(F.col("my") - F.col("slope") * F.col("mx")).alias("intercept"),
+        F.sum(w * F.col("residual") ** 2).alias("chi2"), (F.count(F.lit(1)) - 2).alias("dof"),
+    )
 
 
 def chi2_tail(chi2: float, dof: int) -> float:

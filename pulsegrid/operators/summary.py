@@ -1,9 +1,9 @@
 """One row per (event, sensor): charge and timing features of its pulses.
 
-Pulses of a sensor are ordered by time, ties by `pulse_id`.  Sensors with a
-bounded number of pulses take one hash shuffle and window functions; sensors
-found to be very large are split into ordered chunks (`operators.scan`), so no
-task ever holds a whole large sensor.
+Pulses of a sensor are ordered by time, ties by `pulse_id`.  Events with a bounded
+number of pulses take one hash shuffle by event and window functions; events found
+to be very large are spread by sensor, and sensors found to be very large are split
+into ordered chunks (`operators.scan`), so no task ever holds a whole large sensor.
 """
 
 from __future__ import annotations
@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from pulsegrid.operators import scan
 from pulsegrid.operators.shape import second_round_features
-from pulsegrid.runtime import fits_one_task, pin
+from pulsegrid.runtime import few_rows, pin
 from pulsegrid.schema import FIRST_K, NOT_ENOUGH_PULSES, SENSOR_KEYS, SummaryMode
 
 PULSE_ORDER = ("dom_time", "pulse_id")
-HOT_SENSOR_ROWS = 4_000_000
+# Events, and sensors, of more pulses are not left to one task.
+HOT_ROWS = 4_000_000
 _PASS_THROUGH = {
     "dom_x": "dom_x",
     "dom_y": "dom_y",
@@ -176,23 +177,34 @@ def _sensor_features(
     compat: bool = True,
     k: int = FIRST_K,
     unreached: float = NOT_ENOUGH_PULSES,
-    hot_rows: int = HOT_SENSOR_ROWS,
-    one_task_bytes: int | None = None,
+    hot_rows: int = HOT_ROWS,
+    one_task_rows: int | None = None,
     sample_fraction: float = 0.001,
     partitions: int | None = None,
 ) -> DataFrame:
-    def usual_way(rows: DataFrame) -> DataFrame:
+    def fold(rows: DataFrame) -> DataFrame:
         return _fold(_annotate_in_windows(rows, order_by, late, compat), late, compat, k, unreached)
 
-    if fits_one_task(pulses, one_task_bytes):
-        return usual_way(pulses)
-    hot = pin(scan.hot_groups(pulses, SENSOR_KEYS, hot_rows, sample_fraction))
+    def by_event(rows: DataFrame) -> DataFrame:
+        # One exchange: windows, grouping and event means all lie within an event.
+        return fold(rows.repartition("event_no"))
+
+    # No event can hold more than all rows do.
+    if few_rows(pulses, hot_rows if one_task_rows is None else one_task_rows):
+        return by_event(pulses)
+    hot_events = pin(scan.hot_groups(pulses, ["event_no"], hot_rows, sample_fraction))
+    n_events = hot_events.count()
+    if n_events == 0:
+        return by_event(pulses)
+    usual, large = scan.split_by_groups(pulses, hot_events, ["event_no"], n_events)
+    hot = pin(scan.hot_groups(large, SENSOR_KEYS, hot_rows, sample_fraction))
     n_hot = hot.count()
+    by_sensor, huge = scan.split_by_groups(large, hot, SENSOR_KEYS, n_hot)
+    out = by_event(usual).unionByName(fold(by_sensor))
     if n_hot == 0:
-        return usual_way(pulses)
-    usual, large = scan.split_by_groups(pulses, hot, SENSOR_KEYS, n_hot)
-    in_chunks = _annotate_in_chunks(large, order_by, late, compat, partitions, n_hot)
-    return usual_way(usual).unionByName(_fold(in_chunks, late, compat, k, unreached))
+        return out
+    in_chunks = _annotate_in_chunks(huge, order_by, late, compat, partitions, n_hot)
+    return out.unionByName(_fold(in_chunks, late, compat, k, unreached))
 
 
 def _centroid(rows: DataFrame, charge: Column, moments: dict[str, Column]) -> DataFrame:
@@ -224,21 +236,26 @@ def dom_summary(
 ) -> DataFrame:
     """Sensor summary with event-relative positions and, by mode, shape features.
 
-    CLASSIC reads the pulses twice: for the features, and two columns wide for
-    the event means, which shuffle as partial sums only.  The other modes use the
-    sensor rows several times, so these are written once and pulses are read once.
+    CLASSIC shuffles the pulses once; event means are windows over the sensor rows,
+    which lie together already.  The other modes use the sensor rows several times,
+    so these are written once.
     """
     features = _sensor_features(pulses, mode is SummaryMode.EQUINOX, order_by, compat, **scale)
     if mode is SummaryMode.CLASSIC:
-        centroid = charge_centroid(pulses)
-    else:
-        features = pin(features)
-        centroid = _centroid(features, F.col("_q"), {a: F.col(f"_q{a}") for a in "xyz"})
-    rows = features.drop(*_HIDDEN).join(centroid, "event_no", "inner")
-    rows = _relative(rows)
-    if mode is not SummaryMode.CLASSIC:
-        rows = rows.join(second_round_features(features, q_cut), "event_no", "inner")
-    return rows
+        return _relative(_with_means(features, "PARTITION BY event_no", "sum(_q)").drop(*_HIDDEN))
+    features = pin(features)
+    centroid = _centroid(features, F.col("_q"), {a: F.col(f"_q{a}") for a in "xyz"})
+    rows = _relative(features.drop(*_HIDDEN).join(centroid, "event_no", "inner"))
+    return rows.join(second_round_features(features, q_cut), "event_no", "inner")
+
+
+def _with_means(features: DataFrame, group: str, total: str) -> DataFrame:
+    """Charge-weighted mean position of each group of sensor rows, 0 without charge; at most one row per sensor in a window."""
+    means = [
+        f"CASE WHEN double({total} OVER ({group})) > 0 THEN double(sum(_q{a}) OVER ({group})) / double({total} OVER ({group})) ELSE 0D END AS mean_{a}"
+        for a in "xyz"
+    ]
+    return features.selectExpr("*", *means)
 
 
 def legacy_summary(pulses: DataFrame, order_by: Sequence[str] = PULSE_ORDER, **scale) -> DataFrame:
@@ -247,7 +264,7 @@ def legacy_summary(pulses: DataFrame, order_by: Sequence[str] = PULSE_ORDER, **s
     Positions are relative to the mean of position times charge per (event,
     string), scaled by the highest sensor charge of that string.
     """
-    rows = sensor_features(pulses, order_by=order_by, k=3, **scale)
+    rows = _sensor_features(pulses, order_by=order_by, k=3, **scale)
     saturated = F.col("saturation_status") == 1
     hidden = {"q1", "q2", "q3", "t1", "t2", "t3", "Q25", "Q75", "Qtotal", "T10", "T50"}
     out = []
@@ -260,16 +277,9 @@ def legacy_summary(pulses: DataFrame, order_by: Sequence[str] = PULSE_ORDER, **s
         else:
             out.append(F.col(name))
 
-    per_sensor = pulses.groupBy(*SENSOR_KEYS).agg(
-        F.sum("charge").alias("q"),
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.col(f"dom_{axis}") * F.col("charge")).alias(f"q{axis}") for axis in "xyz"],
-    )
-    scaled = [
-        (_dbl(F.sum(f"q{axis}")) / _dbl(F.sum("n")) / _dbl(F.max("q"))).alias(f"mean_{axis}") for axis in "xyz"
-    ]
-    centres = per_sensor.groupBy("event_no", "string").agg(*scaled)
-    return _relative(rows.select(*out).join(centres, ["event_no", "string"], "inner"))
+    group = "OVER (PARTITION BY event_no, string)"
+    means = [f"double(sum(_q{a}) {group}) / double(sum(n_pulses) {group}) / double(max(_q) {group}) AS mean_{a}" for a in "xyz"]
+    return _relative(rows.select(*out).selectExpr("*", *means).drop(*_HIDDEN))
 
 
 def first_hlc_times(pulses: DataFrame, order_by: Sequence[str] = PULSE_ORDER, k: int = 3) -> DataFrame:

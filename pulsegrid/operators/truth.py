@@ -54,6 +54,13 @@ def shard_offsets(
     return truth.withColumn("offset", total)
 
 
+def place_events(pulses: DataFrame, events_per_shard: int, **scale) -> DataFrame:
+    """Part, shard, N_doms and offset of every event with pulses; other columns that are constant in an event are kept."""
+    kept = [c for c in ("original_event_no",) if c in pulses.columns]
+    counted = pulses.groupBy("part_no", "event_no", *kept).agg(F.count_distinct("string", "dom_number").cast("int").alias("N_doms"))
+    return shard_offsets(with_shards(counted, events_per_shard, **scale))
+
+
 def running_dom_count(truth: DataFrame, order_by: Sequence[str] = ("event_no",), **scale) -> DataFrame:
     """Running sum of N_doms over a whole dataset."""
     return running_totals(truth, order_by, {"doms_so_far": F.col("N_doms").cast("long")}, **scale)
@@ -96,7 +103,8 @@ def only_listed(table: DataFrame, receipt: DataFrame, keys: Sequence[str] = ("ev
 def build_truth(truth: DataFrame, pulses: DataFrame, doms: DataFrame, sides: Mapping[str, DataFrame | None],
                 subdirectory_no: int, source: str, events_per_shard: int, **features) -> DataFrame:
     """The complete truth table, with enhanced event numbers."""
-    rows = assemble_truth(truth, pulses, doms, sides, subdirectory_no, events_per_shard, **features)
+    tag = ids.dataset_tag_number(str(subdirectory_no), source)
+    rows = assemble_truth(truth, pulses, doms, sides, tag, events_per_shard, **features)
     return with_enhanced_id(rows, subdirectory_no, source)
 
 
@@ -109,15 +117,21 @@ def assemble_truth(
     events_per_shard: int,
     truth_features: Sequence[TruthFeature] = TRUTH_FEATURES,
     summary_features: Sequence[SummaryFeature] = SUMMARY_FEATURES,
+    placed: DataFrame | None = None,
 ) -> DataFrame:
     """Truth, side tables and derived labels; declared types and order.
 
     Pulses are reduced to one row per event before they meet the labels.  Events
-    without pulses have no sensor rows and are left out.
+    without pulses have no sensor rows and are left out.  `placed` (`place_events`)
+    gives parts, shards and offsets that sensor rows were written by; else the
+    labelled events are numbered here.
     """
     base = truth.drop("shard_no", "N_doms", "offset", "subdirectory_no")
-    counted = base.join(count_doms(pulses), "event_no", "inner")
-    rows = shard_offsets(with_shards(counted, events_per_shard)).withColumn("subdirectory_no", F.lit(subdirectory_no))
+    if placed is None:
+        rows = shard_offsets(with_shards(base.join(count_doms(pulses), "event_no", "inner"), events_per_shard))
+    else:
+        rows = base.drop("part_no").join(placed, "event_no", "inner")
+    rows = rows.withColumn("subdirectory_no", F.lit(subdirectory_no))
     present = set(rows.columns)
     rows = rows.selectExpr(
         *[f"`{name}`" if name in present else f"CAST(NULL AS {kind}) AS `{name}`" for name, kind in TRUTH_COLUMNS.items()]

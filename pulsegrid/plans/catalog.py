@@ -149,17 +149,29 @@ def truth_assembled(spark, sf_dir):
 
 @query
 def truth_complete(spark, sf_dir):
-    """All 130 columns; the oracle checks those that the tables define."""
-    hits = fx.hits(spark, sf_dir)
-    full = labels.build_truth(
-        fx.truth(spark, sf_dir).drop("InteractionType"), hits, fx.doms(spark, sf_dir),
-        {"daughter": fx.daughter(spark, sf_dir), "weights": fx.truth(spark, sf_dir).select("event_no", "InteractionType")},
-        22012, ids.SIGNAL, 500,
-    )
+    """All 130 columns with all four side tables; columns without a source of their own enter through sums and counts."""
+    hits, base = fx.hits(spark, sf_dir), fx.truth(spark, sf_dir)
+    sides = {
+        "labels": base.where("event_no % 3 <> 0").selectExpr(
+            "event_no", "event_no % 2 AS GNLabelHighestEInIceParticleIsChild",
+            "IF(event_no % 7 = 0, double('NaN'), double(energy)) AS GNLabelEnergyPrimary",
+        ),
+        "inice": base.where("event_no % 5 <> 0").selectExpr(
+            "event_no", "double(event_no % 100) AS pos_x_GNHighestEInIceParticle", "double(energy) AS energy_GNHighestEInIceParticle"
+        ),
+        "daughter": fx.daughter(spark, sf_dir),
+        "weights": base.where("event_no % 11 <> 0").select("event_no", "InteractionType"),
+    }
+    full = labels.build_truth(base.drop("InteractionType"), hits, fx.doms(spark, sf_dir), sides, 22012, ids.SIGNAL, 500)
+    sums = [
+        F.round(sum((F.col(f"`{c}`").cast("double") for c in columns), F.lit(0.0)), 1).alias(f"sum_{side}")
+        for side, columns in SIDE_TABLES.items()
+    ]
+    present = sum((F.col(f"`{c}`").isNotNull().cast("int") for c in full.columns), F.lit(0)).alias("n_filled")
     return full.select(
         "event_no", "original_event_no", "subdirectory_no", "part_no", "shard_no", "N_doms", "offset",
         "InteractionType", "isWithinIceCube", *_rounded(["max_interPMT_distance", "post_vertex_intraIceCube_segment"], 2),
-        F.lit(len(full.columns)).alias("n_columns"),
+        *sums, present, F.lit(len(full.columns)).alias("n_columns"),
     )
 
 
@@ -207,7 +219,8 @@ def opening_angle(spark, sf_dir):
     zenith, azimuth = F.col("zenith"), F.col("azimuth")
     second = (F.sin(zenith) * F.cos(azimuth), F.sin(zenith) * F.sin(azimuth), F.cos(zenith))
     rows = fx.truth(spark, sf_dir).join(fx.daughter(spark, sf_dir), "event_no")
-    return rows.where(norm > 0).select("event_no", F.round(geo.opening_angle(first, second), 4).alias("angle"))
+    # An event without direction has no angle.
+    return rows.select("event_no", F.when(norm > 0, F.round(geo.opening_angle(first, second), 4)).alias("angle"))
 
 
 @query
@@ -279,7 +292,7 @@ def offset_recomputed(spark, sf_dir):
 
 @query
 def filter_receipt(spark, sf_dir):
-    return _selection(spark, sf_dir).receipt(fx.labelled(spark, sf_dir), fx.doms(spark, sf_dir))
+    return _selection(spark, sf_dir).receipt(fx.labelled(spark, sf_dir))
 
 
 @query
@@ -480,6 +493,29 @@ def shape_features_compact(spark, sf_dir):
     return rows.selectExpr("event_no", *_round([c for c in rows.columns if c != "event_no"], 5))
 
 
+def _by_flavour(spark, sf_dir):
+    """Features of sensor rows without strings, which come from reference positions again."""
+    doms = fx.doms(spark, sf_dir)
+    geometry = doms.select("string", "dom_number", "dom_x", "dom_y", "dom_z").distinct()
+    rows = shape.labelled_features(doms.drop("string"), fx.truth(spark, sf_dir), geometry)
+    steady = [c for c in _SHAPE17 if c not in ("outer_mass_fraction", "normalised_weighted_distance")]
+    return rows.selectExpr("event_no", "flavour", *_round(steady, 5))
+
+
+@query
+def features_by_flavour(spark, sf_dir):
+    """Statistics of shape features per class, from sensor rows that carry no string."""
+    rows = _by_flavour(spark, sf_dir)
+    names = ["extent_max", "stretch_max", "hypotenuse", "major_PCA", "area_ratio"]
+    out = stats.describe_columns(rows, names, ["flavour"])
+    return out.selectExpr("flavour", "feature", "n", "n_missing", *_round(["max", "min", "mean", "median", "std"], 3))
+
+
+@query
+def feature_histograms_by_flavour(spark, sf_dir):
+    return _bins(stats.histogram(_by_flavour(spark, sf_dir), "hypotenuse", width=50, by=["flavour"]))
+
+
 @query
 def cluster_scores(spark, sf_dir):
     return shape.cluster_scores(_string_charges(spark, sf_dir))
@@ -562,7 +598,7 @@ def hist_charge_log(spark, sf_dir):
 @query
 def hist_charge_per_dom(spark, sf_dir):
     total = fx.pulses(spark, sf_dir).groupBy("string", "dom_number").agg(F.sum("charge").alias("charge"))
-    return _bins(stats.histogram(total, "charge", bins=49))
+    return _bins(stats.histogram(total, "charge", bins=49, log=True))
 
 
 @query
@@ -576,9 +612,75 @@ def hist_position_z(spark, sf_dir):
     return _bins(stats.histogram(fx.doms(spark, sf_dir), "dom_z", width=50))
 
 
+@query
+def hist_position_x(spark, sf_dir):
+    return _bins(stats.histogram(fx.doms(spark, sf_dir), "dom_x", width=50))
+
+
+@query
+def hist_position_y(spark, sf_dir):
+    return _bins(stats.histogram(fx.doms(spark, sf_dir), "dom_y", width=50))
+
+
+def _sensors(spark, sf_dir):
+    return summary.sensor_features(fx.pulses(spark, sf_dir))
+
+
+@query
+def hist_first_charge(spark, sf_dir):
+    return _bins(stats.histogram(_sensors(spark, sf_dir), "q1", bins=49))
+
+
+@query
+def hist_first_time(spark, sf_dir):
+    return _bins(stats.histogram(_sensors(spark, sf_dir), "t1", width=12))
+
+
+@query
+def hist_total_charge_log(spark, sf_dir):
+    return _bins(stats.histogram(_sensors(spark, sf_dir), "Qtotal", bins=49, log=True))
+
+
+@query
+def hist_total_charge_adjusted(spark, sf_dir):
+    rows = _sensors(spark, sf_dir).select(scaling.adjusted_charge(F.col("Qtotal")).alias("q"))
+    return _bins(stats.histogram(rows, "q", bins=49))
+
+
+@query
+def hist_early_charge(spark, sf_dir):
+    return _bins(stats.histogram(_sensors(spark, sf_dir), "Q25", width=20))
+
+
+@query
+def hist_time_spread(spark, sf_dir):
+    return _bins(stats.histogram(_sensors(spark, sf_dir), "sigmaT", width=10))
+
+
+@query
+def hist_zenith(spark, sf_dir):
+    return _bins(stats.histogram(fx.truth(spark, sf_dir), "zenith", bins=50))
+
+
+@query
+def hist_azimuth(spark, sf_dir):
+    return _bins(stats.histogram(fx.truth(spark, sf_dir), "azimuth", bins=50))
+
+
+@query
+def charge_raw_and_adjusted(spark, sf_dir):
+    """Per event: its charges as measured and as adjusted, and how many sensors the cut would keep."""
+    rows = fx.doms(spark, sf_dir).withColumn("adjusted", scaling.adjusted_charge(F.col("Qtotal")))
+    return rows.groupBy("event_no").agg(
+        F.count(F.lit(1)).alias("n_doms"), F.round(F.sum("Qtotal"), 4).alias("raw_sum"), F.round(F.max("Qtotal"), 4).alias("raw_max"),
+        F.round(F.avg("adjusted"), 6).alias("adjusted_mean"), F.round(F.max("adjusted"), 6).alias("adjusted_max"),
+        F.count_if(F.col("adjusted") > -1).alias("n_above_cut"),
+    )
+
+
 @query
 def hist_energy_log(spark, sf_dir):
-    return _bins(stats.histogram(fx.truth(spark, sf_dir), "energy", bins=50, log=True))
+    return _bins(stats.histogram(fx.truth(spark, sf_dir), "energy", bins=49, log=True))
 
 
 @query

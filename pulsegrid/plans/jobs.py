@@ -1,4 +1,4 @@
-"""The three batch jobs from files to files: summarise, filter, blend.
+"""The batch jobs from files to files: summarise, filter, blend, features.
 
 Datasets lie at <root>/<source>/<subdir>/{doms,truth}/part_no=..  All parts of a
 dataset are one job; Spark spreads them.
@@ -7,23 +7,26 @@ dataset are one job; Spark spreads them.
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions import ids
 from pulsegrid.operators import blend as blending
-from pulsegrid.operators import select
+from pulsegrid.operators import select, shape, stats
 from pulsegrid.operators import truth as labels
 from pulsegrid.operators.detector import assign_sensor
-from pulsegrid.operators.summary import dom_summary
-from pulsegrid.runtime import pin, release_pins
+from pulsegrid.operators.summary import PULSE_ORDER, dom_summary
+from pulsegrid.runtime import pin, released_pins
 from pulsegrid.schema import SIDE_TABLES, SummaryMode, summary_columns
 from pulsegrid.sources import files
 from pulsegrid.sources.sqlite import read_sqlite, resolve_table, source_files, table_names
 
 PULSE_TABLES = ("SRTInIcePulses", "SplitInIcePulses")
 TRUTH_TABLES = ("truth", "Truth")
+_MEASURED = ("event_no", "dom_x", "dom_y", "dom_z", "Qtotal")
 SIDE_SOURCES = {"inice": "GNHighestEInIceParticle", "daughter": "GNHighestEDaughter", "weights": "MCWeightDict"}
 
 
@@ -51,11 +54,19 @@ def summarise(
     events_per_shard: int,
     mode: SummaryMode = SummaryMode.CLASSIC,
     geometry: DataFrame | None = None,
+    order_by: Sequence[str] = PULSE_ORDER,
 ) -> None:
     """SQLite parts of a dataset -> sensor rows and truth.
 
-    Ends by deleting the tables pinned in this process.
+    Events are numbered and cut into shards once, by their pulses; offsets count the
+    sensor rows of all of them, also of events without labels.  Order pulses by
+    `pulse_id` alone to take them as they were stored.
     """
+    with released_pins(spark):
+        _summarise(spark, folder, target, source, subdir, events_per_shard, mode, geometry, order_by)
+
+
+def _summarise(spark, folder, target, source, subdir, events_per_shard, mode, geometry, order_by) -> None:
     pulses = _table(spark, folder, resolve_table(folder, PULSE_TABLES), source, subdir).withColumnRenamed("row_id", "pulse_id")
     if not {"string", "dom_number"} <= set(pulses.columns):
         if geometry is None:
@@ -63,12 +74,12 @@ def summarise(
         pulses = assign_sensor(pulses, geometry)
     # The files are read once, whole rows at a time; what follows reads columns.
     pulses = pin(pulses)
-    events = pulses.select("part_no", "event_no", "original_event_no").distinct()
-    shards = labels.with_shards(events, events_per_shard)
+    placed = pin(labels.place_events(pulses, events_per_shard))
+    shards = placed.select("event_no", "original_event_no", "part_no", "shard_no")
     names = ["event_no", "original_event_no"] + [n for n, _ in summary_columns(mode)[1:]]
     kinds = dict(summary_columns(mode))
     rows = (
-        dom_summary(pulses, mode)
+        dom_summary(pulses, mode, order_by)
         .join(shards, "event_no")
         .select(*[F.col(n).cast(kinds[n]) if n in kinds and n != "event_no" else F.col(n) for n in names], "part_no", "shard_no")
     )
@@ -81,13 +92,12 @@ def summarise(
     for side, table in SIDE_SOURCES.items():
         if table in present:
             sides[side] = _suffixed(_table(spark, folder, table, source, subdir), SIDE_TABLES[side])
-    number = int(subdir) if subdir.isdigit() else None
-    full = labels.assemble_truth(truth, pulses, doms, sides, number, events_per_shard)
+    tag = ids.dataset_tag_number(subdir, source)
+    full = labels.assemble_truth(truth, pulses, doms, sides, tag, events_per_shard, placed=placed.drop("original_event_no"))
     originals = truth.select("event_no", "original_event_no")
     files.write_truth(
         full.join(originals, "event_no").select("event_no", "original_event_no", *full.columns[1:]), target, source, subdir
     )
-    release_pins(spark)
 
 
 def filter_dataset(
@@ -98,10 +108,46 @@ def filter_dataset(
     out = f"{target}/{selection.keyword()}"
     files.write_truth(selection.truth(truth), out, source, subdir)
     files.write_summary(selection.doms(truth, doms), out, source, subdir)
-    files.write_receipt(selection.receipt(truth, doms), f"{out}/{source}/{subdir}/receipt")
+    files.write_receipt(selection.receipt(truth), f"{out}/{source}/{subdir}/receipt")
     return out
 
 
+def feature_datasets(
+    spark: SparkSession,
+    root: str,
+    target: str,
+    source: str,
+    subdirs: Sequence[str],
+    geometry: DataFrame,
+    compact: bool = False,
+    balance: bool = True,
+    receipt: DataFrame | None = None,
+    bins: int = 50,
+) -> None:
+    """Written datasets of several flavours -> shape features per event, and their statistics and histograms per flavour.
+
+    Writes <target>/features, <target>/statistics and <target>/histograms.  `receipt`
+    lists the events that may be used; with `balance` every flavour gives as many events.
+    """
+    with released_pins(spark):
+        truths = [
+            files.read_dataset(spark, root, source, s, "truth").select("event_no", ids.flavour(F.lit(s)).alias("flavour")) for s in subdirs
+        ]
+        events = reduce(DataFrame.unionByName, truths)
+        if receipt is not None:
+            events = labels.only_listed(events, receipt)
+        if balance:
+            events = blending.balance_classes(events)
+        doms = reduce(DataFrame.unionByName, [files.read_dataset(spark, root, source, s, "doms").select(*_MEASURED) for s in subdirs])
+        rows = shape.labelled_features(doms, pin(events), geometry, compact)
+        rows.write.mode("overwrite").parquet(f"{target}/features")
+        rows = spark.read.parquet(f"{target}/features")
+        names = [c for c in rows.columns if c not in ("event_no", "flavour")]
+        stats.describe_columns(rows, names, ["flavour"]).write.mode("overwrite").parquet(f"{target}/statistics")
+        counted = [stats.histogram(rows, n, bins=bins, by=["flavour"]).withColumn("feature", F.lit(n)) for n in names]
+        reduce(DataFrame.unionByName, counted).write.mode("overwrite").parquet(f"{target}/histograms")
+
+
 def blend_datasets(
     spark: SparkSession,
     root: str,
@@ -113,13 +159,22 @@ def blend_datasets(
     events_per_part: int = blending.EVENTS_PER_PART,
     events_per_shard: int = blending.EVENTS_PER_SHARD,
 ) -> None:
-    """Two datasets -> one, written beside them."""
+    """Two datasets -> one, written beside them; raises if the sensor rows of a blended event are incomplete."""
+    with released_pins(spark):
+        _blend_datasets(spark, root, source, low, high, blended, energy_cutoff, events_per_part, events_per_shard)
+
+
+def _blend_datasets(spark, root, source, low, high, blended, energy_cutoff, events_per_part, events_per_shard) -> None:
     truths = [files.read_dataset(spark, root, source, s, "truth") for s in (low, high)]
     mixed = blending.blend_truth(*truths, int(blended), energy_cutoff, events_per_part, events_per_shard)
     files.write_truth(mixed, root, source, blended)
     placed = files.read_dataset(spark, root, source, blended, "truth")
     doms = [files.read_dataset(spark, root, source, s, "doms") for s in (low, high)]
-    rows = blending.blend_doms(placed, doms[0].unionByName(doms[1]))
+    both = doms[0].unionByName(doms[1])
+    short = blending.missing_doms(placed, both).limit(5).collect()
+    if short:
+        raise ValueError(f"sensor rows are missing, for example {[tuple(r) for r in short]} (event, wanted, found)")
+    rows = blending.blend_doms(placed, both)
     files.write_summary(rows, root, source, blended)
     receipt = blending.blend_receipt(*truths, int(blended), energy_cutoff)
     files.write_receipt(receipt, os.path.join(root, source, blended, "receipt"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pulsegrid.functions.scaling import CHARGE_FLOOR, CHARGE_SHIFT
 from pulsegrid.plans.fixtures import STRING_X, STRING_Y
+from pulsegrid.schema import SIDE_TABLES
 
 
 def _case(values, index="string"):
@@ -361,13 +363,39 @@ pairs AS (
   FROM doms a JOIN doms b ON a.event_no = b.event_no GROUP BY a.event_no)"""
 ORACLES["truth_max_interpmt_distance"] = f"""WITH {DOMS}, {_PAIRS}
 SELECT event_no, round(d, 6) AS max_interPMT_distance FROM pairs"""
+
+
+def _single(value: str) -> str:
+    """A value as it comes out of a column of single precision."""
+    return f"CAST(CAST({value} AS FLOAT) AS DOUBLE)"
+
+
+def _rest(side: str, *given: str) -> str:
+    """Sum of the defaults of a side table's columns but those given."""
+    return f"CAST({sum(default for name, (_, default) in SIDE_TABLES[side].items() if name not in given)} AS DOUBLE)"
+
+
+# Of the 40 truth columns the tables define these; the others are null.
+_KNOWN_TRUTH = len(
+    "event_no subdirectory_no part_no shard_no N_doms offset energy azimuth zenith RunID EventID MuonFilter_13".split()
+)
 ORACLES["truth_complete"] = f"""WITH {PLACED}, {LABELLED.replace(TRUTH + ',', '')},
 doms AS (SELECT DISTINCT event_no, dom_x, dom_y, dom_z FROM hits), {_PAIRS}
 SELECT CAST(format('112{{:04d}}{{:08d}}', p.part_no, p.event_no) AS BIGINT) AS event_no, p.event_no AS original_event_no,
-  p.subdirectory_no, p.part_no, p.shard_no, p.N_doms, p."offset", p.InteractionType, l.isWithinIceCube,
+  12 AS subdirectory_no, p.part_no, p.shard_no, p.N_doms, p."offset",
+  CASE WHEN p.event_no % 11 <> 0 THEN p.InteractionType ELSE -1 END AS InteractionType, l.isWithinIceCube,
   round(CAST(CAST(d AS FLOAT) AS DOUBLE), 2) AS max_interPMT_distance,
-  round(CAST(CAST(segment AS FLOAT) AS DOUBLE), 2) AS post_vertex_intraIceCube_segment, 130 AS n_columns
-FROM placed p JOIN labelled l USING (event_no) JOIN pairs USING (event_no)"""
+  round(CAST(CAST(segment AS FLOAT) AS DOUBLE), 2) AS post_vertex_intraIceCube_segment,
+  round(CASE WHEN p.event_no % 3 <> 0 THEN {_rest("labels", "GNLabelHighestEInIceParticleIsChild", "GNLabelEnergyPrimary")} + p.event_no % 2
+    + CASE WHEN p.event_no % 7 = 0 THEN -1 ELSE {_single("p.energy")} END ELSE {_rest("labels")} END, 1) AS sum_labels,
+  round(CASE WHEN p.event_no % 5 <> 0 THEN {_rest("inice", "pos_x_GNHighestEInIceParticle", "energy_GNHighestEInIceParticle")} + p.event_no % 100
+    + {_single("p.energy")} ELSE {_rest("inice")} END, 1) AS sum_inice,
+  round(CASE WHEN g.px IS NOT NULL THEN {_rest("daughter", *[f"{k}_{a}_GNHighestEDaughter" for k in ("pos", "dir") for a in "xyz"], "energy_GNHighestEDaughter")}
+    + {" + ".join(_single(f"g.{k}{a}") for k in "pd" for a in "xyz")} + CASE WHEN isnan(g.e) THEN -1 ELSE {_single("g.e")} END
+    ELSE {_rest("daughter")} END, 1) AS sum_daughter,
+  round({_rest("weights", "InteractionType")} + CASE WHEN p.event_no % 11 <> 0 THEN p.InteractionType ELSE -1 END, 1) AS sum_weights,
+  {_KNOWN_TRUTH} + {sum(len(c) for c in SIDE_TABLES.values())} + 3 + 1 AS n_filled, 130 AS n_columns
+FROM placed p JOIN labelled l USING (event_no) JOIN pairs USING (event_no) LEFT JOIN daughter g USING (event_no)"""
 ORACLES["truth_is_within"] = f"WITH {LABELLED} SELECT event_no, isWithinIceCube FROM labelled"
 ORACLES["truth_prism_segment"] = f"""WITH {LABELLED.replace('CAST(CAST(px AS FLOAT) AS DOUBLE)', 'px').replace('CAST(CAST(py AS FLOAT) AS DOUBLE)', 'py').replace('CAST(CAST(pz AS FLOAT) AS DOUBLE)', 'pz')}
 SELECT d.event_no, CAST(CASE WHEN missed OR NOT t_in < t_out THEN NULL WHEN t_in > 0 THEN 0 WHEN t_out >= 0 THEN 1 WHEN t_out < 0 THEN 2 END AS INTEGER) AS vertex_place,
@@ -375,9 +403,9 @@ SELECT d.event_no, CAST(CASE WHEN missed OR NOT t_in < t_out THEN NULL WHEN t_in
   round(CASE WHEN NOT missed AND t_in < t_out THEN t_out END, 5) AS t_out, round(segment, 5) AS segment
 FROM daughter d JOIN clipped USING (event_no) JOIN labelled USING (event_no)"""
 ORACLES["opening_angle"] = f"""WITH {TRUTH}, {DAUGHTER}
-SELECT event_no, round(degrees(acos(greatest(-1, least(1,
-  (dx * sin(zenith) * cos(azimuth) + dy * sin(zenith) * sin(azimuth) + dz * cos(zenith)) / sqrt(dx * dx + dy * dy + dz * dz))))), 4) AS angle
-FROM truth JOIN daughter USING (event_no) WHERE dx * dx + dy * dy + dz * dz > 0"""
+SELECT event_no, CASE WHEN dx * dx + dy * dy + dz * dz > 0 THEN round(degrees(acos(greatest(-1, least(1,
+  (dx * sin(zenith) * cos(azimuth) + dy * sin(zenith) * sin(azimuth) + dz * cos(zenith)) / sqrt(dx * dx + dy * dy + dz * dz))))), 4) END AS angle
+FROM truth JOIN daughter USING (event_no)"""
 ORACLES["interior_vertices"] = f"""WITH {DAUGHTER}
 SELECT event_no, round(sqrt(px * px + py * py), 6) AS radius,
   CAST(sqrt(px * px + py * py) < 400 AND pz > -300 AND pz < 300 AS INTEGER) AS interior,
@@ -405,14 +433,11 @@ ORACLES["offset_recomputed"] = f"""WITH {_SELECTED_PLACED}
 SELECT p.event_no, p.part_no, p.shard_no, p.N_doms,
   CAST(sum(p.N_doms) OVER (PARTITION BY p.part_no, p.shard_no ORDER BY p.event_no) AS INTEGER) AS "offset"
 FROM placed p JOIN chosen USING (event_no)"""
-ORACLES["filter_receipt"] = f"""WITH {_SELECTED}, {DOMS},
-per_event AS (SELECT event_no, count(*) AS n FROM doms GROUP BY event_no),
-flagged AS (SELECT t.subdirectory_no, t.part_no, coalesce(n, 0) AS n, t.event_no IN (SELECT event_no FROM chosen) AS kept
-  FROM truth t LEFT JOIN per_event USING (event_no)),
-counted AS (SELECT subdirectory_no, part_no, count(*) AS initial_events, count(*) FILTER (WHERE kept) AS selected_events,
-  CAST(sum(n) AS BIGINT) AS initial_rows, CAST(coalesce(sum(n) FILTER (WHERE kept), 0) AS BIGINT) AS reduced_rows FROM flagged GROUP BY 1, 2)
-SELECT *, 'CC_CRclean_IntraTravelDistance_300' AS filter_applied, round(CAST(reduced_rows AS DOUBLE) / initial_rows, 4) AS survival_ratio,
-  round(1 - CAST(reduced_rows AS DOUBLE) / initial_rows, 4) AS reduction_ratio FROM counted"""
+ORACLES["filter_receipt"] = f"""WITH {_SELECTED},
+counted AS (SELECT subdirectory_no, part_no, count(*) AS initial_events, count(*) FILTER (WHERE event_no IN (SELECT event_no FROM chosen)) AS selected_events
+  FROM truth GROUP BY 1, 2)
+SELECT *, 'CC_CRclean_IntraTravelDistance_300' AS filter_applied, round(CAST(selected_events AS DOUBLE) / initial_events, 4) AS survival_ratio,
+  round(1 - CAST(selected_events AS DOUBLE) / initial_events, 4) AS reduction_ratio FROM counted"""
 ORACLES["busy_events"] = f"WITH {PLACED} SELECT event_no, N_doms FROM placed WHERE N_doms > 6"
 
 # ----------------------------------------------------------------------------- blending
@@ -611,10 +636,29 @@ ORACLES["hist_pulses_per_dom_by_interaction"] = _hist(
     f"""{hits()}, {TRUTH}, {_PER_DOM}, j AS (SELECT n, CASE InteractionType WHEN 1 THEN 'CC' WHEN 2 THEN 'NC' ELSE 'other' END AS interaction
     FROM pd JOIN truth USING (event_no))""", "j", "n", width=1, by="interaction")
 ORACLES["hist_charge_log"] = _hist(PULSES, "pulses", "charge", bins=49, log=True)
-ORACLES["hist_charge_per_dom"] = _hist(f"{PULSES}, t AS (SELECT sum(charge) AS q FROM pulses GROUP BY string, dom_number)", "t", "q", bins=49)
+ORACLES["hist_charge_per_dom"] = _hist(f"{PULSES}, t AS (SELECT sum(charge) AS q FROM pulses GROUP BY string, dom_number)", "t", "q", bins=49, log=True)
 ORACLES["hist_charge_per_event"] = _hist(f"{PULSES}, t AS (SELECT sum(charge) AS q FROM pulses GROUP BY event_no)", "t", "q", bins=49, log=True)
 ORACLES["hist_position_z"] = _hist(DOMS, "doms", "dom_z", width=50)
-ORACLES["hist_energy_log"] = _hist(TRUTH, "truth", "energy", bins=50, log=True)
+_FIRST = """first AS (SELECT event_no, string, dom_number, arg_min(charge, (dom_time, pulse_id)) AS q1, min(dom_time) AS t1,
+  sum(charge) AS Qtotal, CASE WHEN count(*) <= 1 THEN -1 ELSE stddev_pop(dom_time) END AS sigmaT,
+  CAST(coalesce(sum(charge) FILTER (WHERE dom_time - t_first < 25), 0) AS DOUBLE) AS Q25
+  FROM (SELECT *, min(dom_time) OVER (PARTITION BY event_no, string, dom_number) AS t_first FROM pulses) GROUP BY 1, 2, 3)"""
+for _axis in "xy":
+    ORACLES[f"hist_position_{_axis}"] = _hist(DOMS, "doms", f"dom_{_axis}", width=50)
+ORACLES["hist_first_charge"] = _hist(f"{PULSES}, {_FIRST}", "first", "q1", bins=49)
+ORACLES["hist_first_time"] = _hist(f"{PULSES}, {_FIRST}", "first", "t1", width=12)
+ORACLES["hist_total_charge_log"] = _hist(f"{PULSES}, {_FIRST}", "first", "Qtotal", bins=49, log=True)
+ORACLES["hist_total_charge_adjusted"] = _hist(
+    f"{PULSES}, {_FIRST}, a AS (SELECT log10(greatest(CAST(Qtotal AS DOUBLE), {CHARGE_FLOOR})) - {CHARGE_SHIFT} AS q FROM first)", "a", "q", bins=49
+)
+ORACLES["hist_early_charge"] = _hist(f"{PULSES}, {_FIRST}", "first", "Q25", width=20)
+ORACLES["hist_time_spread"] = _hist(f"{PULSES}, {_FIRST}", "first", "sigmaT", width=10)
+ORACLES["hist_zenith"] = _hist(TRUTH, "truth", "zenith", bins=50)
+ORACLES["hist_azimuth"] = _hist(TRUTH, "truth", "azimuth", bins=50)
+ORACLES["charge_raw_and_adjusted"] = f"""WITH {DOMS}, a AS (SELECT *, log10(greatest(Qtotal, {CHARGE_FLOOR})) - {CHARGE_SHIFT} AS adjusted FROM doms)
+SELECT event_no, count(*) AS n_doms, round(sum(Qtotal), 4) AS raw_sum, round(max(Qtotal), 4) AS raw_max, round(avg(adjusted), 6) AS adjusted_mean,
+  round(max(adjusted), 6) AS adjusted_max, count(*) FILTER (WHERE adjusted > -1) AS n_above_cut FROM a GROUP BY event_no"""
+ORACLES["hist_energy_log"] = _hist(TRUTH, "truth", "energy", bins=49, log=True)
 ORACLES["hist_cos_zenith"] = _hist(f"{TRUTH}, z AS (SELECT cos(zenith) AS c FROM truth)", "z", "c", bins=50)
 
 
@@ -710,3 +754,11 @@ ORACLES["busy_sensors_per_event"] = f"""WITH {PULSES}, s AS (SELECT {KEYS}, coun
 SELECT event_no, count(*) AS n_sensors, max(n) AS most_pulses FROM s WHERE n > 6 GROUP BY event_no"""
 ORACLES["shard_allow_list"] = f"""WITH {PLACED}, {DOMS.replace(hits() + ',', '')}
 SELECT d.event_no, d.string, d.dom_number, p.shard_no FROM doms d JOIN placed p USING (event_no) WHERE p.N_doms >= 5"""
+
+
+_GEOMETRY = ORACLES["shape_features_geometry"]
+_FLAVOURED = f"shapes AS ({_GEOMETRY}), {TRUTH}, j AS (SELECT shapes.*, flavour FROM shapes JOIN truth USING (event_no))"
+ORACLES["features_by_flavour"] = (
+    f"WITH {_FLAVOURED} " + _feature_stats("j", ["extent_max", "stretch_max", "hypotenuse", "major_PCA", "area_ratio"], by="flavour")
+)
+ORACLES["feature_histograms_by_flavour"] = _hist(_FLAVOURED, "j", "hypotenuse", width=50, by="flavour")

@@ -1,14 +1,16 @@
-"""Session helpers: size checks on plans and pinned (written) frames."""
+"""Session helpers: counted size checks and pinned (written) frames."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A frame whose inputs are below this many bytes is sorted by one task without harm.
-ONE_TASK_BYTES = 64 * 1024 * 1024
+# A frame of at most this many rows, counted, may be sorted by one task.
+ONE_TASK_ROWS = 1_000_000
 # Tables of a few key columns are broadcast up to this many rows (some megabytes).
 BROADCAST_ROWS = 100_000
 
@@ -68,22 +70,29 @@ def pin(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_pins(spark: SparkSession) -> None:
-    """Delete the tables this process has pinned; frames built on them end with it."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _PINNED:
-        path = jvm.org.apache.hadoop.fs.Path(_PINNED.pop())
-        path.getFileSystem(conf).delete(path, True)
+@contextmanager
+def released_pins(spark: SparkSession) -> Iterator[None]:
+    """Delete what is pinned inside the block when it ends; pins made before stay, also those that other frames read.
 
-
-def plan_bytes(df: DataFrame) -> int:
-    """Optimizer's size estimate; file sizes for plain scans."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def fits_one_task(df: DataFrame, limit: int | None = None) -> bool:
-    return plan_bytes(df) <= (ONE_TASK_BYTES if limit is None else limit)
+    For jobs that have written their results: frames built on these pins end with them.
+    """
+    mine: list[str] = []
+    before = set(_PINNED)
+    try:
+        yield
+    finally:
+        mine = [p for p in _PINNED if p not in before]
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in mine:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+            _PINNED.remove(name)
+
+
+def few_rows(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether one task may hold all of `df`, by its counted rows (of a file scan: from the footers)."""
+    return df.count() <= (ONE_TASK_ROWS if limit is None else limit)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -3,8 +3,8 @@
     spark.dataSource.register(SqliteSource)
     spark.read.format("sqlite").option("path", folder).option("table", "SRTInIcePulses").load()
 
-Each file is split into ranges of row ids, so one large file is read by many
-tasks.  The options `columns` (names, comma-separated) and `where` (a condition
+Each file is split into ranges of row ids by its size, so one large file is read by
+many tasks.  The options `columns` (names, comma-separated) and `where` (a condition
 in SQL) are answered by the file.  They belong to one load(): filters that Spark
 itself pushes into a Python source stay in force for every other use of the same
 loaded frame (seen with 4.1.2), so this source leaves filters to Spark.
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import glob
 import os
+import re
 import sqlite3
 from collections.abc import Iterator, Sequence
 
@@ -29,7 +30,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql import functions as F
 
-ROWS_PER_TASK = 5_000_000
+BYTES_PER_TASK = 256 * 1024 * 1024
 FETCH_ROWS = 50_000
 
 
@@ -49,6 +50,15 @@ def source_files(path: str) -> list[str]:
     return sorted(glob.glob(os.path.join(path, "*.db"))) if os.path.isdir(path) else sorted(glob.glob(path))
 
 
+# The last field of a file name between `_` and the ending.
+_PART = r"(?:^|_)(\d+)(?:\.[^_]*)?$"
+
+
+def part_of(name: str) -> int | None:
+    found = re.search(_PART, name)
+    return int(found[1]) if found else None
+
+
 def table_names(path: str) -> list[str]:
     with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as con:
         return [r[0] for r in con.execute("SELECT name FROM sqlite_master WHERE type = 'table' ORDER BY name")]
@@ -63,9 +73,11 @@ def resolve_table(path: str, candidates: Sequence[str]) -> str:
     raise ValueError(f"none of {list(candidates)} in {path}: {present}")
 
 
-class _Range(InputPartition):
-    def __init__(self, file: str, low: int, high: int):
-        self.file, self.low, self.high = file, low, high
+class _Share(InputPartition):
+    """The `index`th of `shares` equal ranges of a file's row ids."""
+
+    def __init__(self, file: str, index: int, shares: int):
+        self.file, self.index, self.shares = file, index, shares
 
 
 class SqliteReader(DataSourceReader):
@@ -73,19 +85,15 @@ class SqliteReader(DataSourceReader):
         self.schema, self.options = schema, options
 
     def partitions(self) -> list[InputPartition]:
-        step = int(self.options.get("rowspertask", ROWS_PER_TASK))
+        # Files are only listed here; tasks open them.
+        size = int(self.options.get("bytespertask", BYTES_PER_TASK))
         out = []
         for file in source_files(self.options["path"]):
-            with sqlite3.connect(f"file:{file}?mode=ro", uri=True) as con:
-                # Both ends come from the b-tree, not from a scan.
-                table = quoted(self.options["table"])
-                low = con.execute(f"SELECT min(rowid) FROM {table}").fetchone()[0]
-                high = con.execute(f"SELECT max(rowid) FROM {table}").fetchone()[0]
-            if low is not None:
-                out += [_Range(file, at, min(at + step - 1, high)) for at in range(low, high + 1, step)]
-        return out or [_Range("", 0, -1)]
-
-    def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
+            shares = max(1, -(-os.path.getsize(file) // size))
+            out += [_Share(file, i, shares) for i in range(shares)]
+        return out or [_Share("", 0, 1)]
+
+    def read(self, partition: _Share) -> Iterator[pa.RecordBatch]:
         if not partition.file:
             return
         fields = pa.schema([pa.field(f.name, _arrow(f.dataType.simpleString())) for f in self.schema.fields])
@@ -95,7 +103,14 @@ class SqliteReader(DataSourceReader):
         chosen = f" AND ({self.options['where']})" if self.options.get("where") else ""
         sql = f"SELECT {', '.join(columns)} FROM {quoted(self.options['table'])} WHERE rowid BETWEEN ? AND ?{chosen} ORDER BY rowid"
         with sqlite3.connect(f"file:{partition.file}?mode=ro", uri=True) as con:
-            cursor = con.execute(sql, [*lead, partition.low, partition.high])
+            # Both ends come from the b-tree, not from a scan.
+            table = quoted(self.options["table"])
+            low = con.execute(f"SELECT min(rowid) FROM {table}").fetchone()[0]
+            if low is None:
+                return
+            span = con.execute(f"SELECT max(rowid) FROM {table}").fetchone()[0] - low + 1
+            first, after = (low + span * i // partition.shares for i in (partition.index, partition.index + 1))
+            cursor = con.execute(sql, [*lead, first, after - 1])
             while rows := cursor.fetchmany(FETCH_ROWS):
                 cells = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
@@ -145,13 +160,22 @@ class SqliteWriter(DataSourceArrowWriter):
         return _Written(staged)
 
     def commit(self, messages) -> None:
-        folder = self.options["path"]
+        """New files are numbered on from the highest there is; none is replaced.  Overwriting takes this table, and no other, out of the old ones."""
+        folder, table = self.options["path"], self.options["table"]
+        numbers = [part_of(os.path.basename(f)) for f in source_files(folder)]
+        start = max([n for n in numbers if n is not None], default=0) + 1
         if self.overwrite:
             for old in source_files(folder):
-                os.remove(old)
-        start = len(source_files(folder))
-        for number, message in enumerate([m for m in messages if m and m.staged], start + 1):
-            os.replace(message.staged, os.path.join(folder, f"merged_part_{number}.db"))
+                present = table_names(old)
+                if present == [table]:
+                    os.remove(old)
+                elif table in present:
+                    with sqlite3.connect(old) as con:
+                        con.execute(f"DROP TABLE {quoted(table)}")
+        for number, message in enumerate([m for m in messages if m and m.staged], start):
+            # link() fails if the name is taken, unlike replace()
+            os.link(message.staged, os.path.join(folder, f"merged_part_{number}.db"))
+            os.remove(message.staged)
 
     def abort(self, messages) -> None:
         for message in messages:
@@ -183,14 +207,16 @@ class SqliteSource(DataSource):
 
 
 def read_sqlite(spark, path: str, table: str, row_ids: bool = False, **options) -> DataFrame:
-    """Rows of a table in all files of a folder; `part_no` is the number in the file name if row ids are kept."""
+    """Rows of a table in all files of a folder; if row ids are kept, `part_no` is the number that ends the file name, and a name without one is an error."""
     spark.dataSource.register(SqliteSource)
     reader = spark.read.format("sqlite").option("path", path).option("table", table).option("rowIds", str(row_ids).lower())
     for key, value in options.items():
         reader = reader.option(key, str(value))
     df = reader.load()
     if row_ids:
-        df = df.withColumn("part_no", F.regexp_extract("file_name", r"part_(\d+)", 1).try_cast("int"))
+        number = F.regexp_extract("file_name", _PART, 1)
+        unknown = F.raise_error(F.concat(F.lit("no part number in the file name "), F.col("file_name")))
+        df = df.withColumn("part_no", F.when(number != "", number.cast("int")).otherwise(unknown.cast("int")))
     return df
 
 

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from pulsegrid.runtime import build_session
@@ -5,7 +7,7 @@ from pulsegrid.runtime import build_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("4", "pulsegrid-tests", **{"spark.sql.shuffle.partitions": "4"})
+    session = build_session(os.environ.get("TEST_CPUS", "4"), "pulsegrid-tests", **{"spark.sql.shuffle.partitions": "4"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -4,6 +4,7 @@ import random
 import sqlite3
 
 import pytest
+from pyspark.sql import functions as F
 
 from pulsegrid.__main__ import main
 from pulsegrid.operators import quality
@@ -78,3 +79,90 @@ def test_blended_dataset(spark, root):
     assert quality.slice_audit(truth, doms).where("NOT consistent").count() == 0
     assert truth.where("subdirectory_no <> 31").count() == 0 and truth.select("event_no").distinct().count() == 44
     assert {r.part_no: r["count"] for r in truth.groupBy("part_no").count().collect()} == {1: 20, 2: 20, 3: 4}
+
+
+def one_part(folder, name, events, labelled, with_sensor=True, sensors=3):
+    folder.mkdir(exist_ok=True)
+    con = sqlite3.connect(folder / name)
+    con.execute("CREATE TABLE SRTInIcePulses (event_no INTEGER, string INTEGER, dom_number INTEGER, dom_x REAL, dom_y REAL, dom_z REAL,"
+                " dom_time REAL, charge REAL, hlc INTEGER, pmt_area REAL, rde REAL, is_saturated_dom INTEGER, is_bad_dom INTEGER, is_bright_dom INTEGER)")
+    con.execute("CREATE TABLE Truth (event_no INTEGER, energy REAL, RunID INTEGER, EventID INTEGER)")
+    for event in events:
+        for i in range(2 * sensors):
+            con.execute("INSERT INTO SRTInIcePulses VALUES (?,?,?,?,?,?,?,?,?,?,?,?,?,?)",
+                        (event, 1, i % sensors + 1, 100.0, 30.0, -17.0 * (i % sensors), 1e4 - i, 1.0 + i, 0, 0.04, 1.0, 0, 0, 0))
+        if event in labelled:
+            con.execute("INSERT INTO Truth VALUES (?,?,?,?)", (event, 2e5, 2201200000, event))
+    con.commit()
+    con.close()
+
+
+def test_one_shard_numbering_with_an_orphan(spark, tmp_path):
+    one_part(tmp_path / "db", "sample_98.db", range(1, 9), {1, 3, 4, 5, 6, 7, 8})
+    jobs.summarise(spark, str(tmp_path / "db"), str(tmp_path / "out"), "Snowstorm", "22012", 3)
+    truth, doms = read(spark, tmp_path / "out", "truth"), read(spark, tmp_path / "out", "doms")
+    assert {r.part_no for r in truth.select("part_no").distinct().collect()} == {98}
+    assert {r.subdirectory_no for r in truth.select("subdirectory_no").distinct().collect()} == {12}
+    both = truth.select("original_event_no", F.col("shard_no").alias("t")).join(doms.select("original_event_no", "shard_no").distinct(), "original_event_no")
+    assert sorted((r.original_event_no, r.t, r.shard_no) for r in both.collect()) == [(e, (e - 1) // 3 + 1, (e - 1) // 3 + 1) for e in (1, 3, 4, 5, 6, 7, 8)]
+    ends = {r.original_event_no: r.offset for r in truth.collect()}
+    assert ends == {1: 3, 3: 9, 4: 3, 5: 6, 6: 9, 7: 3, 8: 6}
+
+
+def test_range_dataset_and_stored_order(spark, tmp_path):
+    one_part(tmp_path / "db", "merged_part_7.db", [1, 2], {1, 2})
+    for name, order in (("time", []), ("stored", ["--stored-order"])):
+        main(["summarise", "Corsika", "0002000-0002999", str(tmp_path / "db"), str(tmp_path / name), "--events-per-shard", "5", *order])
+    truth = read(spark, tmp_path / "time", "truth", "0002000-0002999", "Corsika")
+    assert {(r.subdirectory_no, r.part_no) for r in truth.collect()} == {(2029, 7)}
+    first = [read(spark, tmp_path / n, "doms", "0002000-0002999", "Corsika").where("dom_z = 0").first().q1 for n in ("time", "stored")]
+    assert first == [4.0, 1.0]  # later pulses of the file are earlier in time
+
+
+def test_part_without_number_is_an_error(spark, tmp_path):
+    one_part(tmp_path / "db", "sample.db", [1], {1})
+    with pytest.raises(Exception, match="no part number"):
+        jobs.summarise(spark, str(tmp_path / "db"), str(tmp_path / "out"), "Snowstorm", "22012", 3)
+
+
+def test_blend_without_sensor_rows_is_an_error(spark, tmp_path):
+    for subdir, sensors in (("22011", 3), ("22012", 2)):
+        one_part(tmp_path / subdir, "merged_part_1.db", [1, 2, 3], {1, 2, 3}, sensors=sensors)
+        jobs.summarise(spark, str(tmp_path / subdir), str(tmp_path / "out"), "Snowstorm", subdir, 5)
+    lost = read(spark, tmp_path / "out", "doms", "22012").where("original_event_no <> 2")
+    lost.write.partitionBy("part_no", "shard_no").parquet(str(tmp_path / "less" / "Snowstorm" / "22012" / "doms"))
+    read(spark, tmp_path / "out", "truth", "22012").write.partitionBy("part_no").parquet(str(tmp_path / "less" / "Snowstorm" / "22012" / "truth"))
+    for table in ("doms", "truth"):
+        keys = ["part_no", "shard_no"] if table == "doms" else ["part_no"]
+        read(spark, tmp_path / "out", table, "22011").write.partitionBy(*keys).parquet(str(tmp_path / "less" / "Snowstorm" / "22011" / table))
+    with pytest.raises(ValueError, match="sensor rows are missing"):
+        jobs.blend_datasets(spark, str(tmp_path / "less"), "Snowstorm", "22011", "22012", "22031")
+
+
+def test_pins_of_others_stay(spark):
+    from pulsegrid.runtime import pin, released_pins
+
+    mine = pin(spark.range(5))
+    with released_pins(spark):
+        inside = pin(spark.range(7))
+        assert inside.count() == 7
+    assert mine.count() == 5
+    with pytest.raises(Exception):
+        inside.count()
+
+
+def test_features_of_two_flavours(spark, root, tmp_path):
+    jobs.summarise(spark, str(root / "db"), str(root / "out"), "Snowstorm", "22014", 5)
+    listing = ["string,dom_number,dom_x,dom_y,dom_z"] + [f"{s},{d},{s * 100.0},{s * s * 30.0},{-17.0 * d}" for s in range(1, 6) for d in range(1, 4)]
+    (tmp_path / "geometry.csv").write_text("\n".join(listing) + "\n")
+    for name, extra, width in (("full", [], 17), ("compact", ["--compact", "--unbalanced"], 9)):
+        main(["features", "Snowstorm", str(root / "out"), str(tmp_path / name), str(tmp_path / "geometry.csv"), "22012", "22014", *extra])
+        rows = spark.read.parquet(str(tmp_path / name / "features"))
+        assert len(rows.columns) == width + 2
+        assert {r.flavour: r["count"] for r in rows.groupBy("flavour").count().collect()} == {"nu_mu": 24, "nu_e": 24}
+        stats = spark.read.parquet(str(tmp_path / name / "statistics"))
+        assert stats.count() == 2 * width and stats.where("n <> 24").count() == 0
+        bars = spark.read.parquet(str(tmp_path / name / "histograms")).groupBy("flavour", "feature").agg(F.sum("n").alias("n"))
+        known = {(r.flavour, r.feature): r.n - r.n_missing for r in stats.collect()}
+        assert all(known[r.flavour, r.feature] == r.n for r in bars.collect())
+    assert spark.read.parquet(str(tmp_path / "full" / "features")).where("stretch_max is null").count() == 0

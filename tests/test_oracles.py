@@ -1,8 +1,9 @@
-"""Every registered query against its SQL, on the smallest tables."""
+"""Every registered query but the training-data ones (tests/llm) against its SQL, on the smallest tables."""
 
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from pulsegrid.plans.catalog import QUERIES
 from tests.compare import differences, duck
 
 SF = "/root/testdata/sf0.001"
@@ -17,7 +18,7 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pulsegrid.operators import blend, scan, stats
 from pulsegrid.operators.truth import assign_shards, number_by_key
 
-LARGE = {"one_task_bytes": 0}  # take the way meant for large tables
+LARGE = {"one_task_rows": 0}  # take the way meant for large tables
+SMALL = {"one_task_rows": 10**9}  # and the one for small tables
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +32,7 @@ def test_number_rows(rows, within):
 
 def test_number_by_key_keeps_wide_rows(rows):
     got = number_by_key(rows, ["t", "id"], ["g"], "n", **LARGE)
-    small = number_by_key(rows, ["t", "id"], ["g"], "n")
+    small = number_by_key(rows, ["t", "id"], ["g"], "n", **SMALL)
     assert got.exceptAll(small).count() == 0 and got.count() == 3000
 
 
@@ -39,7 +40,7 @@ def test_number_by_key_keeps_wide_rows(rows):
 def test_running_totals(rows, within):
     sums = {"upto": F.col("v"), "k": F.lit(1)}
     got = scan.running_totals(rows, ["t", "id"], sums, within, partitions=5, **LARGE)
-    small = scan.running_totals(rows, ["t", "id"], sums, within)
+    small = scan.running_totals(rows, ["t", "id"], sums, within, **SMALL)
     assert got.select(*small.columns).exceptAll(small).count() == 0 and got.count() == 3000
 
 
@@ -49,6 +50,27 @@ def test_null_groups_are_numbered(spark):
     assert sorted((r.g or "", r.t, r.n) for r in got) == [("", 1, 1), ("", 2, 2), ("a", 1, 1)]
 
 
+@pytest.mark.parametrize("within", [[], ["g"]])
+def test_null_keys_and_values_either_way(spark, within):
+    data = [(g, t, t if t and t >= 9 and t % 5 > 2 else None) for g in (None, "a", "b") for t in [None, *range(40)]]
+    df = spark.createDataFrame([(g, t, i, v) for i, (g, t, v) in enumerate(data, 1) for t in (t if t is not None else 0,)], "g string, t int, id int, v int")
+    df = df.withColumn("t", F.when(F.col("t") > 0, F.col("t")))
+    keys = ["t", "id"]
+    ways = [{**SMALL}, {**LARGE, "partitions": 7}]
+    numbered = [number_by_key(df, keys, within, "n", **way) for way in ways]
+    totals = [scan.running_totals(df, keys, {"upto": F.col("v"), "k": F.lit(1)}, within, **way) for way in ways]
+    for small, large in (numbered, totals):
+        assert small.count() == large.count() == len(data)
+        assert small.select(*large.columns).exceptAll(large).count() == 0
+    assert totals[1].where("upto is null and v is not null").count() == 0
+
+
+def test_counted_size(spark):
+    from pulsegrid.runtime import few_rows
+
+    assert few_rows(spark.range(5), 5) and not few_rows(spark.range(6), 5)
+
+
 def test_hot_groups_and_split(rows):
     hot = scan.hot_groups(rows, ["g"], 500, fraction=1)
     assert [r.g for r in hot.collect()] == ["hot"]
@@ -59,7 +81,7 @@ def test_hot_groups_and_split(rows):
 @pytest.mark.parametrize("by", [[], ["g"]])
 def test_exact_quantiles(rows, by):
     got = stats.exact_quantiles(rows, "v", [0.0, 0.157, 0.5, 1.0], by, **LARGE)
-    want = stats.exact_quantiles(rows, "v", [0.0, 0.157, 0.5, 1.0], by)
+    want = stats.exact_quantiles(rows, "v", [0.0, 0.157, 0.5, 1.0], by, **SMALL)
     a = sorted(map(tuple, got.collect()))
     b = sorted(map(tuple, want.collect()))
     assert len(a) == len(b)
@@ -70,7 +92,7 @@ def test_exact_quantiles(rows, by):
 
 def test_shards_of_exact_size(spark):
     events = spark.createDataFrame([(p, e) for p in (1, 2) for e in range(10) for _ in range(2)], "part_no int, event_no int")
-    for scale in ({}, LARGE):
+    for scale in (SMALL, LARGE):
         got = assign_shards(events, 5, **scale).collect()
         assert sorted((r.part_no, r.event_no, r.shard_no) for r in got) == [
             (p, e, e // 5 + 1) for p in (1, 2) for e in range(10)
@@ -82,7 +104,7 @@ def _truth(spark, first, count, energy=2e5):
     return spark.createDataFrame(data, "event_no int, part_no int, N_doms int, energy double, subdirectory_no int")
 
 
-@pytest.mark.parametrize("scale", [{}, LARGE])
+@pytest.mark.parametrize("scale", [SMALL, LARGE])
 def test_blend_of_unequal_sets(spark, scale):
     low, high = _truth(spark, 0, 11), _truth(spark, 100, 7, energy=1.0)
     got = blend.blend_truth(low, high, 22031, events_per_part=6, events_per_shard=4, **scale).orderBy("position").collect()
@@ -101,7 +123,7 @@ def test_energy_cut_spares_high_set(spark):
     assert blend.blend_receipt(low, high, 22031).collect()[0].events_from_high_energy == 5
 
 
-@pytest.mark.parametrize("scale", [{}, LARGE])
+@pytest.mark.parametrize("scale", [SMALL, LARGE])
 def test_balanced_classes(spark, scale):
     df = spark.createDataFrame([(i, "a" if i < 9 else "b" if i < 12 else "c") for i in range(30)], "event_no int, flavour string")
     got = blend.balance_classes(df, **scale).groupBy("flavour").count().collect()

@@ -77,19 +77,21 @@ def test_boundary_of_known_shapes(points, major, minor, border):
     assert out["major"][0] == pytest.approx(major, abs=1e-6) and out["minor"][0] == pytest.approx(minor, abs=1e-6)
 
 
-def test_pruning_before_the_shuffle_changes_nothing(spark, monkeypatch):
+def test_folding_large_events_changes_nothing(spark, monkeypatch):
     rng = np.random.default_rng(4)
     rows = [(int(e), float(x), float(y)) for e in range(6) for x, y in rng.integers(0, 60, (900 if e == 0 else 30, 2))]
     rows += [(9, float(i), float(2 * i)) for i in range(600)]  # collinear
+    rows += [(10, float(i % 20), float(i // 20)) for i in range(400)]
     df = spark.createDataFrame(rows, "event_no int, x double, y double").repartition(5)
     plain = {r.event_no: r for r in shape.boundary(df).collect()}
-    monkeypatch.setattr(shape, "fits_one_task", lambda *_: False)
     monkeypatch.setattr(shape, "PRUNE_FROM", 16)
-    pruned = {r.event_no: r for r in shape.boundary(df).collect()}
+    monkeypatch.setattr(shape, "FOLD_ROWS", 50)
+    folded = {r.event_no: r for r in shape.boundary(df).collect()}
+    assert plain.keys() == folded.keys()
     for event, row in plain.items():
-        for name in ("n_border", "extent", "major", "minor", "area", "end1_x", "end2_y"):
-            assert pruned[event][name] == (pytest.approx(row[name]) if row[name] is not None else None)
-    assert plain[9].area is None and plain[9].n_border == 600
+        for name, value in row.asDict().items():
+            assert folded[event][name] == (pytest.approx(value) if value is not None else None), (event, name)
+    assert plain[9].area is None and plain[9].n_border == 600 and plain[10].n_points == 400
 
 
 def test_streaming_groups_are_whole_and_folded():
@@ -223,3 +225,24 @@ def test_missing_prism_corner_is_where_two_sides_meet():
 def test_opening_angle_clamps(spark):
     one = (F.lit(1.0000001), F.lit(0.0), F.lit(0.0))
     assert spark.range(1).select(geo.opening_angle(one, one).alias("a")).collect()[0].a == 0
+
+
+def test_cluster_scores_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(8)
+    rows = [(e, s, float(x), float(y), float(w)) for e in range(60) for s, (x, y, w) in enumerate(rng.integers(1, 400, (int(rng.integers(2, 30)), 3)))]
+    df = spark.createDataFrame(rows, "event_no int, string int, x double, y double, w double")
+    found = []
+    for parts in ("1", "4", "13"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        found.append(sorted(map(tuple, shape.cluster_scores(df).collect())))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert found[0] == found[1] == found[2] and len(found[0]) == 60
+
+
+def test_mean_shift_of_a_large_event(monkeypatch):
+    rng = np.random.default_rng(9)
+    x, y = rng.random(500) * 900, rng.random(500) * 900
+    one = (np.array([0]), np.array([500]))
+    whole = kernels.shifted_means(x, y, np.ones(500), *one)
+    monkeypatch.setattr(kernels, "PAIR_BLOCK", 5_000)
+    assert kernels.shifted_means(x, y, np.ones(500), *one) == pytest.approx(whole)

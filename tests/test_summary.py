@@ -48,8 +48,8 @@ CASES = {
     "negative": [(0, 3), (30, -1), (60, 2), (200, 1)],
     "all at once": [(9, q) for q in (1, 2, 3, 4, 5, 6, 7)],
 }
-SCALES = {"windows": {}, "chunks": dict(one_task_bytes=0, hot_rows=0, sample_fraction=1, partitions=5),
-          "mixed": dict(one_task_bytes=0, hot_rows=5, sample_fraction=1, partitions=5)}
+SCALES = {"windows": {}, "chunks": dict(one_task_rows=0, hot_rows=0, sample_fraction=1, partitions=5),
+          "mixed": dict(one_task_rows=0, hot_rows=5, sample_fraction=1, partitions=5)}
 
 
 @pytest.mark.parametrize("scale", SCALES)
@@ -72,7 +72,7 @@ def test_chunks_equal_windows_with_a_hot_sensor(spark, compat):
     ]
     df = fx.with_sensor_constants(spark.createDataFrame(rows, SCHEMA)).withColumn("charge", F.col("charge").cast("decimal(12,2)"))
     plain = summary.sensor_features(df, late=True, compat=compat)
-    chunked = summary.sensor_features(df, late=True, compat=compat, one_task_bytes=0, hot_rows=900, sample_fraction=1, partitions=7)
+    chunked = summary.sensor_features(df, late=True, compat=compat, one_task_rows=0, hot_rows=900, sample_fraction=1, partitions=7)
     keys = ["event_no", "string", "dom_number"]
     names = [c for c in plain.columns if c not in keys]
     both = plain.alias("a").join(chunked.alias("b"), keys)

@@ -179,7 +179,7 @@ def folder(tmp_path):
 
 
 def test_sqlite_scan(spark, folder):
-    df = read_sqlite(spark, folder, "Pulses", row_ids=True, rowsPerTask=20)
+    df = read_sqlite(spark, folder, "Pulses", row_ids=True, bytesPerTask=4096)
     assert dict(df.dtypes)["event_no"] == "bigint" and df.rdd.getNumPartitions() == 6
     assert df.count() == 100 and df.agg(F.sum("charge")).collect()[0][0] == 2 * sum(i / 2 for i in range(50))
     assert df.where("event_no = 105").count() == 3
@@ -202,3 +202,24 @@ def test_sqlite_round_trip(spark, folder, tmp_path):
     write_sqlite(df.where("event_no = 100"), out, "Pulses")
     back = read_sqlite(spark, out, "Pulses")
     assert back.count() == 103 and detector.tables_equal(back, df.unionByName(df.where("event_no = 100")))
+
+
+def test_sqlite_append_never_replaces(spark, tmp_path):
+    con = sqlite3.connect(tmp_path / "merged_part_3.db")
+    con.execute("CREATE TABLE Pulses (event_no INTEGER, charge REAL)")
+    con.execute("CREATE TABLE Other (event_no INTEGER)")
+    con.executemany("INSERT INTO Pulses VALUES (?, ?)", [(1, 1.0), (2, 2.0), (3, 3.0)])
+    con.execute("INSERT INTO Other VALUES (9)")
+    con.commit()
+    con.close()
+    df = spark.range(10, 18).selectExpr("id AS event_no", "double(id) AS charge")
+    write_sqlite(df.repartition(4), str(tmp_path), "Pulses")
+    names = sorted(p.name for p in tmp_path.glob("*.db"))
+    assert names[0] == "merged_part_3.db" and "merged_part_4.db" in names
+    assert read_sqlite(spark, str(tmp_path / "merged_part_[3-9].db"), "Pulses").count() == 11
+    write_sqlite(df, str(tmp_path), "Pulses", overwrite=True)
+    con = sqlite3.connect(tmp_path / "merged_part_3.db")
+    assert [r[0] for r in con.execute("SELECT name FROM sqlite_master WHERE type = 'table'")] == ["Other"]
+    con.close()
+    left = [p.name for p in tmp_path.glob("*.db") if p.name != "merged_part_3.db"]
+    assert sum(read_sqlite(spark, str(tmp_path / n), "Pulses").count() for n in left) == 8

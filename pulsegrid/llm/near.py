@@ -266,27 +266,41 @@ def links(prints: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     return pairs.unionByName(members.groupBy(*key, "_i", "_j").applyInArrow(forest, f"a {_sql(rule)}, b {_sql(rule)}"))
 
 
-def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of `edges` (a, b): the smallest node reachable.
 
-    Each round takes the smallest root among the neighbours and then the root's own
-    root; every round is written, so lineage stays short.  Raises if `most_rounds`
-    do not suffice, which paths of 2^60 nodes would need.
+    Every node hooks to its smallest neighbour, chains of hooks are followed by
+    doubling steps, and the edges are drawn again between the ends; edges within one
+    end vanish, so each round handles far fewer.  Every step is written, so lineage
+    stays short.
     """
-    both = pin(edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a")).distinct())
-    roots = pin(both.groupBy("node").agg(F.min("other").alias("_o")).select("node", F.least("node", "_o").alias("root")))
-    for _ in range(most_rounds):
-        theirs = roots.select(F.col("node").alias("other"), F.col("root").alias("_theirs"))
-        lowest = both.join(theirs, "other").groupBy("node").agg(F.min("_theirs").alias("_lowest"))
-        nearer = roots.join(lowest, "node").select("node", F.col("root").alias("_was"), F.least("root", "_lowest").alias("root"))
-        own = roots.select(F.col("node").alias("_via"), F.col("root").alias("_jump"))
-        jumped = nearer.join(own, nearer["root"] == own["_via"]).select("node", "_was", F.least("root", "_jump").alias("root"))
-        after = pin(jumped)
-        changed = after.where(F.col("_was") != F.col("root")).limit(1).count()
-        roots = after.select("node", "root")
-        if not changed:
-            return roots
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+    rest = pin(edges.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    roots = None
+    while roots is None or rest.limit(1).count():
+        ends = _ends(rest)
+        if roots is None:
+            roots = ends
+        else:
+            onward = ends.withColumnsRenamed({"node": "_met", "root": "_end"})
+            roots = pin(roots.join(onward, roots["root"] == onward["_met"], "left").select("node", F.coalesce("_end", "root").alias("root")))
+        first, second = ends.withColumnsRenamed({"node": "_a", "root": "ra"}), ends.withColumnsRenamed({"node": "_b", "root": "rb"})
+        drawn = rest.join(first, rest["a"] == first["_a"]).select("ra", "b")
+        drawn = drawn.join(second, drawn["b"] == second["_b"]).where("ra <> rb")
+        rest = pin(drawn.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+    return roots
+
+
+def _ends(edges: DataFrame) -> DataFrame:
+    """(node, root): where the hooks to smallest neighbours lead from each node; a node without a smaller neighbour leads to itself."""
+    lower = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
+    alone = edges.select(F.col("a").alias("node")).distinct().join(lower.select("node"), "node", "left_anti")
+    steps = pin(lower.union(alone.select("node", F.col("node").alias("root"))))
+    while True:
+        above = steps.select(F.col("node").alias("_via"), F.col("root").alias("_further"))
+        after = pin(steps.join(above, steps["root"] == above["_via"]).select("node", F.col("root").alias("_was"), F.col("_further").alias("root")))
+        steps = after.select("node", "root")
+        if not after.where(F.col("_was") != F.col("root")).limit(1).count():
+            return steps
 
 
 def classes(prints: DataFrame, rule: Rule = CONTRACT, doc_id: str = "doc_id") -> DataFrame:

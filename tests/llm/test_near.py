@@ -123,6 +123,25 @@ def test_chain(spark):
     assert all(roots[i] == 0 for i in range(301)) and roots[1001] == 1000
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_components_of_random_graphs(spark, seed):
+    rng = random.Random(seed)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(230)] + [(7, 7), (399, 0), (0, 399)]
+    root = {i: i for pair in pairs for i in pair}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    got = {r.node: r.root for r in near.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    linked = {i for a, b in pairs if a != b for i in (a, b)}
+    assert got == {i: find(i) for i in linked}
+
+
 def test_awkward_rows(spark):
     frame = clashing(docs(spark), "fp", "component_id", "root")
     rows = near.near_duplicates(frame).collect()

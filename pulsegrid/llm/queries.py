@@ -76,7 +76,65 @@ QUERIES = {
     )
 }
 
+def _own(text: str) -> str:
+    return rf"""regexp_replace(regexp_replace({text}, '(?m)^[ \t]*>.*(\r\n|\n|\r|$)', '', 'g'), '^\s+|\s+$', '', 'g')"""
+
+
+def _norm(text: str) -> str:
+    return rf"""lower(trim(regexp_replace({text}, '\s+', ' ', 'g')))"""
+
+
+_END, _MARKS = r"\r\n|\n|\r", r"^[ \t]*((?:>[ \t]?)+)"
+_QUOTES = rf"""
+WITH RECURSIVE quoting AS (
+  SELECT DISTINCT conv_id, turn, text FROM conversations WHERE regexp_matches(text, '(?m)^[ \t]*>')
+), lines AS (
+  SELECT conv_id, turn, text, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos
+  FROM (SELECT *, regexp_split_to_array(text, '{_END}') AS parts FROM quoting)
+), quoted AS (
+  SELECT * FROM (
+    SELECT *, length(regexp_replace(regexp_extract(line, '{_MARKS}', 1), '[^>]', '', 'g')) AS level,
+           regexp_replace(line, '{_MARKS}', '') AS body FROM lines) WHERE level > 0
+), edges AS (
+  SELECT *, CASE WHEN lag(pos) OVER w = pos - 1 AND lag(level) OVER w = level THEN 0 ELSE 1 END AS fresh
+  FROM quoted WINDOW w AS (PARTITION BY conv_id, turn, text ORDER BY pos)
+), numbered AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY conv_id, turn, text ORDER BY pos) AS passage FROM edges
+), runs AS (
+  SELECT conv_id, turn, text, passage, level, string_agg(body, ' ' ORDER BY pos) AS words FROM numbered GROUP BY ALL
+), units AS (
+  SELECT conv_id, turn, text, level, {_norm("words")} AS u FROM runs WHERE length({_norm("words")}) >= 1
+  UNION ALL SELECT conv_id, turn, text, level, {_norm("body")} FROM quoted WHERE length({_norm("body")}) >= 12
+), own AS (
+  SELECT conv_id, turn, {_own("text")} AS o FROM conversations WHERE conv_id IN (SELECT conv_id FROM quoting)
+), pieces AS (
+  SELECT conv_id, turn, {_norm("o")} AS u, 1 AS least FROM own
+  UNION ALL SELECT conv_id, turn, {_norm("x")}, 12 FROM (
+    SELECT conv_id, turn, unnest(regexp_split_to_array(o, '(?:{_END})[ \t]*(?:{_END})')) AS x FROM own)
+  UNION ALL SELECT conv_id, turn, {_norm("x")}, 12 FROM (SELECT conv_id, turn, unnest(regexp_split_to_array(o, '{_END}')) AS x FROM own)
+), originals AS (
+  SELECT conv_id, u, min(turn) AS origin FROM pieces WHERE length(u) >= least GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, turn, text ORDER BY level, length(u) DESC, origin DESC) AS place
+  FROM units JOIN originals USING (conv_id, u) WHERE origin < turn
+), linked AS (
+  SELECT r.conv_id, r.turn, r.text, b.origin AS reply_to, r.n_quotes
+  FROM (SELECT conv_id, turn, text, count(*) AS n_quotes FROM runs GROUP BY ALL) r
+  LEFT JOIN (SELECT * FROM ranked WHERE place = 1) b ON r.conv_id = b.conv_id AND r.turn = b.turn AND r.text = b.text
+), steps AS (
+  SELECT conv_id, turn, min(reply_to) AS up FROM linked WHERE reply_to IS NOT NULL GROUP BY ALL
+), above AS (
+  SELECT conv_id, turn, up FROM steps
+  UNION ALL SELECT a.conv_id, a.turn, s.up FROM above a JOIN steps s ON a.conv_id = s.conv_id AND a.up = s.turn
+), threads AS (SELECT conv_id, turn, min(up) AS thread FROM above GROUP BY ALL)
+SELECT c.conv_id, c.turn, c.role, l.reply_to, coalesce(t.thread, c.turn) AS thread, coalesce(l.n_quotes, 0) AS n_quotes, {_own("c.text")} AS text
+FROM conversations c
+LEFT JOIN linked l ON c.conv_id = l.conv_id AND c.turn = l.turn AND c.text = l.text
+LEFT JOIN threads t ON c.conv_id = t.conv_id AND c.turn = t.turn
+"""
+
 ORACLES = {
+    "op2_quotation_linking": _QUOTES,
     "op8_approximation_file": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w

@@ -1,4 +1,9 @@
+import duckdb
+
 from pulsegrid.llm import chat
+from pulsegrid.llm.queries import ORACLES, op2_quotation_linking
+from tests.compare import differences, duck
+from tests.llm.helpers import SF
 
 TALK = "conv_id long, turn int, role string, text string"
 MESSAGES = [
@@ -43,3 +48,14 @@ def test_awkward_rows(spark):
     assert by[None, 0].text == "own" and by[1, 0].text is None and by[1, 2].text == "" and by[1, 3].text == ""
     assert by[1, 5].reply_to == 4 and by[1, 6].text == "own words" and by[1, 8].reply_to == 7 and by[1, 8].text == "ok"
     assert chat.reply_ordered(frame.where("false")).count() == 0
+
+
+def test_against_sql(spark):
+    rows = [*MESSAGES, (3, 0, "a", "first words of a talk\n\nsecond paragraph of it\nwith two lines"), (3, 1, "b", "> second paragraph of it\n> with two lines\nyes")]
+    rows += [(4, i, "a", f"> message number {i - 1} with words\nmessage number {i} with words") for i in range(1, 20)]
+    frame = spark.createDataFrame(rows, TALK)
+    con = duckdb.connect()
+    conversations = frame.toPandas()
+    con.register("conversations", conversations)
+    assert differences(chat.reply_ordered(frame).toPandas(), con.sql(ORACLES["op2_quotation_linking"]).df()) is None
+    assert differences(op2_quotation_linking(spark, SF).toPandas(), duck(SF).sql(ORACLES["op2_quotation_linking"]).df()) is None

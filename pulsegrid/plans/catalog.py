@@ -723,7 +723,8 @@ def energy_powerlaw_fit(spark, sf_dir):
 
 @query
 def energy_powerlaw_p_value(spark, sf_dir):
-    return stats.with_p_value(stats.power_law_fit(fx.truth(spark, sf_dir), "energy"))
+    out = stats.with_p_value(stats.power_law_fit(fx.truth(spark, sf_dir), "energy"))
+    return out.select(*_rounded(["slope", "intercept", "chi2"], 5), F.col("dof").cast("long").alias("dof"), *_rounded(["p_value"], 8))
 
 
 @query

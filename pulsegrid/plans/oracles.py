@@ -682,13 +682,19 @@ ORACLES["summary_feature_stats"] = f"""{_PLAIN} {_feature_stats('plain', ['q1',
 ORACLES["energy_stats_by_part"] = f"WITH {PLACED} {_feature_stats('placed', ['energy', 'N_doms'], 'part_no', with_std=False, missing=False)}"
 ORACLES["energy_five_numbers"] = f"""WITH {TRUTH} SELECT count(*) AS count, round(avg(energy), 3) AS mean, round(stddev_samp(energy), 3) AS std,
   round(min(energy), 3) AS min, {', '.join(f'round(quantile_cont(energy, {p / 100}), 3) AS p{p}' for p in (25, 50, 75))}, round(max(energy), 3) AS max FROM truth"""
-ORACLES["energy_powerlaw_fit"] = f"""WITH {TRUTH}, v AS (SELECT log10(energy) AS v FROM truth WHERE energy > 0), r AS (SELECT min(v) AS lo, max(v) AS hi FROM v),
+_FIT = f"""{TRUTH}, v AS (SELECT log10(energy) AS v FROM truth WHERE energy > 0), r AS (SELECT min(v) AS lo, max(v) AS hi FROM v),
 b AS (SELECT least(49, floor((v - lo) / ((hi - lo) / 50))) AS bin, count(*) AS n FROM v, r GROUP BY 1),
 p AS (SELECT log10(n) AS y, n AS w, log10((pow(10, lo + bin * (hi - lo) / 50) + pow(10, lo + (bin + 1) * (hi - lo) / 50)) / 2) AS x FROM b, r),
 m AS (SELECT sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my FROM p),
-f AS (SELECT sum(w * (x - mx) * (y - my)) / sum(w * (x - mx) ** 2) AS slope, max(mx) AS mx, max(my) AS my FROM p, m)
-SELECT round(max(slope), 5) AS slope, round(max(my - slope * mx), 5) AS intercept, round(sum(w * (y - (my - slope * mx) - slope * x) ** 2), 5) AS chi2,
-  count(*) - 2 AS dof FROM p, f"""
+f AS (SELECT sum(w * (x - mx) * (y - my)) / sum(w * (x - mx) ** 2) AS slope, max(mx) AS mx, max(my) AS my FROM p, m),
+fit AS (SELECT max(slope) AS slope, max(my - slope * mx) AS intercept, sum(w * (y - (my - slope * mx) - slope * x) ** 2) AS chi2, count(*) - 2 AS dof FROM p, f)"""
+ORACLES["energy_powerlaw_fit"] = f"WITH {_FIT} SELECT round(slope, 5) AS slope, round(intercept, 5) AS intercept, round(chi2, 5) AS chi2, dof FROM fit"
+# The incomplete gamma function by its series; where the tail is below 1e-100 it is 0.
+ORACLES["energy_powerlaw_p_value"] = f"""WITH RECURSIVE {_FIT}, g AS (SELECT dof / 2.0 AS a, chi2 / 2 AS x FROM fit),
+s AS (SELECT 0 AS n, CAST(1 AS DOUBLE) AS term, CAST(1 AS DOUBLE) AS total
+  UNION ALL SELECT n + 1, term * x / (a + n + 1), total + term * x / (a + n + 1) FROM s, g WHERE term > 1e-17 * total AND x < a + 400)
+SELECT round(slope, 5) AS slope, round(intercept, 5) AS intercept, round(chi2, 5) AS chi2, dof,
+  round(CASE WHEN x < a + 400 THEN 1 - exp(a * ln(x) - x - lgamma(a + 1)) * (SELECT max(total) FROM s) ELSE 0 END, 8) AS p_value FROM fit, g"""
 ORACLES["doms_below_limits"] = f"""WITH {hits()}, {_NDOMS}
 SELECT round(avg(CASE WHEN n < 3 THEN 1.0 ELSE 0.0 END), 6) AS below_3, round(avg(CASE WHEN n < 5 THEN 1.0 ELSE 0.0 END), 6) AS below_5 FROM nd"""
 for _name, _top in {"largest_event": 1, "busiest_events": 10}.items():

@@ -761,6 +761,12 @@ def nth_event(spark, sf_dir):
     return rows.select("event_no", "pulse_id", "charge").withColumn("charge", F.col("charge").cast("double"))
 
 
+@query
+def first_rows(spark, sf_dir):
+    """The first rows of the pulse table in stored order."""
+    return fx.pulses(spark, sf_dir).orderBy("pulse_id").limit(1000).select("pulse_id", *_KEYS, F.col("charge").cast("double").alias("charge"), "hlc")
+
+
 @query
 def first_events(spark, sf_dir):
     rows = stats.first_events(fx.pulses(spark, sf_dir), 20)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import ids
 from pulsegrid.operators import blend as blending
-from pulsegrid.operators import select, shape, stats
+from pulsegrid.operators import quality, select, shape, stats
 from pulsegrid.operators import truth as labels
 from pulsegrid.operators.detector import assign_sensor
 from pulsegrid.operators.summary import PULSE_ORDER, dom_summary
@@ -170,6 +170,9 @@ def _blend_datasets(spark, root, source, low, high, blended, energy_cutoff, even
     files.write_truth(mixed, root, source, blended)
     placed = files.read_dataset(spark, root, source, blended, "truth")
     doms = [files.read_dataset(spark, root, source, s, "doms") for s in (low, high)]
+    odd = quality.unexpected_columns(doms[1], doms[0].columns)
+    if any(odd.values()):
+        raise ValueError(f"{high} was summarised in another mode than {low}: {odd}")
     both = doms[0].unionByName(doms[1])
     short = blending.missing_doms(placed, both).limit(5).collect()
     if short:

@@ -768,3 +768,4 @@ ORACLES["features_by_flavour"] = (
     f"WITH {_FLAVOURED} " + _feature_stats("j", ["extent_max", "stretch_max", "hypotenuse", "major_PCA", "area_ratio"], by="flavour")
 )
 ORACLES["feature_histograms_by_flavour"] = _hist(_FLAVOURED, "j", "hypotenuse", width=50, by="flavour")
+ORACLES["first_rows"] = f"WITH {PULSES} SELECT pulse_id, event_no, string, dom_number, CAST(charge AS DOUBLE) AS charge, hlc FROM pulses ORDER BY pulse_id LIMIT 1000"

@@ -71,6 +71,11 @@ def _with_earlier(rows: DataFrame, earlier: DataFrame, within: Sequence[str]) ->
     return rows.join(earlier if within else F.broadcast(earlier), on, "inner")
 
 
+def _numbered_in_windows(df: DataFrame, order_by: Sequence[str | Column], within: Sequence[str], name: str) -> DataFrame:
+    spec = Window.partitionBy(*within).orderBy(*as_columns(order_by))
+    return df.withColumn(name, F.row_number().over(spec).cast("long"))
+
+
 def number_rows(
     df: DataFrame,
     order_by: Sequence[str | Column],
@@ -84,8 +89,7 @@ def number_rows(
     `order_by` must order the rows of a group totally.
     """
     if few_rows(df, one_task_rows):
-        spec = Window.partitionBy(*within).orderBy(*as_columns(order_by))
-        return df.withColumn(name, F.row_number().over(spec).cast("long"))
+        return _numbered_in_windows(df, order_by, within, name)
     chunked = sorted_chunks(df, within, order_by, partitions)
     earlier = _earlier_chunks(chunked, within, {"rows": F.lit(1)})
     return (
@@ -103,9 +107,9 @@ def number_by_key(
 ) -> DataFrame:
     """`number_rows` for wide tables whose (within, order_by) is a key: only the key is sorted."""
     if few_rows(df, one_task_rows):
-        return number_rows(df, order_by, within, name, one_task_rows)
+        return _numbered_in_windows(df, order_by, within, name)
     keys = [*within, *order_by]
-    numbered = number_rows(df.select(*keys), order_by, within, name, one_task_rows, **scale)
+    numbered = number_rows(df.select(*keys), order_by, within, name, 0, **scale)
     numbered = numbered.withColumnsRenamed({k: f"_n_{k}" for k in keys})
     same = F.expr(" AND ".join(f"`{k}` <=> `_n_{k}`" for k in keys))
     return df.join(numbered, same, "inner").select(*df.columns, name)

@@ -92,7 +92,7 @@ def released_pins(spark: SparkSession) -> Iterator[None]:
 
 def few_rows(df: DataFrame, limit: int | None = None) -> bool:
     """Whether one task may hold all of `df`, by its counted rows (of a file scan: from the footers)."""
-    return df.count() <= (ONE_TASK_ROWS if limit is None else limit)
+    return limit != 0 and df.count() <= (ONE_TASK_ROWS if limit is None else limit)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -16,6 +16,10 @@ in few enough bits and all words together do; every word has its own grid.
 A cell in which many fingerprints meet is not joined pair by pair: its members are
 compared in chunks, and each pair of chunks gives only the edges of a spanning
 forest, so links between all of its texts are kept without listing all pairs.
+
+By `Similarity`, texts are linked if the Jaccard similarity of their shingle sets is
+high enough.  Candidates meet in a band of minimum hashes; each link is then checked
+on the shingles of both texts.
 """
 
 from __future__ import annotations
@@ -48,6 +52,25 @@ class Rule:
 
 
 CONTRACT = Rule()
+
+
+@dataclass(frozen=True)
+class Similarity:
+    """Linked are texts whose sets of word shingles have a Jaccard similarity of `least` or more.
+
+    Candidates agree on all `rows` minimum hashes of one of `bands` bands: a pair of
+    similarity s is missed with probability (1 - s ** rows) ** bands, which is 7e-5 at 0.8.
+    """
+
+    shingle: int = 5
+    least: float = 0.8
+    bands: int = 24
+    rows: int = 5
+
+
+# Texts that meet in a band with more than this many texts are compared in chunks of SET_CHUNK.
+SETS_IN_BAND = 32
+SET_CHUNK = 256
 # Cells in which members times probes exceed this are compared in chunks of CHUNK fingerprints.
 PAIRS_IN_CELL = 1_024
 CHUNK = 1_024
@@ -104,6 +127,131 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE, n_words: int = 1) -> list[in
     return [int(x) for x in np.packbits(2 * tally > n, axis=1, bitorder="little").view("<u8").ravel()]
 
 
+def shingle_set(raw: bytes, shingle: int) -> np.ndarray:
+    """Sorted distinct hashes of the word shingles of a UTF-8 text, A-Z in lower case; of fewer words, the hash of all."""
+    words = raw.lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    joined = b" ".join(words)
+    k = min(shingle, len(words))
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[: len(words) - k] + 1])
+    found = {joined[a:b] for a, b in zip(starts.tolist(), ends[k - 1 :].tolist(), strict=True)}
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(x, 42) for x in found), np.uint64, len(found)))
+
+
+def band_keys(hashes: np.ndarray, rule: Similarity) -> np.ndarray:
+    """A key for each band: the mixed minimum hashes of its rows. None for an empty set."""
+    if not len(hashes):
+        return np.empty(0, np.uint64)
+    rng = np.random.default_rng(7)
+    n = rule.bands * rule.rows
+    factors = rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(hashes), 1024):
+        mixed = hashes[i : i + 1024, None] * factors
+        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(29))).min(axis=0))
+    weights = rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
+    return _mixed((least * weights).reshape(rule.bands, rule.rows).sum(axis=1, dtype=np.uint64), 1)
+
+
+def set_prints(docs: DataFrame, text: str, rule: Similarity, keep: list[str]) -> DataFrame:
+    """`fp` (128 bits of the shingle set as two longs), `size` of the set and `keys` of its bands."""
+
+    def make():
+        def work(texts: list[bytes | None]) -> list:
+            sets = [shingle_set(t or b"", rule.shingle) for t in texts]
+            whole = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            fps = [np.frombuffer(d, "<i8").tolist() for d in whole]
+            keys = [band_keys(s, rule).view(np.int64).tolist() for s in sets]
+            return [pa.array(fps, pa.list_(pa.int64())), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+
+        return work
+
+    longs = (pa.list_(pa.int64()), "array<long>")
+    return with_scanned(docs, text, [("fp", *longs), ("size", pa.int64(), "long"), ("keys", *longs)], make, keep, binary=True)
+
+
+def _set_forest(sets: list[np.ndarray], least: float) -> np.ndarray:
+    """Places of the edges of a spanning forest over all pairs of similarity `least` or more."""
+    n = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    kinds, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    parts = np.split(flat, np.cumsum(sizes)[:-1])
+    rest, edges = np.arange(n), []
+    mark = np.zeros(len(kinds), bool)
+    stack: list[int] = []
+    while len(rest) or stack:
+        if not stack:
+            stack, rest = [int(rest[0])], rest[1:]
+            flat = flat[sizes[stack[0]] :]
+        at = stack.pop()
+        if not len(rest):
+            break
+        mark[parts[at]] = True
+        starts = np.concatenate([[0], np.cumsum(sizes[rest])[:-1]])
+        both = np.add.reduceat(mark[flat].astype(np.int64), starts)
+        mark[parts[at]] = False
+        near = both >= least * (sizes[at] + sizes[rest] - both)
+        if near.any():
+            fresh = rest[near].tolist()
+            edges += [(at, x) for x in fresh]
+            stack += fresh
+            flat = flat[~np.repeat(near, sizes[rest])]
+            rest = rest[~near]
+    return np.array(edges, np.int64).reshape(-1, 2)
+
+
+def set_links(prints: DataFrame, texts: DataFrame, rule: Similarity) -> DataFrame:
+    """(a, b): pairs of distinct shingle sets of the least similarity, enough to connect all such pairs that meet in a band.
+
+    `prints` has one row for each set, `texts` (fp, text) a text of each that may be asked for; both are read several times.
+    """
+    key = ["_band", "_key"]
+    cells = pin(prints.select("fp", "size", F.posexplode("keys").alias(*key)))
+    load = cells.groupBy(*key).agg(F.count(F.lit(1)).alias("_all")).where("_all > 1")
+    shared = pin(cells.join(load, key))
+    calm = shared.where(F.col("_all") <= SETS_IN_BAND)
+    left, right = calm.select(*key, F.col("fp").alias("a"), F.col("size").alias("_m")), calm.select(*key, F.col("fp").alias("b"), F.col("size").alias("_n"))
+    sized = (F.col("_m") >= rule.least * F.col("_n")) & (F.col("_n") >= rule.least * F.col("_m"))
+    pairs = pin(left.join(right, key).where((F.col("a") < F.col("b")) & sized).select("a", "b").distinct())
+    texts = pin(texts.join(shared.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"]))
+    found = pairs.join(texts.withColumnsRenamed({"fp": "a", "text": "_x"}), "a").join(texts.withColumnsRenamed({"fp": "b", "text": "_y"}), "b")
+    found = found.select("a", "b", F.col("_x").cast("binary").alias("_x"), F.col("_y").cast("binary").alias("_y"))
+    schema = pa.schema([("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))])
+    shingle, least = rule.shingle, rule.least
+
+    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, None
+        for batch in batches:
+            close = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = x.as_py() or b"", y.as_py() or b""
+                if y != last:
+                    last, own = y, shingle_set(y, shingle)
+                other = shingle_set(x, shingle)
+                both = len(np.intersect1d(own, other, assume_unique=True))
+                close.append(both >= least * (len(own) + len(other) - both))
+            yield batch.select([0, 1]).filter(pa.array(close, pa.bool_())).cast(schema)
+
+    edges = found.mapInArrow(check, "a array<long>, b array<long>")
+    crowded = shared.where(F.col("_all") > SETS_IN_BAND)
+    if not crowded.limit(1).count():
+        return edges
+    chunks = F.ceil(F.col("_all") / SET_CHUNK).cast("int")
+    members = crowded.withColumn("_chunks", chunks).withColumn("_chunk", F.pmod(F.xxhash64("fp", F.lit(5)), F.col("_chunks")).cast("int"))
+    members = members.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
+    members = members.select(*key, F.least("_chunk", "_other").alias("_i"), F.greatest("_chunk", "_other").alias("_j"), "fp")
+    members = members.join(texts, "fp").select(*key, "_i", "_j", "fp", F.col("text").cast("binary").alias("text"))
+
+    def forest(group: pa.Table) -> pa.Table:
+        fps = group.column("fp").combine_chunks()
+        made = _set_forest([shingle_set(t.as_py() or b"", shingle) for t in group.column("text")], least)
+        return pa.table([fps.take(pa.array(made[:, 0])), fps.take(pa.array(made[:, 1]))], names=["a", "b"]).cast(schema)
+
+    return edges.unionByName(members.groupBy(*key, "_i", "_j").applyInArrow(forest, "a array<long>, b array<long>"))
+
+
 def fingerprints(docs: DataFrame, text: str = "text", rule: Rule = CONTRACT, keep: list[str] | None = None) -> DataFrame:
     """`docs` (or its columns `keep`) with `fp`: the fingerprint as a signed long, or several as an array.
 
@@ -325,16 +473,25 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return found.select("doc_id", F.lower(digits).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, rule: Rule) -> DataFrame:
+def keep_one(docs: DataFrame, rule: Rule | Similarity) -> DataFrame:
     """`docs` without near copies: of each component the row with the smallest (id, text hash) stays; null ids come last.
 
-    Fully equal rows count as copies of each other.  Texts move once, to meet the rows that stay.
+    Fully equal rows count as copies of each other.  Texts move once, to meet the rows that stay; by similarity,
+    those of candidates also move to meet each other.
     """
     order = docs.columns
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
-    prints = pin(fingerprints(hashed, "text", rule, keep=["doc_id", "_hash"]).withColumn("_row", F.struct(F.isnull("doc_id").alias("n"), "doc_id", "_hash")))
-    firsts = pin(prints.groupBy("fp").agg(F.min("_row").alias("_first")))
-    roots = components(links(firsts, rule)).select(F.col("node").alias("fp"), "root")
+    by_sets = isinstance(rule, Similarity)
+    made = set_prints(hashed, "text", rule, ["doc_id", "_hash"]) if by_sets else fingerprints(hashed, "text", rule, keep=["doc_id", "_hash"])
+    prints = pin(made.withColumn("_row", F.struct(F.isnull("doc_id").alias("n"), "doc_id", "_hash")))
+    firsts = pin(prints.groupBy("fp").agg(F.min("_row").alias("_first"), *([F.first("size").alias("size"), F.first("keys").alias("keys")] if by_sets else [])))
+    if by_sets:
+        own = firsts.select("fp", F.col("_first.doc_id").alias("_id"), F.col("_first._hash").alias("_its"))
+        met = hashed.join(own, hashed["doc_id"].eqNullSafe(own["_id"]) & (hashed["_hash"] == own["_its"]))
+        edges = set_links(firsts, met.select("fp", "text"), rule)
+    else:
+        edges = links(firsts, rule)
+    roots = components(edges).select(F.col("node").alias("fp"), "root")
     named = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     winners = named.groupBy("root").agg(F.min("_first").alias("w")).select(F.col("w.doc_id").alias("_w_id"), F.col("w._hash").alias("_w_hash"))
     repeated = prints.groupBy("doc_id", "_hash").count().where("count > 1").select(F.col("doc_id").alias("_w_id"), F.col("_hash").alias("_w_hash"), F.lit(True).alias("_repeated"))

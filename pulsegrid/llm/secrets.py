@@ -1,9 +1,11 @@
 """Secrets in text: fixed patterns, and character Markov models for random strings they do not name.
 
 Two first-order character models are trained, one on random strings (the values
-that the fixed patterns find) and one on ordinary identifiers (long runs of the
-same characters outside them).  A run is reported if its log-likelihood ratio
-per character reaches a threshold set on ordinary runs kept out of training.
+that the fixed patterns find) and one on ordinary identifiers (runs of the same
+characters outside them, without those that look random themselves).  What the base
+spans leave of a run is searched for the segment of the greatest summed
+log-likelihood ratio; it is reported, out to the next separators, if the sum exceeds
+the odds against a secret.
 
 The models are fitted on a bounded sample: documents chosen by hash, about
 `SAMPLE_DOCS` of them, and at most `SAMPLE_STRINGS` strings of each kind.  Every
@@ -25,8 +27,9 @@ from pulsegrid.llm.common import with_scanned
 
 SAMPLE_DOCS = 20_000
 SAMPLE_STRINGS = 20_000
-LEAST_RUN = 20
-ORDINARY_SHARE = 0.999  # of ordinary runs that stay below the threshold
+LEAST_RUN = 8
+ODDS = 10_000.0  # against a run being random; the threshold of summed log-likelihood ratios is its logarithm
+ROUNDS = 20  # of removing random runs from the ordinary ones, at most
 
 # The patterns and least lengths asked for.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -36,7 +39,7 @@ LEAST_VALUE, LEAST_ACCESS = 8, 16
 KINDS = ("assign", "access", "hex", "markov")
 
 _RUN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST_RUN)
-_ANY_RUN = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
+_SEPARATORS = "/.=-_+"
 _CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 _CODE = np.full(128, len(_CHARS), np.int64)
 _CODE[[ord(c) for c in _CHARS]] = np.arange(len(_CHARS))
@@ -71,7 +74,7 @@ def labelled_strings(text: str) -> tuple[list[str], list[str]]:
     for start, kind, end in base:
         value = text[start:end]
         random.append(ASSIGN.fullmatch(value)[2] if kind == 0 else value)
-    ordinary = [m[0] for m in _ANY_RUN.finditer(text) if _free(m.start(), m.end(), base)]
+    ordinary = [m[0] for m in _RUN.finditer(text) if _free(m.start(), m.end(), base)]
     return random, ordinary
 
 
@@ -84,22 +87,65 @@ class StringModel:
     ratio: np.ndarray  # log-likelihood ratio of each character after each other one or the start
     threshold: float
 
-    def rates(self, strings: Sequence[str]) -> np.ndarray:
-        """Log-likelihood ratio per character of each string."""
-        out = np.empty(len(strings))
-        for i, s in enumerate(strings):
-            c = _CODE[np.frombuffer(s.encode("ascii"), np.uint8)]
-            out[i] = (self.ratio[_START, c[0]] + self.ratio[c[:-1], c[1:]].sum()) / len(c)
+    def gains(self, strings: Sequence[str]) -> list[np.ndarray]:
+        """Log-likelihood ratio of every character of each string."""
+        if not strings:
+            return []
+        c = _CODE[np.frombuffer("".join(strings).encode("ascii"), np.uint8)]
+        starts = np.concatenate([[0], np.cumsum([len(s) for s in strings])])
+        before = np.concatenate([[_START], c[:-1]])
+        before[starts[:-1]] = _START
+        return np.split(self.ratio[before, c], starts[1:-1])
+
+    def sums(self, strings: Sequence[str]) -> np.ndarray:
+        """Log-likelihood ratio of each string."""
+        return np.array([g.sum() for g in self.gains(strings)])
+
+    def _segments(self, run: str, gains: np.ndarray) -> list[tuple[int, int]]:
+        """Random segments of a run, out to the next separators; the whole run if the rest of it costs less than half of the best."""
+        out, todo = [], [(0, len(run))]
+        while todo:
+            low, high = todo.pop()
+            if high - low < LEAST_RUN:
+                continue
+            total = np.concatenate([[0.0], np.cumsum(gains[low:high])])
+            rise = total - np.minimum.accumulate(total)
+            end = int(rise.argmax())
+            if rise[end] <= self.threshold:
+                continue
+            start = int(total[: end + 1].argmin())
+            if 2 * total[-1] >= rise[end]:
+                out.append((low, high))
+                continue
+            start, end = low + start, low + end
+            while start > low and run[start - 1] not in _SEPARATORS:
+                start -= 1
+            while end < high and run[end] not in _SEPARATORS:
+                end += 1
+            if end - start >= LEAST_RUN:
+                out.append((start, end))
+            todo += [(low, start), (end, high)]
         return out
 
     def spans(self, text: str) -> list[Span]:
-        """Base spans and the runs the models take for random, which never overlap base spans."""
+        """Base spans and what the models take for random outside them."""
         base = base_spans(text)
-        runs = [(m.start(), m.end()) for m in _RUN.finditer(text) if _free(m.start(), m.end(), base)]
-        if not runs:
-            return base
-        rates = self.rates([text[a:b] for a, b in runs])
-        return sorted([*base, *((a, 3, b) for (a, b), r in zip(runs, rates, strict=True) if r > self.threshold)])
+        runs = []
+        for m in _RUN.finditer(text):
+            at = m.start()
+            for s, _, e in base:
+                if s < m.end() and e > at:
+                    if s - at >= LEAST_RUN:
+                        runs.append((at, s))
+                    at = max(at, e)
+            if m.end() - at >= LEAST_RUN:
+                runs.append((at, m.end()))
+        strings = [text[a:b] for a, b in runs]
+        found = []
+        for (a, _), run, gains in zip(runs, strings, self.gains(strings), strict=True):
+            if gains[gains > 0].sum() > self.threshold:
+                found += [(a + i, 3, a + j) for i, j in self._segments(run, gains)]
+        return sorted([*base, *found])
 
 
 def _log_model(strings: Sequence[str], even: float) -> np.ndarray:
@@ -112,12 +158,23 @@ def _log_model(strings: Sequence[str], even: float) -> np.ndarray:
 
 
 def fit(random: Sequence[str], ordinary: Sequence[str]) -> StringModel:
-    """Models and threshold from labelled strings; every fifth ordinary one only sets the threshold."""
-    kept = [s for i, s in enumerate(ordinary) if i % 5]
-    ratio = _log_model(random, _EVEN_RANDOM) - _log_model(kept, _EVEN_ORDINARY)
-    model = StringModel(ratio, 0.0)
-    others = model.rates(ordinary[::5])
-    return StringModel(ratio, max(0.0, float(np.quantile(others, ORDINARY_SHARE))) if len(others) else 0.0)
+    """Models from labelled strings.
+
+    Ordinary ones that a model takes for random, or for even over all characters, are taken out and the model is
+    fitted again, until none changes sides; bare secrets among them thus neither train it nor move the threshold.
+    """
+    threshold = float(np.log(ODDS))
+    of_random, even = _log_model(random, _EVEN_RANDOM), _log_model([], 1.0)
+    kept = np.ones(len(ordinary), bool)
+    for _ in range(ROUNDS):
+        of_ordinary = _log_model([s for s, k in zip(ordinary, kept, strict=True) if k], _EVEN_ORDINARY)
+        model = StringModel(of_random - of_ordinary, threshold)
+        looks = np.maximum(model.sums(ordinary), StringModel(even - of_ordinary, threshold).sums(ordinary))
+        stay = looks <= threshold
+        if not stay.any() or (stay == kept).all():
+            break
+        kept = stay
+    return model
 
 
 def train(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> StringModel:

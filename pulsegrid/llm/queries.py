@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import ann, chat, exact_search, language, mixing, near, packing, secrets, sharding, toxicity
+from pulsegrid.llm import ann, chat, exact_search, language, mixing, near, packing, secrets, sharding, token_files, toxicity
 from pulsegrid.llm.common import is_held_out, may_learn, table
+from pulsegrid.runtime import use_checkpoint_dir
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,11 +72,18 @@ def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op13_range_coded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/token-files-{uuid.uuid4().hex}"
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, BYTE_VOCABULARY)
+    return token_files.read_token_files(spark, path)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language, op2_quotation_linking, op3_pareto_mix, op4_simhash_near_dedup, op5_binary_packing, op6_kmeans_tree,
-        op7_markov_secrets, op8_approximation_file, op9_label_propagation, op10_compression_toxicity,
+        op7_markov_secrets, op8_approximation_file, op9_label_propagation, op10_compression_toxicity, op13_range_coded_ids,
     )
 }
 

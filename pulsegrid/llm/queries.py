@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import ann, chat, exact_search, language, mixing, near, packing, secrets, sharding, token_files, toxicity
+from pulsegrid.llm import ann, chat, exact_search, language, mixing, near, packing, phrases, secrets, sharding, token_files, toxicity
 from pulsegrid.llm.common import is_held_out, may_learn, table
 from pulsegrid.runtime import use_checkpoint_dir
 
@@ -72,6 +72,10 @@ def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op12_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_range_coded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/token-files-{uuid.uuid4().hex}"
@@ -83,7 +87,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language, op2_quotation_linking, op3_pareto_mix, op4_simhash_near_dedup, op5_binary_packing, op6_kmeans_tree,
-        op7_markov_secrets, op8_approximation_file, op9_label_propagation, op10_compression_toxicity, op13_range_coded_ids,
+        op7_markov_secrets, op8_approximation_file, op9_label_propagation, op10_compression_toxicity, op12_phrase_graph, op13_range_coded_ids,
     )
 }
 
@@ -144,7 +148,49 @@ LEFT JOIN linked l ON c.conv_id = l.conv_id AND c.turn = l.turn AND c.text = l.t
 LEFT JOIN threads t ON c.conv_id = t.conv_id AND c.turn = t.turn
 """
 
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), starts AS (
+  SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM words
+), ones AS (
+  SELECT lang, w[i] AS p, count(*) AS f FROM starts GROUP BY ALL
+), twos AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f FROM starts WHERE i + 1 <= len(w) GROUP BY ALL HAVING count(*) >= 10
+), threes AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f FROM starts WHERE i + 2 <= len(w) GROUP BY ALL HAVING count(*) >= 10
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM ones GROUP BY lang
+), inside AS (
+  SELECT lang, w1, w2, max(f) AS most FROM (
+    SELECT lang, w1, w2, f FROM threes UNION ALL SELECT lang, w2, w3, f FROM threes) GROUP BY ALL
+), cuts AS (
+  SELECT t.lang, t.w1 || ' ' || t.w2 AS phrase, t.f AS a, x.f AS l, y.f AS r, 1 AS k
+  FROM twos t JOIN ones x ON x.lang = t.lang AND x.p = t.w1 JOIN ones y ON y.lang = t.lang AND y.p = t.w2
+  LEFT JOIN inside s ON s.lang = t.lang AND s.w1 = t.w1 AND s.w2 = t.w2
+  WHERE s.most IS NULL OR 100 * s.most < 50 * t.f
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 1
+  FROM threes t JOIN ones x ON x.lang = t.lang AND x.p = t.w1 JOIN twos y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 2
+  FROM threes t JOIN twos x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN ones y ON y.lang = t.lang AND y.p = t.w3
+), marked AS (
+  SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+), lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM marked
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest WHERE place = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {
+    "op12_phrase_graph": _PHRASES,
     "op2_quotation_linking": _QUOTES,
     "op8_approximation_file": """
 WITH v AS (

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import ann, chat, exact_search, language, mixing, near, packing, phrases, secrets, sharding, token_files, toxicity
+from pulsegrid.llm import ann, chat, exact_search, language, mixing, near, packing, periodic, phrases, secrets, sharding, token_files, toxicity
 from pulsegrid.llm.common import is_held_out, may_learn, table
 from pulsegrid.runtime import use_checkpoint_dir
 
@@ -72,6 +72,10 @@ def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_synchronised_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.with_planted_runs(table(spark, sf_dir, "documents")))
+
+
 def op12_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -87,7 +91,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language, op2_quotation_linking, op3_pareto_mix, op4_simhash_near_dedup, op5_binary_packing, op6_kmeans_tree,
-        op7_markov_secrets, op8_approximation_file, op9_label_propagation, op10_compression_toxicity, op12_phrase_graph, op13_range_coded_ids,
+        op7_markov_secrets, op8_approximation_file, op9_label_propagation, op10_compression_toxicity, op11_synchronised_runs, op12_phrase_graph, op13_range_coded_ids,
     )
 }
 

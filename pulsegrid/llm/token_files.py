@@ -32,7 +32,7 @@ END_ID = 0
 LANE_IDS = 256
 # A block closes when it has this many ids; a longer document is a block of its own.
 BLOCK_IDS = 1 << 20
-KEPT_WORDS = 600_000
+KEPT_WORDS = 1_000_000
 _LONGEST_KEPT = 64
 
 _MAGIC = b"PGT1"
@@ -268,6 +268,10 @@ class Tails(dict):
         return ids
 
 
+class OtherWhiteSpace(Exception):
+    """A text has white space besides single blanks and line feeds between other characters."""
+
+
 class TextIds(dict):
     """Ids of the stretches of a text that begin with a blank or a line feed, as the byte-level tokenizer gives them.
 
@@ -308,8 +312,10 @@ class TextIds(dict):
         return ids
 
     def _encode(self, word: str) -> bytes:
+        fed = word[:1] == "\n"
+        if (word[1:] if fed else word).split() != [word.strip()] or word[-1].isspace():
+            raise OtherWhiteSpace
         bare = word.rstrip(_PUNCTUATION)
-        fed = word[0] == "\n"
         letters = bare[1:] if fed else bare
         if not letters.isalpha() or max(letters) >= _LATIN_END:
             return self.whole(word if fed else " " + word)
@@ -319,11 +325,19 @@ class TextIds(dict):
         return self.feed + self._unit(unit) if fed else self._unit(_BLANK + unit)
 
     def of(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " \n").split(" ")
-        # Fewer words than gaps: white space of another kind, in runs or at an end.
-        if len(words) != len(text.split()) or any(s in text for s in self.special):
-            return np.frombuffer(self.whole(text), self.kind)
-        return np.frombuffer(b"".join([self.whole(words[0]), *[self[w] for w in words[1:]]]), self.kind)
+        if not any(s in text for s in self.special):
+            first, *words = text.replace("\n", " \n").split(" ")
+            try:
+                if first.isalpha() and first.isascii():
+                    head = self._unit(first)
+                elif first.split() == [first]:
+                    head = self.whole(first)
+                else:
+                    raise OtherWhiteSpace
+                return np.frombuffer(b"".join([head, *[self[w] for w in words]]), self.kind)
+            except OtherWhiteSpace:
+                pass
+        return np.frombuffer(self.whole(text), self.kind)
 
 
 @lru_cache(maxsize=2)

@@ -48,7 +48,8 @@ def complete_groups(
         held_key = keys[-1]
         if fold is not None and held_rows > fold_rows:
             kept = fold(pa.concat_tables(_tables(held)))
-            held, held_rows = [kept], kept.num_rows
+            # Later batches are joined to what is kept, so it must have their schema, nullability included.
+            held, held_rows = [pa.Table.from_arrays(kept.columns, schema=batch.schema)], kept.num_rows
             fold_rows = max(fold_rows, 2 * held_rows)
     if held:
         yield pa.concat_tables(_tables(held))

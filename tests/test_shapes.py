@@ -246,3 +246,30 @@ def test_mean_shift_of_a_large_event(monkeypatch):
     whole = kernels.shifted_means(x, y, np.ones(500), *one)
     monkeypatch.setattr(kernels, "PAIR_BLOCK", 5_000)
     assert kernels.shifted_means(x, y, np.ones(500), *one) == pytest.approx(whole)
+
+
+def test_event_above_the_fold_of_production(spark):
+    """More points than `FOLD_ROWS`, in several batches, beside a small event that follows in the stream."""
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) < shape.FOLD_ROWS
+    large = spark.range(250_000).select(F.lit(1).alias("event_no"), (F.col("id") % 500).alias("x"), F.expr("id div 500").alias("y"))
+    small = spark.createDataFrame([(e, x, y) for e in (0, 2, 3) for x, y in ((0, 0), (3, 0), (0, 4))], "event_no int, x long, y long")
+    rows = {r.event_no: r for r in shape.boundary(large.union(small)).collect()}
+    assert rows[1].n_points == 250_000 and rows[1].n_border == 4
+    assert rows[1].extent == pytest.approx(math.hypot(499, 499)) and rows[1].area == pytest.approx(499 * 499)
+    assert all(rows[e].extent == pytest.approx(5) and rows[e].n_points == 3 for e in (0, 2, 3))
+
+
+@pytest.mark.parametrize("rows", [7, 64])
+def test_folded_tables_keep_the_schema_of_the_stream(rows):
+    schema = pa.schema([pa.field("k", pa.int64(), nullable=False), pa.field("held", pa.int64(), nullable=False)])
+    keys = [1] * 100 + [2] * 3 + [3] * 90
+    whole = pa.record_batch([pa.array(keys), pa.array([1] * len(keys))], schema=schema)
+
+    def fold(table):
+        return pa.table({"k": table["k"][:1].combine_chunks(), "held": pa.array([sum(table["held"].to_pylist())])})
+
+    batches = [whole.slice(i, rows) for i in range(0, len(keys), rows)]
+    out = list(complete_groups(iter(batches), "k", fold=fold, fold_rows=10))
+    assert all(t.schema == schema for t in out)
+    held = {k: sum(n for t in out for key, n in zip(t["k"].to_pylist(), t["held"].to_pylist()) if key == k) for k in (1, 2, 3)}
+    assert held == {1: 100, 2: 3, 3: 90}

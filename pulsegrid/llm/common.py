@@ -3,36 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import count
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows per Arrow batch: bounds what a Python worker holds at once.
-BATCH_ROWS = 512
-# Text is worked on in slices of about this many bytes.
+# Text is worked on in slices of at most so many rows and about so many bytes.
+SLICE_ROWS = 512
 SLICE_BYTES = 1 << 20
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batch to `BATCH_ROWS` rows, so that long texts fit a worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > BATCH_ROWS or int(spark.conf.get(key)) <= 0:
-        spark.conf.set(key, str(BATCH_ROWS))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the texts of a slice have about `limit` bytes; a longer text is alone."""
+def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that a slice has at most `rows` rows and its texts about `limit` bytes; a longer text is alone.
+
+    What the worker holds beside a slice is one Arrow batch, which Spark bounds by rows and bytes.
+    """
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start = held = 0
         for i, n in enumerate(sizes):
-            if i > start and held + n > limit:
+            if i > start and (held + n > limit or i - start >= rows):
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += n
@@ -92,11 +89,10 @@ def with_scanned(
     texts to one column for each of `new` (name, Arrow type, SQL type).  Columns of `docs` with the new names are
     replaced.  With `binary` the texts come as UTF-8 bytes.
     """
-    small_batches(docs.sparkSession)
     names = [n for n, _, _ in new]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
     own = text not in kept or binary
-    scanned = "_scanned" if own else text
+    scanned = next(n for n in _free_names("_scanned") if n not in (*kept, *names)) if own else text
     columns = [F.col(f"`{c}`") for c in kept]
     if own:
         columns.append((F.col(f"`{text}`").cast("binary") if binary else F.col(f"`{text}`")).alias(scanned))
@@ -110,5 +106,20 @@ def with_scanned(
             fields = [*(part.schema.field(i) for i in at), *(pa.field(n, t) for n, t, _ in new)]
             yield batch_of(pa.schema(fields), [*(part.column(i) for i in at), *made])
 
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema if f.name in kept] + [f"`{n}` {s}" for n, _, s in new]
-    return frame.mapInArrow(run, ", ".join(kinds))
+    fields = [f for f in frame.schema if f.name in kept]
+    for name, _, kind in new:
+        fields += T.StructType.fromDDL(f"`{name}` {kind}")
+    return frame.mapInArrow(run, T.StructType(fields))
+
+
+def _free_names(stem: str) -> Iterator[str]:
+    yield stem
+    yield from (f"{stem}{i}" for i in count(1))
+
+
+def whole_rows(docs: DataFrame, *beside: str) -> DataFrame:
+    """Every row as the struct `_doc` with copies of the columns `beside`, so that own columns of any name stay out of the way.
+
+    `select("_doc.*")` gives the rows back.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *[F.col(f"`{c}`") for c in beside])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import batch_of, pieces, slices, small_batches, with_scanned
+from pulsegrid.llm.common import batch_of, pieces, slices, with_scanned
 
 PROFILE_GRAMS = 300
 UNKNOWN = "und"
@@ -108,7 +108,6 @@ def profiles(docs: DataFrame, text: str = "text", lang: str = "lang", grams: int
     Rows with a null text or language teach nothing.  The driver gets at most
     `grams` rows for each language and salt.
     """
-    small_batches(docs.sparkSession)
     schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

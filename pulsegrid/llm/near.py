@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import with_scanned
+from pulsegrid.llm.common import whole_rows, with_scanned
 from pulsegrid.operators.scan import broadcast_checked
 from pulsegrid.runtime import pin
 
@@ -476,10 +476,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 def keep_one(docs: DataFrame, rule: Rule | Similarity) -> DataFrame:
     """`docs` without near copies: of each component the row with the smallest (id, text hash) stays; null ids come last.
 
-    Fully equal rows count as copies of each other.  Texts move once, to meet the rows that stay; by similarity,
+    Rows of one id and text count as copies of each other; the least by all columns stays.  Own columns keep their values,
+    whatever their names.  Texts move once, to meet the rows that stay; by similarity,
     those of candidates also move to meet each other.
     """
-    order = docs.columns
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
     by_sets = isinstance(rule, Similarity)
     made = set_prints(hashed, "text", rule, ["doc_id", "_hash"]) if by_sets else fingerprints(hashed, "text", rule, keep=["doc_id", "_hash"])
@@ -497,9 +497,10 @@ def keep_one(docs: DataFrame, rule: Rule | Similarity) -> DataFrame:
     repeated = prints.groupBy("doc_id", "_hash").count().where("count > 1").select(F.col("doc_id").alias("_w_id"), F.col("_hash").alias("_w_hash"), F.lit(True).alias("_repeated"))
     same = lambda a, b: a["_w_id"].eqNullSafe(b["_w_id"]) & (a["_w_hash"] == b["_w_hash"])
     stay = winners.join(repeated, same(winners, repeated), "left").select(winners["_w_id"], winners["_w_hash"], F.coalesce("_repeated", F.lit(False)).alias("_repeated"))
-    texts = docs.withColumn("_hash", F.xxhash64("text"))
-    kept = texts.join(stay, texts["doc_id"].eqNullSafe(stay["_w_id"]) & (texts["_hash"] == stay["_w_hash"])).drop("_w_id", "_w_hash")
+    texts = whole_rows(docs, "doc_id", "text").select("_doc", "doc_id", F.xxhash64("text").alias("_hash"))
+    kept = texts.join(stay, texts["doc_id"].eqNullSafe(stay["_w_id"]) & (texts["_hash"] == stay["_w_hash"]))
     if not repeated.limit(1).count():
-        return kept.select(*order)
-    once = kept.where("not _repeated").select(*order)
-    return once.union(kept.where("_repeated").dropDuplicates(["doc_id", "_hash"]).select(*order))
+        return kept.select("_doc.*")
+    once = kept.where("not _repeated").select("_doc.*")
+    # Of rows of one id and text the least by all columns.
+    return once.union(kept.where("_repeated").groupBy("doc_id", "_hash").agg(F.min("_doc").alias("_doc")).select("_doc.*"))

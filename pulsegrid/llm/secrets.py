@@ -8,15 +8,16 @@ log-likelihood ratio; it is reported, out to the next separators, if the sum exc
 the odds against a secret.
 
 The models are fitted on a bounded sample: documents chosen by hash, about
-`SAMPLE_DOCS` of them, and at most `SAMPLE_STRINGS` strings of each kind.  Every
+`SAMPLE_DOCS` of them, and at most `SAMPLE_STRINGS` strings of each kind, none above `LONGEST_SAMPLE` characters.  Every
 whole text is scanned.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from pulsegrid.llm.common import with_scanned
 
 SAMPLE_DOCS = 20_000
 SAMPLE_STRINGS = 20_000
+LONGEST_SAMPLE = 4096
 LEAST_RUN = 8
 ODDS = 10_000.0  # against a run being random; the threshold of summed log-likelihood ratios is its logarithm
 ROUNDS = 20  # of removing random runs from the ordinary ones, at most
@@ -63,8 +65,21 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
-def _free(start: int, end: int, taken: Sequence[Span]) -> bool:
-    return all(end <= s or e <= start for s, _, e in taken)
+def _outside(runs: Iterable[re.Match], base: Sequence[Span]) -> Iterator[tuple[int, int, list[Span]]]:
+    """(start, end, base spans that it touches) of each run; runs and spans are sorted by their starts and both read once."""
+    base_ends = list(accumulate((e for _, _, e in base), max))
+    first = 0
+    for m in runs:
+        start, end = m.span()
+        # No span before `first` reaches into this run or a later one.
+        while first < len(base) and base_ends[first] <= start:
+            first += 1
+        touched, i = [], first
+        while i < len(base) and base[i][0] < end:
+            if base[i][2] > start:
+                touched.append(base[i])
+            i += 1
+        yield start, end, touched
 
 
 def labelled_strings(text: str) -> tuple[list[str], list[str]]:
@@ -74,7 +89,7 @@ def labelled_strings(text: str) -> tuple[list[str], list[str]]:
     for start, kind, end in base:
         value = text[start:end]
         random.append(ASSIGN.fullmatch(value)[2] if kind == 0 else value)
-    ordinary = [m[0] for m in _RUN.finditer(text) if _free(m.start(), m.end(), base)]
+    ordinary = [text[a:b] for a, b, touched in _outside(_RUN.finditer(text), base) if not touched]
     return random, ordinary
 
 
@@ -131,15 +146,13 @@ class StringModel:
         """Base spans and what the models take for random outside them."""
         base = base_spans(text)
         runs = []
-        for m in _RUN.finditer(text):
-            at = m.start()
-            for s, _, e in base:
-                if s < m.end() and e > at:
-                    if s - at >= LEAST_RUN:
-                        runs.append((at, s))
-                    at = max(at, e)
-            if m.end() - at >= LEAST_RUN:
-                runs.append((at, m.end()))
+        for at, end, touched in _outside(_RUN.finditer(text), base):
+            for s, _, e in touched:
+                if s - at >= LEAST_RUN:
+                    runs.append((at, s))
+                at = max(at, e)
+            if end - at >= LEAST_RUN:
+                runs.append((at, end))
         strings = [text[a:b] for a, b in runs]
         found = []
         for (a, _), run, gains in zip(runs, strings, self.gains(strings), strict=True):
@@ -196,7 +209,7 @@ def train(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -
     strings = with_scanned(chosen, text, kinds, make, keep=[])
     found = []
     for k in ("random", "ordinary"):
-        each = strings.select(F.explode(k).alias("s")).where(F.length("s") <= 4096).distinct()
+        each = strings.select(F.explode(k).alias("s")).where(F.length("s") <= LONGEST_SAMPLE).distinct()
         found.append([r.s for r in each.orderBy(F.xxhash64("s"), "s").limit(SAMPLE_STRINGS).collect()])
     return fit(*found)
 

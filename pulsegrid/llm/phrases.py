@@ -4,8 +4,11 @@ The longest grams, of three words, are the edges of a graph whose nodes are pair
 words: the edge of w1 w2 w3 leads from (w1, w2) to (w2, w3) and weighs as often as it
 occurs.  Where a piece of text ends, its last pair and last word lead to an end mark
 instead; so the flow through a node, with these corrections, is the count of its pair,
-and the flow through all nodes of a first word is the count of that word.  No shorter
-gram is ever counted in the text.
+and the flow through all nodes of a first word is the count of that word.
+
+Most grams are far too rare to be candidates.  A sketch of fixed size, filled in a first
+pass, proves that of nearly all of them; they are merged into one edge of their node
+before any word is shuffled, which leaves every flow as it is.
 
 Among edges of at least the wanted count, paths whose inner nodes have one edge in, one
 out and no other flow are compacted: all edges and inner nodes of such a path occur
@@ -14,9 +17,16 @@ equally often, and only the nodes at its ends are looked up.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.common import slices
 from pulsegrid.operators.scan import broadcast_checked
 from pulsegrid.runtime import pin
 
@@ -25,25 +35,134 @@ COVERED = 50  # per cent of its occurrences that a longer candidate must have to
 TOP = 2000
 SCALE = 1_000_000
 
-_CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_PIECE_ENDS = "[.,;:!?\\x0A-\\x0D]"
+SKETCH_BITS = 27  # counters of the sketch, as a power of two
+_RANGE_BITS = 21  # of which a task of the second step holds so many at a time
 _SPLITS = 64  # parts of a class ranked on their own first
+_SLICE_BYTES, _SLICE_ROWS = 4 << 20, 1 << 16
+
+# What ends a piece, and small letters for the ASCII capitals.  0xFF is no part of UTF-8.
+_END = b"\xff"
+_TABLE = bytes.maketrans(b".,;:!?\n\x0b\x0c\r" + bytes(range(65, 91)), _END * 10 + bytes(range(97, 123)))
+# End of fixed values.
+_MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+
+
+class _Grams:
+    """The words of some texts as numbers, with hashes of every gram of up to three words that starts at a word."""
+
+    def __init__(self, texts: list[str | None], langs: list[str]) -> None:
+        split = [((t or "").encode().translate(_TABLE).replace(_END, b" \xff ") + b" \xff").split() for t in texts]
+        codes, self.words = pd.factorize(np.array([w for words in split for w in words] or [_END], dtype=object))
+        names, self.langs = pd.factorize(np.array(langs, dtype=object))
+        lang = np.repeat(names, [len(words) for words in split])
+        ends = codes == np.flatnonzero(self.words == _END)[0]
+        own = pd.util.hash_array(self.words)
+        here = own[codes]
+        n = len(codes) - 1 if texts else 0  # the last word is an end
+        self.at = np.flatnonzero(~ends[:n])
+        after = np.concatenate([ends[1:], [True, True]])[: len(codes)]
+        later = np.concatenate([ends[2:], [True, True]])[: len(codes)]
+        self.pair = ~after[self.at]
+        self.triple = self.pair & ~later[self.at]
+        step = lambda k: np.minimum(self.at + k, len(codes) - 1)
+        self.w = [codes[self.at], codes[step(1)], codes[step(2)]]
+        self.lang = lang[self.at]
+        whole = here[self.at] * _MIX[0] + pd.util.hash_array(self.langs)[self.lang]
+        self.hashes = []
+        for k in range(3):
+            if k:
+                whole = (whole ^ whole >> np.uint64(29)) * _MIX[k] + here[step(k)]
+            mixed = (whole ^ whole >> np.uint64(32)) * _MIX[3]
+            self.hashes.append((mixed >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
+
+
+def _named(docs: DataFrame, text: str, by: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(f"`{by}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").cast("string").alias("t"))
+
+
+def _each(batches: Iterable[pa.RecordBatch]) -> Iterator[_Grams]:
+    for part in slices(batches, "t", _SLICE_BYTES, _SLICE_ROWS):
+        yield _Grams(part.column("t").to_pylist(), part.column("lang").to_pylist())
+
+
+def frequent_slots(named: DataFrame, least: int) -> np.ndarray:
+    """Bits of the slots whose grams together occur at least `least` times; all grams of other slots are rarer than that.
+
+    Every task counts all grams of one to three words in 2^SKETCH_BITS counters, which stop at 255, and sends
+    them compressed in ranges; the sums become one bit per counter.  The bits have a fixed size, whatever the input.
+    """
+    size = 1 << SKETCH_BITS
+    width = min(size, 1 << _RANGE_BITS)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = None
+        for grams in _each(batches):
+            if counters is None:
+                counters = np.zeros(size, np.uint8)
+            first, second, third = grams.hashes
+            slots, times = np.unique(np.concatenate([first, second[grams.pair], third[grams.triple]]).astype(np.int32), return_counts=True)
+            counters[slots] = np.minimum(counters[slots] + times, 255).astype(np.uint8)
+        if counters is not None:
+            pack = zstandard.ZstdCompressor(level=1).compress
+            for i in range(size // width):
+                yield pa.RecordBatch.from_pydict({"part": pa.array([i], pa.int32()), "counters": [pack(counters[i * width : (i + 1) * width].tobytes())]})
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                mine = np.frombuffer(unpack(raw.as_py()), np.uint8)
+                held = sums.setdefault(i, np.zeros(width, np.uint8))
+                np.minimum(held, 255 - mine, out=held)
+                held += mine
+        for i, held in sums.items():
+            yield pa.RecordBatch.from_pydict({"part": pa.array([i], pa.int32()), "bits": [np.packbits(held >= min(least, 255)).tobytes()]})
+
+    parts = named.mapInArrow(count, "part int, counters binary").repartition(size // width, "part").mapInArrow(add, "part int, bits binary")
+    bits = np.zeros(size // 8, np.uint8)
+    for row in parts.collect():  # size / 8 bytes
+        bits[row.part * width // 8 : (row.part + 1) * width // 8] = np.frombuffer(row.bits, np.uint8)
+    return bits
+
+
+def edges(docs: DataFrame, text: str = "text", by: str = "lang", least: int = LEAST) -> DataFrame:
+    """lang, w1, w2, w3, weight: every word occurrence with the two words that follow it in its piece, counted.
+
+    w3 is null at the end of a piece and where the three words are surely rarer than `least`; w2 and w1 likewise.
+    So grams that cannot be candidates share one edge of their node, and the flow through every node that can be
+    one stays whole.
+    """
+    named = _named(docs, text, by)
+    frequent = named.sparkSession.sparkContext.broadcast(frequent_slots(named, least))
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = frequent.value
+        for grams in _each(batches):
+            often = [(bits[h >> 3] >> (7 - (h & 7)).astype(np.uint8) & 1).astype(bool) for h in grams.hashes]
+            keep = [often[0]]
+            keep.append(keep[0] & grams.pair & often[1])
+            keep.append(keep[1] & grams.triple & often[2])
+            none = len(grams.words)
+            rows = np.column_stack([grams.lang, *[np.where(k, w, none) for k, w in zip(keep, grams.w, strict=True)]])
+            rows = rows[np.lexsort(rows.T[::-1])]
+            new = np.ones(len(rows), bool)
+            new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+            start = np.flatnonzero(new)
+            if not len(start):
+                continue
+            words = pa.array([*[None if w == _END else w for w in grams.words], None], pa.binary()).cast(pa.string())
+            langs = pa.array(list(grams.langs), pa.string())
+            columns = [langs.take(pa.array(rows[start, 0])), *[words.take(pa.array(rows[start, k])) for k in (1, 2, 3)]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(np.append(start, len(rows))))], names=["lang", "w1", "w2", "w3", "n"])
 
-def edges(docs: DataFrame, text: str = "text", by: str = "lang") -> DataFrame:
-    """lang, w1, w2, w3, weight: every word occurrence with the two that follow it in its piece, counted; null is the end of the piece."""
-    whole = F.translate(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), _CAPITALS, _SMALL)
-    named = docs.select(F.coalesce(F.col(f"`{by}`").cast("string"), F.lit("und")).alias("lang"), whole.alias("t"))
-    pieces = named.select("lang", F.explode(F.split("t", _PIECE_ENDS)).alias("piece"))
-    words = pieces.select("lang", F.filter(F.split("piece", "[ \\t]+"), lambda w: w != "").alias("w")).where(F.size("w") > 0)
-    at = F.sequence(F.lit(0), F.size("w") - 1)
-    grams = F.transform(at, lambda i: F.struct(*[F.get("w", i + k).alias(f"w{k + 1}") for k in range(3)]))
-    return words.select("lang", F.inline(grams)).groupBy("lang", "w1", "w2", "w3").agg(F.count(F.lit(1)).alias("weight"))
+    counted = named.mapInArrow(run, "lang string, w1 string, w2 string, w3 string, n long")
+    return counted.groupBy("lang", "w1", "w2", "w3").agg(F.sum("n").alias("weight"))
 
 
 def word_counts(counted: DataFrame, least: int) -> DataFrame:
     """Flow by first word: lang, w, f."""
-    return counted.groupBy("lang", F.col("w1").alias("w")).agg(F.sum("weight").alias("f")).where(F.col("f") >= least)
+    return counted.where("w1 IS NOT NULL").groupBy("lang", F.col("w1").alias("w")).agg(F.sum("weight").alias("f")).where(F.col("f") >= least)
 
 
 def pair_counts(counted: DataFrame, least: int) -> DataFrame:
@@ -152,7 +271,7 @@ def scored(docs: DataFrame, text: str = "text", by: str = "lang", least: int = L
     equal ones the first.  A pair is dropped if a candidate of three words that holds it
     has at least `covered` per cent of its occurrences.
     """
-    counted = pin(edges(docs, text, by))
+    counted = pin(edges(docs, text, by, least))
     total = counted.groupBy("lang").agg(F.sum("weight").alias("n"))
     words = pin(word_counts(counted, least))
     nodes = pin(pair_counts(counted, least))

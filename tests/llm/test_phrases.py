@@ -85,7 +85,7 @@ def test_random_texts(spark, seed):
 def test_compacted_paths_are_maximal(spark):
     text = "x a b c d e f g h. y a b c d e f g h; q c d e"
     frame = docs(spark, [(1, text, "en", "a", 1)] * 3)
-    counted = phrases.edges(frame)
+    counted = phrases.edges(frame, least=3)
     nodes = phrases.pair_counts(counted, 3)
     heavy = counted.where((F.col("weight") >= 3) & F.col("w3").isNotNull())
     paths = sorted((" ".join(r.words), r.weight) for r in phrases.compacted(heavy, nodes).collect())

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import unit
-from pulsegrid.llm.vectors import best, folded, matrix, usable
+from pulsegrid.llm.vectors import Owners, best, folded, matrix, usable
 from pulsegrid.runtime import pin
 
 SCALE = 256
@@ -54,35 +54,36 @@ def cells_of(rows: DataFrame, cells: int = CELLS) -> Cells | None:
     return Cells(low, np.array([-(-(r.b - r.a + 1) // cells) for r in found], np.int64))
 
 
-def _top(query: np.ndarray, skip: np.ndarray, low: np.ndarray, high: np.ndarray, exact: np.ndarray, k: int) -> tuple[list[tuple[int, int]], int]:
-    """((score, row) of the k best rows and all that tie with the last, rows read) for one query, from its bounds."""
+def _top(
+    query_id: int, query: np.ndarray, owners: Owners, skip: np.ndarray, low: np.ndarray, high: np.ndarray, exact: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """(rows, scores, rows read): the k best rows for one query, from its bounds; ties to the row with the smaller id."""
     allowed = np.flatnonzero(~skip)
     if len(allowed) > k:
         least = np.partition(low[allowed], -k)[-k]
         allowed = allowed[high[allowed] >= least]
     order = allowed[np.argsort(-high[allowed], kind="stable")]
-    found: list[tuple[int, int]] = []
-    for at in range(0, len(order), READ):
-        if len(found) >= k and found[k - 1][0] > high[order[at]]:
-            return found, at
-        rows = order[at : at + READ]
-        scores = exact[rows] @ query
-        found = sorted([*found, *((int(s), int(r)) for s, r in zip(scores, rows, strict=True))], key=lambda x: -x[0])
-        if len(found) > k:
-            found = [x for x in found if x[0] >= found[k - 1][0]]
-    return found, len(order)
+    rows, scores, at = order[:0], exact[:0, 0], 0
+    while at < len(order) and not (len(rows) >= k and scores[k - 1] > high[order[at]]):
+        more = order[at : at + READ]
+        rows, scores, at = np.concatenate([rows, more]), np.concatenate([scores, exact[more] @ query]), at + len(more)
+        place = owners.ranked(query_id, rows, scores, k)
+        rows, scores = rows[place], scores[place]
+    return rows, scores, at
 
 
 def top_k(
     query_ids: list[int], queries: np.ndarray, ids: list[list[int]], cells: np.ndarray, exact: np.ndarray, grid: Cells, k: int
 ) -> list[tuple[int, int, int]]:
-    """(query, row, score) of the best rows of one block for each query; ties with the kth are kept."""
+    """(query, row, score) of the k best rows of one block for each query, those left out that only the query's own id has."""
     low, high = grid.bounds(cells)
     largest = int(max(np.abs(low).max(), np.abs(high).max())) * max(1, int(np.abs(queries).max())) * queries.shape[1]
     kind = np.float64 if largest < _EXACT_DOUBLE else object  # beyond that, Python's integers keep sums exact
     plus, minus = np.maximum(queries, 0).astype(kind), np.minimum(queries, 0).astype(kind)
     low, high = low.astype(kind), high.astype(kind)
-    alone: dict[int, int] = {own[0]: i for i, own in enumerate(ids) if len(own) == 1}
+    if kind is object:
+        exact, queries = exact.astype(kind), queries.astype(kind)
+    owners = Owners(ids)
     out = []
     for start in range(0, len(queries), 256):
         part = slice(start, start + 256)
@@ -90,11 +91,9 @@ def top_k(
         lower = plus[part] @ low.T + minus[part] @ high.T
         for i, q in enumerate(range(start, min(start + 256, len(queries)))):
             skip = np.zeros(len(ids), bool)
-            if query_ids[q] in alone:
-                skip[alone[query_ids[q]]] = True
-            query = queries[q].astype(kind) if kind is object else queries[q]
-            found, _ = _top(query, skip, lower[i], upper[i], exact.astype(kind) if kind is object else exact, k)
-            out += [(q, row, score) for score, row in found]
+            skip[owners.own_rows(query_ids[q])] = True
+            rows, scores, _ = _top(query_ids[q], queries[q], owners, skip, lower[i], upper[i], exact, k)
+            out += [(q, int(row), int(score)) for row, score in zip(rows, scores, strict=True)]
     return out
 
 

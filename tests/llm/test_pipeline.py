@@ -1,12 +1,14 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from pulsegrid.llm import mixing, near, secrets, toxicity
+from pulsegrid.llm import language, mixing, secrets, toxicity
 from pulsegrid.llm.queries import VOCABULARY
-from tests.llm.helpers import AWKWARD, SF, clashing, docs
+from tests.llm.helpers import AWKWARD, SF, docs
+from tests.llm.test_similarity import kept
 
 
 @pytest.fixture(scope="module")
@@ -31,18 +33,7 @@ def test_toxicity(spark, steps):
 
 def test_near_copies(steps):
     before, after = steps[1].collect(), steps[2].collect()
-    rule = corpus_pipeline.NEAR
-    fps = {r.doc_id: tuple(near.fingerprint(r.text.encode(), rule.shingle, rule.words)) for r in before}
-    group = {i: i for i in fps}
-    ids = sorted(fps)
-    for i in ids:
-        for j in ids:
-            apart = [(a ^ b).bit_count() for a, b in zip(fps[i], fps[j], strict=True)]
-            if j < i and min(apart) <= rule.most_bits and sum(apart) <= rule.total_bits and group[i] != group[j]:
-                low, high = sorted((group[i], group[j]))
-                group = {k: low if g == high else g for k, g in group.items()}
-    least = {g: g for g in group.values()}
-    assert sorted(r.doc_id for r in after) == sorted(least.values())
+    assert sorted(r.doc_id for r in after) == kept({r.doc_id: r.text for r in before})
     assert after[0].__fields__ == before[0].__fields__
 
 
@@ -73,12 +64,36 @@ def test_run_equals_its_stages(spark, steps):
     assert rows(corpus_pipeline.run(spark, SF)) == rows(steps[5])
 
 
+OWN = ("size", "fp", "spans", "score", "_row", "_hash", "_scanned", "predicted", "_doc", "_id", "_w_id", "copies", "_u", "keys", "n")
+
+
 @pytest.mark.parametrize("rows", [AWKWARD, []])
 def test_awkward_tables_pass_every_stage(spark, tmp_path, rows):
-    frame = clashing(docs(spark, rows), "size", "fp", "spans", "score", "_row")
+    """Own columns of any name come out of every stage with their values."""
+    frame = docs(spark, rows)
+    frame = frame.select("*", *[F.concat_ws("|", F.lit(n), F.coalesce("doc_id", F.lit(-1)), F.xxhash64("text")).alias(n) for n in OWN])
+    text_hash = {r.doc_id: r.h for r in frame.select("doc_id", F.xxhash64("text").alias("h")).collect()}
     for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
         stage(spark, frame, SF).write.parquet(str(tmp_path / name))
         after = spark.read.parquet(str(tmp_path / name))
         if i < len(corpus_pipeline.STAGES) - 1:
             assert after.columns == frame.columns
+            for r in after.collect():
+                own = -1 if r.doc_id is None else r.doc_id
+                assert all(r[n] == f"{n}|{own}|{text_hash[r.doc_id]}" for n in OWN)
         frame = after
+
+
+@pytest.mark.parametrize("parts", [1, 3, 5])
+def test_of_rows_of_one_id_and_text_the_least_stays(spark, parts):
+    rows = [(1, "the same five words again and again", "en", source, 5) for source in "zyx"]
+    frame = docs(spark, rows).repartition(parts, "source")
+    assert [r.source for r in corpus_pipeline.drop_near_copies(spark, frame, SF).collect()] == ["x"]
+
+
+def test_the_session_stays_as_it_was(spark):
+    settings = lambda: {k: v for k, v in spark.conf.getAll.items() if "arrow" in k}
+    before = settings()
+    corpus_pipeline.run(spark, SF).count()
+    language.identify(docs(spark), language.profiles(docs(spark))).count()
+    assert settings() == before

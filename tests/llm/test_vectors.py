@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import ann, exact_search
-from pulsegrid.llm.queries import op6_kmeans_tree, op8_approximation_file
+from pulsegrid.llm.queries import ORACLES, op6_kmeans_tree, op8_approximation_file
+from pulsegrid.llm.vectors import Owners
 from tests.compare import differences, duck
 from tests.llm.helpers import SF
 
@@ -90,13 +91,12 @@ def test_exact_search_reads_few_vectors():
     low, high = grid.bounds(grid.encode(rows))
     query = rng.integers(-128, 128, 16)
     plus, minus = np.maximum(query, 0), np.minimum(query, 0)
-    found, read = exact_search._top(query, np.zeros(4000, bool), low @ plus + high @ minus, high @ plus + low @ minus, rows, 5)
-    assert [s for s, _ in found[:5]] == sorted((rows @ query).tolist(), reverse=True)[:5] and read < 800
+    owners = Owners([[i] for i in range(4000)])
+    _, found, read = exact_search._top(-1, query, owners, np.zeros(4000, bool), low @ plus + high @ minus, high @ plus + low @ minus, rows, 5)
+    assert found.tolist() == sorted((rows @ query).tolist(), reverse=True)[:5] and read < 800
 
 
 def test_op8_against_sql(spark):
-    from pulsegrid.llm.queries import ORACLES
-
     sf = SF.replace("0.001", "0.01")
     ours = op8_approximation_file(spark, sf).toPandas()
     assert differences(ours, duck(sf).sql(ORACLES["op8_approximation_file"]).df()) is None
@@ -134,3 +134,46 @@ def test_best_bin_first_visits_every_leaf_once():
     visits = tree.visits(rng.normal(size=6), tree.leaves)
     assert sorted(visits) == list(range(tree.leaves))
     assert ann.grow(np.ones((100, 3))).leaves == 1
+
+
+def ranks(frame):
+    by = {}
+    for r in frame.orderBy("query_id", "rank").collect():
+        by.setdefault(r.query_id, []).append(r.vec_id)
+    return by
+
+
+def test_a_query_id_with_many_vectors(spark):
+    """The rows of the query's own id take no places."""
+    rng = np.random.default_rng(8)
+    rows = [(50, [float(x) for x in rng.normal(size=4)]) for _ in range(9)] + [(i, [float(x) for x in rng.normal(size=4)]) for i in range(1, 9)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    exact = exact_search.search(frame, asked(frame, 50))
+    # Each of the nine rows is a query of its own there; the search keeps the best for the id.
+    best = {}
+    for _, q in rows[:9]:
+        for i, v in rows[9:]:
+            score = sum(math.floor(256 * float(np.float32(a))) * math.floor(256 * float(np.float32(b))) for a, b in zip(q, v, strict=True))
+            best.setdefault(i, []).append(score)
+    flat = sorted({(-s, i) for i, several in best.items() for s in several})[:5]
+    assert [(r["rank"], r.vec_id, r.score) for r in exact.orderBy("rank").collect()] == [(n + 1, i, -s) for n, (s, i) in enumerate(flat)]
+    assert len(ranks(ann.search(frame, asked(frame, 50).limit(1))[0])[50]) == 5
+
+
+def test_scaled_copies_tie_by_id(spark):
+    base = np.array([0.3, -1.7, 2.2, 0.9])
+    rows = [(i, [float(x) for x in base * 2.0 ** (i % 13 - 6)]) for i in range(30)] + [(100 + i, [1.0, float(i), -3.0, 0.5]) for i in range(40)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ranks(ann.search(frame, asked(frame, 29))[0])
+    assert got[0] == [1, 2, 3, 4, 5] and got[29] == [0, 1, 2, 3, 4]
+
+
+def test_ties_of_zero_queries_are_bounded(spark):
+    rows = [(i, [0.0] * 4 if i < 3 else [float(i % 7), 1.0, -2.0, float(i)]) for i in range(2_000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    queries = asked(frame, 1).where("query_id < 3")
+    assert ranks(exact_search.search(frame, queries)) == {0: [1, 2, 3, 4, 5], 1: [0, 2, 3, 4, 5], 2: [0, 1, 3, 4, 5]}
+    exact = np.array([[math.floor(256 * x) for x in v] for _, v in rows], np.int64)
+    grid = exact_search.Cells(exact.min(axis=0), np.maximum(1, -(-(np.ptp(exact, axis=0) + 1) // 64)))
+    found = exact_search.top_k([0, 1], exact[:2], [[i] for i, _ in rows], grid.encode(exact), exact, grid, 5)
+    assert len(found) == 10

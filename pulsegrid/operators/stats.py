@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,6 +59,46 @@ def histogram(
     return _binned(df, column, width, bins, log, by).select(*by, "bin", left.alias("left_edge"), "n")
 
 
+@dataclass(frozen=True)
+class Bins:
+    """Grid of a histogram: bins of `width` from the least value on, or `bins` even ones; with `log` of the logarithm to base 10."""
+
+    width: float | None = None
+    bins: int | None = None
+    log: bool = False
+
+
+def histograms(df: DataFrame, grids: Mapping[str, Bins], by: Sequence[str] = ()) -> DataFrame:
+    """The histograms of many columns at once: feature, `by` columns, bin number, its left edge, count.
+
+    As `histogram` gives them one by one, in two reads of `df` however many there are: the first finds all ranges in one
+    aggregation, the second turns every row into (feature, value) pairs and counts them by bin before anything is shuffled.
+    Ranges are over all rows, so classes share their edges; a column without values has no rows.
+    """
+    values = []
+    for name, grid in grids.items():
+        v = f"double(`{name}`)"
+        values.append(f"CASE WHEN NOT isnan({v}) AND {v} > 0 THEN log10({v}) END" if grid.log else f"nullif({v}, double('NaN'))")
+    each = ", ".join(f"named_struct('i', {i}, 'v', {v})" for i, v in enumerate(values))
+    rows = df.selectExpr(*[f"`{k}`" for k in by], f"inline(array({each}))").where("v IS NOT NULL")
+    ends = [f"{rule}({v})" for rule in ("min", "max") for v in values]
+    n = len(values)
+    span = df.selectExpr(f"struct(array({', '.join(ends[:n])}) AS lo, array({', '.join(ends[n:])}) AS hi) AS span").select("span")
+    place = F.col("i") + 1
+    of = lambda cells, kind: F.element_at(F.expr(f"array({', '.join('NULL' if c is None else str(c) for c in cells)})").cast(f"array<{kind}>"), place)
+    width, bins = of([g.width for g in grids.values()], "double"), of([g.bins for g in grids.values()], "int")
+    spanned = rows.withColumn("span", span.scalar())
+    placed = spanned.select(*by, "i", "v", F.element_at("span.lo", place).alias("lo"), F.element_at("span.hi", place).alias("hi"), width.alias("w"), bins.alias("b"))
+    size = F.coalesce("w", F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / F.col("b")).otherwise(1.0))
+    count = F.coalesce("b", F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo")) / F.col("w"))))
+    binned = placed.withColumns({"size": size, "bin": F.least(count - 1, F.floor((F.col("v") - F.col("lo")) / size)).cast("int")})
+    counted = binned.groupBy(*by, "i", "bin").agg(F.count(F.lit(1)).alias("n"), F.first("lo").alias("lo"), F.first("size").alias("size"))
+    edge = F.col("lo") + F.col("bin") * F.col("size")
+    left = F.when(of([g.log for g in grids.values()], "boolean"), F.pow(F.lit(10.0), edge)).otherwise(edge)
+    name = F.element_at(F.array(*[F.lit(c) for c in grids]), place)
+    return counted.select(name.alias("feature"), *by, "bin", left.alias("left_edge"), "n")
+
+
 def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float], by: Sequence[str] = (), **scale) -> DataFrame:
     """Linearly interpolated quantiles, one column q0, q1, ... per share.
 
@@ -244,12 +285,6 @@ def busy_sensor_series(pulses: DataFrame, more_than: int, order_by: Sequence[str
     return pulses.join(busy, keys, "inner").select(*keys, "n_pulses", *order_by, "charge")
 
 
-def previous_value(df: DataFrame, column: str, within: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Difference to the row before, within bounded groups such as shards."""
-    spec = Window.partitionBy(*within).orderBy(*order_by)
-    return df.withColumn("step", F.col(column) - F.lag(column).over(spec))
-
-
 def busy_sensors_per_event(pulses: DataFrame, more_than: int) -> DataFrame:
     """Number of sensors above a pulse count, per event that has any."""
     per_sensor = pulses.groupBy("event_no", "string", "dom_number").agg(F.expr("count(*) AS n_pulses"))

@@ -12,6 +12,7 @@ from pulsegrid.functions import ids, scaling
 from pulsegrid.operators import blend, detector, quality, select, shape, stats, summary
 from pulsegrid.operators import truth as labels
 from pulsegrid.plans import fixtures as fx
+from pulsegrid.runtime import pin
 from pulsegrid.schema import SIDE_TABLES, SummaryMode
 from pulsegrid.sources import files
 
@@ -516,6 +517,15 @@ def feature_histograms_by_flavour(spark, sf_dir):
     return _bins(stats.histogram(_by_flavour(spark, sf_dir), "hypotenuse", width=50, by=["flavour"]))
 
 
+SHAPE_GRIDS = {c: stats.Bins(bins=50) for c in _SHAPE17 if c not in ("outer_mass_fraction", "normalised_weighted_distance")}
+
+
+@query
+def shape_histograms_by_flavour(spark, sf_dir):
+    """Every shape feature with one right answer, per class, in one pass."""
+    return _bins(stats.histograms(pin(_by_flavour(spark, sf_dir)), SHAPE_GRIDS, ["flavour"]))
+
+
 @query
 def cluster_scores(spark, sf_dir):
     return shape.cluster_scores(_string_charges(spark, sf_dir))
@@ -657,6 +667,31 @@ def hist_time_spread(spark, sf_dir):
     return _bins(stats.histogram(_sensors(spark, sf_dir), "sigmaT", width=10))
 
 
+# Widths of the bins of measured and of normalised features.
+MEASURED_WIDTHS = {"xy": 50, "z": 50, "q": 5, "Q": 100, "t": 100, "T": 100}
+NORMALISED_WIDTH = 0.1
+# End of fixed values.
+MEASURED_GRIDS = {
+    **{c: stats.Bins(MEASURED_WIDTHS["z" if "_z" in c else "xy"]) for c in _PLACE},
+    **{c: stats.Bins(MEASURED_WIDTHS[c[0]]) for c in _Q + _T[:-1]},
+    "sigmaT": stats.Bins(MEASURED_WIDTHS["T"]),
+}
+NORMALISED_GRIDS = {c: stats.Bins(NORMALISED_WIDTH) for c in MEASURED_GRIDS if c not in ("q4", "q5", "t4", "t5")}
+
+
+@query
+def all_feature_histograms(spark, sf_dir):
+    """Positions, charges and times of the sensor summary: 22 histograms in two reads."""
+    rows = _summary_view(summary.dom_summary(fx.pulses(spark, sf_dir))).select(*MEASURED_GRIDS)
+    return _bins(stats.histograms(pin(rows), MEASURED_GRIDS))
+
+
+@query
+def all_normalised_histograms(spark, sf_dir):
+    rows = _all_but_keys(scaling.pseudo_normalised(_plain_summary(spark, sf_dir)))
+    return _bins(stats.histograms(pin(rows), NORMALISED_GRIDS))
+
+
 @query
 def hist_zenith(spark, sf_dir):
     return _bins(stats.histogram(fx.truth(spark, sf_dir), "zenith", bins=50))

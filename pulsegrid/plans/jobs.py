@@ -144,8 +144,7 @@ def feature_datasets(
         rows = spark.read.parquet(f"{target}/features")
         names = [c for c in rows.columns if c not in ("event_no", "flavour")]
         stats.describe_columns(rows, names, ["flavour"]).write.mode("overwrite").parquet(f"{target}/statistics")
-        counted = [stats.histogram(rows, n, bins=bins, by=["flavour"]).withColumn("feature", F.lit(n)) for n in names]
-        reduce(DataFrame.unionByName, counted).write.mode("overwrite").parquet(f"{target}/histograms")
+        stats.histograms(rows, {n: stats.Bins(bins=bins) for n in names}, ["flavour"]).write.mode("overwrite").parquet(f"{target}/histograms")
 
 
 def blend_datasets(

@@ -624,6 +624,20 @@ b AS (SELECT {lead}lo, {size} AS size, CAST(least({count} - 1, floor((v - lo) /
 SELECT {lead}bin, round({left}, 4) AS left_edge, count(*) AS n FROM b GROUP BY ALL"""
 
 
+def _hists(fixture: str, rows: str, grids: dict[str, tuple], by="") -> str:
+    """One histogram after another; each grid is (width, bins)."""
+    lead = f"{by}, " if by else ""
+    parts = []
+    for name, (width, bins) in grids.items():
+        size = f"CAST({width} AS DOUBLE)" if width else f"(CASE WHEN hi > lo THEN (hi - lo) / {bins} ELSE 1 END)"
+        count = f"greatest(1, ceil((hi - lo) / {width}))" if width else str(bins)
+        parts.append(f"""SELECT '{name}' AS feature, {lead}bin, round(lo + bin * size, 4) AS left_edge, count(*) AS n FROM (
+  SELECT {lead}lo, {size} AS size, CAST(least({count} - 1, floor((v - lo) / {size})) AS INTEGER) AS bin
+  FROM (SELECT {lead}CAST({name} AS DOUBLE) AS v FROM {rows} WHERE {name} IS NOT NULL),
+       (SELECT min(CAST({name} AS DOUBLE)) AS lo, max(CAST({name} AS DOUBLE)) AS hi FROM {rows})) GROUP BY ALL""")
+    return f"{fixture} " + " UNION ALL ".join(parts)
+
+
 _NDOMS = "nd AS (SELECT event_no, count(DISTINCT string || '-' || dom_number) AS n FROM hits GROUP BY event_no)"
 _PER_DOM = f"pd AS (SELECT {KEYS}, count(*) AS n FROM hits GROUP BY {KEYS})"
 ORACLES["hist_doms_per_event"] = _hist(f"{hits()}, {_NDOMS}", "nd", "n", width=2)
@@ -769,3 +783,20 @@ ORACLES["features_by_flavour"] = (
 )
 ORACLES["feature_histograms_by_flavour"] = _hist(_FLAVOURED, "j", "hypotenuse", width=50, by="flavour")
 ORACLES["first_rows"] = f"WITH {PULSES} SELECT pulse_id, event_no, string, dom_number, CAST(charge AS DOUBLE) AS charge, hlc FROM pulses ORDER BY pulse_id LIMIT 1000"
+
+
+def _grids(grids) -> dict[str, tuple]:
+    return {name: (grid.width, grid.bins) for name, grid in grids.items()}
+
+
+def _histogram_oracles() -> dict[str, str]:
+    from pulsegrid.plans.catalog import MEASURED_GRIDS, NORMALISED_GRIDS, SHAPE_GRIDS
+
+    return {
+        "all_feature_histograms": _hists(f"WITH c AS ({ORACLES['dom_summary_classic']})", "c", _grids(MEASURED_GRIDS)),
+        "all_normalised_histograms": _hists(f"WITH c AS ({ORACLES['pseudo_normalised']})", "c", _grids(NORMALISED_GRIDS)),
+        "shape_histograms_by_flavour": _hists(f"WITH {_FLAVOURED}", "j", _grids(SHAPE_GRIDS), by="flavour"),
+    }
+
+
+ORACLES |= _histogram_oracles()

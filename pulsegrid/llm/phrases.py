@@ -22,6 +22,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,9 +37,10 @@ TOP = 2000
 SCALE = 1_000_000
 
 SKETCH_BITS = 27  # counters of the sketch, as a power of two
+_FULL = np.uint8(15)
 _RANGE_BITS = 21  # of which a task of the second step holds so many at a time
 _SPLITS = 64  # parts of a class ranked on their own first
-_SLICE_BYTES, _SLICE_ROWS = 4 << 20, 1 << 16
+_COUNTED_BYTES, _SENT_BYTES, _SLICE_ROWS = 1 << 20, 2 << 20, 1 << 16
 
 # What ends a piece, and small letters for the ASCII capitals.  0xFF is no part of UTF-8.
 _END = b"\xff"
@@ -80,32 +82,39 @@ def _named(docs: DataFrame, text: str, by: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(f"`{by}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").cast("string").alias("t"))
 
 
-def _each(batches: Iterable[pa.RecordBatch]) -> Iterator[_Grams]:
-    for part in slices(batches, "t", _SLICE_BYTES, _SLICE_ROWS):
+def _each(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[_Grams]:
+    for part in slices(batches, "t", limit, _SLICE_ROWS):
         yield _Grams(part.column("t").to_pylist(), part.column("lang").to_pylist())
 
 
 def frequent_slots(named: DataFrame, least: int) -> np.ndarray:
     """Bits of the slots whose grams together occur at least `least` times; all grams of other slots are rarer than that.
 
-    Every task counts all grams of one to three words in 2^SKETCH_BITS counters, which stop at 255, and sends
+    Every task counts all grams of one to three words in 2^SKETCH_BITS counters of four bits, which stop at 15, and sends
     them compressed in ranges; the sums become one bit per counter.  The bits have a fixed size, whatever the input.
+    Beyond a few grams for each counter more and more bits are set, and less is merged; results stay the same.
     """
     size = 1 << SKETCH_BITS
     width = min(size, 1 << _RANGE_BITS)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = None
-        for grams in _each(batches):
+        for grams in _each(batches, _COUNTED_BYTES):
             if counters is None:
-                counters = np.zeros(size, np.uint8)
+                counters = np.zeros(size // 2, np.uint8)
             first, second, third = grams.hashes
             slots, times = np.unique(np.concatenate([first, second[grams.pair], third[grams.triple]]).astype(np.int32), return_counts=True)
-            counters[slots] = np.minimum(counters[slots] + times, 255).astype(np.uint8)
+            times = np.minimum(times, _FULL).astype(np.uint8)
+            for low in (0, 1):  # two counters share a byte
+                own = (slots & 1) == low
+                at, shift = slots[own] >> 1, np.uint8(4 * low)
+                held = counters[at] >> shift & _FULL
+                counters[at] += np.minimum(held + times[own], _FULL) - held << shift
         if counters is not None:
             pack = zstandard.ZstdCompressor(level=1).compress
             for i in range(size // width):
-                yield pa.RecordBatch.from_pydict({"part": pa.array([i], pa.int32()), "counters": [pack(counters[i * width : (i + 1) * width].tobytes())]})
+                part = counters[i * width // 2 : (i + 1) * width // 2].tobytes()
+                yield pa.RecordBatch.from_pydict({"part": pa.array([i], pa.int32()), "counters": [pack(part)]})
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -114,10 +123,10 @@ def frequent_slots(named: DataFrame, least: int) -> np.ndarray:
             for i, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 mine = np.frombuffer(unpack(raw.as_py()), np.uint8)
                 held = sums.setdefault(i, np.zeros(width, np.uint8))
-                np.minimum(held, 255 - mine, out=held)
-                held += mine
+                for low in (0, 1):
+                    held[low::2] = np.minimum(held[low::2] + (mine >> np.uint8(4 * low) & _FULL), _FULL)
         for i, held in sums.items():
-            yield pa.RecordBatch.from_pydict({"part": pa.array([i], pa.int32()), "bits": [np.packbits(held >= min(least, 255)).tobytes()]})
+            yield pa.RecordBatch.from_pydict({"part": pa.array([i], pa.int32()), "bits": [np.packbits(held >= min(least, _FULL)).tobytes()]})
 
     parts = named.mapInArrow(count, "part int, counters binary").repartition(size // width, "part").mapInArrow(add, "part int, bits binary")
     bits = np.zeros(size // 8, np.uint8)
@@ -138,7 +147,7 @@ def edges(docs: DataFrame, text: str = "text", by: str = "lang", least: int = LE
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = frequent.value
-        for grams in _each(batches):
+        for grams in _each(batches, _SENT_BYTES):
             often = [(bits[h >> 3] >> (7 - (h & 7)).astype(np.uint8) & 1).astype(bool) for h in grams.hashes]
             keep = [often[0]]
             keep.append(keep[0] & grams.pair & often[1])
@@ -151,13 +160,20 @@ def edges(docs: DataFrame, text: str = "text", by: str = "lang", least: int = LE
             start = np.flatnonzero(new)
             if not len(start):
                 continue
-            words = pa.array([*[None if w == _END else w for w in grams.words], None], pa.binary()).cast(pa.string())
+            words = pa.array([*[b"" if w == _END else w for w in grams.words], b""], pa.binary()).cast(pa.string())
             langs = pa.array(list(grams.langs), pa.string())
-            columns = [langs.take(pa.array(rows[start, 0])), *[words.take(pa.array(rows[start, k])) for k in (1, 2, 3)]]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(np.append(start, len(rows))))], names=["lang", "w1", "w2", "w3", "n"])
-
-    counted = named.mapInArrow(run, "lang string, w1 string, w2 string, w3 string, n long")
-    return counted.groupBy("lang", "w1", "w2", "w3").agg(F.sum("n").alias("weight"))
+            gram = pc.binary_join_element_wise(*[words.take(pa.array(rows[start, k])) for k in (1, 2, 3)], " ")
+            key = pc.binary_join_element_wise(langs.take(pa.array(rows[start, 0])), gram, "\n")
+            yield pa.RecordBatch.from_arrays([key, pa.array(np.diff(np.append(start, len(rows))))], names=["key", "n"])
+
+    # Shuffled as one string; no word has a line end or a blank.
+    counted = named.mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("weight"))
+    gram = F.substring_index("key", "\n", -1)
+    words = F.split(gram, " ")
+    return counted.select(
+        F.expr("left(key, length(key) - length(substring_index(key, '\\n', -1)) - 1)").alias("lang"),
+        *[F.nullif(F.get(words, F.lit(k)), F.lit("")).alias(f"w{k + 1}") for k in range(3)], "weight",
+    )
 
 
 def word_counts(counted: DataFrame, least: int) -> DataFrame:

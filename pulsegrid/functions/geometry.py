@@ -125,6 +125,48 @@ def vertex_place(span: str) -> Column:
     return F.expr(bound("s", span, "CASE WHEN s.t_in > 0 THEN 0 WHEN s.t_out >= 0 THEN 1 WHEN s.t_out < 0 THEN 2 END"))
 
 
+# The cases of a line with a vertex, as (number of crossings, place of the vertex among them).
+CROSSING_CASES = (
+    ("NO_INTERSECTION", 0, 0), ("SINGLE_INTERSECTION", 1, 0), ("ENTRY_EXIT_VERTEX", 2, 0), ("ENTRY_VERTEX_EXIT", 2, 1), ("VERTEX_ENTRY_EXIT", 2, 2),
+)
+# End of fixed values.
+TOUCH = 1e-9
+
+
+def face_names() -> list[str]:
+    """Names of the bounding planes in the order of `prism_planes`."""
+    return ["top", "bottom", *[f"side_{i}" for i in range(len(PRISM_XY))]]
+
+
+def face_crossings(pos: tuple[str, str, str], direction: tuple[str, str, str]) -> str:
+    """SQL of array<struct(t, face)>: where the line pos + t * direction meets the surface of the prism, in order of t.
+
+    A plane is crossed where its point lies within all other planes, `TOUCH` metres of tolerance included.  At an edge
+    or corner several faces meet: the first of them stands for the point.  Null without a vertex or direction.
+    """
+    planes = prism_planes()
+    cells = [
+        f"named_struct('t', try_divide({offset!r}D - {_dot(normal, pos)}, {_dot(normal, direction)}), 'face', {i})"
+        for i, (*normal, offset) in enumerate(planes)
+    ]
+    rooms = ", ".join(f"named_struct('room', {offset!r}D - {_dot(normal, pos)}, 'speed', {_dot(normal, direction)})" for *normal, offset in planes)
+    speeds = f"array({rooms})"
+    on = f"forall(planes, p -> p.room - c.t * p.speed >= -{TOUCH}D)"
+    moving = f"abs(planes[c.face].speed) > {PARALLEL}D"
+    found = f"array_sort(filter(array({', '.join(cells)}), c -> c.t IS NOT NULL AND {moving} AND {on}))"
+    # Neighbours in order of t that are one point: the first stays.
+    length = "sqrt(" + " + ".join(f"{d} * {d}" for d in direction) + ")"
+    once = f"filter(crossed, (m, i) -> i = 0 OR (m.t - crossed[i - 1].t) * {length} > {TOUCH}D)"
+    return f"CASE WHEN {length} > 0 THEN {bound('planes', speeds, bound('crossed', found, once))} END"
+
+
+def crossing_case(n: str, t_first: str, t_last: str) -> str:
+    """SQL of the case: how often the line crosses and where the vertex (t = 0) stands among the crossings, counted from the entry."""
+    place = f"CASE WHEN {t_first} > 0 THEN 2 WHEN {t_last} >= 0 THEN 1 ELSE 0 END"
+    whens = " ".join(f"WHEN {n} = {count} AND {'true' if count < 2 else f'({place}) = {order}'} THEN '{name}'" for name, count, order in CROSSING_CASES)
+    return f"CASE {whens} END"
+
+
 def opening_angle(first: tuple[Column, Column, Column], second: tuple[Column, Column, Column]) -> Column:
     """Angle between two unit vectors in degrees; rounding beyond 1 is clamped."""
     dot = first[0] * second[0] + first[1] * second[1] + first[2] * second[2]

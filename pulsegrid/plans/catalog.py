@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import geometry as geo
 from pulsegrid.functions import ids, scaling
-from pulsegrid.operators import blend, detector, quality, select, shape, stats, summary
+from pulsegrid.operators import blend, crossings, detector, quality, select, shape, stats, summary
 from pulsegrid.operators import truth as labels
 from pulsegrid.plans import fixtures as fx
 from pulsegrid.runtime import pin
@@ -212,6 +212,30 @@ def prism_crossings(spark, sf_dir):
     return rows.selectExpr("event_no", "n_intersections", *_round([n for n in points if n != "n_intersections"], 4))
 
 
+def _lines(spark, sf_dir):
+    """Vertices and directions; every 17th event stands on a corner of the prism and looks along no face, so its line only touches."""
+    suffix = "_GNHighestEDaughter"
+    rows = fx.daughter(spark, sf_dir)
+    (ax, ay), (bx, by), (cx, cy) = (geo.PRISM_XY[i] for i in (5, 0, 1))
+    touching = {"pos_x": f"{bx}D", "pos_y": f"{by}D", "pos_z": "double(event_no % 400)", "dir_x": f"{cx - ax!r}D", "dir_y": f"{cy - ay!r}D", "dir_z": "0D"}
+    return rows.selectExpr("event_no", *[f"IF(event_no % 17 = 0, {value}, {name}{suffix}) AS {name}" for name, value in touching.items()])
+
+
+@query
+def prism_face_crossings(spark, sf_dir):
+    """One row per crossed face, with the case of its line."""
+    axes = [tuple(f"{kind}_{a}" for a in "xyz") for kind in ("pos", "dir")]
+    rows = crossings.prism_face_crossings(_lines(spark, sf_dir), *axes)
+    return rows.selectExpr("event_no", "place", "face", *_round(["t", "x", "y", "z"], 4), "n_crossings", "crossing_case", "behind_vertex")
+
+
+@query
+def crossing_case_counts(spark, sf_dir):
+    axes = [tuple(f"{kind}_{a}" for a in "xyz") for kind in ("pos", "dir")]
+    rows = crossings.prism_face_crossings(_lines(spark, sf_dir), *axes)
+    return rows.where("place IS NULL OR place = 1").groupBy("crossing_case").agg(F.count(F.lit(1)).alias("n_events"))
+
+
 @query
 def opening_angle(spark, sf_dir):
     pos, direction = _daughter_vectors()

@@ -800,3 +800,36 @@ def _histogram_oracles() -> dict[str, str]:
 
 
 ORACLES |= _histogram_oracles()
+
+
+def _face_rows() -> str:
+    """Crossings by joining every line with every plane, and a second time for what lies within the others."""
+    from pulsegrid.functions.geometry import CROSSING_CASES, PARALLEL, PRISM_XY, TOUCH, face_names, prism_planes
+
+    (ax, ay), (bx, by), (cx, cy) = (PRISM_XY[i] for i in (5, 0, 1))
+    touching = {"px": repr(bx), "py": repr(by), "pz": "event_no % 400", "dx": repr(cx - ax), "dy": repr(cy - ay), "dz": "0"}
+    cells = ", ".join(f"CASE WHEN event_no % 17 = 0 THEN CAST({v} AS DOUBLE) ELSE {n} END AS {n}" for n, v in touching.items())
+    dot = lambda normal, v: "(" + " + ".join(f"CAST({f!r} AS DOUBLE) * {v}{a}" for f, a in zip(normal, "xyz") if f) + ")"
+    faces = " UNION ALL ".join(
+        f"SELECT event_no, {i} AS i, '{name}' AS face, CAST({offset!r} AS DOUBLE) - {dot(normal, 'p')} AS room, {dot(normal, 'd')} AS speed FROM line"
+        for i, (name, (*normal, offset)) in enumerate(zip(face_names(), prism_planes()))
+    )
+    cases = " ".join(
+        f"WHEN n = {n}" + (f" AND (CASE WHEN t1 > 0 THEN 2 WHEN t2 >= 0 THEN 1 ELSE 0 END) = {order}" if n == 2 else "") + f" THEN '{name}'"
+        for name, n, order in CROSSING_CASES
+    )
+    return f"""{DAUGHTER}, line AS (SELECT event_no, {cells} FROM daughter), plane AS ({faces}),
+hit AS (SELECT event_no, i, face, room / speed AS t FROM plane WHERE abs(speed) > {PARALLEL}),
+surface AS (SELECT h.event_no, h.i, any_value(h.face) AS face, any_value(h.t) AS t FROM hit h JOIN plane o USING (event_no)
+  GROUP BY h.event_no, h.i HAVING min(o.room - h.t * o.speed) >= -{TOUCH}),
+spaced AS (SELECT s.*, l.*, (t - lag(t) OVER (PARTITION BY s.event_no ORDER BY t, i)) * sqrt(dx * dx + dy * dy + dz * dz) AS gap
+  FROM surface s JOIN line l USING (event_no)),
+met AS (SELECT *, row_number() OVER (PARTITION BY event_no ORDER BY t, i) AS place FROM spaced WHERE gap IS NULL OR gap > {TOUCH}),
+of_line AS (SELECT event_no, count(*) AS n, min(t) AS t1, max(t) AS t2 FROM met GROUP BY event_no),
+named AS (SELECT l.*, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 'NO_INTERSECTION' {cases} END AS crossing_case FROM line l LEFT JOIN of_line USING (event_no)),
+crossed AS (SELECT n.event_no, CAST(m.place AS INTEGER) AS place, m.face, round(m.t, 4) AS t, {', '.join(f'round(n.p{a} + m.t * n.d{a}, 4) AS {a}' for a in 'xyz')},
+  CAST(n.n AS INTEGER) AS n_crossings, crossing_case, CAST(m.t > 0 AS INTEGER) AS behind_vertex FROM named n LEFT JOIN met m USING (event_no))"""
+
+
+ORACLES["prism_face_crossings"] = f"WITH {_face_rows()} SELECT * FROM crossed"
+ORACLES["crossing_case_counts"] = f"WITH {_face_rows()} SELECT crossing_case, count(*) AS n_events FROM crossed WHERE place IS NULL OR place = 1 GROUP BY 1"

@@ -223,3 +223,48 @@ def test_sqlite_append_never_replaces(spark, tmp_path):
     con.close()
     left = [p.name for p in tmp_path.glob("*.db") if p.name != "merged_part_3.db"]
     assert sum(read_sqlite(spark, str(tmp_path / n), "Pulses").count() for n in left) == 8
+
+
+def test_crossings_of_known_lines(spark):
+    """Each case of a line with the prism, and the faces it passes."""
+    from pulsegrid.functions.geometry import PRISM_XY, Z_RANGE
+    from pulsegrid.operators.crossings import prism_face_crossings
+
+    (ax, ay), (bx, by), (cx, cy) = (PRISM_XY[i] for i in (5, 0, 1))
+    rows = [
+        (1, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0),  # inside, upwards
+        (2, 0.0, 0.0, -900.0, 0.0, 0.0, 2.0),  # below, upwards
+        (3, 0.0, 0.0, 900.0, 0.0, 0.0, 2.0),  # above, upwards
+        (4, bx, by, 0.0, cx - ax, cy - ay, 0.0),  # touches an upright edge
+        (5, 5000.0, 0.0, 0.0, 0.0, 1.0, 0.0),  # far away
+        (6, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0),  # no direction
+        (7, None, 0.0, 0.0, 0.0, 0.0, 1.0),
+        (8, 0.0, 0.0, Z_RANGE[1], 1.0, 0.0, 0.0),  # within the top face
+    ]
+    frame = spark.createDataFrame(rows, "event_no int, x double, y double, z double, u double, v double, w double")
+    got = {}
+    for r in prism_face_crossings(frame, ("x", "y", "z"), ("u", "v", "w")).collect():
+        got.setdefault(r.event_no, []).append((r.place, r.face, r.crossing_case, r.behind_vertex))
+    got = {k: sorted(v, key=lambda x: x[0] or 0) for k, v in got.items()}
+    assert got[1] == [(1, "bottom", "ENTRY_VERTEX_EXIT", 0), (2, "top", "ENTRY_VERTEX_EXIT", 1)]
+    assert got[2] == [(1, "bottom", "VERTEX_ENTRY_EXIT", 1), (2, "top", "VERTEX_ENTRY_EXIT", 1)]
+    assert got[3] == [(1, "bottom", "ENTRY_EXIT_VERTEX", 0), (2, "top", "ENTRY_EXIT_VERTEX", 0)]
+    assert [(c[0], c[2]) for c in got[4]] == [(1, "SINGLE_INTERSECTION")] and got[4][0][1].startswith("side")
+    assert all(got[k] == [(None, None, "NO_INTERSECTION", None)] for k in (5, 6, 7))
+    assert [c[2] for c in got[8]] == ["ENTRY_VERTEX_EXIT"] * 2
+
+
+def test_many_histograms_equal_single_ones(spark):
+    from pulsegrid.operators import stats
+
+    frame = spark.range(500).selectExpr(
+        "IF(id % 9 = 0, NULL, id * 0.37) AS a", "IF(id % 7 = 0, double('NaN'), pow(1.03, id) - 1) AS b", "5 AS c", "CAST(NULL AS double) AS d", "id % 3 AS k"
+    )
+    grids = {"a": stats.Bins(12.5), "b": stats.Bins(bins=20, log=True), "c": stats.Bins(bins=4), "d": stats.Bins(1)}
+    got = sorted(map(tuple, stats.histograms(frame, grids, ["k"]).collect()))
+    want = []
+    for name, g in grids.items():
+        want += [(name, *r) for r in map(tuple, stats.histogram(frame, name, g.width, g.bins, g.log, ["k"]).collect())]
+    assert got == sorted(want)
+    plan = stats.histograms(frame, grids)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") <= 2

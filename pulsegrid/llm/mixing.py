@@ -20,8 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import unit
-from pulsegrid.operators.scan import broadcast_checked
+from pulsegrid.llm.common import unit, whole_rows
+from pulsegrid.operators.scan import broadcast_checked, running_totals
 from pulsegrid.runtime import pin
 
 # Word pattern, weights in turn, and most copies of a document.
@@ -29,6 +29,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 _KEY_BITS, _BUCKET_BITS = 44, 14
+_NUMBERS = 1 << 12  # equal rows that one row of a frame stands for when they are numbered
 _NAMES = ("size", "source_size", "target", "taken", "copies")
 
 
@@ -81,17 +82,35 @@ def _ranked(measured: DataFrame, classes: DataFrame, rows: int) -> DataFrame:
 
 
 def measured(docs: DataFrame, keep: Sequence[str], doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The columns `keep` with size, length class and random number of each document."""
+    """The columns `keep` with source, size, length class and `_h`, a hash of id and text, of each document."""
     size = words_of(F.col(text))
     kept = [F.col(f"`{c}`") for c in keep if c not in (*_NAMES, "source")]
     return docs.select(
         *kept, F.col(source).alias("source"), size.alias("size"), length_class(size).alias("_class"),
-        unit(F.col(doc_id), F.col(text), seed=3).alias("_u"),
+        F.xxhash64(F.col(doc_id), F.col(text)).alias("_h"),
     )
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """Equal rows once, with their number `_m`."""
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_m"))
+
+
+def numbered(counted: DataFrame, first: Column | None = None) -> DataFrame:
+    """Every row as often as it was counted, with its random number `_u`: equal rows have numbers of their own from
+    `first` (0) on, so that each is drawn for itself.  Many equal rows are dealt out in parts before they are written out."""
+    names = [c for c in counted.columns if c != "_m"]
+    begin = F.lit(0) if first is None else first
+    few = counted.withColumn("_no", F.when(F.col("_m") == 1, begin))
+    parts = few.where("_m > 1").select(*names, "_m", begin.alias("_b"), F.explode(F.expr(f"sequence(0L, (_m - 1) div {_NUMBERS})")).alias("_part"))
+    places = F.sequence(F.col("_part") * _NUMBERS, F.least(F.col("_m"), (F.col("_part") + 1) * _NUMBERS) - 1)
+    many = parts.repartition("_h", "_part").select(*names, F.col("_b"), F.explode(places).alias("_no"))
+    every = few.where("_m = 1").select(*names, "_no").unionByName(many.select(*names, (F.col("_b") + F.col("_no")).alias("_no")))
+    return every.withColumn("_u", unit(F.col("_h"), F.col("_no").cast("long"), seed=3)).drop("_no")
+
+
 def plan_mix(rows: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST_COPIES) -> Mix:
-    """Decide a mix from `measured` rows (best written once)."""
+    """Decide a mix from `numbered` rows."""
     per_class = pin(rows.groupBy("source", "_class").agg(F.sum("size").alias("_words")))
     n = per_class.count()
     sizes = per_class.groupBy("source").agg(F.sum("_words").alias("source_size"))
@@ -135,13 +154,13 @@ def plan_mix(rows: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MO
 
 
 def apply_mix(rows: DataFrame, mix: Mix) -> DataFrame:
-    """`measured` rows with source_size, target, copies and taken (copies times size)."""
+    """`numbered` rows with source_size, target, copies and taken (copies times size)."""
     ranked = _ranked(rows, mix.classes, mix.rows)
     before = (F.col("_key") < F.col("_cut")) | ((F.col("_key") == F.col("_cut")) & (F.col("_u") <= F.col("_cut_u")))
     extra = F.when(F.coalesce(before, F.lit(False)) & (F.col("size") > 0), 1).otherwise(0)
     copies = (F.col("_whole") + extra).cast("int")
     return ranked.withColumn("copies", copies).withColumn("taken", F.col("size") * F.col("copies")).drop(
-        "_class", "_u", "_key", "_whole", "_p", "_cut", "_cut_u"
+        "_class", "_h", "_u", "_key", "_whole", "_p", "_cut", "_cut_u"
     )
 
 
@@ -149,19 +168,30 @@ def mix_report(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int =
     """What a mix takes of each document: doc_id, source, size, source_size, target, copies, taken.
 
     A null text has size 0; a document of size 0 is taken as often as its source
-    gives whole copies, which is no word.  Equal rows (id, text, source) share one
-    random number and so one decision.  Null sources form a source of their own.
+    gives whole copies, which is no word.  Equal rows (id, text, source) are each drawn
+    for themselves.  Null sources form a source of their own.
     Targets add up to all words; without words all are 0.
     """
-    rows = pin(measured(docs, ["doc_id"]))
+    rows = numbered(pin(_counted(measured(docs, ["doc_id"]))))
     return apply_mix(rows, plan_mix(rows, weights, most))
 
 
 def mix_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
-    """The mix itself: the rows of `docs`, each as often as it is taken."""
-    names = docs.columns
-    rows = pin(measured(docs, []))
-    mix = plan_mix(rows, weights, most)
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc"), "doc_id", "text", "source")
-    chosen = apply_mix(measured(whole, ["_doc"]), mix)
+    """The mix itself: the rows of `docs`, each as often as it is taken.
+
+    Texts stay where they are, but for rows of one id, text and source: these meet to be numbered in order of all columns.
+    """
+    counted = pin(_counted(measured(docs, [])))
+    mix = plan_mix(numbered(counted), weights, most)
+    rows = measured(whole_rows(docs, "doc_id", "text", "source"), ["_doc"])
+    repeated = pin(counted.where("_m > 1").select(F.col("_h").alias("_r"), F.col("source").alias("_s")))
+    if repeated.isEmpty():
+        drawn = rows.withColumn("_u", unit(F.col("_h"), F.lit(0).cast("long"), seed=3))
+    else:
+        known = repeated.select("_r").distinct()
+        once = rows.join(known, F.col("_h") == F.col("_r"), "left_anti").withColumn("_u", unit(F.col("_h"), F.lit(0).cast("long"), seed=3))
+        several = _counted(rows.join(known, F.col("_h") == F.col("_r"), "left_semi"))
+        upto = running_totals(several, ["_doc"], {"_upto": F.col("_m")}, ["_h", "source"])
+        drawn = once.unionByName(numbered(upto.withColumn("_from", F.col("_upto") - F.col("_m")).drop("_upto"), F.col("_from")).drop("_from"))
+    chosen = apply_mix(drawn, mix)
     return chosen.where("copies > 0").select("_doc", F.explode(F.sequence(F.lit(1), "copies"))).select("_doc.*")

@@ -78,3 +78,25 @@ def test_mix_itself_matches_the_report(spark):
     copies = {r.doc_id: r.copies for r in mixing.mix_report(table).collect()}
     counts = {r.doc_id: r["count"] for r in mixing.mix_documents(table).groupBy("doc_id").count().collect()}
     assert counts == {k: v for k, v in copies.items() if v}
+
+
+def test_equal_rows_are_drawn_one_by_one(spark, monkeypatch):
+    """A source of one document many times over comes near its target, in the report and in the mix."""
+    monkeypatch.setattr(mixing, "_NUMBERS", 64)
+    rows = [(1, "four words are here", "en", "a", 0)] * 1000 + [(i, "v " * 4, "en", s, 0) for i in range(1000) for s in "bc"]
+    frame = docs(spark, rows)
+    got = mixing.mix_report(frame).collect()
+    check(got, lambda r: r.source, 0.0)
+    taken = sum(r.taken for r in got if r.source == "a")
+    assert abs(taken - next(r.target for r in got if r.source == "a")) <= 4
+    mixed = mixing.mix_documents(frame)
+    assert mixed.where("source = 'a'").count() * 4 == taken
+    other = mixing.mix_documents(frame.repartition(5)).groupBy("source", "doc_id").count().collect()
+    assert sorted(other) == sorted(mixed.groupBy("source", "doc_id").count().collect())
+
+
+def test_rows_of_one_text_with_other_columns(spark):
+    rows = [(1, "same text", lang, "a", n) for lang in ("en", "de") for n in range(50) for _ in range(3)] + [(2, "w " * 900, "en", "b", 0)]
+    frame = docs(spark, rows)
+    copies = sum(r.copies for r in mixing.mix_report(frame).collect() if r.doc_id == 1)
+    assert mixing.mix_documents(frame).where("doc_id = 1").count() == copies

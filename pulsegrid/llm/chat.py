@@ -1,8 +1,9 @@
 """Chat formatting by quotation linking.
 
 A line's quote level is the number of `>` marks it begins with.  Runs of lines of
-one level are quoted passages; each passage and each of its lines is normalised
-(lower case, single blanks) and hashed.  The hashes are joined, within a
+one level are quoted passages; each passage, each of its paragraphs (parts between
+blank quoted lines) and each of its lines is normalised (lower case, single blanks)
+and hashed, so a quote of some paragraphs links however its lines were broken anew.  The hashes are joined, within a
 conversation, to the first message whose own words hold that passage as its whole
 text, as a paragraph or as a line.  A message answers the original found at its
 lowest quote level, the longest match first.  Messages linked by answers form a
@@ -78,7 +79,8 @@ def answers(messages: DataFrame) -> DataFrame:
     runs = passages(lines)
     key = ["conv_id", "turn", "_text"]
     single = lines.select(*key, "level", F.col("body").alias("words"))
-    units = _units(runs, *key, "level").union(_units(single, *key, "level", long_only="yes"))
+    paragraphs = passages(lines.where(normalised(F.col("body")) != ""))
+    units = _units(runs, *key, "level").union(_units(paragraphs, *key, "level")).union(_units(single, *key, "level", long_only="yes"))
     talks = messages.join(quoting.select("conv_id").distinct(), "conv_id", "left_semi")
     found = units.join(_originals(talks), ["conv_id", "hash"]).where(F.col("origin") < F.col("turn"))
     best = found.groupBy(*key).agg(F.max(F.struct((-F.col("level")).alias("l"), "size", "origin")).alias("_best"))

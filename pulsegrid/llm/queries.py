@@ -121,8 +121,15 @@ WITH RECURSIVE quoting AS (
   SELECT *, sum(fresh) OVER (PARTITION BY conv_id, turn, text ORDER BY pos) AS passage FROM edges
 ), runs AS (
   SELECT conv_id, turn, text, passage, level, string_agg(body, ' ' ORDER BY pos) AS words FROM numbered GROUP BY ALL
+), parts AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY conv_id, turn, text ORDER BY pos) AS part FROM (
+    SELECT *, CASE WHEN lag(pos) OVER w = pos - 1 AND lag(level) OVER w = level THEN 0 ELSE 1 END AS fresh
+    FROM quoted WHERE {_norm("body")} <> '' WINDOW w AS (PARTITION BY conv_id, turn, text ORDER BY pos))
+), paragraphs AS (
+  SELECT conv_id, turn, text, part, level, string_agg(body, ' ' ORDER BY pos) AS words FROM parts GROUP BY ALL
 ), units AS (
   SELECT conv_id, turn, text, level, {_norm("words")} AS u FROM runs WHERE length({_norm("words")}) >= 1
+  UNION ALL SELECT conv_id, turn, text, level, {_norm("words")} FROM paragraphs
   UNION ALL SELECT conv_id, turn, text, level, {_norm("body")} FROM quoted WHERE length({_norm("body")}) >= 12
 ), own AS (
   SELECT conv_id, turn, {_own("text")} AS o FROM conversations WHERE conv_id IN (SELECT conv_id FROM quoting)

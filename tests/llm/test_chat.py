@@ -1,3 +1,6 @@
+import random
+import textwrap
+
 import duckdb
 
 from pulsegrid.llm import chat
@@ -59,3 +62,42 @@ def test_against_sql(spark):
     con.register("conversations", conversations)
     assert differences(chat.reply_ordered(frame).toPandas(), con.sql(ORACLES["op2_quotation_linking"]).df()) is None
     assert differences(op2_quotation_linking(spark, SF).toPandas(), duck(SF).sql(ORACLES["op2_quotation_linking"]).df()) is None
+
+
+def test_two_of_three_paragraphs_wrapped_anew(spark):
+    paragraphs = [f"paragraph {n} has a good many words in its only line so that it can be wrapped" for n in ("one", "two", "three")]
+    wrapped = lambda p: "\n".join("> " + x for x in textwrap.wrap(p, 30))
+    rows = [
+        (1, 0, "a", "\n\n".join(paragraphs)),
+        (1, 1, "b", wrapped(paragraphs[0]) + "\n>\n" + wrapped(paragraphs[2]) + "\nSeen."),
+        (1, 2, "c", "\n".join("> " + x for x in (wrapped(paragraphs[1]) + "\n>  \nSeen.").split("\n")) + "\nMe too, and gladly."),
+        (1, 3, "d", wrapped(paragraphs[1]) + "\nYes."),
+    ]
+    got = {r.turn: (r.reply_to, r.thread, r.n_quotes) for r in chat.reply_ordered(spark.createDataFrame(rows, TALK)).collect()}
+    assert got == {0: (None, 0, 0), 1: (0, 0, 1), 2: (1, 0, 2), 3: (0, 0, 1)}
+
+
+def test_generated_talks_against_sql(spark):
+    """Replies that quote some paragraphs of an earlier message, nested, wrapped anew and with blank quoted lines."""
+    draw, rows, linked = random.Random(4), [], 0
+    for talk in range(12):
+        said: list[list[str]] = []
+        for turn in range(25):
+            own = [" ".join(draw.choices(["pack", "tape", "box", "heavy", "well", "Strong", "label", "ship"], k=draw.randrange(3, 25))) for _ in range(draw.randrange(1, 4))]
+            lines: list[str] = []
+            level = 1
+            for _ in range(draw.randrange(3) if said else 0):
+                chosen = draw.sample(draw.choice(said), k=1)
+                for p in chosen:
+                    lines += [">" * level + " " + x for x in textwrap.wrap(p, draw.choice([20, 40, 200]))] + draw.choice([[], [">" * level], [">" * level + " "]])
+                level = draw.choice([1, 1, 2, 3])
+                linked += 1
+            said.append(own)
+            rows.append((talk, turn, "a", "\n".join([*lines, draw.choice(["\n\n", "\n \n"]).join(own)])))
+    frame = spark.createDataFrame(rows, TALK)
+    con = duckdb.connect()
+    conversations = frame.toPandas()
+    con.register("conversations", conversations)
+    ours = chat.reply_ordered(frame).toPandas()
+    assert differences(ours, con.sql(ORACLES["op2_quotation_linking"]).df()) is None
+    assert ours.reply_to.notna().sum() > 100 < linked

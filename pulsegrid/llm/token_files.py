@@ -38,8 +38,8 @@ _LONGEST_KEPT = 64
 _MAGIC = b"PGT1"
 _HEAD = struct.Struct("<4sIIQII")  # magic, crc32 of the rest, documents, ids, size of the vocabulary, lanes
 
-# Probabilities: order 0 in 2^20, mixing weights in 64ths.
-_ORDER0_BITS, _WEIGHT_BITS = 20, 6
+# Probabilities: order 0 in 2^19, mixing weights in 64ths.
+_ORDER0_BITS, _WEIGHT_BITS = 19, 6
 _TOTAL_BITS = _ORDER0_BITS + _WEIGHT_BITS
 _ORDER0, _WEIGHTS = 1 << _ORDER0_BITS, 1 << _WEIGHT_BITS
 _PAIR_BITS = 18  # slots for contexts of two ids
@@ -49,7 +49,7 @@ _STEP, _SUREST = np.int32(1 << 24), np.int32(7 << 24)  # confidences count up to
 _CLASSES = 128  # pairs of confidences, apart and with equal candidates
 _LOW32, _U32, _FIVE = np.uint64(0xFFFFFFFF), np.uint64(32), np.uint64(5)
 _UNIT = np.uint64(_TOTAL_BITS)
-_RELEARN = (4, 16, 64, 160)  # steps before which distribution and weights are renewed
+_RELEARN = (6, 32, 128)  # steps before which distribution and weights are renewed
 
 
 class Model:
@@ -334,7 +334,7 @@ class TextIds(dict):
                     head = self.whole(first)
                 else:
                     raise OtherWhiteSpace
-                return np.frombuffer(b"".join([head, *[self[w] for w in words]]), self.kind)
+                return np.frombuffer(head + b"".join(map(self.__getitem__, words)), self.kind)
             except OtherWhiteSpace:
                 pass
         return np.frombuffer(self.whole(text), self.kind)

@@ -17,7 +17,7 @@ def tokenizer():
 
 
 @pytest.mark.parametrize("n", [1, 2, 255, 256, 257, 700, 20_000])
-@pytest.mark.parametrize("vocabulary", [1, 2, 90, 50_257, 500_000])
+@pytest.mark.parametrize("vocabulary", [1, 2, 90, 50_257, 250_000])
 @pytest.mark.parametrize("kind", ["skewed", "uniform", "constant", "cycle"])
 def test_ids_come_back(n, vocabulary, kind):
     rng = np.random.default_rng(n)

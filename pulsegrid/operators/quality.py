@@ -59,6 +59,59 @@ def range_overlaps(ranges: DataFrame, file: str = "file_name") -> DataFrame:
     )
 
 
+def range_conflicts(ranges: DataFrame, file: str = "file_name") -> DataFrame:
+    """Ranges in order of their start that begin within any earlier one, with the earlier range that reaches farthest.
+
+    A sweep over the starts with the running maximum of the ends, so a long range is met by all that lie behind it, not
+    only by its neighbour.  One row per file or part, so the single window stays as small as the file list.
+    """
+    line = Window.orderBy("first_event", "last_event", file).rowsBetween(Window.unboundedPreceding, -1)
+    far = F.max(F.struct(F.col("last_event").alias("last_event"), F.col(file).alias("name"))).over(line)
+    met = ranges.withColumn("_far", far).where(F.col("_far.last_event") >= F.col("first_event"))
+    overlap = F.least("_far.last_event", "last_event") - F.col("first_event") + 1
+    return met.select(file, F.col("_far.name").alias("earlier"), "first_event", "last_event", overlap.alias("overlap"))
+
+
+def row_hash(df: DataFrame, seed: int = 0) -> Column:
+    """Hash of a row by its columns in order of name; a null counts as a value of its own."""
+    cells = []
+    for name in sorted(df.columns):
+        cells += [F.col(f"`{name}`"), F.isnull(F.col(f"`{name}`"))]
+    return F.xxhash64(*cells, F.lit(seed))
+
+
+def multiset_digest(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per group: rows, sum and exclusive or of the row hashes.
+
+    Does not depend on the order of rows, and repeated rows count; two hashes of 64 bits make equal digests of unequal
+    rows improbable.  Rows stay where they are: only the digests of groups are shuffled.
+    """
+    first = row_hash(df).cast("decimal(20,0)")
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(first).alias("hash_sum"), F.bit_xor(row_hash(df, 1)).alias("hash_xor")
+    )
+
+
+def compare_tables(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per group of either table: rows on both sides, and 1 if they hold the same rows equally often.
+
+    Tables of other columns than each other's are a mistake and raise.
+    """
+    odd = unexpected_columns(right, left.columns)
+    if any(odd.values()):
+        raise ValueError(f"the tables have other columns: {odd}")
+    keys = list(by)
+    a, b = multiset_digest(left, keys), multiset_digest(right.select(left.columns), keys)
+    a = a.select(*[F.col(k).alias(f"_a_{k}") for k in keys], F.struct("n_rows", "hash_sum", "hash_xor").alias("_a"))
+    b = b.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.struct("n_rows", "hash_sum", "hash_xor").alias("_b"))
+    same = F.expr(" AND ".join(f"`_a_{k}` <=> `_b_{k}`" for k in keys))
+    return a.join(b, same, "full").select(
+        *[F.coalesce(f"_a_{k}", f"_b_{k}").alias(k) for k in keys],
+        F.coalesce("_a.n_rows", F.lit(0)).cast("long").alias("n_left"), F.coalesce("_b.n_rows", F.lit(0)).cast("long").alias("n_right"),
+        F.col("_a").eqNullSafe(F.col("_b")).cast("int").alias("equal"),
+    )
+
+
 def offset_drops(truth: DataFrame, order_by: Sequence[str] = ("event_no",), within: Sequence[str] = ("part_no",)) -> DataFrame:
     """Rows where the offset falls or the shard changes: the edges of shards.
 

@@ -871,6 +871,25 @@ def event_range_overlap(spark, sf_dir):
     return quality.range_overlaps(quality.event_ranges(rows))
 
 
+@query
+def event_range_conflicts(spark, sf_dir):
+    """Ranges against all earlier ones; one of them reaches over all the others."""
+    rows = fx.truth(spark, sf_dir).select("event_no", F.expr("IF(event_no % 13 = 0, 'long', concat('run ', event_no div 300))").alias("file_name"))
+    return quality.range_conflicts(quality.event_ranges(rows.where("event_no % 300 < 250")))
+
+
+@query
+def table_comparison(spark, sf_dir):
+    """Orders against orders changed in some parts: a row left out, one repeated, one altered, one emptied."""
+    rows = fx.table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey", "o_orderstatus", "o_orderkey % 16 AS part")
+    change = """CASE WHEN part = 3 AND o_orderkey % 480 = 3 THEN array() WHEN part = 5 AND o_orderkey % 480 = 5 THEN array(0, 0)
+        ELSE array(0) END"""
+    altered = "IF(part = 7 AND o_orderkey % 480 = 7, o_custkey + 1, o_custkey) AS o_custkey"
+    emptied = "IF(part = 9 AND o_orderkey % 480 = 9, NULL, o_orderstatus) AS o_orderstatus"
+    other = rows.selectExpr("part", emptied, altered, "o_orderkey", f"explode({change}) AS one").drop("one")
+    return quality.compare_tables(rows, other, ["part"])
+
+
 @query
 def offset_edges(spark, sf_dir):
     rows = quality.offset_drops(fx.placed(spark, sf_dir))

@@ -833,3 +833,17 @@ crossed AS (SELECT n.event_no, CAST(m.place AS INTEGER) AS place, m.face, round(
 
 ORACLES["prism_face_crossings"] = f"WITH {_face_rows()} SELECT * FROM crossed"
 ORACLES["crossing_case_counts"] = f"WITH {_face_rows()} SELECT crossing_case, count(*) AS n_events FROM crossed WHERE place IS NULL OR place = 1 GROUP BY 1"
+
+ORACLES["event_range_conflicts"] = f"""WITH {TRUTH}, r AS (
+  SELECT CASE WHEN event_no % 13 = 0 THEN 'long' ELSE 'run ' || event_no // 300 END AS file_name, min(event_no) AS first_event, max(event_no) AS last_event
+  FROM truth WHERE event_no % 300 < 250 GROUP BY 1),
+p AS (SELECT b.*, a.file_name AS earlier, a.last_event AS reach, row_number() OVER (PARTITION BY b.file_name ORDER BY a.last_event DESC, a.file_name DESC) AS place
+  FROM r a JOIN r b ON (a.first_event, a.last_event, a.file_name) < (b.first_event, b.last_event, b.file_name) AND a.last_event >= b.first_event)
+SELECT file_name, earlier, first_event, last_event, least(reach, last_event) - first_event + 1 AS overlap FROM p WHERE place = 1"""
+ORACLES["table_comparison"] = """WITH a AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderkey % 16 AS part FROM orders),
+b AS (SELECT o_orderkey, CASE WHEN part = 7 AND o_orderkey % 480 = 7 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey,
+  CASE WHEN part = 9 AND o_orderkey % 480 = 9 THEN NULL ELSE o_orderstatus END AS o_orderstatus, part FROM a WHERE NOT (part = 3 AND o_orderkey % 480 = 3)),
+c AS (FROM b UNION ALL FROM b WHERE part = 5 AND o_orderkey % 480 = 5),
+d AS (SELECT part, count(*) AS n FROM (FROM (FROM a EXCEPT ALL FROM c) UNION ALL FROM (FROM c EXCEPT ALL FROM a)) GROUP BY part)
+SELECT x.part, n_left, n_right, CAST(d.n IS NULL AS INTEGER) AS equal
+FROM (SELECT part, count(*) AS n_left FROM a GROUP BY part) x JOIN (SELECT part, count(*) AS n_right FROM c GROUP BY part) y ON x.part = y.part LEFT JOIN d ON d.part = x.part"""

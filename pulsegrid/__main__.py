@@ -14,6 +14,10 @@ from pulsegrid.schema import SummaryMode
 from pulsegrid.sources import files
 
 
+def numbers(text: str) -> list[int]:
+    return [int(part) for part in text.split(",")]
+
+
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="pulsegrid")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -26,6 +30,7 @@ def arguments() -> argparse.ArgumentParser:
     one.add_argument("--summary-mode", type=int, default=0, choices=[m.value for m in SummaryMode])
     one.add_argument("--stored-order", action="store_true", help="take pulses in the order of the file instead of by time")
     one.add_argument("--geometry", help="CSV of string, dom_number, dom_x, dom_y, dom_z")
+    one.add_argument("--parts", type=numbers, help="only these parts, comma-separated; the others stay as they are")
     two = commands.add_parser("filter", help="keep selected events")
     two.add_argument("source", choices=[SIGNAL, NOISE])
     two.add_argument("subdir")
@@ -36,6 +41,7 @@ def arguments() -> argparse.ArgumentParser:
     two.add_argument("--muon-like", action="store_true")
     two.add_argument("--contained", action="store_true")
     two.add_argument("--min-travel-distance", type=int)
+    two.add_argument("--parts", type=numbers, help="only these parts, comma-separated; the others stay as they are")
     three = commands.add_parser("blend", help="balance and interleave two datasets")
     three.add_argument("source", choices=[SIGNAL, NOISE])
     three.add_argument("low")
@@ -74,9 +80,9 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "summarise":
         geometry = files.read_geometry(spark, args.geometry) if args.geometry else None
         jobs.summarise(spark, args.folder, args.target, args.source, args.subdir, args.events_per_shard,
-                       SummaryMode(args.summary_mode), geometry, ("pulse_id",) if args.stored_order else PULSE_ORDER)
+                       SummaryMode(args.summary_mode), geometry, ("pulse_id",) if args.stored_order else PULSE_ORDER, args.parts)
     elif args.command == "filter":
-        jobs.filter_dataset(spark, args.root, args.target, args.source, args.subdir, selection(spark, args))
+        jobs.filter_dataset(spark, args.root, args.target, args.source, args.subdir, selection(spark, args), args.parts)
     elif args.command == "features":
         geometry = files.read_geometry(spark, args.geometry)
         jobs.feature_datasets(spark, args.root, args.target, args.source, args.subdirs, geometry, args.compact, not args.unbalanced)

@@ -153,10 +153,10 @@ def synopsis(rows: DataFrame, row_id: str, dataset: int | None = None) -> DataFr
     )
 
 
-def file_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet rows with the name of their file and their place in it, from 1."""
-    return spark.read.parquet(path).select(
-        "*", file_name().alias("file_name"), (F.col("_metadata.row_index") + 1).alias("row_id")
+def file_rows(spark: SparkSession, *paths: str) -> DataFrame:
+    """Parquet rows with the name and path of their file and their place in it, from 1."""
+    return spark.read.parquet(*paths).select(
+        "*", file_name().alias("file_name"), F.col("_metadata.file_path").alias("file_path"), (F.col("_metadata.row_index") + 1).alias("row_id")
     )
 
 

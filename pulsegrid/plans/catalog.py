@@ -14,7 +14,7 @@ from pulsegrid.operators import truth as labels
 from pulsegrid.plans import fixtures as fx
 from pulsegrid.runtime import pin
 from pulsegrid.schema import SIDE_TABLES, SummaryMode
-from pulsegrid.sources import files
+from pulsegrid.sources import files, footers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -962,22 +962,51 @@ def listing_validity(spark, sf_dir):
 
 @query
 def job_log_table(spark, sf_dir):
-    """Log lines composed from orders, one log per customer, read back into a table."""
+    """Log lines composed from orders, one log per customer, read back into a table: of repeated lines the last, cells of the first table."""
     price = F.col("o_totalprice")
+    border = F.lit("+-----+-----+")
     rows = fx.table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("log"),
-        F.explode(
+        "o_orderkey",
+        F.posexplode(
             F.array(
                 F.concat(F.lit("Source part file size: "), F.round(price / 1000, 2).cast("string"), F.lit(" GB")),
                 F.concat(F.lit("Elapsed time: "), (F.col("o_orderkey") % 48).cast("string"), F.lit("h 5m 7s")),
                 F.lit("Elapsed time for shard 3: 99h 1m 1s"),
+                F.lit("| Truth File Size | 99999 GB |"),
+                border,
+                F.lit("| Truth Head Size | 77777 GB |"),
+                border,
                 F.concat(F.lit("| Truth File Size | "), F.round(price / 100, 1).cast("string"), F.lit(" MB |")),
+                border,
                 F.lit("Memory: 251.00 GB total, 245.71 GB available"),
             )
-        ).alias("value"),
+        ).alias("line", "value"),
     )
-    out = files.parse_log_lines(rows)
+    out = files.parse_log_lines(rows, order=("o_orderkey", "line"))
     return out.select(
         "log", *_rounded(["source_file_size_GB", "truth_file_size_MB", "memory_total_GB", "memory_available_GB"], 4),
         "elapsed_time_sec", scaling.duration_text(F.col("elapsed_time_sec")).alias("elapsed_time"),
     )
+
+
+# Tables whose footers are audited: key, columns that a dataset should have.
+AUDITED = {
+    "orders": ("o_orderkey", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]),
+    "customer": ("c_custkey", ["c_custkey", "c_name", "c_acctbal", "c_missing"]),
+    "events": ("user_id", ["event_id", "user_id", "ts", "value"]),
+    "documents": ("doc_id", ["doc_id", "text"]),
+}
+
+
+@query
+def footer_audit(spark, sf_dir):
+    """Rows, key range and columns of tables from the footers of their files alone."""
+    found = None
+    for name, (key, expected) in AUDITED.items():
+        rows = footers.footer_audit(spark, f"{sf_dir}/{name}.parquet", key, expected).groupBy(F.lit(name).alias("table_name")).agg(
+            F.sum("n_rows").alias("n_rows"), F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"),
+            F.max("n_columns").cast("long").alias("n_columns"), F.concat_ws(",", F.max("missing")).alias("missing"), F.max(F.size("surplus")).cast("long").alias("n_surplus"),
+        )
+        found = rows if found is None else found.unionByName(rows)
+    return found

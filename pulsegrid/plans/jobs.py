@@ -30,9 +30,10 @@ _MEASURED = ("event_no", "dom_x", "dom_y", "dom_z", "Qtotal")
 SIDE_SOURCES = {"inice": "GNHighestEInIceParticle", "daughter": "GNHighestEDaughter", "weights": "MCWeightDict"}
 
 
-def _table(spark: SparkSession, folder: str, table: str, source: str, subdir: str) -> DataFrame:
-    """Rows of all parts; event numbers made unique over parts before anything is grouped."""
-    rows = read_sqlite(spark, folder, table, row_ids=True)
+def _table(spark: SparkSession, folder: str, table: str, source: str, subdir: str, parts: Sequence[int] | None = None) -> DataFrame:
+    """Rows of all parts, or of those given; event numbers made unique over parts before anything is grouped."""
+    chosen = {} if parts is None else {"parts": ",".join(map(str, parts))}
+    rows = read_sqlite(spark, folder, table, row_ids=True, **chosen)
     number = ids.enhanced_event_no(
         ids.source_tag(source), ids.dataset_tag(F.lit(subdir), source), F.col("part_no"), F.col("event_no")
     )
@@ -55,19 +56,31 @@ def summarise(
     mode: SummaryMode = SummaryMode.CLASSIC,
     geometry: DataFrame | None = None,
     order_by: Sequence[str] = PULSE_ORDER,
+    parts: Sequence[int] | None = None,
 ) -> None:
     """SQLite parts of a dataset -> sensor rows and truth.
 
     Events are numbered and cut into shards once, by their pulses; offsets count the
     sensor rows of all of them, also of events without labels.  Order pulses by
-    `pulse_id` alone to take them as they were stored.
+    `pulse_id` alone to take them as they were stored.  With `parts` only these are
+    read and replaced; nothing is replaced if their events do not all come out.
     """
     with released_pins(spark):
-        _summarise(spark, folder, target, source, subdir, events_per_shard, mode, geometry, order_by)
+        _summarise(spark, folder, target, source, subdir, events_per_shard, mode, geometry, order_by, parts)
 
 
-def _summarise(spark, folder, target, source, subdir, events_per_shard, mode, geometry, order_by) -> None:
-    pulses = _table(spark, folder, resolve_table(folder, PULSE_TABLES), source, subdir).withColumnRenamed("row_id", "pulse_id")
+def _events_missing(placed: DataFrame):
+    """Check of written rows: all placed events, and no others."""
+
+    def check(written: DataFrame) -> str | None:
+        wanted, found = placed.count(), written.select("event_no").distinct().count()
+        return None if wanted == found else f"{found} events instead of {wanted}"
+
+    return check
+
+
+def _summarise(spark, folder, target, source, subdir, events_per_shard, mode, geometry, order_by, parts) -> None:
+    pulses = _table(spark, folder, resolve_table(folder, PULSE_TABLES), source, subdir, parts).withColumnRenamed("row_id", "pulse_id")
     if not {"string", "dom_number"} <= set(pulses.columns):
         if geometry is None:
             raise ValueError("pulses carry no string and dom_number: a geometry table is needed")
@@ -83,32 +96,35 @@ def _summarise(spark, folder, target, source, subdir, events_per_shard, mode, ge
         .join(shards, "event_no")
         .select(*[F.col(n).cast(kinds[n]) if n in kinds and n != "event_no" else F.col(n) for n in names], "part_no", "shard_no")
     )
-    files.write_summary(rows, target, source, subdir)
+    files.write_summary(rows, target, source, subdir, parts, _events_missing(placed))
     doms = files.read_dataset(spark, target, source, subdir, "doms")
+    if parts is not None:
+        doms = doms.where(F.col("part_no").isin(*parts))
 
-    truth = _table(spark, folder, resolve_table(folder, TRUTH_TABLES), source, subdir)
+    truth = _table(spark, folder, resolve_table(folder, TRUTH_TABLES), source, subdir, parts)
     present = set(table_names(source_files(folder)[0]))
     sides = {"labels": truth if set(truth.columns) & set(SIDE_TABLES["labels"]) else None}
     for side, table in SIDE_SOURCES.items():
         if table in present:
-            sides[side] = _suffixed(_table(spark, folder, table, source, subdir), SIDE_TABLES[side])
+            sides[side] = _suffixed(_table(spark, folder, table, source, subdir, parts), SIDE_TABLES[side])
     tag = ids.dataset_tag_number(subdir, source)
     full = labels.assemble_truth(truth, pulses, doms, sides, tag, events_per_shard, placed=placed.drop("original_event_no"))
     originals = truth.select("event_no", "original_event_no")
-    files.write_truth(
-        full.join(originals, "event_no").select("event_no", "original_event_no", *full.columns[1:]), target, source, subdir
-    )
+    whole = full.join(originals, "event_no").select("event_no", "original_event_no", *full.columns[1:])
+    files.write_truth(whole, target, source, subdir, parts)
 
 
 def filter_dataset(
-    spark: SparkSession, root: str, target: str, source: str, subdir: str, selection: select.Selection
+    spark: SparkSession, root: str, target: str, source: str, subdir: str, selection: select.Selection, parts: Sequence[int] | None = None
 ) -> str:
-    """Keep selected events of a dataset; returns the folder named after the filters."""
+    """Keep selected events of a dataset, or of some of its parts, which alone are replaced; returns the folder named after the filters."""
     truth, doms = (files.read_dataset(spark, root, source, subdir, t) for t in ("truth", "doms"))
+    if parts is not None:
+        truth, doms = (t.where(F.col("part_no").isin(*parts)) for t in (truth, doms))
     out = f"{target}/{selection.keyword()}"
-    files.write_truth(selection.truth(truth), out, source, subdir)
-    files.write_summary(selection.doms(truth, doms), out, source, subdir)
-    files.write_receipt(selection.receipt(truth), f"{out}/{source}/{subdir}/receipt")
+    files.write_truth(selection.truth(truth), out, source, subdir, parts)
+    files.write_summary(selection.doms(truth, doms), out, source, subdir, parts)
+    files.write_receipt(selection.receipt(truth), f"{out}/{source}/{subdir}/receipt", parts)
     return out
 
 

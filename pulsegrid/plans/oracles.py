@@ -756,9 +756,10 @@ ORACLES["listing_validity"] = f"""WITH {_LINES}
 SELECT line, CAST(regexp_full_match(split_part(line, ',', 1), '\\d+') AS INTEGER) AS run_ok, CAST(line = trim(line) AS INTEGER) AS stripped,
   CASE WHEN len(string_split(line, ',')) >= 3 THEN split_part(line, ',', 3) END AS third FROM lines"""
 ORACLES["job_log_table"] = """
-SELECT o_custkey AS log, round(max(round(o_totalprice / 1000, 2)), 4) AS source_file_size_GB, round(max(round(o_totalprice / 100, 1)), 4) AS truth_file_size_MB,
-  CAST(251.0 AS DOUBLE) AS memory_total_GB, CAST(245.71 AS DOUBLE) AS memory_available_GB, max(o_orderkey % 48) * 3600 + 307 AS elapsed_time_sec,
-  max(o_orderkey % 48) || 'h 5m 7s' AS elapsed_time FROM orders GROUP BY 1"""
+SELECT o_custkey AS log, round(arg_max(round(o_totalprice / 1000, 2), o_orderkey), 4) AS source_file_size_GB,
+  round(arg_min(round(o_totalprice / 100, 1), o_orderkey), 4) AS truth_file_size_MB,
+  CAST(251.0 AS DOUBLE) AS memory_total_GB, CAST(245.71 AS DOUBLE) AS memory_available_GB,
+  arg_max(o_orderkey % 48, o_orderkey) * 3600 + 307 AS elapsed_time_sec, arg_max(o_orderkey % 48, o_orderkey) || 'h 5m 7s' AS elapsed_time FROM orders GROUP BY 1"""
 
 _CROSSED = "NOT missed AND t_in < t_out"
 _EXACT_VERTEX = LABELLED.replace("CAST(CAST(px AS FLOAT) AS DOUBLE)", "px").replace("CAST(CAST(py AS FLOAT) AS DOUBLE)", "py").replace(
@@ -847,3 +848,18 @@ c AS (FROM b UNION ALL FROM b WHERE part = 5 AND o_orderkey % 480 = 5),
 d AS (SELECT part, count(*) AS n FROM (FROM (FROM a EXCEPT ALL FROM c) UNION ALL FROM (FROM c EXCEPT ALL FROM a)) GROUP BY part)
 SELECT x.part, n_left, n_right, CAST(d.n IS NULL AS INTEGER) AS equal
 FROM (SELECT part, count(*) AS n_left FROM a GROUP BY part) x JOIN (SELECT part, count(*) AS n_right FROM c GROUP BY part) y ON x.part = y.part LEFT JOIN d ON d.part = x.part"""
+
+
+def _audited() -> str:
+    from pulsegrid.plans.catalog import AUDITED
+
+    return " UNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, count(*) AS n_rows, CAST(min({key}) AS BIGINT) AS first_event, CAST(max({key}) AS BIGINT) AS last_event,
+  CAST(len(names) AS BIGINT) AS n_columns, array_to_string(list_sort(list_filter({expected!r}, lambda c: NOT list_contains(names, c))), ',') AS missing,
+  CAST(len(list_filter(names, lambda c: NOT list_contains({expected!r}, c))) AS BIGINT) AS n_surplus
+FROM {t}, (SELECT list(column_name) AS names FROM (DESCRIBE {t})) GROUP BY names"""
+        for t, (key, expected) in AUDITED.items()
+    )
+
+
+ORACLES["footer_audit"] = _audited()

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.schema import GEOMETRY
@@ -20,10 +23,6 @@ def read_clean_ids(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema="RunID bigint, EventID int")
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
-
-
 def listing_fields(lines: DataFrame, least: int, column: str = "value") -> DataFrame:
     """Comma-separated fields of text lines; lines with fewer than `least` are dropped."""
     fields = F.split(F.col(column), ",")
@@ -71,49 +70,67 @@ def is_stripped(column: Column) -> Column:
     return column == F.trim(column)
 
 
+# The wording of the job logs.
+_CLOCK = r"Elapsed time:\s*(\d+)h\s*(\d+)m\s*(\d+)s"
+_SOURCE_SIZE = r"Source part file size:\s*([\d.]+)\s*(GB|MB)"
+_MEMORY = r"Memory:\s*([\d.]+)\s*GB total,\s*([\d.]+)\s*GB available"
+_CELL = r"^\s*\|\s*(.*?)\s*\|\s*(.*?)\s*\|"
+_BORDER = r"^\s*\+.*\+\s*$"
+# End of fixed values.
+
+
 def _size_kb(text: Column) -> Column:
     value = F.regexp_extract(text, r"([\d.]+)\s*(?:KB|MB|GB)", 1).try_cast("double")
     unit = F.regexp_extract(text, r"[\d.]+\s*(KB|MB|GB)", 1)
     return F.when(unit == "GB", value * 1024 * 1024).when(unit == "MB", value * 1024).otherwise(value)
 
 
-def parse_log_lines(lines: DataFrame, log: str = "log", column: str = "value") -> DataFrame:
+def parse_log_lines(lines: DataFrame, log: str = "log", column: str = "value", order: Sequence[str] = ("line",)) -> DataFrame:
     """One row per job log: sizes, memory, elapsed time.
 
-    Works line by line and folds per log, so a long log is never one value.
+    `order` puts the lines of a log in order.  Of repeated lines the last counts.  Table cells count between the second
+    and the third border of a log, that is, in the body of its first table.  Lines of one log meet in one task.
     """
     text = F.col(column)
+    by_line = Window.partitionBy(log).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = lines.select(
+        log, text.alias(column), F.struct(*order).alias("_at"), F.count_if(text.rlike(_BORDER)).over(by_line).alias("_borders")
+    )
 
     def number(pattern: str, group: int = 1) -> Column:
         return F.regexp_extract(text, pattern, group).try_cast("double")
 
-    clock = r"Elapsed time:\s*(\d+)h\s*(\d+)m\s*(\d+)s"
+    def last(value: Column, where: Column | None = None) -> Column:
+        known = value if where is None else F.when(where, value)
+        return F.max_by(known, F.when(known.isNotNull(), F.col("_at")))
+
     whole_job = text.contains("Elapsed time:") & ~text.contains("shard")
-    seconds = number(clock, 1) * 3600 + number(clock, 2) * 60 + number(clock, 3)
-    source = r"Source part file size:\s*([\d.]+)\s*(GB|MB)"
-    source_mb = number(source) * F.when(F.regexp_extract(text, source, 2) == "GB", 1024.0).otherwise(1.0)
-    memory = r"Memory:\s*([\d.]+)\s*GB total,\s*([\d.]+)\s*GB available"
-    cell = r"^\s*\|\s*(.*?)\s*\|\s*(.*?)\s*\|"
-    title, value = F.regexp_extract(text, cell, 1), F.regexp_extract(text, cell, 2)
+    seconds = number(_CLOCK, 1) * 3600 + number(_CLOCK, 2) * 60 + number(_CLOCK, 3)
+    source_mb = number(_SOURCE_SIZE) * F.when(F.regexp_extract(text, _SOURCE_SIZE, 2) == "GB", 1024.0).otherwise(1.0)
+    title, value = F.regexp_extract(text, _CELL, 1), F.regexp_extract(text, _CELL, 2)
+    in_table = (F.col("_borders") == 2) & ~text.rlike(_BORDER)
 
     def sized(prefix: str, suffix: str) -> Column:
-        return F.max(F.when(title.startswith(prefix) & title.endswith(suffix), _size_kb(value)))
+        return last(_size_kb(value), in_table & title.startswith(prefix) & title.endswith(suffix))
 
-    return lines.groupBy(log).agg(
-        (F.max(source_mb) / 1024).alias("source_file_size_GB"),
+    return placed.groupBy(log).agg(
+        (last(source_mb) / 1024).alias("source_file_size_GB"),
         (sized("Total ", " Size") / (1024 * 1024)).alias("total_shard_size_GB"),
         (sized("Avg ", " Shard Size") / 1024).alias("avg_shard_size_MB"),
         (sized("Truth ", " Size") / 1024).alias("truth_file_size_MB"),
-        F.max(F.when(whole_job, seconds)).cast("long").alias("elapsed_time_sec"),
-        F.max(number(memory, 1)).alias("memory_total_GB"),
-        F.max(number(memory, 2)).alias("memory_available_GB"),
+        last(seconds, whole_job).cast("long").alias("elapsed_time_sec"),
+        last(number(_MEMORY, 1)).alias("memory_total_GB"),
+        last(number(_MEMORY, 2)).alias("memory_available_GB"),
     )
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
     """Job logs below a folder; the folder of a log names its dataset."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path).select("value", F.col("_metadata.file_path").alias("log"))
-    return parse_log_lines(lines).withColumn("subdir_no", F.regexp_extract("log", r"/(\d+)/[^/]*$", 1).try_cast("int"))
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
+        "value", F.col("_metadata.file_path").alias("log"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
+    )  # the number rises along a block of a file; blocks come in any order
+    table = parse_log_lines(lines, order=("block", "line"))
+    return table.withColumn("subdir_no", F.regexp_extract("log", r"/(\d+)/[^/]*$", 1).try_cast("int"))
 
 
 def latex_rows(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -121,8 +138,6 @@ def latex_rows(df: DataFrame, columns: list[str]) -> DataFrame:
 
     Meant for report tables of a few rows.
     """
-    from pyspark.sql import Window
-
     line = Window.orderBy(columns[0], columns[1])
     first = F.when(F.lag(columns[0]).over(line) == F.col(columns[0]), "").otherwise(F.col(columns[0]))
     cells = [
@@ -149,33 +164,74 @@ def size_report(spark: SparkSession, path: str, pattern: str = "*.parquet") -> D
     )
 
 
-def write_summary(doms: DataFrame, path: str, source: str, subdir: str) -> None:
-    """Sensor rows as <path>/<source>/<subdir>/doms/part_no=../shard_no=.., events in order."""
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def _write_parts(
+    rows: DataFrame, path: str, keys: Sequence[str], parts: Sequence[int] | None, check: Callable[[DataFrame], str | None] | None
+) -> None:
+    """Write a table partitioned by `keys`, the first of which is part_no.
+
+    Without `parts` the table is replaced.  With them only these parts are: the rows are written beside the table and
+    read back for `check`, which names a fault or returns None; then the folders of the parts are exchanged, and all
+    other files stay untouched.  A part that came out empty goes.  Parts are exchanged one after another, so a reader
+    meanwhile may see some old and some new ones.
+    """
+    writer = rows.write.mode("overwrite").partitionBy(*keys)
+    if parts is None:
+        writer.parquet(path)
+        return
+    spark = rows.sparkSession
+    staged = f"{path}/.staged-{uuid.uuid4().hex}"
+    system, place = _file_system(spark, path)
+    writer.parquet(staged)
+    try:
+        fault = check(spark.read.schema(rows.schema).parquet(staged)) if check else None
+        if fault:
+            raise ValueError(f"{path}: {fault}; nothing was replaced")
+        for part in parts:
+            fresh, old = place(f"{staged}/part_no={part}"), place(f"{path}/part_no={part}")
+            if system.exists(old):
+                system.delete(old, True)
+            if system.exists(fresh):
+                system.rename(fresh, old)
+    finally:
+        system.delete(place(staged), True)
+
+
+def write_summary(
+    doms: DataFrame, path: str, source: str, subdir: str, parts: Sequence[int] | None = None, check: Callable[[DataFrame], str | None] | None = None
+) -> None:
+    """Sensor rows as <path>/<source>/<subdir>/doms/part_no=../shard_no=.., events in order; with `parts` only these are replaced."""
     keys = ["part_no", "shard_no"]
     order = [c for c in ("event_no", "string", "dom_number") if c in doms.columns]
-    (
-        doms.repartitionByRange(*keys, *order)  # a large shard may span several tasks
-        .sortWithinPartitions(*keys, *order)
-        .write.mode("overwrite")
-        .partitionBy(*keys)
-        .parquet(f"{path}/{source}/{subdir}/doms")
-    )
+    rows = doms.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)  # a large shard may span several tasks
+    _write_parts(rows, f"{path}/{source}/{subdir}/doms", keys, parts, check)
 
 
-def write_truth(truth: DataFrame, path: str, source: str, subdir: str) -> None:
-    """Truth rows as <path>/<source>/<subdir>/truth/part_no=.., sorted and split by event."""
-    (
-        truth.repartitionByRange("part_no", "event_no")
-        .sortWithinPartitions("part_no", "event_no")
-        .write.mode("overwrite")
-        .partitionBy("part_no")
-        .parquet(f"{path}/{source}/{subdir}/truth")
-    )
+def write_truth(
+    truth: DataFrame, path: str, source: str, subdir: str, parts: Sequence[int] | None = None, check: Callable[[DataFrame], str | None] | None = None
+) -> None:
+    """Truth rows as <path>/<source>/<subdir>/truth/part_no=.., sorted and split by event; with `parts` only these are replaced."""
+    rows = truth.repartitionByRange("part_no", "event_no").sortWithinPartitions("part_no", "event_no")
+    _write_parts(rows, f"{path}/{source}/{subdir}/truth", ["part_no"], parts, check)
 
 
 def read_dataset(spark: SparkSession, path: str, source: str, subdir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{source}/{subdir}/{table}")
 
 
-def write_receipt(receipt: DataFrame, path: str) -> None:
+def write_receipt(receipt: DataFrame, path: str, parts: Sequence[int] | None = None) -> None:
+    """Receipts as JSON; with `parts` the lines of other parts stay."""
+    if parts is not None:
+        spark = receipt.sparkSession
+        system, place = _file_system(spark, path)
+        if system.exists(place(path)):
+            others = spark.read.schema(receipt.schema).json(path).where(~F.col("part_no").isin(*parts))
+            # one line per part, held here as the folder is replaced
+            receipt = receipt.unionByName(spark.createDataFrame(others.collect(), receipt.schema))
+        receipt = receipt.coalesce(1)
     receipt.write.mode("overwrite").json(path)

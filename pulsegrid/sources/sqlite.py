@@ -46,8 +46,13 @@ def quoted(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
-def source_files(path: str) -> list[str]:
-    return sorted(glob.glob(os.path.join(path, "*.db"))) if os.path.isdir(path) else sorted(glob.glob(path))
+def source_files(path: str, parts: str | None = None) -> list[str]:
+    """Files of a folder or pattern; `parts` (numbers, comma-separated) keeps those whose name ends in one of them."""
+    found = sorted(glob.glob(os.path.join(path, "*.db"))) if os.path.isdir(path) else sorted(glob.glob(path))
+    if not parts:
+        return found
+    wanted = {int(p) for p in parts.split(",")}
+    return [f for f in found if part_of(os.path.basename(f)) in wanted]
 
 
 # The last field of a file name between `_` and the ending.
@@ -88,7 +93,7 @@ class SqliteReader(DataSourceReader):
         # Files are only listed here; tasks open them.
         size = int(self.options.get("bytespertask", BYTES_PER_TASK))
         out = []
-        for file in source_files(self.options["path"]):
+        for file in source_files(self.options["path"], self.options.get("parts")):
             shares = max(1, -(-os.path.getsize(file) // size))
             out += [_Share(file, i, shares) for i in range(shares)]
         return out or [_Share("", 0, 1)]
@@ -190,7 +195,10 @@ class SqliteSource(DataSource):
 
     def schema(self) -> str:
         table = quoted(self.options["table"])
-        with sqlite3.connect(f"file:{source_files(self.options['path'])[0]}?mode=ro", uri=True) as con:
+        files = source_files(self.options["path"], self.options.get("parts"))
+        if not files:
+            raise ValueError(f"no files in {self.options['path']}, parts {self.options.get('parts') or 'all'}")
+        with sqlite3.connect(f"file:{files[0]}?mode=ro", uri=True) as con:
             info = con.execute(f"PRAGMA table_info({table})").fetchall()
         kinds = {name: spark_type(kind) for _, name, kind, *_ in info}
         wanted = [c.strip() for c in self.options["columns"].split(",")] if self.options.get("columns") else list(kinds)

@@ -166,3 +166,47 @@ def test_features_of_two_flavours(spark, root, tmp_path):
         known = {(r.flavour, r.feature): r.n - r.n_missing for r in stats.collect()}
         assert all(known[r.flavour, r.feature] == r.n for r in bars.collect())
     assert spark.read.parquet(str(tmp_path / "full" / "features")).where("stretch_max is null").count() == 0
+
+
+def snapshot(folder):
+    return {p.relative_to(folder).as_posix(): (p.stat().st_mtime_ns, p.stat().st_ino) for p in folder.rglob("*.parquet")}
+
+
+def test_one_part_again(spark, tmp_path):
+    """A part is read, written and exchanged alone; a fault leaves everything as it was."""
+    write_parts(tmp_path / "db")
+    out = tmp_path / "out"
+    for events in (5, 4):
+        args = ["summarise", "Snowstorm", "22012", str(tmp_path / "db"), str(out), "--events-per-shard", str(events), "--stored-order"]
+        if events == 4:
+            before = snapshot(out)
+            con = sqlite3.connect(tmp_path / "db" / "merged_part_2.db")
+            con.execute("DELETE FROM SRTInIcePulses WHERE event_no > 6")
+            con.commit()
+            con.close()
+            args += ["--parts", "2"]
+        main(args)
+    after = snapshot(out)
+    first = lambda files: {k: v for k, v in files.items() if "part_no=1" in k}
+    assert first(before) == first(after) and first(before)
+    assert not any(".staged" in p.as_posix() for p in out.rglob("*"))
+    truth, doms = read(spark, out, "truth"), read(spark, out, "doms")
+    assert {(r.part_no, r.shard_no): r["count"] for r in truth.groupBy("part_no", "shard_no").count().collect()} == {
+        (1, 1): 5, (1, 2): 5, (1, 3): 2, (2, 1): 4, (2, 2): 2}
+    assert quality.slice_audit(truth, doms).where("NOT consistent").count() == 0
+
+    chosen = ["filter", "Snowstorm", "22012", str(out), str(tmp_path / "kept"), "--charged-current"]
+    main(chosen)
+    kept = tmp_path / "kept" / "CC"
+    before = snapshot(kept)
+    main([*chosen, "--parts", "1"])
+    after = snapshot(kept)
+    second = lambda files: {k: v for k, v in files.items() if "part_no=2" in k}
+    assert second(before) == second(after) and second(before) and first(before) != first(after)
+    receipt = spark.read.json(str(kept / "Snowstorm" / "22012" / "receipt"))
+    assert sorted(r.part_no for r in receipt.collect()) == [1, 2]
+
+    before = snapshot(out)
+    with pytest.raises(ValueError, match="nothing was replaced"):
+        files.write_summary(doms.where("event_no % 2 = 0"), str(out), "Snowstorm", "22012", [1], lambda rows: "rows are missing")
+    assert snapshot(out) == before and not any(".staged" in p.as_posix() for p in out.rglob("*"))

@@ -268,3 +268,87 @@ def test_many_histograms_equal_single_ones(spark):
     assert got == sorted(want)
     plan = stats.histograms(frame, grids)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Range (") <= 2
+
+
+def test_log_lines_in_order(spark):
+    """The last of repeated lines counts; cells outside of the first table do not."""
+    lines = [
+        "Source part file size: 9.00 GB", "| Truth File Size | 8 MB |", "+--+--+", "| Truth Title Size | 5 MB |", "+--+--+", "| Truth File Size | 6 MB |",
+        "| Truth Last Size | 4 MB |", "+--+--+", "| Truth File Size | 3 MB |", "Elapsed time: 9h 0m 0s", "Elapsed time: 1h 0m 1s", "+--+--+",
+        "Source part file size: 512.00 MB", "Memory: 9.0 GB total, 8.0 GB available", "Memory: 7.0 GB total, 6.0 GB available",
+    ]
+    frame = spark.createDataFrame([("x", i, v) for i, v in enumerate(lines)] + [("y", 0, "nothing")], "log string, line int, value string").repartition(5)
+    rows = {r.log: r for r in files.parse_log_lines(frame).collect()}
+    x = rows["x"]
+    assert (x.source_file_size_GB, x.truth_file_size_MB, x.elapsed_time_sec, x.memory_total_GB, x.memory_available_GB) == (0.5, 4.0, 3601, 7.0, 6.0)
+    assert set(rows["y"].asDict().values()) == {"y", None}
+
+
+def test_footers_equal_a_full_read(spark, tmp_path):
+    from pulsegrid.sources.footers import footers
+
+    rows = spark.range(1000).selectExpr("IF(id % 10 = 0, NULL, id) AS event_no", "string(id) AS s", "IF(id % 3 = 0, NULL, double(id)) AS v", "array(id) AS a", "id % 4 AS part_no")
+    rows.repartition(3, "part_no").write.partitionBy("part_no").parquet(str(tmp_path / "a b"))
+    spark.createDataFrame([], "event_no long, s string").coalesce(1).write.parquet(str(tmp_path / "none"))
+    got = {r.file_path: r for r in footers(spark, str(tmp_path / "a b"), "event_no", files_per_task=2).collect()}
+    whole = spark.read.parquet(str(tmp_path / "a b")).select("*", F.col("_metadata.file_path").alias("f"))
+    want = whole.groupBy("f").agg(F.count("*").alias("n"), F.min("event_no").alias("a"), F.max("event_no").alias("b"), F.count_if(F.isnull("v")).alias("v"), F.count_if(F.isnull("event_no")).alias("e")).collect()
+    assert len(got) == len(want) == 4
+    for r in want:
+        g = next(g for path, g in got.items() if path.rsplit("/", 1)[1] == r.f.rsplit("/", 1)[1] and path.split("part_no=")[1][0] == r.f.split("part_no=")[1][0])
+        assert (g.n_rows, g.first_key, g.last_key, g.nulls["v"], g.nulls["event_no"]) == (r.n, r.a, r.b, r.v, r.e)
+        assert g.n_columns == 4 and g.columns["s"] == "string"
+    empty = footers(spark, str(tmp_path / "none"), "event_no").collect()
+    assert [(r.n_rows, r.first_key) for r in empty] == [(0, None)]
+
+
+def test_synopsis_opens_new_files_only(spark, tmp_path):
+    from pulsegrid.sources import ledger
+
+    data, target = tmp_path / "data", str(tmp_path / "target")
+    data.mkdir()
+
+    def put(name, events):
+        spark.createDataFrame([(e,) for e in events], "event_no long").coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "new"))
+        part = next((tmp_path / "new").glob("*.parquet"))
+        (data / name).write_bytes(part.read_bytes())
+
+    def rows():
+        return sorted((r.file_path.rsplit("/", 1)[1], r.event_no, r.start_offset, r.end_offset) for r in ledger.read_synopsis(spark, target).collect())
+
+    put("one.parquet", [1, 1, 2])
+    put("two.parquet", [7])
+    assert ledger.update_synopsis(spark, str(data), target) == 2
+    assert rows() == [("one.parquet", 1, 1, 2), ("one.parquet", 2, 3, 3), ("two.parquet", 7, 1, 1)]
+    assert ledger.unfinished(spark, str(data), target).count() == 0
+    assert ledger.update_synopsis(spark, str(data), target) == 0
+    put("three.parquet", [9, 9])
+    put("one.parquet", [5, 6, 6, 6])  # written anew
+    assert ledger.update_synopsis(spark, str(data), target) == 2
+    assert rows() == [("one.parquet", 5, 1, 1), ("one.parquet", 6, 2, 4), ("three.parquet", 9, 1, 2), ("two.parquet", 7, 1, 1)]
+    # Rows of a run that never reached the ledger do not count.
+    stray = spark.createDataFrame([(1, "x/two.parquet", 1, 1, "lost")], "event_no long, file_path string, start_offset long, end_offset long, run string")
+    stray.write.mode("append").parquet(f"{target}/synopsis")
+    assert len(rows()) == 4
+
+
+def test_nested_ranges(spark):
+    from pulsegrid.operators import quality
+
+    ranges = spark.createDataFrame([("a", 1, 1000), ("b", 10, 20), ("c", 30, 40), ("d", 900, 1100), ("e", 1050, 1060), ("f", 2000, 2001)], "file_name string, first_event int, last_event int")
+    got = {r.file_name: (r.earlier, r.overlap) for r in quality.range_conflicts(ranges).collect()}
+    assert got == {"b": ("a", 11), "c": ("a", 11), "d": ("a", 101), "e": ("d", 11)}
+    assert {r.file_name for r in quality.range_overlaps(ranges).collect()} == {"b", "e"}
+
+
+def test_digests_see_multiplicity_and_nulls(spark):
+    from pulsegrid.operators import quality
+
+    rows = [(1, "a", None), (1, "a", None), (1, None, "a"), (2, "b", "c"), (None, "n", "n")]
+    left = spark.createDataFrame(rows, "k int, x string, y string")
+    equal = lambda other: {r.k: (r.n_left, r.n_right, r.equal) for r in quality.compare_tables(left, other, ["k"]).collect()}
+    assert equal(left.repartition(4).select("y", "k", "x")) == {1: (3, 3, 1), 2: (1, 1, 1), None: (1, 1, 1)}
+    other = spark.createDataFrame([(1, "a", None), (1, None, "a"), (1, None, "a"), (3, "b", "c"), (None, "n", "n")], "k int, x string, y string")
+    assert equal(other) == {1: (3, 3, 0), 2: (1, 0, 0), 3: (0, 1, 0), None: (1, 1, 1)}
+    with pytest.raises(ValueError, match="other columns"):
+        quality.compare_tables(left, left.drop("y"), ["k"])

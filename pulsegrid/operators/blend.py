@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.operators.scan import number_by_key, number_rows
 from pulsegrid.operators.truth import shard_offsets
+from pulsegrid.runtime import pin
 
 ENERGY_CUTOFF = 1e5
 EVENTS_PER_PART = 30_000
@@ -18,7 +19,8 @@ ORDER = ("part_no", "event_no")
 
 def interleave(low: DataFrame, high: DataFrame, order_by: Sequence[str] = ORDER, **scale) -> DataFrame:
     """low[0], high[0], low[1], high[1], ... as far as both reach; adds 0-based `position`."""
-    shorter = F.least(*[side.agg(F.count(F.lit(1))).scalar() for side in (low, high)])
+    low, high = (side if getattr(side, "_is_pinned", False) else pin(side) for side in (low, high))
+    shorter = min(low.count(), high.count())
     sides = [
         number_by_key(side, order_by, name="_n", **scale)
         .where(F.col("_n") <= shorter)

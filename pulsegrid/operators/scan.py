@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.runtime import BROADCAST_ROWS, few_rows, pin, shuffle_width
+from pulsegrid.runtime import BROADCAST_ROWS, pin, settled, shuffle_width
 
 _CHUNK = "_chunk"
 _SLOT = "_slot"
@@ -88,7 +88,8 @@ def number_rows(
 
     `order_by` must order the rows of a group totally.
     """
-    if few_rows(df, one_task_rows):
+    df, few = settled(df, one_task_rows)
+    if few:
         return _numbered_in_windows(df, order_by, within, name)
     chunked = sorted_chunks(df, within, order_by, partitions)
     earlier = _earlier_chunks(chunked, within, {"rows": F.lit(1)})
@@ -106,7 +107,8 @@ def number_by_key(
     df: DataFrame, order_by: Sequence[str], within: Sequence[str] = (), name: str = "row_no", one_task_rows: int | None = None, **scale
 ) -> DataFrame:
     """`number_rows` for wide tables whose (within, order_by) is a key: only the key is sorted."""
-    if few_rows(df, one_task_rows):
+    df, few = settled(df, one_task_rows)
+    if few:
         return _numbered_in_windows(df, order_by, within, name)
     keys = [*within, *order_by]
     numbered = number_rows(df.select(*keys), order_by, within, name, 0, **scale)
@@ -124,7 +126,8 @@ def running_totals(
     partitions: int | None = None,
 ) -> DataFrame:
     """Inclusive running sum of each expression in `sums`."""
-    if few_rows(df, one_task_rows):
+    df, few = settled(df, one_task_rows)
+    if few:
         spec = (
             Window.partitionBy(*within)
             .orderBy(*as_columns(order_by))

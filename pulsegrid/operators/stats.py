@@ -9,8 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.operators.scan import number_rows, running_totals
-from pulsegrid.runtime import few_rows
+from pulsegrid.operators.scan import broadcast_checked, number_rows, running_totals
+from pulsegrid.runtime import pin, settled
 
 
 def valid(name: str) -> Column:
@@ -107,7 +107,8 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float], by: Seq
     find the wanted ranks with a distributed running total.
     """
     rows = df.where(valid(column)).select(*by, F.col(column).cast("double").alias("v"))
-    if few_rows(rows, scale.get("one_task_rows")):
+    rows, few = settled(rows, scale.get("one_task_rows"))
+    if few:
         return rows.groupBy(*by).agg(*[F.percentile("v", s).alias(f"q{i}") for i, s in enumerate(shares)])
     counts = rows.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("c"))
     ranked = running_totals(counts, ["v"], {"upto": F.col("c")}, by, **scale)
@@ -133,24 +134,86 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float], by: Seq
     return found.select(*by, *out)
 
 
-def describe_columns(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), sample_std: bool = False, **scale) -> DataFrame:
-    """Per feature (and class): N, missing, max, min, mean, median and standard deviation."""
+def column_quantiles(
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float], by: Sequence[str] = (), one_task_rows: int | None = None
+) -> DataFrame:
+    """`by`, feature and linearly interpolated quantiles q0, q1, ... of many columns, exactly; a column without values has no row.
+
+    For few classes: small tables take the built-in percentile in one aggregation.  Larger ones are not sorted: the two values
+    around each quantile are closed in by ranges, of all columns together, in four reads of the written columns.  The first
+    counts values by sign, power of two and 32nd of it, the next two count 2^16 even parts of the range that holds the
+    rank, and the last counts the distinct values left, no more than 2^16 of double precision.
+    """
+    rows = df.select(*[F.col(f"`{k}`") for k in by], *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    rows, few = settled(rows if one_task_rows != 0 else pin(rows), one_task_rows)
+    names = ", ".join(f"'{c}'" for c in columns)
+    if few:
+        cells = [F.percentile(F.nanvl(F.col(f"`{c}`"), F.lit(None)), float(s)).alias(f"_{i}_{j}") for i, c in enumerate(columns) for j, s in enumerate(shares)]
+        wide = rows.groupBy(*by).agg(*cells)
+        each = ", ".join(f"struct('{c}' AS feature, " + ", ".join(f"_{i}_{j} AS q{j}" for j in range(len(shares))) + ")" for i, c in enumerate(columns))
+        return wide.selectExpr(*[f"`{k}`" for k in by], f"inline(array({each}))").where("q0 IS NOT NULL")
+
+    pairs = ", ".join(f"struct({i} AS f, nullif(`{c}`, double('NaN')) AS v)" for i, c in enumerate(columns))
+    long = rows.selectExpr(*[f"`{k}`" for k in by], f"inline(array({pairs}))").where("v IS NOT NULL")
+    keys = [*by, "f"]
+    power = "CASE WHEN v = 0 THEN 0 ELSE floor(log2(abs(v))) END"
+    first = long.withColumns({"_sign": F.signum("v"), "_power": F.expr(power)})
+    first = first.withColumn("_part", F.floor(F.abs("v") * F.pow(F.lit(2.0), -F.col("_power")) * 32))
+    counts = first.groupBy(*keys, "_sign", "_power", "_part")
+    ranges = pin(counts.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("c")))
+    totals = ranges.groupBy(*keys).agg(F.sum("c").alias("n"))
+    at = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.lit(float(s)).alias("share")) for j, s in enumerate(shares)]))
+    wanted = totals.select(*keys, "n", at.alias("t")).select(*keys, "t.j", (F.col("t.share") * (F.col("n") - 1)).alias("at"))
+    ends = F.explode(F.array(F.struct(F.lit(0).alias("end"), F.floor("at").alias("rank")), F.struct(F.lit(1).alias("end"), F.ceil("at").alias("rank"))))
+    wanted = pin(wanted.select(*keys, "j", "at", ends.alias("e")).select(*keys, "j", "at", "e.end", "e.rank"))
+
+    def meets(counted: DataFrame) -> DataFrame:
+        """The range of each wanted rank, with the rank counted from its start; `counted` has few rows for each class and column."""
+        before = Window.partitionBy(*keys, "j", "end").orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
+        below = counted.withColumn("_below", F.coalesce(F.sum("c").over(before), F.lit(0)))
+        here = (F.col("rank") >= F.col("_below")) & (F.col("rank") < F.col("_below") + F.col("c"))
+        return below.where(here).select(*keys, "j", "at", "end", (F.col("rank") - F.col("_below")).alias("rank"), "lo", "hi")
+
+    def matched(a: DataFrame, b: DataFrame) -> DataFrame:
+        other = b.withColumnsRenamed({k: f"_o_{k}" for k in keys})
+        return a.join(other, F.expr(" AND ".join(f"`{k}` <=> `_o_{k}`" for k in keys))).drop(*[f"_o_{k}" for k in keys])
+
+    found = pin(meets(matched(ranges, wanted)))
+    for last in (False, False, True):
+        # Two rows for each share, column and class.
+        spans = broadcast_checked(found.withColumnsRenamed({"lo": "_lo", "hi": "_hi"}), found.count())
+        inside = matched(long, spans).where("v BETWEEN _lo AND _hi")
+        # A range of one value needs no parts.
+        place = F.when(F.col("_hi") > F.col("_lo"), F.floor((F.col("v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * 65536)).otherwise(0)
+        part = F.col("v") if last else place
+        counted = inside.groupBy(*keys, "j", "at", "end", "rank", part.alias("_part")).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("c"))
+        found = pin(meets(counted))
+    value = lambda end: F.max(F.when(F.col("end") == end, F.col("lo")))
+    both = found.groupBy(*keys, "j", "at").agg(value(0).alias("a"), value(1).alias("b"))
+    q = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * (F.col("at") - F.floor("at")))
+    wide = both.withColumn("q", q).groupBy(*keys).agg(*[F.max(F.when(F.col("j") == j, F.col("q"))).alias(f"q{j}") for j in range(len(shares))])
+    return wide.select(*by, F.element_at(F.expr(f"array({names})"), F.col("f") + 1).alias("feature"), *[f"q{j}" for j in range(len(shares))])
+
+
+def describe_columns(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), sample_std: bool = False, one_task_rows: int | None = None) -> DataFrame:
+    """Per feature (and class): N, missing, max, min, mean, standard deviation and median.  The columns are written once and read from there."""
     spread = "stddev_samp" if sample_std else "stddev_pop"
     names = ["n", "n_missing", "max", "min", "mean", "std"]
+    rows = pin(df.select(*by, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns]))
     cells = []
     for i, c in enumerate(columns):
-        ok = f"nullif(double(`{c}`), double('NaN'))"
+        ok = f"nullif(`{c}`, double('NaN'))"
         whole = ("count(*)", f"count(*) - count({ok})", f"max({ok})", f"min({ok})", f"avg({ok})", f"{spread}({ok})")
         cells += [F.expr(f"{rule} AS {name}_{i}") for name, rule in zip(names, whole)]
     # All features in one aggregation; the few results are then turned into rows.
-    wide = df.groupBy(*by).agg(*cells)
-    rows = ", ".join(f"'{c}', " + ", ".join(f"{name}_{i}" for name in names) for i, c in enumerate(columns))
-    basic = wide.selectExpr(*by, f"stack({len(columns)}, {rows}) AS (feature, {', '.join(names)})")
-    values = ", ".join(f"struct('{c}' AS feature, double(`{c}`) AS v)" for c in columns)
-    long = df.selectExpr(*by, f"inline(array({values}))")
+    wide = rows.groupBy(*by).agg(*cells)
+    each = ", ".join(f"'{c}', " + ", ".join(f"{name}_{i}" for name in names) for i, c in enumerate(columns))
+    basic = wide.selectExpr(*by, f"stack({len(columns)}, {each}) AS (feature, {', '.join(names)})")
+    median = column_quantiles(rows, columns, [0.5], by, one_task_rows).withColumnRenamed("q0", "median")
     keys = [*by, "feature"]
-    median = exact_quantiles(long, "v", [0.5], keys, **scale).withColumnRenamed("q0", "median")
-    return basic.join(median, keys, "left")
+    named = median.withColumnsRenamed({k: f"_m_{k}" for k in keys})
+    same = F.expr(" AND ".join(f"`{k}` <=> `_m_{k}`" for k in keys))
+    return basic.join(named, same, "left").select(*keys, *names, "median")
 
 
 def five_numbers(df: DataFrame, column: str, by: Sequence[str] = (), **scale) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.operators import scan
 from pulsegrid.operators.shape import second_round_features
-from pulsegrid.runtime import few_rows, pin
+from pulsegrid.runtime import pin
 from pulsegrid.schema import FIRST_K, NOT_ENOUGH_PULSES, SENSOR_KEYS, SummaryMode
 
 PULSE_ORDER = ("dom_time", "pulse_id")
@@ -189,8 +189,9 @@ def _sensor_features(
         # One exchange: windows, grouping and event means all lie within an event.
         return fold(rows.repartition("event_no"))
 
-    # No event can hold more than all rows do.
-    if few_rows(pulses, hot_rows if one_task_rows is None else one_task_rows):
+    # No event can hold more than all rows do; pulses as they are read are counted from footers.
+    limit = hot_rows if one_task_rows is None else one_task_rows
+    if limit and pulses.count() <= limit:
         return by_event(pulses)
     hot_events = pin(scan.hot_groups(pulses, ["event_no"], hot_rows, sample_fraction))
     n_events = hot_events.count()

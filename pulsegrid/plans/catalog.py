@@ -327,7 +327,7 @@ def busy_events(spark, sf_dir):
 
 # ----------------------------------------------------------------------- blending
 def _blended(spark, sf_dir):
-    rows = fx.placed(spark, sf_dir)
+    rows = pin(fx.placed(spark, sf_dir))
     low, high = rows.where(F.col("flavour") == "nu_mu"), rows.where(F.col("flavour") == "nu_e")
     return blend.blend_truth(low, high, 22031, events_per_part=3000, events_per_shard=300)
 

@@ -67,7 +67,9 @@ def pin(df: DataFrame) -> DataFrame:
     path = f"{spark.sparkContext.getCheckpointDir()}/pinned-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _PINNED.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._is_pinned = True
+    return written
 
 
 @contextmanager
@@ -90,9 +92,17 @@ def released_pins(spark: SparkSession) -> Iterator[None]:
             _PINNED.remove(name)
 
 
-def few_rows(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether one task may hold all of `df`, by its counted rows (of a file scan: from the footers)."""
-    return limit != 0 and df.count() <= (ONE_TASK_ROWS if limit is None else limit)
+def settled(df: DataFrame, limit: int | None = None) -> tuple[DataFrame, bool]:
+    """(the frame, whether one task may hold all of it).
+
+    The frame is written first, unless it was, and counted from the footers of what is written; so its plan runs once for
+    the count and the result together.  With a limit of 0 nothing is written or counted.
+    """
+    if limit == 0:
+        return df, False
+    if not getattr(df, "_is_pinned", False):
+        df = pin(df)
+    return df, df.count() <= (ONE_TASK_ROWS if limit is None else limit)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -66,9 +66,13 @@ def test_null_keys_and_values_either_way(spark, within):
 
 
 def test_counted_size(spark):
-    from pulsegrid.runtime import few_rows
+    from pulsegrid.runtime import settled
+
+    small, few = settled(spark.range(5), 5)
+    assert few and small._is_pinned and settled(small, 4) == (small, False)
+    frame = spark.range(6)
+    assert settled(frame, 0) == (frame, False)
 
-    assert few_rows(spark.range(5), 5) and not few_rows(spark.range(6), 5)
 
 
 def test_hot_groups_and_split(rows):
@@ -128,3 +132,54 @@ def test_balanced_classes(spark, scale):
     df = spark.createDataFrame([(i, "a" if i < 9 else "b" if i < 12 else "c") for i in range(30)], "event_no int, flavour string")
     got = blend.balance_classes(df, **scale).groupBy("flavour").count().collect()
     assert {r.flavour: r["count"] for r in got} == {"a": 3, "b": 3, "c": 3}
+
+
+class Jobs:
+    """Rows that leaves of executed plans gave since it was made: how often an input was read."""
+
+    def __init__(self, spark):
+        self.seen = spark.sparkContext.accumulator(0)
+
+    def watched(self, df):
+        seen = self.seen
+
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(count, df.schema)
+
+
+def test_inputs_are_read_once(spark):
+    """Counting what is written takes the place of running a plan for its count."""
+    from pulsegrid.operators import blend
+    from pulsegrid.operators import truth as labels
+
+    rows = spark.range(4000).selectExpr("int(id % 2 + 1) AS part_no", "int(id div 4) AS event_no", "int(id % 3) AS string", "1 AS dom_number")
+    jobs = Jobs(spark)
+    labels.place_events(jobs.watched(rows), 50).write.format("noop").mode("overwrite").save()
+    assert jobs.seen.value == 4000
+    sides = [spark.range(300).selectExpr("1 AS part_no", "id AS event_no"), spark.range(500).selectExpr("1 AS part_no", "id AS event_no")]
+    jobs = Jobs(spark)
+    mixed = blend.interleave(*[jobs.watched(s) for s in sides])
+    assert mixed.count() == 600 and jobs.seen.value == 800
+    jobs = Jobs(spark)
+    stats.describe_columns(jobs.watched(rows), ["part_no", "event_no"]).collect()
+    assert jobs.seen.value == 4000
+
+
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_quantiles_of_many_columns(spark, by):
+    """Ranges closed in give what the built-in percentile gives, in four reads of what is written."""
+    frame = spark.range(3000).selectExpr(
+        "IF(id % 5 = 0, NULL, 'k') AS k", "int(id % 7) AS few", "CASE WHEN id % 11 = 0 THEN NULL WHEN id % 13 = 0 THEN double('NaN') ELSE (id - 1500) * 1.0000001e-7 END AS fine",
+        "IF(id % 2 = 0, -1, 1) * pow(10D, (id % 600) - 300) AS wide", "CAST(NULL AS double) AS none", "1e15 + id * 0.125 AS close",
+        "CASE WHEN id < 3 THEN double('Infinity') WHEN id < 5 THEN double('-Infinity') ELSE 0 END AS ends",
+    )
+    columns, shares = ["few", "fine", "wide", "none", "close", "ends"], [0.0, 0.157, 0.5, 0.843, 0.9999, 1.0]
+    rows = lambda limit: {(r["k"] if by else 0, r.feature): [r[f"q{j}"] for j in range(len(shares))] for r in stats.column_quantiles(frame, columns, shares, by, limit).collect()}
+    large, small = rows(0), rows(None)
+    assert large.keys() == small.keys() and len(small) == 5 * (2 if by else 1)
+    for key, want in small.items():
+        assert large[key] == pytest.approx(want, rel=1e-15, abs=0), key

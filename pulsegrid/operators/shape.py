@@ -240,6 +240,32 @@ def adjusted(doms: DataFrame, q_cut: float | None = -1.0) -> DataFrame:
     return rows if q_cut is None else rows.where(F.col("Qtotal") > q_cut)
 
 
+EVENT_STATISTICS = [
+    f"{name}_{rule}"
+    for name, rules in (
+        ("raw_Qtotal", ("max", "mean", "median")), ("raw_t1", ("max", "min", "mean", "median")),
+        ("adjusted_Qtotal", ("max", "mean", "median")), ("kept_t1", ("max", "min", "mean", "median")),
+    )
+    for rule in rules
+]
+
+
+def event_statistics(doms: DataFrame, q_cut: float = -1.0) -> DataFrame:
+    """Per event: sensors, those whose adjusted charge is above the cut, and statistics of charge and first time, of all
+    sensors as measured and of the kept ones adjusted.  One aggregation; an event has at most as many values as sensors."""
+    adjusted_q = adjusted_charge(F.col("Qtotal"))
+    kept = adjusted_q > q_cut
+    cells = {
+        "raw_Qtotal": F.col("Qtotal").cast("double"), "raw_t1": F.col("t1").cast("double"),
+        "adjusted_Qtotal": F.when(kept, adjusted_q), "kept_t1": F.when(kept, F.col("t1").cast("double")),
+    }
+    rules = {"max": F.max, "min": F.min, "mean": F.avg, "median": lambda c: F.percentile(c, 0.5)}
+    split = [name.rsplit("_", 1) for name in EVENT_STATISTICS]
+    return doms.groupBy("event_no").agg(
+        F.count(F.lit(1)).alias("n_doms"), F.count_if(kept).alias("n_kept"), *[rules[rule](cells[name]).alias(f"{name}_{rule}") for name, rule in split]
+    )
+
+
 def event_shapes(doms: DataFrame, q_cut: float | None, outline_of_cut: bool = False, clusters: bool = True) -> DataFrame:
     """Raw shape columns per event in one pass over the sensor rows.
 

@@ -348,6 +348,35 @@ def busy_sensor_series(pulses: DataFrame, more_than: int, order_by: Sequence[str
     return pulses.join(busy, keys, "inner").select(*keys, "n_pulses", *order_by, "charge")
 
 
+def busy_sensor_summary(pulses: DataFrame, more_than: int, stored: str = "pulse_id") -> DataFrame:
+    """Statistics of the (event, sensor) groups with more than so many pulses.
+
+    n_pulses; largest, least, median and mean charge and time; T10 and T50 with the pulses in order of time, Q25 and Q75
+    counted from the pulse that was stored first; sigmaT.  Pulses of other sensors are left out before anything is sorted.
+    """
+    from pulsegrid.operators.summary import sensor_features
+
+    keys = ["event_no", "string", "dom_number"]
+    busy = pin(pulses.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > more_than).select(*keys))
+    chosen = pulses.join(broadcast_checked(busy, busy.count()), keys, "left_semi")
+    spread = [
+        rule(F.col(column).cast("double")).alias(f"{name}_{short}")
+        for column, short in (("charge", "charge"), ("dom_time", "time"))
+        for name, rule in (("max", F.max), ("min", F.min), ("median", lambda c: F.percentile(c, 0.5)), ("mean", F.avg))
+    ]
+    plain = chosen.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_pulses"), *spread)
+    by_time = sensor_features(chosen).select(*keys, "T10", "T50", "sigmaT")
+    as_stored = sensor_features(chosen, order_by=(stored,)).select(*keys, "Q25", "Q75")
+    return plain.join(by_time, keys).join(as_stored, keys)
+
+
+def sensor_pulse_counts(pulses: DataFrame, event_index: int | None = None, more_than: int = 0) -> DataFrame:
+    """Pulses of each sensor (of one event, by its place from 0) that has more than so many."""
+    rows = pulses if event_index is None else nth_event(pulses, event_index)
+    counts = rows.groupBy("event_no", "string", "dom_number").agg(F.count(F.lit(1)).alias("n_pulses"))
+    return counts.where(F.col("n_pulses") > more_than)
+
+
 def busy_sensors_per_event(pulses: DataFrame, more_than: int) -> DataFrame:
     """Number of sensors above a pulse count, per event that has any."""
     per_sensor = pulses.groupBy("event_no", "string", "dom_number").agg(F.expr("count(*) AS n_pulses"))

@@ -161,6 +161,11 @@ def with_enhanced_id(rows: DataFrame, subdirectory_no: int | str, source: str, p
     return rows.select(enhanced.alias("event_no"), F.col("event_no").alias("original_event_no"), *rest)
 
 
+def number_receipt(rows: DataFrame, source_file: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """original_event_no, event_no and source_file of each event, to trace new numbers back."""
+    return rows.select("original_event_no", "event_no", source_file.alias("source_file"), *keep)
+
+
 def doms_by_slice(doms: DataFrame, truth: DataFrame, place: str = "row_in_shard") -> DataFrame:
     """Sensor rows of each event found by their place in the shard, [offset - N_doms, offset).
 

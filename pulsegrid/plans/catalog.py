@@ -84,6 +84,44 @@ def dom_summary_legacy(spark, sf_dir):
     return rows.selectExpr(*_KEYS, "hlc1", "hlc2", "hlc3", *_round([*plain, "dom_x_rel", "dom_y_rel", "dom_z_rel"]))
 
 
+@query
+def summary_list_variant(spark, sf_dir):
+    """The older variant, in which a charge fraction that is never exceeded takes no time; sensors of one string are dark."""
+    dark = fx.pulses(spark, sf_dir).withColumn("charge", F.expr("IF(string = 3, CAST(0 AS DECIMAL(12, 2)), charge)"))
+    return summary.sensor_features(dark, unreached=0.0).selectExpr(*_KEYS, *_round(["Qtotal", "T10", "T50"]))
+
+
+@query
+def busy_sensor_summary(spark, sf_dir):
+    rows = stats.busy_sensor_summary(fx.pulses(spark, sf_dir), 6)
+    return rows.selectExpr(*_KEYS, "n_pulses", *_round([c for c in rows.columns if c not in (*_KEYS, "n_pulses")]))
+
+
+@query
+def hist_pulses_per_dom_of_event(spark, sf_dir):
+    """One event, sensors above a number of pulses."""
+    return _bins(stats.histogram(stats.sensor_pulse_counts(fx.pulses(spark, sf_dir), 42, 2), "n_pulses", width=1))
+
+
+@query
+def hist_busy_pulses_per_dom(spark, sf_dir):
+    return _bins(stats.histogram(stats.sensor_pulse_counts(fx.pulses(spark, sf_dir), more_than=4), "n_pulses", width=5))
+
+
+@query
+def event_number_receipt(spark, sf_dir):
+    """Old and new number of every event, with the file it came from."""
+    rows = labels.with_enhanced_id(fx.truth(spark, sf_dir), "22012", ids.SIGNAL)
+    return labels.number_receipt(rows, F.concat(F.lit("merged_part_"), F.col("part_no").cast("string"), F.lit(".db")))
+
+
+@query
+def charge_and_time_statistics(spark, sf_dir):
+    """Per event: charges and first times of all sensors, and the adjusted ones of those above the cut."""
+    rows = _sensors(spark, sf_dir).select("event_no", "Qtotal", "t1")
+    return shape.event_statistics(rows, q_cut=-0.5).selectExpr("event_no", "n_doms", "n_kept", *_round(shape.EVENT_STATISTICS, 5))
+
+
 @query
 def first_hlc_times(spark, sf_dir):
     return summary.first_hlc_times(fx.pulses(spark, sf_dir)).selectExpr(*_KEYS, *_round(["t1", "t2", "t3"]))

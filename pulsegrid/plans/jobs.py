@@ -112,6 +112,8 @@ def _summarise(spark, folder, target, source, subdir, events_per_shard, mode, ge
     originals = truth.select("event_no", "original_event_no")
     whole = full.join(originals, "event_no").select("event_no", "original_event_no", *full.columns[1:])
     files.write_truth(whole, target, source, subdir, parts)
+    numbers = truth.join(placed.select("event_no"), "event_no", "left_semi").withColumnRenamed("file_name", "source_file")
+    files.write_numbers(labels.number_receipt(numbers, F.col("source_file"), ["part_no"]), target, source, subdir, parts)
 
 
 def filter_dataset(

@@ -863,3 +863,44 @@ FROM {t}, (SELECT list(column_name) AS names FROM (DESCRIBE {t})) GROUP BY names
 
 
 ORACLES["footer_audit"] = _audited()
+
+ORACLES["summary_list_variant"] = f"""WITH {PULSES}, dark AS (SELECT * REPLACE (CASE WHEN string = 3 THEN 0 ELSE charge END AS charge) FROM pulses),
+{_annotated('dark', 'dom_time, pulse_id')}
+SELECT {KEYS}, round(CAST(max(qt) AS DOUBLE), 6) AS Qtotal, {', '.join(f"round({_t_fraction(p).replace('), -1.0) END', '), 0.0) END').replace(f' AS T{p}', '')}, 6) AS T{p}" for p in (10, 50))}
+FROM marked GROUP BY {KEYS}"""
+_STORED = """stored AS (SELECT *, first_value(dom_time) OVER (PARTITION BY event_no, string, dom_number ORDER BY pulse_id) AS ts,
+  count(*) OVER (PARTITION BY event_no, string, dom_number) AS m FROM pulses)"""
+_SPREAD = ", ".join(
+    f"round({rule}(CAST({c} AS DOUBLE){', 0.5' if name == 'median' else ''}), 6) AS {name}_{short}"
+    for c, short in (("charge", "charge"), ("dom_time", "time"))
+    for name, rule in (("max", "max"), ("min", "min"), ("median", "quantile_cont"), ("mean", "avg"))
+)
+ORACLES["busy_sensor_summary"] = f"""{_BASE}, {_STORED},
+a AS (SELECT {KEYS}, {_t_fraction(10)}, {_t_fraction(50)}, stddev_pop(dom_time) AS sigmaT FROM marked WHERE n > 6 GROUP BY {KEYS})
+SELECT {KEYS}, count(*) AS n_pulses, {_SPREAD}, {', '.join(f'round(any_value({t}), 6) AS {t}' for t in ('T10', 'T50', 'sigmaT'))},
+  {', '.join(f'round(CAST(coalesce(sum(charge) FILTER (WHERE dom_time - ts < {w}), 0) AS DOUBLE), 6) AS Q{w}' for w in (25, 75))}
+FROM stored JOIN a USING ({KEYS}) WHERE m > 6 GROUP BY {KEYS}"""
+_COUNTED = "n AS (SELECT {k}, count(*) AS n FROM pulses GROUP BY {k})".format(k=KEYS)
+ORACLES["hist_pulses_per_dom_of_event"] = _hist(
+    f"{PULSES}, {_COUNTED}, e AS (SELECT * FROM n WHERE n > 2 AND event_no = (SELECT event_no FROM (SELECT DISTINCT event_no FROM pulses) ORDER BY 1 LIMIT 1 OFFSET 42))",
+    "e", "n", width=1,
+)
+ORACLES["hist_busy_pulses_per_dom"] = _hist(f"{PULSES}, {_COUNTED}, e AS (SELECT * FROM n WHERE n > 4)", "e", "n", width=5)
+ORACLES["event_number_receipt"] = f"""WITH {TRUTH} SELECT event_no AS original_event_no, CAST(format('112{{:04d}}{{:08d}}', part_no, event_no) AS BIGINT) AS event_no,
+  'merged_part_' || part_no || '.db' AS source_file FROM truth"""
+
+
+def _event_statistics() -> str:
+    from pulsegrid.operators.shape import EVENT_STATISTICS
+
+    values = {"raw_Qtotal": "Qtotal", "raw_t1": "t1", "adjusted_Qtotal": "CASE WHEN a > -0.5 THEN a END", "kept_t1": "CASE WHEN a > -0.5 THEN t1 END"}
+    rules = {"max": "max({})", "min": "min({})", "mean": "avg({})", "median": "quantile_cont({}, 0.5)"}
+    cells = []
+    for name in EVENT_STATISTICS:
+        value, rule = name.rsplit("_", 1)
+        cells.append(f"round({rules[rule].format(values[value])}, 5) AS {name}")
+    return f"""WITH {PULSES}, {_FIRST}, q AS (SELECT event_no, CAST(Qtotal AS DOUBLE) AS Qtotal, t1, log10(greatest(CAST(Qtotal AS DOUBLE), {CHARGE_FLOOR})) - {CHARGE_SHIFT} AS a FROM first)
+SELECT event_no, count(*) AS n_doms, count(*) FILTER (WHERE a > -0.5) AS n_kept, {', '.join(cells)} FROM q GROUP BY event_no"""
+
+
+ORACLES["charge_and_time_statistics"] = _event_statistics()

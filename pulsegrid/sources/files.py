@@ -171,7 +171,7 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def _write_parts(
-    rows: DataFrame, path: str, keys: Sequence[str], parts: Sequence[int] | None, check: Callable[[DataFrame], str | None] | None
+    rows: DataFrame, path: str, keys: Sequence[str], parts: Sequence[int] | None, check: Callable[[DataFrame], str | None] | None, kind: str = "parquet"
 ) -> None:
     """Write a table partitioned by `keys`, the first of which is part_no.
 
@@ -180,16 +180,18 @@ def _write_parts(
     other files stay untouched.  A part that came out empty goes.  Parts are exchanged one after another, so a reader
     meanwhile may see some old and some new ones.
     """
-    writer = rows.write.mode("overwrite").partitionBy(*keys)
+    writer = rows.write.mode("overwrite").partitionBy(*keys).format(kind)
+    if kind == "csv":
+        writer = writer.option("header", "true")
     if parts is None:
-        writer.parquet(path)
+        writer.save(path)
         return
     spark = rows.sparkSession
     staged = f"{path}/.staged-{uuid.uuid4().hex}"
     system, place = _file_system(spark, path)
-    writer.parquet(staged)
+    writer.save(staged)
     try:
-        fault = check(spark.read.schema(rows.schema).parquet(staged)) if check else None
+        fault = check(spark.read.schema(rows.schema).format(kind).load(staged)) if check else None
         if fault:
             raise ValueError(f"{path}: {fault}; nothing was replaced")
         for part in parts:
@@ -220,6 +222,12 @@ def write_truth(
     _write_parts(rows, f"{path}/{source}/{subdir}/truth", ["part_no"], parts, check)
 
 
+def write_numbers(numbers: DataFrame, path: str, source: str, subdir: str, parts: Sequence[int] | None = None) -> None:
+    """Receipt of old and new event numbers as CSV, <path>/<source>/<subdir>/numbers/part_no=.., in order of the new ones."""
+    rows = numbers.repartitionByRange("part_no", "event_no").sortWithinPartitions("part_no", "event_no")
+    _write_parts(rows, f"{path}/{source}/{subdir}/numbers", ["part_no"], parts, None, "csv")
+
+
 def read_dataset(spark: SparkSession, path: str, source: str, subdir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{source}/{subdir}/{table}")
 

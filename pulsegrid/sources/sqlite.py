@@ -8,6 +8,8 @@ many tasks.  The options `columns` (names, comma-separated) and `where` (a condi
 in SQL) are answered by the file.  They belong to one load(): filters that Spark
 itself pushes into a Python source stay in force for every other use of the same
 loaded frame (seen with 4.1.2), so this source leaves filters to Spark.
+Wanted events are looked up through the files' own indexes by `read_events`, which takes
+them as a frame; every call has its own.
 Files must lie on a folder that all executors can open.
 """
 
@@ -228,6 +230,44 @@ def read_sqlite(spark, path: str, table: str, row_ids: bool = False, **options)
     return df
 
 
+EVENTS_PER_LOOKUP = 500
+
+
+def read_events(spark, path: str, table: str, wanted: DataFrame, key: str = "event_no") -> DataFrame:
+    """Rows of the events in `wanted` (part_no, `key`), looked up by `key` in the files of these parts.
+
+    The wanted ids are dealt to tasks in chunks of one file; a task asks the file for its chunk, which an index on `key`
+    answers without a scan.  Columns are those of the table, part_no and row_id; ids that are not there give no rows.
+    """
+    spark.dataSource.register(SqliteSource)
+    found = source_files(path)
+    fields = spark.read.format("sqlite").option("path", path).option("table", table).load().schema.fields
+    names = [f.name for f in fields]
+    files = spark.createDataFrame([(part_of(os.path.basename(f)), f) for f in found], "part_no int, _file string")
+    asked = wanted.select(F.col("part_no").cast("int").alias("part_no"), F.col(key).cast("long").alias("_id")).where("_id IS NOT NULL").distinct()
+    chunk = F.pmod(F.xxhash64("_id"), F.lit(1024))
+    asked = asked.join(F.broadcast(files), "part_no").repartition("_file", chunk).sortWithinPartitions("_file", "_id")  # one row per file
+    schema = pa.schema([*[pa.field(f.name, _arrow(f.dataType.simpleString())) for f in fields], pa.field("part_no", pa.int32()), pa.field("row_id", pa.int64())])
+    columns = ", ".join([*map(quoted, names), "?", "rowid"])
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by_file: dict[tuple[str, int], list[int]] = {}
+            for part, number, name in zip(*(batch.column(c).to_pylist() for c in ("part_no", "_id", "_file"))):
+                by_file.setdefault((name, part), []).append(number)
+            for (name, part), numbers in by_file.items():
+                with sqlite3.connect(f"file:{name}?mode=ro", uri=True) as con:
+                    for i in range(0, len(numbers), EVENTS_PER_LOOKUP):
+                        some = numbers[i : i + EVENTS_PER_LOOKUP]
+                        sql = f"SELECT {columns} FROM {quoted(table)} WHERE {quoted(key)} IN ({','.join('?' * len(some))})"
+                        cursor = con.execute(sql, [part, *some])
+                        while rows := cursor.fetchmany(FETCH_ROWS):
+                            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
+    return asked.select("part_no", "_id", "_file").mapInArrow(look_up, ", ".join([*kinds, "part_no int", "row_id bigint"]))
+
+
 def write_sqlite(df: DataFrame, path: str, table: str, overwrite: bool = False) -> None:
     df.sparkSession.dataSource.register(SqliteSource)
     df.write.format("sqlite").option("path", path).option("table", table).mode("overwrite" if overwrite else "append").save()

@@ -194,6 +194,9 @@ def test_one_part_again(spark, tmp_path):
     assert {(r.part_no, r.shard_no): r["count"] for r in truth.groupBy("part_no", "shard_no").count().collect()} == {
         (1, 1): 5, (1, 2): 5, (1, 3): 2, (2, 1): 4, (2, 2): 2}
     assert quality.slice_audit(truth, doms).where("NOT consistent").count() == 0
+    numbers = spark.read.csv(str(out / "Snowstorm" / "22012" / "numbers"), header=True, inferSchema=True).collect()
+    assert {(r.part_no, r.source_file): sum(x.part_no == r.part_no for x in numbers) for r in numbers} == {(1, "merged_part_1.db"): 12, (2, "merged_part_2.db"): 6}
+    assert {(r.original_event_no, r.event_no) for r in numbers} == {(r.original_event_no, r.event_no) for r in truth.collect()}
 
     chosen = ["filter", "Snowstorm", "22012", str(out), str(tmp_path / "kept"), "--charged-current"]
     main(chosen)
@@ -210,3 +213,20 @@ def test_one_part_again(spark, tmp_path):
     with pytest.raises(ValueError, match="nothing was replaced"):
         files.write_summary(doms.where("event_no % 2 = 0"), str(out), "Snowstorm", "22012", [1], lambda rows: "rows are missing")
     assert snapshot(out) == before and not any(".staged" in p.as_posix() for p in out.rglob("*"))
+
+
+def test_wanted_events_are_looked_up(spark, tmp_path):
+    """Two reads of one folder with different wishes, beside the plain read; ids that are not there give nothing."""
+    from pulsegrid.sources.sqlite import read_events, read_sqlite
+
+    write_parts(tmp_path / "db")
+    folder, table = str(tmp_path / "db"), "SRTInIcePulses"
+    whole = read_sqlite(spark, folder, table, row_ids=True)
+    wishes = [[(1, 3), (2, 3), (1, 7), (1, 99), (1, 3)], [(2, 12)], []]
+    frames = [read_events(spark, folder, table, spark.createDataFrame(w, "part_no int, event_no long")) for w in wishes]
+    for wish, frame in zip(wishes, frames):
+        ids = set(wish)
+        want = sorted((r.part_no, r.row_id, r.event_no, r.charge) for r in whole.collect() if (r.part_no, r.event_no) in ids)
+        assert sorted((r.part_no, r.row_id, r.event_no, r.charge) for r in frame.collect()) == want
+    both = frames[0].unionByName(frames[1]).groupBy("part_no", "event_no").count().count()
+    assert both == 4

@@ -5,10 +5,11 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from corpus_pipeline import NEAR
 from pulsegrid.llm import near
 from tests.llm.helpers import AWKWARD, SF, clashing, docs
 
+TWO_WORDS = near.Rule(shingle=5, most_bits=7, words=2, total_bits=22)
+
 
 def naive(text, k):
     words = [w.decode() for w in (text or "").encode().lower().split()]
@@ -158,7 +159,7 @@ def test_awkward_rows(spark):
 
 def test_empty_table(spark):
     assert near.near_duplicates(docs(spark, [])).count() == 0
-    assert near.keep_one(docs(spark, []), NEAR).count() == 0
+    assert near.keep_one(docs(spark, []), TWO_WORDS).count() == 0
 
 
 def test_documents_against_brute_force(spark):
@@ -174,7 +175,7 @@ def test_documents_against_brute_force(spark):
 
 
 def test_keep_one(spark):
-    kept = near.keep_one(clashing(docs(spark), "_first"), NEAR)
+    kept = near.keep_one(clashing(docs(spark), "_first"), TWO_WORDS)
     assert kept.columns == [*docs(spark).columns, "_first"]
     ids = sorted((r.doc_id or -1) for r in kept.collect())
     assert ids == [-1, 1, 4, 5, 7, 8, 9, 10]

@@ -31,6 +31,11 @@ def adjusted_charge(charge: Column) -> Column:
     return F.log10(F.greatest(charge, F.lit(CHARGE_FLOOR))) - CHARGE_SHIFT
 
 
+def log10_signed(value: Column) -> Column:
+    """log10 as arrays have it: minus infinity at zero and not a number below, where Spark's gives null."""
+    return F.when(value == 0, F.lit(float("-inf"))).when(value < 0, F.lit(float("nan"))).otherwise(F.log10(value))
+
+
 def _replace(df: DataFrame, changes: dict[str, Column]) -> DataFrame:
     return df.select(*[changes.get(c, F.col(c)).alias(c) for c in df.columns])
 
@@ -52,14 +57,14 @@ def lazily_normalised(df: DataFrame, time_scale: float = TIME_SCALE, epsilon: fl
 
     changes = {c: F.col(c) / POSITION_UNIT for c in POSITIONS}
     changes |= {c: kept(c, (F.col(c) - TIME_SHIFT) * time_scale) for c in ARRIVALS}
-    changes |= {c: kept(c, F.log10(F.col(c) + epsilon)) for c in READOUTS[:3]}
-    changes |= {c: kept(c, F.log10(F.col(c) + epsilon) - CHARGE_SHIFT) for c in TOTALS}
+    changes |= {c: kept(c, log10_signed(F.col(c) + epsilon)) for c in READOUTS[:3]}
+    changes |= {c: kept(c, log10_signed(F.col(c) + epsilon) - CHARGE_SHIFT) for c in TOTALS}
     changes |= {c: kept(c, F.col(c) * time_scale) for c in SPREADS}
     return _replace(df, changes)
 
 
 def formerly_normalised(df: DataFrame) -> DataFrame:
-    """The older variant: coarser time scale and no epsilon below the logarithm."""
+    """The older variant: coarser time scale and no epsilon below the logarithm, so no charge gives minus infinity."""
     return lazily_normalised(df, OLD_TIME_SCALE, 0.0)
 
 

@@ -600,7 +600,9 @@ def _plain_summary(spark, sf_dir):
 
 
 def _all_but_keys(rows: DataFrame) -> DataFrame:
-    return rows.selectExpr(*_KEYS, *_round([c for c in rows.columns if c not in _KEYS]))
+    """Keys and rounded values; what rounds to zero keeps its sign."""
+    names = [c for c in rows.columns if c not in _KEYS]
+    return rows.selectExpr(*_KEYS, *[f"IF({n} < 0 AND round(double({n}), 6) = 0, -0.0D, round(double({n}), 6)) AS {n}" for n in names])
 
 
 @query

@@ -332,6 +332,13 @@ def test_synopsis_opens_new_files_only(spark, tmp_path):
     assert len(rows()) == 4
 
 
+def test_older_scaling_of_no_charge_is_minus_infinity(spark):
+    df = spark.createDataFrame([(q, q) for q in (0.0, -0.5, -1.0, 10.0, None)], "q1 double, Qtotal double")
+    rows = scaling.formerly_normalised(df).collect()
+    assert rows[0] == (float("-inf"), float("-inf")) and rows[2] == (-1.0, -1.0) and rows[3] == (1.0, -1.0) and rows[4] == (None, None)
+    assert rows[1].q1 != rows[1].q1 and rows[1].Qtotal != rows[1].Qtotal
+
+
 def test_nested_ranges(spark):
     from pulsegrid.operators import quality
 

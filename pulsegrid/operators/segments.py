@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pulsegrid.runtime import shuffle_width
+from pulsegrid.runtime import spread
 
 Arrays = dict[str, np.ndarray]
 # kernel(columns, first row of each group, rows per group) -> columns per group
@@ -90,9 +90,9 @@ def map_groups(
             )
 
     kind = df.schema[key].dataType.simpleString()
-    # A fixed number of tasks: merging small ones by size would leave array work to few cores.
+    # A given number of tasks: merging small ones by size would leave array work to few cores.
     return (
-        df.repartition(shuffle_width(df.sparkSession), key)
+        df.repartition(spread(df), key)
         .sortWithinPartitions(key, *sort)
         .mapInArrow(run, f"{key} {kind}, {schema}")
     )

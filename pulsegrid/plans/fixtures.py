@@ -12,6 +12,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrid.runtime import spread
+
 STRING_X = (0, 100, 250, -150, -50, 180, -220)
 STRING_Y = (0, 200, -50, 100, -250, -160, -90)
 HIT_ORDER = ("dom_time", "part_key", "price", "discount", "tax")
@@ -138,10 +140,15 @@ def geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doms(spark: SparkSession, sf_dir: str, event: str = "l_orderkey") -> DataFrame:
-    """Sensor rows of `hits`: position, total charge, first time."""
+    """Sensor rows of `hits`: position, total charge, first time.
+
+    An event has about as many sensors as hits, so adding up before the shuffle would only hold all rows in memory; after
+    it, all that is counted per event finds its rows in one place.
+    """
     keys = ["event_no", "string", "dom_number"]
+    rows = hits(spark, sf_dir, event)
     totals = (
-        hits(spark, sf_dir, event)
+        rows.repartition(spread(rows), "event_no")
         .groupBy(*keys)
         .agg(F.sum("charge").cast("double").alias("Qtotal"), F.min("dom_time").alias("t1"))
     )

@@ -273,3 +273,25 @@ def test_folded_tables_keep_the_schema_of_the_stream(rows):
     assert all(t.schema == schema for t in out)
     held = {k: sum(n for t in out for key, n in zip(t["k"].to_pylist(), t["held"].to_pylist()) if key == k) for k in (1, 2, 3)}
     assert held == {1: 100, 2: 3, 3: 90}
+
+
+def test_tasks_grow_with_the_input_files(spark, tmp_path, monkeypatch):
+    from pulsegrid import runtime
+    from pulsegrid.plans import fixtures as fx
+
+    width = runtime.shuffle_width(spark)
+    sf = "/root/testdata/sf0.001"
+    assert runtime.spread(fx.hits(spark, sf)) == runtime.spread(spark.range(3)) == width
+    few = shape.string_table(fx.doms(spark, sf))
+    monkeypatch.setattr(runtime, "TASK_BYTES", 10_000)
+    odd = str(tmp_path / "a b%20c")
+    fx.hits(spark, sf).repartition(5).write.parquet(odd)
+    many = runtime.spread(spark.read.parquet(odd))
+    assert many > width
+    monkeypatch.setattr(runtime, "SIZED_FILES", 2)
+    assert abs(runtime.spread(spark.read.parquet(odd)) - many) <= 2
+    wide = shape.string_table(fx.doms(spark, sf))
+    assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, few.collect()))
+    # One shuffle, with the larger number of tasks, for sensors, strings and the kernels of events.
+    plan = shape.cluster_scores(wide)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(event_no#" in plan and f", {runtime.spread(fx.hits(spark, sf))})" in plan

@@ -85,42 +85,59 @@ def _size_kb(text: Column) -> Column:
     return F.when(unit == "GB", value * 1024 * 1024).when(unit == "MB", value * 1024).otherwise(value)
 
 
+def _line_values(lines: DataFrame, log: str, column: str, order: Sequence[str]) -> DataFrame:
+    """What each line says, as numbers: patterns run once, only on lines with their fixed words, and before lines move."""
+    text = F.col(column)
+
+    def found(words: str, pattern: str, group: int) -> Column:
+        return F.when(text.contains(words), F.regexp_extract(text, pattern, group))
+
+    def number(words: str, pattern: str, group: int = 1) -> Column:
+        return found(words, pattern, group).try_cast("double")
+
+    clock = [number("Elapsed time:", _CLOCK, i) for i in (1, 2, 3)]
+    in_mb = F.when(found("Source part file size:", _SOURCE_SIZE, 2) == "GB", 1024.0).otherwise(1.0)
+    cells = lines.select(
+        log, *order,
+        F.coalesce(text.contains("+") & text.rlike(_BORDER), F.lit(False)).alias("_border"),
+        (number("Source part file size:", _SOURCE_SIZE) * in_mb).alias("_source_mb"),
+        F.when(~text.contains("shard"), clock[0] * 3600 + clock[1] * 60 + clock[2]).alias("_seconds"),
+        number("Memory:", _MEMORY, 1).alias("_total"), number("Memory:", _MEMORY, 2).alias("_available"),
+        found("|", _CELL, 1).alias("_title"), found("|", _CELL, 2).alias("_value"),
+    )
+    title = F.col("_title")
+    sized = F.lit(None).cast("string")
+    for prefix, suffix in (("Total ", " Size"), ("Avg ", " Shard Size"), ("Truth ", " Size")):
+        sized = F.when(title.startswith(prefix) & title.endswith(suffix), prefix.strip()).otherwise(sized)
+    kept = cells.withColumn("_sized", sized)
+    return kept.withColumn("_kb", F.when(F.col("_sized").isNotNull(), _size_kb(F.col("_value")))).drop("_title", "_value")
+
+
 def parse_log_lines(lines: DataFrame, log: str = "log", column: str = "value", order: Sequence[str] = ("line",)) -> DataFrame:
     """One row per job log: sizes, memory, elapsed time.
 
     `order` puts the lines of a log in order.  Of repeated lines the last counts.  Table cells count between the second
     and the third border of a log, that is, in the body of its first table.  Lines of one log meet in one task.
     """
-    text = F.col(column)
     by_line = Window.partitionBy(log).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = lines.select(
-        log, text.alias(column), F.struct(*order).alias("_at"), F.count_if(text.rlike(_BORDER)).over(by_line).alias("_borders")
-    )
+    placed = _line_values(lines, log, column, order).withColumn("_borders", F.count_if("_border").over(by_line)).withColumn("_at", F.struct(*order))
+    in_table = (F.col("_borders") == 2) & ~F.col("_border")
 
-    def number(pattern: str, group: int = 1) -> Column:
-        return F.regexp_extract(text, pattern, group).try_cast("double")
-
-    def last(value: Column, where: Column | None = None) -> Column:
-        known = value if where is None else F.when(where, value)
+    def last(name: str, where: Column | None = None) -> Column:
+        known = F.col(name) if where is None else F.when(where, F.col(name))
         return F.max_by(known, F.when(known.isNotNull(), F.col("_at")))
 
-    whole_job = text.contains("Elapsed time:") & ~text.contains("shard")
-    seconds = number(_CLOCK, 1) * 3600 + number(_CLOCK, 2) * 60 + number(_CLOCK, 3)
-    source_mb = number(_SOURCE_SIZE) * F.when(F.regexp_extract(text, _SOURCE_SIZE, 2) == "GB", 1024.0).otherwise(1.0)
-    title, value = F.regexp_extract(text, _CELL, 1), F.regexp_extract(text, _CELL, 2)
-    in_table = (F.col("_borders") == 2) & ~text.rlike(_BORDER)
-
-    def sized(prefix: str, suffix: str) -> Column:
-        return last(_size_kb(value), in_table & title.startswith(prefix) & title.endswith(suffix))
+    def sized(kind: str) -> Column:
+        return last("_kb", in_table & (F.col("_sized") == kind))
 
     return placed.groupBy(log).agg(
-        (last(source_mb) / 1024).alias("source_file_size_GB"),
-        (sized("Total ", " Size") / (1024 * 1024)).alias("total_shard_size_GB"),
-        (sized("Avg ", " Shard Size") / 1024).alias("avg_shard_size_MB"),
-        (sized("Truth ", " Size") / 1024).alias("truth_file_size_MB"),
-        last(seconds, whole_job).cast("long").alias("elapsed_time_sec"),
-        last(number(_MEMORY, 1)).alias("memory_total_GB"),
-        last(number(_MEMORY, 2)).alias("memory_available_GB"),
+        (last("_source_mb") / 1024).alias("source_file_size_GB"),
+        (sized("Total") / (1024 * 1024)).alias("total_shard_size_GB"),
+        (sized("Avg") / 1024).alias("avg_shard_size_MB"),
+        (sized("Truth") / 1024).alias("truth_file_size_MB"),
+        last("_seconds").cast("long").alias("elapsed_time_sec"),
+        last("_total").alias("memory_total_GB"),
+        last("_available").alias("memory_available_GB"),
     )
 
 

@@ -339,6 +339,20 @@ def test_older_scaling_of_no_charge_is_minus_infinity(spark):
     assert rows[1].q1 != rows[1].q1 and rows[1].Qtotal != rows[1].Qtotal
 
 
+def test_log_lines_are_read_before_they_move(spark):
+    lines = [("a", i, t) for i, t in enumerate([
+        "+--+", "| Truth X Size | 1 KB |", "+--+", "| Truth A Size | 2 MB | 7 |", " | Total B Size |3.5 GB|", "| Avg C Shard Size | x |",
+        "| Avg C Shard Size | 9 KB |", None, "+--+", "| Truth Q Size | 8 GB |", "Elapsed time: 1h 2m 3s", "Elapsed time: 4h 5m 6s shard",
+        "Source part file size: 1.2.3 GB", "x Source part file size:7MB", "Memory: 1 GB total, 2 GB available", "Memory: 1.. GB total,5 GB available",
+    ])] + [("b", 0, None)]
+    found = files.parse_log_lines(spark.createDataFrame(lines, "log string, line int, value string"))
+    rows = {r.log: tuple(r)[1:] for r in found.collect()}
+    assert rows == {"a": (7 / 1024, 3.5, 9 / 1024, 2.0, 3723, 1.0, 5.0), "b": (None,) * 7}
+    # Above the shuffle there are numbers only: no pattern is matched there.
+    above = found._jdf.queryExecution().optimizedPlan().toString().split("Window")[0]
+    assert "regexp_extract" not in above and "RLIKE" not in above
+
+
 def test_nested_ranges(spark):
     from pulsegrid.operators import quality
 

@@ -18,8 +18,9 @@ compared in chunks, and each pair of chunks gives only the edges of a spanning
 forest, so links between all of its texts are kept without listing all pairs.
 
 By `Similarity`, texts are linked if the Jaccard similarity of their shingle sets is
-high enough.  Candidates meet in a band of minimum hashes; each link is then checked
-on the shingles of both texts.
+high enough.  Candidates are near by the SimHash of their sets, found in the grid above;
+the pairs whose fingerprints lie farther apart meet in a band of minimum hashes.  Each
+link is then checked on the shingles of both texts.
 """
 
 from __future__ import annotations
@@ -58,8 +59,9 @@ CONTRACT = Rule()
 class Similarity:
     """Linked are texts whose sets of word shingles have a Jaccard similarity of `least` or more.
 
-    Candidates agree on all `rows` minimum hashes of one of `bands` bands: a pair of
-    similarity s is missed with probability (1 - s ** rows) ** bands, which is 7e-5 at 0.8.
+    Candidates are near by SimHash (`CONTRACT`), or agree on all `rows` minimum hashes of
+    one of `bands` bands: a pair of similarity s whose fingerprints are too far apart (about
+    10 bits at 0.8) is missed with probability (1 - s ** rows) ** bands, which is 7e-5 at 0.8.
     """
 
     shingle: int = 5
@@ -75,6 +77,7 @@ SET_CHUNK = 256
 PAIRS_IN_CELL = 1_024
 CHUNK = 1_024
 _PIECE = 1 << 20
+_SLICE = 1 << 16
 
 
 def _byte_pieces(raw: bytes) -> Iterator[bytes]:
@@ -155,8 +158,14 @@ def band_keys(hashes: np.ndarray, rule: Similarity) -> np.ndarray:
     return _mixed((least * weights).reshape(rule.bands, rule.rows).sum(axis=1, dtype=np.uint64), 1)
 
 
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """SimHash of a shingle set as a signed long: a bit is set if over half the hashes have it; 0 for an empty set."""
+    tally = sum((_bits(hashes[i : i + _SLICE]) for i in range(0, len(hashes), _SLICE)), np.zeros(64, np.int64))
+    return int(np.packbits(2 * tally > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def set_prints(docs: DataFrame, text: str, rule: Similarity, keep: list[str]) -> DataFrame:
-    """`fp` (128 bits of the shingle set as two longs), `size` of the set and `keys` of its bands."""
+    """`fp` (128 bits of the shingle set as two longs), `size` of the set, its SimHash `sim` and `keys` of its bands."""
 
     def make():
         def work(texts: list[bytes | None]) -> list:
@@ -164,12 +173,13 @@ def set_prints(docs: DataFrame, text: str, rule: Similarity, keep: list[str]) ->
             whole = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             fps = [np.frombuffer(d, "<i8").tolist() for d in whole]
             keys = [band_keys(s, rule).view(np.int64).tolist() for s in sets]
-            return [pa.array(fps, pa.list_(pa.int64())), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+            sizes, sims = [len(s) for s in sets], [set_fingerprint(s) for s in sets]
+            return [pa.array(fps, pa.list_(pa.int64())), pa.array(sizes, pa.int64()), pa.array(sims, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
 
         return work
 
     longs = (pa.list_(pa.int64()), "array<long>")
-    return with_scanned(docs, text, [("fp", *longs), ("size", pa.int64(), "long"), ("keys", *longs)], make, keep, binary=True)
+    return with_scanned(docs, text, [("fp", *longs), ("size", pa.int64(), "long"), ("sim", pa.int64(), "long"), ("keys", *longs)], make, keep, binary=True)
 
 
 def _set_forest(sets: list[np.ndarray], least: float) -> np.ndarray:
@@ -202,8 +212,20 @@ def _set_forest(sets: list[np.ndarray], least: float) -> np.ndarray:
     return np.array(edges, np.int64).reshape(-1, 2)
 
 
+def _pairs_by_fingerprint(prints: DataFrame) -> DataFrame:
+    """(a, b) with sizes _m, _n: sets whose SimHashes the grid links, as one set for each SimHash, and the other sets of it with that one."""
+    sims = pin(prints.groupBy("sim").agg(F.min(F.struct("fp", "size")).alias("_one")))
+    near = links(sims.select(F.col("sim").alias("fp")))
+    first, second = sims.withColumnsRenamed({"sim": "a", "_one": "_x"}), sims.withColumnsRenamed({"sim": "b", "_one": "_y"})
+    apart = near.join(first, "a").join(second, "b").select("_x", "_y")
+    alike = prints.join(sims, "sim").select("_one", F.struct("fp", "size").alias("_y"))
+    ordered = apart.union(alike).select(F.least("_x", "_y").alias("_x"), F.greatest("_x", "_y").alias("_y"))
+    return ordered.select(F.col("_x.fp").alias("a"), F.col("_y.fp").alias("b"), F.col("_x.size").alias("_m"), F.col("_y.size").alias("_n"))
+
+
 def set_links(prints: DataFrame, texts: DataFrame, rule: Similarity) -> DataFrame:
-    """(a, b): pairs of distinct shingle sets of the least similarity, enough to connect all such pairs that meet in a band.
+    """(a, b): pairs of distinct shingle sets of the least similarity, enough to connect all such pairs that meet in a band, and those that the grid of
+    SimHashes links.
 
     `prints` has one row for each set, `texts` (fp, text) a text of each that may be asked for; both are read several times.
     """
@@ -214,8 +236,10 @@ def set_links(prints: DataFrame, texts: DataFrame, rule: Similarity) -> DataFram
     calm = shared.where(F.col("_all") <= SETS_IN_BAND)
     left, right = calm.select(*key, F.col("fp").alias("a"), F.col("size").alias("_m")), calm.select(*key, F.col("fp").alias("b"), F.col("size").alias("_n"))
     sized = (F.col("_m") >= rule.least * F.col("_n")) & (F.col("_n") >= rule.least * F.col("_m"))
-    pairs = pin(left.join(right, key).where((F.col("a") < F.col("b")) & sized).select("a", "b").distinct())
-    texts = pin(texts.join(shared.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"]))
+    met = left.join(right, key).select("a", "b", "_m", "_n")
+    pairs = pin(_pairs_by_fingerprint(prints).union(met).where((F.col("a") < F.col("b")) & sized).select("a", "b").distinct())
+    asked = shared.select("fp").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    texts = pin(texts.join(asked, "fp", "left_semi").dropDuplicates(["fp"]))
     found = pairs.join(texts.withColumnsRenamed({"fp": "a", "text": "_x"}), "a").join(texts.withColumnsRenamed({"fp": "b", "text": "_y"}), "b")
     found = found.select("a", "b", F.col("_x").cast("binary").alias("_x"), F.col("_y").cast("binary").alias("_y"))
     schema = pa.schema([("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))])
@@ -484,7 +508,7 @@ def keep_one(docs: DataFrame, rule: Rule | Similarity) -> DataFrame:
     by_sets = isinstance(rule, Similarity)
     made = set_prints(hashed, "text", rule, ["doc_id", "_hash"]) if by_sets else fingerprints(hashed, "text", rule, keep=["doc_id", "_hash"])
     prints = pin(made.withColumn("_row", F.struct(F.isnull("doc_id").alias("n"), "doc_id", "_hash")))
-    firsts = pin(prints.groupBy("fp").agg(F.min("_row").alias("_first"), *([F.first("size").alias("size"), F.first("keys").alias("keys")] if by_sets else [])))
+    firsts = pin(prints.groupBy("fp").agg(F.min("_row").alias("_first"), *([F.first(c).alias(c) for c in ("size", "sim", "keys")] if by_sets else [])))
     if by_sets:
         own = firsts.select("fp", F.col("_first.doc_id").alias("_id"), F.col("_first._hash").alias("_its"))
         met = hashed.join(own, hashed["doc_id"].eqNullSafe(own["_id"]) & (hashed["_hash"] == own["_its"]))

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pulsegrid.llm import near
@@ -81,6 +82,24 @@ def test_forest_connects_as_all_pairs_do():
     assert all(root[i] == root[j] for i in range(len(sets)) for j in range(i) if close(sets[i], sets[j]))
 
 
+def test_near_copies_meet_by_their_fingerprints(spark):
+    """Sets that share no band: those near by SimHash are linked, each link checked on both texts."""
+    rng = random.Random(11)
+    texts = [near.shingle_set(t.encode(), 5) for t in families(4).values()]
+    assert [near.set_fingerprint(t) & (1 << 64) - 1 for t in texts] == [
+        sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in t) > len(t)) for t in texts
+    ]
+    base = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(400)]
+    words = [base, [*base[:-1], "new"], ["new", *base[1:]], [*base, "a", "b"], base[200:]]
+    frame = docs(spark, [(i, " ".join(w), "en", "a", 1) for i, w in enumerate(words)])
+    prints = near.set_prints(frame, "text", corpus_pipeline.SIMILAR, ["doc_id", "text"])
+    alone = prints.withColumn("keys", F.array(F.xxhash64("fp"))).localCheckpoint()
+    ids = {tuple(r.fp): r.doc_id for r in alone.collect()}
+    edges = near.set_links(alone, alone.select("fp", "text"), corpus_pipeline.SIMILAR).collect()
+    met = {i for e in edges for i in (ids[tuple(e.a)], ids[tuple(e.b)])}
+    assert met == {0, 1, 2, 3}
+
+
 def test_awkward_rows(spark):
     kept = near.keep_one(docs(spark), corpus_pipeline.SIMILAR).collect()
     assert sorted((r.doc_id or -1) for r in kept) == [-1, 1, 4, 5, 7, 8, 9, 10]
